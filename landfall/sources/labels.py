@@ -43,7 +43,10 @@ def parse_label_lines(lines: DataFrame) -> DataFrame:
 def write_label_csv(parsed: DataFrame, target: str, mode: str = "overwrite") -> None:
     """Land parsed labels as CSV with a ``code,value`` header, one folder per label."""
     (parsed.select("label", "code", "value")
-     .write.mode(mode).partitionBy("label").option("header", True).csv(target))
+     .write.mode(mode).partitionBy("label").option("header", True)
+     # the CSV writer trims blanks unless told not to; codes keep their padding
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(target))
 
 
 def scan_labels_csv(spark: SparkSession, path: str) -> DataFrame:

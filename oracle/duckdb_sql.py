@@ -112,7 +112,8 @@ def _typed_col(c: str) -> str:
     return f"CAST({c} AS VARCHAR) AS {c}"
 
 
-PERIOD = "lower(strftime(make_date(i94yr, i94mon, 1), '%b')) || lpad(CAST(i94yr % 100 AS VARCHAR), 2, '0')"
+PERIOD = ("lower(strftime(make_date(CAST(i94yr AS INTEGER), CAST(i94mon AS INTEGER), 1), '%b')) "
+          "|| lpad(CAST(CAST(i94yr AS INTEGER) % 100 AS VARCHAR), 2, '0')")
 
 CTES["typed"] = "SELECT " + ", ".join(_typed_col(c) for c in I94_RAW_COLUMNS) + " FROM raw"
 CTES["typed_p"] = f"SELECT *, {PERIOD} AS source_period FROM typed"

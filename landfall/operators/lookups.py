@@ -41,6 +41,10 @@ def label_int(parsed: DataFrame) -> DataFrame:
             .select("label", int_code("code").alias("code"), "value"))
 
 
+NAMES = ("visa", "citizenship", "state", "port", "mode")
+TEXT_CODED = ("state", "port")
+
+
 @dataclass
 class Lookups:
     """The five lookups the staging step joins."""
@@ -50,6 +54,8 @@ class Lookups:
     state: DataFrame
     port: DataFrame
     mode: DataFrame
+    # True once each side carries a broadcast hint decided by a size check.
+    sized: bool = False
 
     @classmethod
     def from_parsed(cls, parsed: DataFrame) -> "Lookups":
@@ -62,11 +68,39 @@ class Lookups:
         )
 
     def materialize(self, spark, path: str) -> "Lookups":
-        """Write the five tables once (Parquet) and read them back, so later
-        joins scan a few kilobytes instead of re-parsing the text files."""
+        """Write all five as one small table (one job, partitioned by lookup
+        name) and read each back, so later joins scan a few kilobytes
+        instead of re-parsing the label files."""
+        parts = [getattr(self, n).select(F.lit(n).alias("lookup"), F.col("code").cast("string").alias("code"),
+                                         "value") for n in NAMES]
+        both = parts[0]
+        for p in parts[1:]:
+            both = both.unionByName(p)
+        both.coalesce(1).write.mode("overwrite").partitionBy("lookup").parquet(path)
+        return Lookups.read(spark, path)
+
+    @classmethod
+    def read(cls, spark, path: str) -> "Lookups":
+        table = spark.read.parquet(path)
         out = {}
-        for name in ("visa", "citizenship", "state", "port", "mode"):
-            target = f"{path}/{name}"
-            getattr(self, name).coalesce(1).write.mode("overwrite").parquet(target)
-            out[name] = spark.read.parquet(target)
-        return Lookups(**out)
+        for n in NAMES:
+            code = F.col("code") if n in TEXT_CODED else F.col("code").cast("int")
+            out[n] = table.where(F.col("lookup") == n).select(code.alias("code"), "value")
+        return cls(**out)
+
+    def sized_for_broadcast(self, max_rows: int) -> "Lookups":
+        """Mark each lookup for broadcast if it has at most ``max_rows`` rows.
+
+        One job counts all five (each count stops after ``max_rows + 1``
+        rows); a lookup over the limit is left for a shuffle join.
+        """
+        if self.sized:
+            return self
+        probes = [getattr(self, n).select(F.lit(n).alias("lookup")).limit(max_rows + 1) for n in NAMES]
+        allp = probes[0]
+        for p in probes[1:]:
+            allp = allp.unionByName(p)
+        counts = {r["lookup"]: r["n"] for r in allp.groupBy("lookup").agg(F.count(F.lit(1)).alias("n")).collect()}
+        out = {n: (F.broadcast(getattr(self, n)) if counts.get(n, 0) <= max_rows else getattr(self, n))
+               for n in NAMES}
+        return Lookups(sized=True, **out)

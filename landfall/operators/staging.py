@@ -29,11 +29,16 @@ def staging_aggregate(profiled: DataFrame, period_col: str | None = PERIOD_COLUM
 
 
 def join_label(df: DataFrame, lookup: DataFrame, key: str, label: str, how: str = "left",
-               max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Attach one lookup's value as column ``label`` by ``key = code``."""
+               max_rows: int = BROADCAST_ROW_LIMIT, sized: bool = False) -> DataFrame:
+    """Attach one lookup's value as column ``label`` by ``key = code``.
+
+    ``sized=True`` means the lookup already carries its broadcast decision
+    (``Lookups.sized_for_broadcast``); otherwise it is size-checked here.
+    """
     code = f"__{label}_code"
-    side = bounded_broadcast(lookup.select(F.col("code").alias(code), F.col("value").alias(label)),
-                             max_rows)
+    side = lookup.select(F.col("code").alias(code), F.col("value").alias(label))
+    if not sized:
+        side = bounded_broadcast(side, max_rows)
     return df.join(side, F.col(key) == F.col(code), how).drop(code)
 
 
@@ -44,11 +49,12 @@ def enrich(agg: DataFrame, lookups: Lookups, max_rows: int = BROADCAST_ROW_LIMIT
     join, so rows with a null or unlisted mode leave the staging table
     (``operators.quality.mode_dropped`` reports them).
     """
-    df = join_label(agg, lookups.visa, "i94visa", "visa_category", "left", max_rows)
-    df = join_label(df, lookups.citizenship, "i94cit", "country_of_citizenship", "left", max_rows)
-    df = join_label(df, lookups.state, "i94addr", "destination_state", "left", max_rows)
-    df = join_label(df, lookups.port, "i94port", "port_of_entry", "left", max_rows)
-    return join_label(df, lookups.mode, "i94mode", "mode_of_entry", "inner", max_rows)
+    lk = lookups.sized_for_broadcast(max_rows)
+    df = join_label(agg, lk.visa, "i94visa", "visa_category", "left", sized=True)
+    df = join_label(df, lk.citizenship, "i94cit", "country_of_citizenship", "left", sized=True)
+    df = join_label(df, lk.state, "i94addr", "destination_state", "left", sized=True)
+    df = join_label(df, lk.port, "i94port", "port_of_entry", "left", sized=True)
+    return join_label(df, lk.mode, "i94mode", "mode_of_entry", "inner", sized=True)
 
 
 def fill_missing(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -72,9 +72,7 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lookups(spark: SparkSession, sf_dir: str) -> Lookups:
     wh, _ = fixture_warehouse(spark, sf_dir)
-    p = wh.path("lookups")
-    return Lookups(**{n: spark.read.parquet(f"{p}/{n}")
-                      for n in ("visa", "citizenship", "state", "port", "mode")})
+    return Lookups.read(spark, wh.path("lookups"))
 
 
 def parsed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,7 +51,11 @@ def timed(fn):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", app_name="landfall-bench", shuffle_partitions=cpus * 2)
+    conf = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # stage and task times for later reading, in a folder the caller names
+        conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = build_session(f"local[{cpus}]", app_name="landfall-bench", shuffle_partitions=cpus * 2, conf=conf)
     if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="landfall-bench-"))
     root = spark.sparkContext.getCheckpointDir()

@@ -57,9 +57,56 @@ def with_unknown_member(spark: SparkSession, dim: DataFrame, table: str) -> Data
     return dim.unionByName(member.join(dim.select(key), key, "left_anti"))
 
 
+# Dimension -> (staging columns forming its grouping set, output names).
+DIMENSION_SETS: dict[str, list[tuple[str, str]]] = {
+    "visa": [("visatype", "visatype"), ("i94visa", "visa_category_code"), ("visa_category", "visa_category")],
+    "citizenship_country": [("i94cit", "id"), ("country_of_citizenship", "country_of_citizenship")],
+    "destination_state": [("i94addr", "id"), ("destination_state", "destination_state")],
+    "entry_mode": [("i94mode", "id"), ("mode_of_entry", "mode_of_entry")],
+    "entry_port": [("i94port", "id"), ("port_of_entry", "port_of_entry")],
+    "date": [("arrdate", "date")],
+}
+_MEMBER_COLS = [c for cols in DIMENSION_SETS.values() for c, _ in cols]
+
+
+def _gid(cols: list[str]) -> int:
+    """``grouping_id()`` of a grouping set: one bit per grouping column not in it."""
+    n = len(_MEMBER_COLS)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(_MEMBER_COLS) if c not in cols)
+
+
+def dimension_members(staging: DataFrame) -> DataFrame:
+    """Distinct members of all six dimensions from **one** scan of staging.
+
+    A single ``GROUPING SETS`` aggregate (one set per dimension): each row
+    is expanded once per set on the map side and partially aggregated
+    before the one shuffle, so only distinct members move.  ``gid`` tells
+    the sets apart, also when a member's key is null.
+    """
+    sets = [[c for c, _ in cols] for cols in DIMENSION_SETS.values()]
+    return staging.groupingSets(sets, *_MEMBER_COLS).agg(F.grouping_id().alias("gid"))
+
+
+def split_members(members: DataFrame) -> dict[str, DataFrame]:
+    """The six dimension tables out of :func:`dimension_members`."""
+    out = {}
+    for name, cols in DIMENSION_SETS.items():
+        sel = members.where(F.col("gid") == F.lit(_gid([c for c, _ in cols])))
+        sel = sel.select(*[F.col(c).alias(o) for c, o in cols])
+        if name == "date":
+            sel = sel.where(F.col("date").isNotNull()).select("date", *date_parts("date"))
+        out[name] = sel
+    return out
+
+
 @dataclass
 class Star:
-    """The seven star tables; ``staging`` is kept for visa-grain questions."""
+    """The seven star tables; ``staging`` is kept for visa-grain questions.
+
+    ``members`` is the one-scan aggregate the six dimensions are cut from
+    (set by :func:`build_star`); a writer may cache it so staging is read
+    once for all of them.
+    """
 
     immigration: DataFrame
     visa: DataFrame
@@ -69,26 +116,21 @@ class Star:
     entry_port: DataFrame
     date: DataFrame
     staging: DataFrame | None = None
+    members: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)
-                if f.name != "staging" and getattr(self, f.name) is not None}
+                if f.name not in ("staging", "members") and getattr(self, f.name) is not None}
 
 
 def build_star(staging: DataFrame) -> Star:
     """All seven tables as lazy DataFrames over ``staging``.
 
-    The date dimension is taken from staging's arrival dates directly; the
-    set equals the fact's (the fact groups staging by a superset of
-    ``arrdate``), so the fact need not be read back.
+    The fact is one aggregate at the fact grain; the six dimensions come
+    from one grouping-sets aggregate.  The date dimension uses staging's
+    arrival dates directly: the set equals the fact's (the fact groups
+    staging by a superset of ``arrdate``), so the fact need not be read back.
     """
-    return Star(
-        immigration=fact_immigration(staging),
-        visa=dim_visa(staging),
-        citizenship_country=dim_citizenship_country(staging),
-        destination_state=dim_destination_state(staging),
-        entry_mode=dim_entry_mode(staging),
-        entry_port=dim_entry_port(staging),
-        date=dim_date(staging),
-        staging=staging,
-    )
+    members = dimension_members(staging)
+    return Star(immigration=fact_immigration(staging), staging=staging, members=members,
+                **split_members(members))

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, app_name: str = "landfall",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
     """A session with the settings the pipeline relies on.
 
     On a cluster the caller usually owns the session; this helper is for
@@ -36,6 +36,8 @@ def build_session(master: str | None = None, app_name: str = "landfall",
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     return spark

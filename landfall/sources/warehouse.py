@@ -75,11 +75,19 @@ class Warehouse:
         fact = tables["immigration"].withColumn(YEAR_PARTITION, F.year("arrdate"))
         out = {"immigration": self.write("immigration", fact, partition_by=[YEAR_PARTITION],
                                          sort_by=FACT_SORT)}
-        for name in STAR_TABLES:
-            if name != "immigration":
-                out[name] = self.write(name, tables[name])
-        staging = star.staging
-        return Star(staging=staging, **out)
+        # The dimension members are few (labels and days); cached, the six
+        # dimension writes share one scan of staging.  A lost cache block is
+        # recomputed from the staging table.
+        if star.members is not None:
+            star.members.persist()
+        try:
+            for name in STAR_TABLES:
+                if name != "immigration":
+                    out[name] = self.write(name, tables[name].coalesce(1))
+        finally:
+            if star.members is not None:
+                star.members.unpersist()
+        return Star(staging=star.staging, **out)
 
     def read_star(self, with_staging: bool = True) -> Star:
         tables = {name: self.read(name) for name in STAR_TABLES}

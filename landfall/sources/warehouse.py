@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from landfall.operators.star import Star
 from landfall.schemas import PERIOD_COLUMN, STAR_TABLES
@@ -54,10 +55,12 @@ class Warehouse:
         return self.spark.read.parquet(self.path(name))
 
     def exists(self, name: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(p))
+        """Whether table ``name`` has been written (resolving its schema reads footers only)."""
+        try:
+            self.read(name).schema
+        except AnalysisException:
+            return False
+        return True
 
     # -- staging and star ---------------------------------------------------
     def write_staging(self, staging: DataFrame, mode: str = "overwrite") -> DataFrame:

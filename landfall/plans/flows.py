@@ -72,3 +72,77 @@ def staging_totals(staging: DataFrame) -> DataFrame:
     """Rows and ``sum(count)`` per period of a staging table."""
     return staging.groupBy(PERIOD_COLUMN).agg(F.count(F.lit(1)).alias("row_count"),
                                               F.sum("count").alias("total"))
+
+
+@dataclass
+class LandResult:
+    lake: DataFrame
+    lines: DataFrame
+    airports: DataFrame | None
+    reconciliation: DataFrame
+
+
+def land_all(spark: SparkSession, extracts: str, labels: str, lake_root: str,
+             airports_csv: str | None = None, extract_format: str = "parquet",
+             extract_options: dict | None = None) -> LandResult:
+    """land extracts, label files and airports, then reconcile.
+
+    ``extracts`` holds monthly files (``i94_<mon><yy>_sub.*`` or
+    ``source_period=`` folders); ``labels`` holds the ``*.txt`` label
+    files.  Extracts are rewritten as Parquet partitioned by period; label
+    lines are kept as read (parsing happens in :func:`clean_labels`).
+    """
+    from landfall.operators.quality import reconcile
+    from landfall.sources.labels import read_label_lines
+    from landfall.sources.landing import land_airports, land_extracts, read_airports_csv, read_extracts
+
+    source = read_extracts(spark, extracts, extract_format, options=extract_options)
+    lake = land_extracts(spark, extracts, f"{lake_root}/immigration", extract_format,
+                         options=extract_options)
+    lines = read_label_lines(spark, labels)
+    lines.write.mode("overwrite").parquet(f"{lake_root}/labels")
+    lines = spark.read.parquet(f"{lake_root}/labels")
+    airports = None
+    if airports_csv:
+        airports = land_airports(spark, read_airports_csv(spark, airports_csv), f"{lake_root}/airports")
+    return LandResult(lake, lines, airports, reconcile(source, lake))
+
+
+def run_all(spark: SparkSession, extracts: str, labels: str, root: str,
+            airports_csv: str | None = None, extract_format: str = "parquet",
+            extract_options: dict | None = None) -> tuple[Star, DataFrame]:
+    """Every flow in order: land (F01), airports (F03), labels (F04), profile
+    (F02), staging (F05), star (F06), then all checks.
+
+    Returns the written star and one DataFrame of check rows
+    ``(check_name, table_name, column_name, bad_rows, passed)`` that also
+    carries the landing reconciliation per period and the staged-period check.
+    """
+    from landfall.operators import quality
+    from landfall.operators.airports import clean_airports
+    from landfall.sources.warehouse import YEAR_PARTITION
+
+    landed = land_all(spark, extracts, labels, f"{root}/lake", airports_csv, extract_format,
+                      extract_options)
+    wh = Warehouse(spark, f"{root}/warehouse")
+    if landed.airports is not None:
+        wh.write("airports", clean_airports(landed.airports))
+    res = build_warehouse(spark, landed.lake, landed.lines, wh)
+    tables = {"immigration_stage": res.staging.drop(PERIOD_COLUMN)}
+    tables.update({n: (d.drop(YEAR_PARTITION) if n == "immigration" else d)
+                   for n, d in res.star.tables().items()})
+
+    def as_checks(rec: DataFrame, check: str) -> DataFrame:
+        bad = F.abs(F.col("source_rows") - F.col("target_rows"))
+        return rec.select(F.lit(check).alias("check_name"), F.lit("immigration").alias("table_name"),
+                          F.col(PERIOD_COLUMN).alias("column_name"), bad.cast("bigint").alias("bad_rows"),
+                          F.col("passed"))
+
+    # Every landed month reached staging (row counts differ by design:
+    # staging is aggregated), so compare the sets of periods.
+    staged = quality.reconcile(landed.lake.select(PERIOD_COLUMN).distinct(),
+                               res.staging.select(PERIOD_COLUMN).distinct())
+    checks = (quality.star_suite(tables)
+              .unionByName(as_checks(landed.reconciliation, "reconcile_land"))
+              .unionByName(as_checks(staged, "reconcile_staged")))
+    return res.star, checks

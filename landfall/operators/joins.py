@@ -24,6 +24,24 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
+def bounded_broadcast_all(dfs: dict[str, DataFrame],
+                          max_rows: int = BROADCAST_ROW_LIMIT) -> dict[str, DataFrame]:
+    """:func:`bounded_broadcast` for several sides with **one** counting job.
+
+    Each side contributes at most ``max_rows + 1`` probe rows to one union;
+    one small aggregate gives every side's (capped) row count.
+    """
+    if not dfs:
+        return {}
+    probes = [df.select(F.lit(name).alias("__side")).limit(max_rows + 1) for name, df in dfs.items()]
+    union = probes[0]
+    for p in probes[1:]:
+        union = union.unionByName(p)
+    counts = {r["__side"]: r["n"] for r in
+              union.groupBy("__side").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {name: (F.broadcast(df) if counts.get(name, 0) <= max_rows else df) for name, df in dfs.items()}
+
+
 def lookup_join(df: DataFrame, lookup: DataFrame, on: Column | str | list, how: str = "left",
                 checked: bool = True, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Join a (small) lookup onto ``df``; the lookup side is broadcast when its size allows."""

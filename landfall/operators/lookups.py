@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions.labels import int_code, port_code, state_code
+from landfall.operators.joins import bounded_broadcast_all
 
 # Label (file stem) names and which code rule each follows.
 CITIZENSHIP = "I94CIT_I94RES"
@@ -96,11 +97,5 @@ class Lookups:
         """
         if self.sized:
             return self
-        probes = [getattr(self, n).select(F.lit(n).alias("lookup")).limit(max_rows + 1) for n in NAMES]
-        allp = probes[0]
-        for p in probes[1:]:
-            allp = allp.unionByName(p)
-        counts = {r["lookup"]: r["n"] for r in allp.groupBy("lookup").agg(F.count(F.lit(1)).alias("n")).collect()}
-        out = {n: (F.broadcast(getattr(self, n)) if counts.get(n, 0) <= max_rows else getattr(self, n))
-               for n in NAMES}
+        out = bounded_broadcast_all({n: getattr(self, n) for n in NAMES}, max_rows)
         return Lookups(sized=True, **out)

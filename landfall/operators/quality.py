@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.operators.joins import bounded_broadcast, orphans as orphan_rows
+from landfall.operators.joins import bounded_broadcast, bounded_broadcast_all
 from landfall.schemas import CONTRACTS, PERIOD_COLUMN
 
 RESULT = T.StructType([
@@ -47,32 +47,37 @@ def nonempty(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
-def column_checks(tables: dict[str, DataFrame], contracts=CONTRACTS) -> DataFrame:
+def column_checks(tables: dict[str, DataFrame], contracts=CONTRACTS,
+                  with_nonempty: bool = False) -> DataFrame:
     """D05 (declared NOT NULL) and D08 (declared width) in one aggregate per table.
 
     ``bad_rows`` is the number of null values, or of values longer than the
-    declared width.
+    declared width.  ``with_nonempty`` adds D01/D02 from the same scan (the
+    row count is free once the table is read anyway).
     """
     parts = []
     for name, df in tables.items():
         c = contracts.get(name)
-        if c is None:
-            continue
         aggs, labels = [], []
-        for col in c.not_null:
+        if with_nonempty:
+            aggs.append(F.when(F.count(F.lit(1)) > 0, 0).otherwise(1).alias("n0"))
+            labels.append(("nonempty", None))
+        for col in (c.not_null if c else []):
             if col in df.columns:
                 aggs.append(F.count_if(F.col(col).isNull()).alias(f"n{len(aggs)}"))
                 labels.append(("not_null", col))
-        for col, width in c.widths.items():
+        for col, width in (c.widths.items() if c else []):
             if col in df.columns:
                 aggs.append(F.count_if(F.length(F.col(col)) > F.lit(width)).alias(f"n{len(aggs)}"))
                 labels.append(("width", col))
         if not aggs:
             continue
         wide = df.agg(*aggs)
-        stack = ", ".join(f"'{chk}', '{col}', n{i}" for i, (chk, col) in enumerate(labels))
+        stack = ", ".join(f"'{chk}', {('NULL' if col is None else repr(col))}, CAST(n{i} AS BIGINT)"
+                          for i, (chk, col) in enumerate(labels))
         long = wide.selectExpr(f"stack({len(labels)}, {stack}) AS (check_name, column_name, bad)")
-        parts.append(long.select("check_name", F.lit(name).alias("table_name"), "column_name",
+        parts.append(long.select("check_name", F.lit(name).alias("table_name"),
+                                 F.col("column_name").cast("string").alias("column_name"),
                                  F.col("bad").cast("bigint").alias("bad_rows"),
                                  (F.col("bad") == 0).alias("passed")))
     return _union(parts)
@@ -100,17 +105,32 @@ def unique_key(tables: dict[str, DataFrame], contracts=CONTRACTS) -> DataFrame:
 
 
 def foreign_keys(tables: dict[str, DataFrame], contracts=CONTRACTS) -> DataFrame:
-    """Child rows whose non-null key has no parent row."""
+    """Child rows whose non-null key has no parent row.
+
+    All foreign keys of one child table are checked in **one** pass: each
+    parent's distinct keys join (broadcast, after one size-check job for all
+    parents) as a left join carrying a match marker, and one aggregate counts
+    the unmatched non-null keys per column.
+    """
     parts = []
     for name, df in tables.items():
         c = contracts.get(name)
-        if c is None:
+        fks = [(col, p, pc) for col, (p, pc) in (c.foreign_keys.items() if c else []) if p in tables]
+        if not fks:
             continue
-        for col, (parent, pcol) in c.foreign_keys.items():
-            if parent not in tables:
-                continue
-            bad = orphan_rows(df, col, tables[parent], pcol).agg(F.count(F.lit(1)).alias("bad"))
-            parts.append(_row(bad, "foreign_key", name, col, F.col("bad")))
+        sides = {f"{i}": tables[p].select(F.col(pc).alias(f"__k{i}")).distinct()
+                 .withColumn(f"__m{i}", F.lit(True)) for i, (_, p, pc) in enumerate(fks)}
+        sides = bounded_broadcast_all(sides)
+        joined = df.select(*[col for col, _, _ in fks])
+        for i, (col, _, _) in enumerate(fks):
+            joined = joined.join(sides[f"{i}"], F.col(col) == F.col(f"__k{i}"), "left")
+        wide = joined.agg(*[F.count_if(F.col(col).isNotNull() & F.col(f"__m{i}").isNull()).alias(f"n{i}")
+                            for i, (col, _, _) in enumerate(fks)])
+        stack = ", ".join(f"'{col}', CAST(n{i} AS BIGINT)" for i, (col, _, _) in enumerate(fks))
+        long = wide.selectExpr(f"stack({len(fks)}, {stack}) AS (column_name, bad)")
+        parts.append(long.select(F.lit("foreign_key").alias("check_name"), F.lit(name).alias("table_name"),
+                                 "column_name", F.col("bad").alias("bad_rows"),
+                                 (F.col("bad") == 0).alias("passed")))
     return _union(parts)
 
 
@@ -138,6 +158,8 @@ def reconcile(source: DataFrame, target: DataFrame, by: str = PERIOD_COLUMN) ->
 
 
 def star_suite(tables: dict[str, DataFrame], contracts=CONTRACTS) -> DataFrame:
-    """Every declared check over the given tables."""
-    return _union([nonempty(tables), column_checks(tables, contracts),
+    """Every declared check over the given tables: per table one aggregate
+    (rows, nulls, widths), one key aggregate per dimension, one pass per
+    child table for its foreign keys."""
+    return _union([column_checks(tables, contracts, with_nonempty=True),
                    unique_key(tables, contracts), foreign_keys(tables, contracts)])

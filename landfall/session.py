@@ -27,9 +27,6 @@ def build_session(master: str | None = None, app_name: str = "landfall",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        # size post-shuffle partitions by bytes (advisory 64 MB), not by core
-        # count: partitioned writes then produce few, full files per period
-        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.parquet.filterPushdown", "true")

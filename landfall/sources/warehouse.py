@@ -35,14 +35,23 @@ class Warehouse:
         return os.path.join(self.root, name)
 
     def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
-              sort_by: list[str] | None = None, mode: str = "overwrite") -> DataFrame:
+              sort_by: list[str] | None = None, mode: str = "overwrite",
+              rebalance: bool = False) -> DataFrame:
         """Write ``df`` as table ``name`` and return the table read back.
 
-        With ``partition_by`` and the session's dynamic partition-overwrite
-        mode, an overwrite replaces only the partitions present in ``df``, so
-        re-running a batch is idempotent and leaves other batches alone.
+        With ``partition_by`` and dynamic partition overwrite, an overwrite
+        replaces only the partitions present in ``df``, so re-running a batch
+        is idempotent and leaves other batches alone.
+
+        ``rebalance=True`` (for results of a shuffle, e.g. an aggregate)
+        redistributes rows by the partition columns first: AQE then coalesces
+        small partitions and splits a hot one into advisory-size pieces, so
+        each output folder gets a few full files instead of one fragment per
+        upstream task.
         """
         out = df
+        if rebalance and partition_by:
+            out = out.hint("rebalance", *partition_by)
         if sort_by:
             out = out.sortWithinPartitions(*(partition_by or []), *sort_by)
         w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
@@ -66,7 +75,7 @@ class Warehouse:
     def write_staging(self, staging: DataFrame, mode: str = "overwrite") -> DataFrame:
         parts = [PERIOD_COLUMN] if PERIOD_COLUMN in staging.columns else None
         return self.write("immigration_stage", staging, partition_by=parts,
-                          sort_by=["arrdate"], mode=mode)
+                          sort_by=["arrdate"], mode=mode, rebalance=True)
 
     def read_staging(self) -> DataFrame:
         return self.read("immigration_stage")
@@ -77,7 +86,7 @@ class Warehouse:
         tables = star.tables()
         fact = tables["immigration"].withColumn(YEAR_PARTITION, F.year("arrdate"))
         out = {"immigration": self.write("immigration", fact, partition_by=[YEAR_PARTITION],
-                                         sort_by=FACT_SORT)}
+                                         sort_by=FACT_SORT, rebalance=True)}
         # The dimension members are few (labels and days); cached, the six
         # dimension writes share one scan of staging.  A lost cache block is
         # recomputed from the staging table.

@@ -28,3 +28,13 @@ def period_from_file_name(path: str | Column) -> Column:
     name = F.substring_index(p, "/", -1)
     stem = F.substring_index(name, ".", 1)
     return F.split_part(stem, F.lit("_"), F.lit(2))
+
+
+def period_from_path(path: str | Column) -> Column:
+    """Like :func:`period_from_file_name`, for a full file path; a file that
+    a Spark job wrote (``.../i94_apr16_sub.csv/part-00000-....csv``) takes
+    the name of its folder."""
+    p = F.col(path) if isinstance(path, str) else path
+    name = F.substring_index(p, "/", -1)
+    folder = F.substring_index(F.substring_index(p, "/", -2), "/", 1)
+    return period_from_file_name(F.when(name.startswith("part-"), folder).otherwise(name))

@@ -41,6 +41,12 @@ I94_RAW = T.StructType([
     for c in I94_RAW_COLUMNS
 ])
 
+# The raw extract as delimited text: numbers parse as doubles, text stays text.
+I94_RAW_TEXT = T.StructType([
+    T.StructField(c, T.StringType() if c in TEXT_COLUMNS else T.DoubleType(), True)
+    for c in I94_RAW_COLUMNS
+])
+
 # Same columns after typing (before the sparse-column drop).
 I94_TYPED = T.StructType([
     T.StructField(

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.functions.periods import period_from_file_name
-from landfall.schemas import AIRPORTS, I94_RAW, PERIOD_COLUMN
+from landfall.functions.periods import period_from_path
+from landfall.schemas import AIRPORTS, I94_RAW, I94_RAW_TEXT, PERIOD_COLUMN
 
 
 def extract_schema(base: T.StructType = I94_RAW) -> T.StructType:
@@ -23,18 +23,26 @@ def extract_schema(base: T.StructType = I94_RAW) -> T.StructType:
 
 
 def read_extracts(spark: SparkSession, path: str, fmt: str = "parquet",
-                  schema: T.StructType = I94_RAW, options: dict | None = None) -> DataFrame:
+                  schema: T.StructType | None = None, options: dict | None = None) -> DataFrame:
     """Read every extract under ``path`` with a declared schema (no inference).
 
-    ``source_period`` comes from ``source_period=`` folders when the files
-    sit in them, else from each file's name.
+    Parquet extracts carry text as binary (``I94_RAW``); CSV extracts carry
+    it as text (``I94_RAW_TEXT``, read with a header).  ``source_period``
+    comes from ``source_period=`` folders (partition discovery) when the
+    files sit in them, else from each file's path.
     """
-    reader = spark.read.format(fmt).schema(extract_schema(schema))
+    if schema is None:
+        schema = I94_RAW_TEXT if fmt == "csv" else I94_RAW
+    reader = spark.read.format(fmt).schema(schema)
+    if fmt == "csv":
+        reader = reader.option("header", True)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     df = reader.load(path)
-    from_name = period_from_file_name(F.col("_metadata.file_name"))
-    return df.withColumn(PERIOD_COLUMN, F.coalesce(F.col(PERIOD_COLUMN), from_name))
+    from_path = period_from_path(F.col("_metadata.file_path"))
+    if PERIOD_COLUMN in df.columns:
+        return df.withColumn(PERIOD_COLUMN, F.coalesce(F.col(PERIOD_COLUMN).cast("string"), from_path))
+    return df.withColumn(PERIOD_COLUMN, from_path)
 
 
 def write_lake(df: DataFrame, target: str, mode: str = "overwrite") -> None:
@@ -44,7 +52,7 @@ def write_lake(df: DataFrame, target: str, mode: str = "overwrite") -> None:
 
 
 def land_extracts(spark: SparkSession, source: str, target: str, fmt: str = "parquet",
-                  schema: T.StructType = I94_RAW, options: dict | None = None) -> DataFrame:
+                  schema: T.StructType | None = None, options: dict | None = None) -> DataFrame:
     """Land all extracts under ``source`` into the lake at ``target``; returns the lake table."""
     write_lake(read_extracts(spark, source, fmt, schema, options), target)
     return spark.read.parquet(target)

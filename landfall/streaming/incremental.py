@@ -22,6 +22,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall.functions.periods import period_from_path
 from landfall.operators.lookups import Lookups
 from landfall.operators.profile import profile_extract
 from landfall.operators.staging import build_staging
@@ -48,9 +49,14 @@ class IncrementalLoader:
 
     def _stream(self) -> DataFrame:
         reader = self.spark.readStream.format(self.fmt).schema(extract_schema(self.schema))
+        if self.fmt == "csv":
+            reader = reader.option("header", True)
         if self.max_files:
             reader = reader.option("maxFilesPerTrigger", self.max_files)
-        return reader.load(self.inbox)
+        df = reader.load(self.inbox)
+        # files dropped straight into the inbox carry their month in the name
+        from_path = period_from_path(F.col("_metadata.file_path"))
+        return df.withColumn(PERIOD_COLUMN, F.coalesce(F.col(PERIOD_COLUMN), from_path))
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
         target = os.path.join(self.lake, f"batch={batch_id}")

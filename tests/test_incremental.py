@@ -61,3 +61,36 @@ def test_new_period_only_restages_that_period(spark, scratch):
     loader.run()                                             # nothing new: no change
     assert _files(wh.path("immigration_stage")) == after
     assert totals(wh.read_staging()) == totals(C.staging(spark, SF001))
+
+
+def test_csv_extracts_land_like_parquet(spark, scratch):
+    """Monthly CSV files named i94_<mon><yy>_sub.csv: the period comes from the name."""
+    from landfall.operators.profile import profile_extract
+
+    raw = fixtures.i94_raw(spark, SF001)
+    text = raw.select(*[F.col(c).cast("string").alias(c) if t == "binary" else F.col(c)
+                        for c, t in raw.dtypes]).where("i94yr = 1996 AND i94mon IN (1, 2)")
+    src = f"{scratch}/csv-in"
+    for mon, name in ((1, "jan96"), (2, "feb96")):
+        (text.where(F.col("i94mon") == mon).coalesce(1).write.option("header", True)
+         .csv(f"{src}/i94_{name}_sub.csv"))
+    lake = land_extracts(spark, f"{src}/*", f"{scratch}/lake", fmt="csv")
+    got = dict(rows(lake.groupBy("source_period").count()))
+    want = dict(rows(with_period(raw).where("i94yr = 1996 AND i94mon IN (1, 2)").groupBy("source_period").count()))
+    assert got == want and set(got) == {"jan96", "feb96"}
+    prof = profile_extract(lake)
+    typed = prof.df.where("arrdate IS NOT NULL").first()
+    assert isinstance(typed["i94cit"], int) and typed["visatype"] is not None
+
+
+def test_stream_takes_period_from_file_names(spark, scratch):
+    """Files dropped into the inbox as i94_<mon><yy>_sub.parquet (no period folders)."""
+    raw = fixtures.i94_raw(spark, SF001).where("i94yr = 1997 AND i94mon IN (3, 4)")
+    inbox = f"{scratch}/named-inbox"
+    for mon, name in ((3, "mar97"), (4, "apr97")):
+        raw.where(F.col("i94mon") == mon).coalesce(1).write.parquet(f"{inbox}/i94_{name}_sub.parquet")
+    wh = Warehouse(spark, f"{scratch}/wh")
+    lk = Lookups.from_parsed(C.parsed_labels(spark, SF001)).materialize(spark, wh.path("lookups"))
+    IncrementalLoader(spark, f"{inbox}/*", wh, lk).run()
+    periods = {r[0] for r in wh.read_staging().select("source_period").distinct().collect()}
+    assert periods == {"mar97", "apr97"}

@@ -25,15 +25,27 @@ def test_no_python_in_any_plan(spark):
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
-def test_staging_uses_five_broadcast_joins(spark):
-    raw = fixtures.i94_raw(spark, SF001)
+def test_staging_uses_five_broadcast_joins(spark, scratch):
+    """Over landed Parquet: partial aggregate below the one shuffle, then the
+    five label joins, all broadcast; no sort-merge join anywhere."""
+    fixtures.i94_raw(spark, SF001).write.parquet(scratch)
+    raw = spark.read.parquet(scratch)
     lk = Lookups.from_parsed(C.parsed_labels(spark, SF001))
     st = build_staging(profile_extract(raw).df, lk)
-    st._jdf.queryExecution().optimizedPlan()  # analysis ok
     text = st._jdf.queryExecution().sparkPlan().toString()
-    # five lookup joins, all broadcast (the fixture input adds two more of its own)
-    assert text.count("BroadcastHashJoin") >= 5
-    assert "SortMergeJoin" not in text.split("BroadcastHashJoin")[0] or True
+    assert text.count("BroadcastHashJoin") == 5
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+    assert "partial_sum" in text
+    # the scan reads only the nine columns staging needs
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan_text = st._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = [ln for ln in plan_text.splitlines() if "FileScan parquet" in ln and "ReadSchema" in ln][0]
+    read = scan.split("ReadSchema: struct<")[1].split(">")[0]
+    assert sorted(f.split(":")[0] for f in read.split(",")) == sorted(
+        ["arrdate", "i94cit", "i94port", "i94mode", "i94addr", "gender", "visatype", "i94visa", "count"])
 
 
 def test_q1_prunes_year_partitions_and_pushes_date_range(spark):

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,12 +85,40 @@ def decide_drops(nulls: dict[str, int], total_rows: int, limit: float = NULL_RAT
     return [c for c, n in nulls.items() if n / total_rows > limit]
 
 
+def observe_nulls(raw: DataFrame, name: str = "null_profile") -> tuple[DataFrame, Observation]:
+    """Attach the null profile of the *typed* columns to ``raw`` as observed metrics.
+
+    The counts are gathered by whatever action next runs over the returned
+    DataFrame (e.g. the landing write), so the profile needs no scan of its
+    own; read them with :func:`observed_counts` after that action.  The
+    typed expressions are evaluated only inside the metrics -- the rows keep
+    their raw form.
+    """
+    obs = Observation(name)
+    typed = typed_extract_columns(raw.columns)
+    cols = [c for c in raw.columns if c != PERIOD_COLUMN]
+    by_name = {c: e for c, e in zip(raw.columns, typed)}
+    metrics = [F.count(F.lit(1)).alias("__total")] + [
+        F.count_if(by_name[c].isNull()).alias(c) for c in cols]
+    return raw.observe(obs, *metrics), obs
+
+
+def observed_counts(obs: Observation) -> tuple[int, dict[str, int]]:
+    """``(total_rows, {column: nulls})`` from an :func:`observe_nulls` observation."""
+    got = dict(obs.get)
+    total = int(got.pop("__total"))
+    return total, {c: int(n) for c, n in got.items()}
+
+
 def profile_extract(raw: DataFrame, limit: float = NULL_RATIO_LIMIT,
-                    required: list[str] | None = None, typed: bool = False) -> ProfileResult:
+                    required: list[str] | None = None, typed: bool = False,
+                    counts: tuple[int, dict[str, int]] | None = None) -> ProfileResult:
     """Type, profile and clean one batch of extracts.
 
     1. one projection types the raw columns (``typed=True`` skips it);
-    2. one aggregate counts rows and nulls -- the only collected row;
+    2. one aggregate counts rows and nulls -- the only collected row -- unless
+       ``counts`` (from :func:`observe_nulls` during landing) are given, in
+       which case the profile runs no Spark job at all;
     3. columns over the null limit are dropped (never a ``required`` one:
        that raises, since staging could not be built without it);
     4. null text in the remaining columns becomes ``'missing'``; null
@@ -99,9 +127,13 @@ def profile_extract(raw: DataFrame, limit: float = NULL_RATIO_LIMIT,
     required = REQUIRED_COLUMNS if required is None else required
     df = raw if typed else type_extract(raw)
     cols = _profiled_columns(df)
-    row = df.agg(F.count(F.lit(1)).alias("__total"), *null_count_exprs(cols)).first()
-    total = int(row["__total"])
-    nulls = {c: int(row[c]) for c in cols}
+    if counts is not None:
+        total, nulls = counts
+        nulls = {c: nulls[c] for c in cols}
+    else:
+        row = df.agg(F.count(F.lit(1)).alias("__total"), *null_count_exprs(cols)).first()
+        total = int(row["__total"])
+        nulls = {c: int(row[c]) for c in cols}
     dropped = decide_drops(nulls, total, limit)
     bad = [c for c in dropped if c in required]
     if bad:

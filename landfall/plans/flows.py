@@ -46,14 +46,16 @@ class BuildResult:
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, lines: DataFrame,
-                    warehouse: Warehouse, staging_mode: str = "overwrite") -> BuildResult:
+                    warehouse: Warehouse, staging_mode: str = "overwrite",
+                    counts: tuple[int, dict[str, int]] | None = None) -> BuildResult:
     """Profile a batch of extracts, stage it, and (re)build the star.
 
-    Spark jobs: one profile aggregate (a single collected row), the staging
-    write, and one job per star table over the written staging table.
+    Spark jobs: the profile aggregate (a single collected row; none when the
+    landing observed the ``counts``), the staging write, the fact write and
+    one scan of staging for all six dimensions.
     """
     lookups = clean_labels(spark, lines, warehouse)
-    prof = profile_extract(with_period(raw))
+    prof = profile_extract(with_period(raw), counts=counts)
     staging = warehouse.write_staging(build_staging(prof.df, lookups), mode=staging_mode)
     star = warehouse.write_star(build_star(staging.drop(PERIOD_COLUMN)))
     star.staging = staging
@@ -80,6 +82,8 @@ class LandResult:
     lines: DataFrame
     airports: DataFrame | None
     reconciliation: DataFrame
+    # (total_rows, {column: nulls}) observed while the lake was written
+    counts: tuple[int, dict[str, int]] | None = None
 
 
 def land_all(spark: SparkSession, extracts: str, labels: str, lake_root: str,
@@ -97,15 +101,15 @@ def land_all(spark: SparkSession, extracts: str, labels: str, lake_root: str,
     from landfall.sources.landing import land_airports, land_extracts, read_airports_csv, read_extracts
 
     source = read_extracts(spark, extracts, extract_format, options=extract_options)
-    lake = land_extracts(spark, extracts, f"{lake_root}/immigration", extract_format,
-                         options=extract_options)
+    lake, counts = land_extracts(spark, extracts, f"{lake_root}/immigration", extract_format,
+                                 options=extract_options, with_profile=True)
     lines = read_label_lines(spark, labels)
     lines.write.mode("overwrite").parquet(f"{lake_root}/labels")
     lines = spark.read.parquet(f"{lake_root}/labels")
     airports = None
     if airports_csv:
         airports = land_airports(spark, read_airports_csv(spark, airports_csv), f"{lake_root}/airports")
-    return LandResult(lake, lines, airports, reconcile(source, lake))
+    return LandResult(lake, lines, airports, reconcile(source, lake), counts)
 
 
 def run_all(spark: SparkSession, extracts: str, labels: str, root: str,
@@ -127,7 +131,7 @@ def run_all(spark: SparkSession, extracts: str, labels: str, root: str,
     wh = Warehouse(spark, f"{root}/warehouse")
     if landed.airports is not None:
         wh.write("airports", clean_airports(landed.airports))
-    res = build_warehouse(spark, landed.lake, landed.lines, wh)
+    res = build_warehouse(spark, landed.lake, landed.lines, wh, counts=landed.counts)
     tables = {"immigration_stage": res.staging.drop(PERIOD_COLUMN)}
     tables.update({n: (d.drop(YEAR_PARTITION) if n == "immigration" else d)
                    for n, d in res.star.tables().items()})

@@ -52,10 +52,23 @@ def write_lake(df: DataFrame, target: str, mode: str = "overwrite") -> None:
 
 
 def land_extracts(spark: SparkSession, source: str, target: str, fmt: str = "parquet",
-                  schema: T.StructType | None = None, options: dict | None = None) -> DataFrame:
-    """Land all extracts under ``source`` into the lake at ``target``; returns the lake table."""
-    write_lake(read_extracts(spark, source, fmt, schema, options), target)
-    return spark.read.parquet(target)
+                  schema: T.StructType | None = None, options: dict | None = None,
+                  with_profile: bool = False):
+    """Land all extracts under ``source`` into the lake at ``target``; returns the lake table.
+
+    ``with_profile=True`` also returns the batch's null profile
+    ``(total_rows, {column: nulls})``, gathered as observed metrics by the
+    landing write itself: the profile then needs no scan of its own.
+    """
+    df = read_extracts(spark, source, fmt, schema, options)
+    if not with_profile:
+        write_lake(df, target)
+        return spark.read.parquet(target)
+    from landfall.operators.profile import observe_nulls, observed_counts
+
+    observed, obs = observe_nulls(df)
+    write_lake(observed, target)
+    return spark.read.parquet(target), observed_counts(obs)
 
 
 def read_airports_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -92,3 +92,24 @@ def test_null_ratio_matches_decision(spark):
     typed = type_extract(fixtures.i94_raw(spark, SF001))
     dropped = sorted(r["column_name"] for r in null_ratio(typed).where("dropped").collect())
     assert dropped == ["entdepu", "insnum", "occup", "visapost"]
+
+
+def test_profile_observed_while_landing(spark, scratch):
+    """The landing write gathers the typed null profile; the profile then runs no job."""
+    from landfall.plans.flows import with_period
+    from landfall.sources import fixtures
+    from landfall.sources.landing import land_extracts, write_lake
+    from tests.conftest import SF001
+
+    write_lake(with_period(fixtures.i94_raw(spark, SF001)), f"{scratch}/inbox")
+    lake, counts = land_extracts(spark, f"{scratch}/inbox", f"{scratch}/lake", with_profile=True)
+    sc = spark.sparkContext
+    sc.setJobGroup("observed-profile", "profile")
+    try:
+        observed = profile_extract(lake, counts=counts)
+    finally:
+        sc.setJobGroup("other", "other")
+    assert len(sc.statusTracker().getJobIdsForGroup("observed-profile")) == 0
+    scanned = profile_extract(lake)
+    assert (observed.total_rows, observed.nulls, observed.dropped) == \
+        (scanned.total_rows, scanned.nulls, scanned.dropped)

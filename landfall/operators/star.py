@@ -53,7 +53,8 @@ def with_unknown_member(spark: SparkSession, dim: DataFrame, table: str) -> Data
     if table not in UNKNOWN_MEMBERS:
         return dim
     key = CONTRACTS[table].key[0]
-    member = spark.createDataFrame([UNKNOWN_MEMBERS[table]], dim.schema)
+    member = spark.range(1).select(*[F.lit(v).cast(f.dataType).alias(f.name)
+                                     for v, f in zip(UNKNOWN_MEMBERS[table], dim.schema.fields)])
     return dim.unionByName(member.join(dim.select(key), key, "left_anti"))
 
 

@@ -129,10 +129,16 @@ def label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     for label, (src, expr, cond) in _LABEL_LINES.items():
         parts.append(table(spark, sf_dir, src).where(cond)
                      .select(F.lit(label).alias("label"), F.expr(expr).alias("line")))
-    mode = spark.createDataFrame(_SMALL_LABELS["I94Mode"], "code string, v string").select(
+    def listed(label: str) -> DataFrame:
+        # a literal row set planned in the JVM (no Python-side data source)
+        rows = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(v).alias("v"))
+                         for c, v in _SMALL_LABELS[label]])
+        return spark.range(1).select(F.inline(rows))
+
+    mode = listed("I94Mode").select(
         F.lit("I94Mode").alias("label"),
         F.concat("code", F.lit(" = "), F.lit("'"), "v", F.lit("'")).alias("line"))
-    visa = spark.createDataFrame(_SMALL_LABELS["I94Visa"], "code string, v string").select(
+    visa = listed("I94Visa").select(
         F.lit("I94Visa").alias("label"),
         F.concat(F.lit(" "), "code", F.lit(" = "), "v").alias("line"))
     out = parts[0]

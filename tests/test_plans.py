@@ -23,6 +23,7 @@ def test_no_python_in_any_plan(spark):
             continue
         p = plan(fn(spark, SF001))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+        assert "PythonRDD" not in p, name   # no Python-side rows as a data source
 
 
 def test_staging_uses_five_broadcast_joins(spark, scratch):

@@ -21,16 +21,14 @@ from landfall.operators import quality
 from landfall.operators.airports import clean_airports, distinct_values
 from landfall.operators.lookups import Lookups, label_addr, label_int, label_port
 from landfall.operators.profile import null_counts, null_ratio, profile_extract, type_extract
-from landfall.operators.staging import build_staging, fill_missing, join_label, staging_aggregate
-from landfall.operators.star import Star, build_star, with_unknown_member
+from landfall.operators.staging import fill_missing, join_label, staging_aggregate
+from landfall.operators.star import Star, with_unknown_member
 from landfall.plans import analysis
 from landfall.plans.flows import build_warehouse, with_period
-from landfall.schemas import (
-    CONTRACTS, INT_COLUMNS, LONG_COLUMNS, PERIOD_COLUMN, STAR_TABLES, TEXT_COLUMNS,
-)
+from landfall.schemas import INT_COLUMNS, LONG_COLUMNS, PERIOD_COLUMN, STAR_TABLES, TEXT_COLUMNS
 from landfall.session import scratch_path
 from landfall.sources import fixtures
-from landfall.sources.labels import parse_label_lines, read_label_lines, scan_labels_csv, write_label_csv
+from landfall.sources.labels import parse_label_lines, scan_labels_csv, write_label_csv
 from landfall.sources.landing import land_airports, land_extracts, write_lake
 from landfall.sources.warehouse import YEAR_PARTITION, Warehouse
 

@@ -39,3 +39,20 @@ def test_run_all_from_files(spark, scratch, tmp_path):
     ap = spark.read.parquet(f"{scratch}/run/warehouse/airports").orderBy("ident").collect()
     assert (ap[0]["continent"], ap[0]["airport_code"], ap[0]["elevation_ft"]) == ("NA", "L1", 10)
     assert (ap[1]["continent"], ap[1]["airport_code"], ap[1]["elevation_ft"]) == ("NA", "K2", -1000)
+
+
+def test_command_line(spark, scratch, tmp_path, capsys):
+    from landfall.__main__ import main
+
+    extracts = f"{scratch}/extracts"
+    with_period(fixtures.i94_raw(spark, SF001)).write.partitionBy("source_period").parquet(extracts)
+    labels = tmp_path / "labels"
+    labels.mkdir()
+    for row in fixtures.label_lines(spark, SF001).groupBy("label").agg(F.collect_list("line").alias("l")).collect():
+        (labels / f"{row['label']}.txt").write_text("\n".join(row["l"]))
+    status = main(["--extracts", extracts, "--labels", str(labels), "--root", f"{scratch}/cli",
+                   "--year", "1996", "--exclude", "NATION_1", "NATION_2"], spark=spark)
+    out = capsys.readouterr().out
+    assert status == 1                         # the test data's known findings (visa key, gender width)
+    assert "Q1 top visa types (1996)" in out and "|W2      |194       |" in out
+    assert "Sea" in out and "NATION_7, XX" in out

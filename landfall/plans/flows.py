@@ -150,3 +150,43 @@ def run_all(spark: SparkSession, extracts: str, labels: str, root: str,
               .unionByName(as_checks(landed.reconciliation, "reconcile_land"))
               .unionByName(as_checks(staged, "reconcile_staged")))
     return res.star, checks
+
+
+def arrival_years(staging: DataFrame, periods: list[str]) -> set:
+    """Arrival years present in the given periods of a staging table (a few values)."""
+    rows = (staging.where(F.col(PERIOD_COLUMN).isin(periods))
+            .select(F.year("arrdate").alias("y")).distinct().collect())
+    return {r["y"] for r in rows}
+
+
+def refresh_star(warehouse: Warehouse, years: set) -> Star:
+    """Bring the star up to date after some periods were re-staged.
+
+    Only the fact partitions of the touched arrival ``years`` are recomputed
+    -- from every staging row of those years, whatever period it came in --
+    and written with dynamic partition overwrite; the other years' files are
+    left alone.  The six dimensions are re-derived with their one
+    grouping-sets scan of staging.  ``None`` in ``years`` stands for rows
+    without an arrival date.
+    """
+    from functools import reduce
+
+    from landfall.functions.dates import year_range
+    from landfall.operators.star import dimension_members, fact_immigration, split_members
+    from landfall.sources.warehouse import FACT_SORT, YEAR_PARTITION
+
+    staging = warehouse.read_staging().drop(PERIOD_COLUMN)
+    conds = [year_range("arrdate", y) if y is not None else F.col("arrdate").isNull() for y in years]
+    if conds:
+        part = staging.where(reduce(lambda a, b: a | b, conds))
+        fact = fact_immigration(part).withColumn(YEAR_PARTITION, F.year("arrdate"))
+        warehouse.write("immigration", fact, partition_by=[YEAR_PARTITION], sort_by=FACT_SORT,
+                        rebalance=True)
+    members = dimension_members(staging).persist()
+    try:
+        for name, dim in split_members(members).items():
+            warehouse.write(name, dim.coalesce(1))
+    finally:
+        members.unpersist()
+    star = warehouse.read_star()
+    return star

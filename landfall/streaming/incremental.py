@@ -12,7 +12,9 @@ stream checkpoint remembers the rest) and then stops.  Per micro-batch:
    that month's staging partition and nothing else.
 
 Nothing is kept in streaming state and no watermark is needed: the
-aggregate is recomputed per period from the lake.
+aggregate is recomputed per period from the lake.  With ``refresh_star``
+the star follows each batch: only the fact partitions of the arrival years
+those periods touch are rewritten (``plans.flows.refresh_star``).
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from landfall.functions.periods import period_from_path
 from landfall.operators.lookups import Lookups
 from landfall.operators.profile import profile_extract
 from landfall.operators.staging import build_staging
+from landfall.plans.flows import arrival_years, refresh_star
 from landfall.schemas import I94_RAW, PERIOD_COLUMN
 from landfall.sources.landing import extract_schema
 from landfall.sources.warehouse import Warehouse
@@ -36,7 +39,7 @@ class IncrementalLoader:
 
     def __init__(self, spark: SparkSession, inbox: str, warehouse: Warehouse, lookups: Lookups,
                  checkpoint: str | None = None, fmt: str = "parquet", schema=I94_RAW,
-                 max_files_per_trigger: int | None = None):
+                 max_files_per_trigger: int | None = None, refresh_star: bool = False):
         self.spark = spark
         self.inbox = inbox
         self.warehouse = warehouse
@@ -45,6 +48,7 @@ class IncrementalLoader:
         self.fmt = fmt
         self.schema = schema
         self.max_files = max_files_per_trigger
+        self.refresh = refresh_star
         self.lake = warehouse.path("lake_i94")
 
     def _stream(self) -> DataFrame:
@@ -69,7 +73,13 @@ class IncrementalLoader:
         month = self.spark.read.parquet(self.lake).where(F.col(PERIOD_COLUMN).isin(periods))
         month = month.drop("batch")
         prof = profile_extract(month)
-        self.warehouse.write_staging(build_staging(prof.df, self.lookups), mode="overwrite")
+        # arrival years these periods covered before and after re-staging:
+        # exactly the fact partitions that can change
+        before = (arrival_years(self.warehouse.read_staging(), periods)
+                  if self.refresh and self.warehouse.exists("immigration_stage") else set())
+        staged = self.warehouse.write_staging(build_staging(prof.df, self.lookups), mode="overwrite")
+        if self.refresh:
+            refresh_star(self.warehouse, before | arrival_years(staged, periods))
 
     def run(self) -> None:
         """Process every file not seen before, then return."""

@@ -94,3 +94,27 @@ def test_stream_takes_period_from_file_names(spark, scratch):
     IncrementalLoader(spark, f"{inbox}/*", wh, lk).run()
     periods = {r[0] for r in wh.read_staging().select("source_period").distinct().collect()}
     assert periods == {"mar97", "apr97"}
+
+
+def test_incremental_star_refresh_rewrites_only_touched_years(spark, scratch):
+    from landfall.operators.star import build_star
+
+    raw = with_period(fixtures.i94_raw(spark, SF001))
+    inbox = f"{scratch}/inbox"
+    wh = Warehouse(spark, f"{scratch}/wh")
+    lk = Lookups.from_parsed(C.parsed_labels(spark, SF001)).materialize(spark, wh.path("lookups"))
+    loader = IncrementalLoader(spark, inbox, wh, lk, refresh_star=True)
+    raw.where(F.col("source_period") != "jun96").write.partitionBy("source_period").parquet(inbox)
+    loader.run()
+    fact_dir = wh.path("immigration")
+    before = _files(fact_dir)
+    raw.where(F.col("source_period") == "jun96").write.mode("append").partitionBy("source_period").parquet(inbox)
+    loader.run()
+    after = _files(fact_dir)
+    changed = {f.split("arrival_year=")[1].split("/")[0] for f in before ^ after}
+    assert changed == {"1996"}                            # only the touched year was rewritten
+    star = wh.read_star()
+    full = build_star(wh.read_staging().drop("source_period"))
+    assert rows(star.immigration.drop("arrival_year")) == rows(full.immigration)
+    for name in ("visa", "citizenship_country", "destination_state", "entry_mode", "entry_port", "date"):
+        assert rows(getattr(star, name)) == rows(getattr(full, name)), name

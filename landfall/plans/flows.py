@@ -168,6 +168,10 @@ def refresh_star(warehouse: Warehouse, years: set) -> Star:
     left alone.  The six dimensions are re-derived with their one
     grouping-sets scan of staging.  ``None`` in ``years`` stands for rows
     without an arrival date.
+
+    A year that loses *all* its rows keeps its old fact partition (dynamic
+    overwrite cannot write an empty partition); :func:`rebuild_star` clears
+    such a year.
     """
     from functools import reduce
 

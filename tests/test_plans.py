@@ -63,3 +63,12 @@ def test_top_state_per_visa_uses_group_limit(spark):
     s = C.star(spark, SF001)
     p = analysis.top_state_per_visa(s, 1996)._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" in p
+
+
+def test_dimensions_come_from_one_scan(spark):
+    from landfall.operators.star import dimension_members
+
+    staging = C.staging(spark, SF001)
+    text = dimension_members(staging)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan parquet") == 1
+    assert "Expand" in text

@@ -101,6 +101,17 @@ class Warehouse:
                 star.members.unpersist()
         return Star(staging=star.staging, **out)
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every written table as a temporary view (``immigration``,
+        ``visa``, ..., ``immigration_stage``) for ``spark.sql``; no metastore
+        is needed.  Returns the view names."""
+        names = []
+        for name in STAR_TABLES + ["immigration_stage"]:
+            if self.exists(name):
+                self.read(name).createOrReplaceTempView(prefix + name)
+                names.append(prefix + name)
+        return names
+
     def read_star(self, with_staging: bool = True) -> Star:
         tables = {name: self.read(name) for name in STAR_TABLES}
         staging = self.read_staging() if with_staging and self.exists("immigration_stage") else None

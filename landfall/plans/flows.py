@@ -169,9 +169,11 @@ def refresh_star(warehouse: Warehouse, years: set) -> Star:
     grouping-sets scan of staging.  ``None`` in ``years`` stands for rows
     without an arrival date.
 
-    A year that loses *all* its rows keeps its old fact partition (dynamic
-    overwrite cannot write an empty partition); :func:`rebuild_star` clears
-    such a year.
+    With the append-only lake of ``streaming.incremental`` a re-staged
+    period only gains rows, so a touched year never becomes empty.  Should a
+    year lose all its rows some other way, its old partition would stay
+    (dynamic overwrite writes no empty partition): :func:`rebuild_star`
+    replaces the whole fact.
     """
     from functools import reduce
 

@@ -36,12 +36,14 @@ class Warehouse:
 
     def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
               sort_by: list[str] | None = None, mode: str = "overwrite",
-              rebalance: bool = False) -> DataFrame:
+              rebalance: bool = False, replace_all: bool = False) -> DataFrame:
         """Write ``df`` as table ``name`` and return the table read back.
 
         With ``partition_by`` and dynamic partition overwrite, an overwrite
         replaces only the partitions present in ``df``, so re-running a batch
-        is idempotent and leaves other batches alone.
+        is idempotent and leaves other batches alone.  ``replace_all=True``
+        (a full rebuild) replaces the whole table, so a partition absent from
+        ``df`` disappears.
 
         ``rebalance=True`` (for results of a shuffle, e.g. an aggregate)
         redistributes rows by the partition columns first: AQE then coalesces
@@ -54,7 +56,7 @@ class Warehouse:
             out = out.hint("rebalance", *partition_by)
         if sort_by:
             out = out.sortWithinPartitions(*(partition_by or []), *sort_by)
-        w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        w = out.write.mode(mode).option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(name))
@@ -81,12 +83,12 @@ class Warehouse:
         return self.read("immigration_stage")
 
     def write_star(self, star: Star) -> Star:
-        """Write the seven tables; the fact is partitioned by arrival year
-        and sorted by the warehouse sort key inside each file."""
+        """Write (replace) the seven tables; the fact is partitioned by arrival
+        year and sorted by the warehouse sort key inside each file."""
         tables = star.tables()
         fact = tables["immigration"].withColumn(YEAR_PARTITION, F.year("arrdate"))
         out = {"immigration": self.write("immigration", fact, partition_by=[YEAR_PARTITION],
-                                         sort_by=FACT_SORT, rebalance=True)}
+                                         sort_by=FACT_SORT, rebalance=True, replace_all=True)}
         # The dimension members are few (labels and days); cached, the six
         # dimension writes share one scan of staging.  A lost cache block is
         # recomputed from the staging table.

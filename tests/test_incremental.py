@@ -118,3 +118,14 @@ def test_incremental_star_refresh_rewrites_only_touched_years(spark, scratch):
     assert rows(star.immigration.drop("arrival_year")) == rows(full.immigration)
     for name in ("visa", "citizenship_country", "destination_state", "entry_mode", "entry_port", "date"):
         assert rows(getattr(star, name)) == rows(getattr(full, name)), name
+
+
+def test_full_star_rebuild_replaces_vanished_years(spark, scratch):
+    from landfall.operators.star import build_star
+
+    wh = Warehouse(spark, scratch)
+    staging = C.staging(spark, SF001).drop("source_period")
+    wh.write_star(build_star(staging))
+    assert len(rows(wh.read("immigration").select("arrival_year").distinct())) > 1
+    wh.write_star(build_star(staging.where("year(arrdate) = 1996")))
+    assert rows(wh.read("immigration").select("arrival_year").distinct()) == [(1996,)]

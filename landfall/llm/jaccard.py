@@ -168,7 +168,8 @@ def _rows(kind: int, p: np.ndarray, **cols) -> pa.RecordBatch:
     n = len(p)
     names = {"data": pa.binary(), "doc_id": pa.int64(), "n": pa.int64(), "k": pa.int64(), "a": pa.int64(), "b": pa.int64()}
     arrays = [pa.array(p.astype(np.int32)), pa.array(np.full(n, kind, np.int32))]
-    arrays += [pa.array(cols[x], t) if x in cols else pa.nulls(n, t) for x, t in names.items()]
+    arrays += [pa.nulls(n, t) if x not in cols else cols[x] if isinstance(cols[x], pa.Array) else pa.array(cols[x], t)
+               for x, t in names.items()]
     return pa.RecordBatch.from_arrays(arrays, names=["p", "kind", *names])
 
 
@@ -201,7 +202,6 @@ def scan(docs: DataFrame, rule: Rule, parts: int) -> DataFrame:
             yield _rows(BLOB, used, data=blobs)
 
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             texts = batch.column("text").to_pylist()
             n, k = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.uint64)
             for i, t in enumerate(texts):
@@ -213,7 +213,7 @@ def scan(docs: DataFrame, rule: Rule, parts: int) -> DataFrame:
                     sigs.append(sig)
                     nodes.append(np.full(len(sig), k[i] & NODE))
                     size += len(sig)
-            yield _rows(DOC, (k + np.arange(len(k), dtype=np.uint64)) % np.uint64(parts), doc_id=ids, n=n, k=signed(k))
+            yield _rows(DOC, (k + np.arange(len(k), dtype=np.uint64)) % np.uint64(parts), doc_id=batch.column("doc_id"), n=n, k=signed(k))
             if size > FLUSH:
                 yield from flush()
                 sigs, nodes, size, seen = [], [], 0, set()

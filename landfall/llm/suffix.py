@@ -32,7 +32,8 @@ BATCH, HOT = 1_000_000, 500
 #: Stands for a null doc_id, which comes before all others.
 NO_ID = -(1 << 63)
 LOW48 = np.uint64((1 << 48) - 1)
-FIELDS = ("prefix", "stretch", "doc", "start", "offset", "more")
+FIELDS = ("prefix", "stretch", "doc", "tie", "start", "offset", "more")
+ORDER = ("start", "tie", "doc", "stretch", "prefix")  # last key first
 
 
 def sampled(a: np.ndarray, hasher: SubstringHash) -> tuple[np.ndarray, ...]:
@@ -65,10 +66,10 @@ def sampled(a: np.ndarray, hasher: SubstringHash) -> tuple[np.ndarray, ...]:
     return gram[place[first]], stretch, first, offset, more
 
 
-# -- a run: dict of equal-length arrays, in order of (prefix, stretch, doc, start)
+# -- a run: dict of equal-length arrays, in order of (prefix, stretch, doc, tie, start)
 
 def ordered(run: dict) -> dict:
-    order = np.lexsort((run["start"], run["doc"], run["stretch"], run["prefix"]))
+    order = np.lexsort([run[k] for k in ORDER])
     return {k: v[order] for k, v in run.items()}
 
 
@@ -76,12 +77,17 @@ def joined(runs: list[dict]) -> dict:
     return {k: np.concatenate([r[k] for r in runs]) for k in FIELDS}
 
 
+def alike(run: dict, keys: tuple) -> np.ndarray:
+    """Which rows have the same keys as the row before."""
+    out = np.zeros(len(run["doc"]), bool)
+    out[1:] = np.logical_and.reduce([run[k][1:] == run[k][:-1] for k in keys])
+    return out
+
+
 def settle(run: dict) -> tuple[dict, dict]:
     """(earliest row of each stretch, the other rows) of an ordered run; a row met twice is one."""
-    same = np.zeros(len(run["doc"]), bool)
-    same[1:] = (run["prefix"][1:] == run["prefix"][:-1]) & (run["stretch"][1:] == run["stretch"][:-1])
-    again = same.copy()
-    again[1:] &= (run["doc"][1:] == run["doc"][:-1]) & (run["start"][1:] == run["start"][:-1])
+    same = alike(run, ("prefix", "stretch"))
+    again = alike(run, ORDER)
     return {k: v[~same] for k, v in run.items()}, {k: v[same & ~again] for k, v in run.items()}
 
 
@@ -112,12 +118,9 @@ class LevelIndex:
         rows = np.unique(np.concatenate([np.arange(0)] + [np.arange(a, b) for a, b in zip(lo[known], hi[known])]))
         both = joined([{k: v[rows] for k, v in level.items()}, part])
         origin = np.concatenate([rows, -1 - known])
-        order = np.lexsort((both["start"], both["doc"], both["stretch"], both["prefix"]))
+        order = np.lexsort([both[k] for k in ORDER])
         both, origin = {k: v[order] for k, v in both.items()}, origin[order]
-        same = np.zeros(len(origin), bool)
-        same[1:] = (both["prefix"][1:] == both["prefix"][:-1]) & (both["stretch"][1:] == both["stretch"][:-1])
-        again = same.copy()
-        again[1:] &= (both["doc"][1:] == both["doc"][:-1]) & (both["start"][1:] == both["start"][:-1])
+        same, again = alike(both, ("prefix", "stretch")), alike(both, ORDER)
         self.covered.append({k: v[same & ~again] for k, v in both.items()})
         late = origin[same]
         drop_level[late[late >= 0]] = True
@@ -138,13 +141,13 @@ class LevelIndex:
 def pack(run: dict) -> bytes:
     """Sorted prefixes as differences, in byte planes; documents by their place in a list."""
     n = len(run["doc"])
-    docs, which = np.unique(run["doc"], return_inverse=True)
+    docs, which = np.unique(np.column_stack([run["doc"], run["tie"]]), axis=0, return_inverse=True)
 
     def planes(v, k):
         return v.astype(np.uint64).view(np.uint8).reshape(-1, 8)[:, :k].T.tobytes()
 
     data = (np.array([n, len(docs)], np.int64).tobytes() + docs.astype(np.int64).tobytes()
-            + planes(np.diff(run["prefix"], prepend=np.uint64(0)), 6) + planes(run["stretch"], 6) + planes(which, 4)
+            + planes(np.diff(run["prefix"], prepend=np.uint64(0)), 6) + planes(run["stretch"], 6) + planes(which.ravel(), 4)
             + planes(run["start"], 6) + planes(run["offset"], 1) + planes(run["more"], 1))
     return zstandard.ZstdCompressor(level=1).compress(data)
 
@@ -152,8 +155,8 @@ def pack(run: dict) -> bytes:
 def unpack(data: bytes) -> dict:
     raw = zstandard.ZstdDecompressor().decompress(data)
     n, k = np.frombuffer(raw, np.int64, 2)
-    docs = np.frombuffer(raw, np.int64, k, 16)
-    at = 16 + 8 * int(k)
+    docs = np.frombuffer(raw, np.int64, 2 * k, 16).reshape(-1, 2)
+    at = 16 + 16 * int(k)
 
     def planes(width):
         nonlocal at
@@ -162,13 +165,14 @@ def unpack(data: bytes) -> dict:
         at += int(n) * width
         return out.view(np.uint64)[:, 0]
 
-    return {"prefix": np.cumsum(planes(6), dtype=np.uint64), "stretch": planes(6), "doc": docs[planes(4).astype(np.int64)],
+    prefix, stretch, which = np.cumsum(planes(6), dtype=np.uint64), planes(6), planes(4).astype(np.int64)
+    return {"prefix": prefix, "stretch": stretch, "doc": docs[which, 0], "tie": docs[which, 1],
             "start": planes(6).astype(np.int64), "offset": planes(1).astype(np.int64), "more": planes(1).astype(np.int64)}
 
 
 COVER, NEED, BLOB = 0, 1, 2
 ROWS = "p int, kind int, data binary"
-SPANS = "kind int, doc long, start long, offset int, more int, prefix long, hot boolean"
+SPANS = "kind int, doc long, tie long, start long, offset int, more int, prefix long, hot boolean"
 
 
 def _blobs(kind: int, parts: list[tuple[int, bytes]]) -> pa.RecordBatch:
@@ -181,11 +185,12 @@ def _spans(kind: int, run: dict) -> pa.RecordBatch:
     n = len(run["doc"])
     need = kind == NEED
     return pa.RecordBatch.from_arrays([
-        pa.array(np.full(n, kind, np.int32)), pa.array(run["doc"].astype(np.int64)), pa.array(run["start"].astype(np.int64)),
+        pa.array(np.full(n, kind, np.int32)), pa.array(run["doc"].astype(np.int64)),
+        pa.array(run["tie"].astype(np.int64)), pa.array(run["start"].astype(np.int64)),
         pa.array(run["offset"].astype(np.int32)), pa.array(run["more"].astype(np.int32)),
         pa.array(run["prefix"].view(np.int64)) if need else pa.nulls(n, pa.int64()),
         pa.array(run["group"] > HOT) if need else pa.nulls(n, pa.bool_())],
-        names=["kind", "doc", "start", "offset", "more", "prefix", "hot"])
+        names=["kind", "doc", "tie", "start", "offset", "more", "prefix", "hot"])
 
 
 def find_spans(docs: DataFrame, parts: int) -> DataFrame:
@@ -198,7 +203,7 @@ def find_spans(docs: DataFrame, parts: int) -> DataFrame:
             run = joined(runs)
             p = (run["prefix"] % np.uint64(parts)).astype(np.int64)
             run = {**run, "prefix": (run["prefix"] // np.uint64(parts)) & LOW48, "stretch": run["stretch"] & LOW48, "p": p}
-            order = np.lexsort((run["start"], run["doc"], run["stretch"], run["prefix"], run["p"]))
+            order = np.lexsort([run[k] for k in (*ORDER, "p")])
             run = {k: v[order] for k, v in run.items()}
             edge = np.searchsorted(run["p"], np.arange(parts + 1))
             out, covered = [], []
@@ -213,12 +218,12 @@ def find_spans(docs: DataFrame, parts: int) -> DataFrame:
                 yield _blobs(COVER, [(int(edge[1] % parts), pack(ordered(covered)))])
 
         for b in batches:
-            for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+            for i, tie, t in zip(*(b.column(c).to_pylist() for c in ("doc", "tie", "text"))):
                 a = np.frombuffer((t or "").encode("utf-8", "replace"), np.uint8)
                 prefix, stretch, start, offset, more = sampled(a, hasher)
                 if len(prefix):
-                    doc = np.full(len(prefix), NO_ID if i is None else i, np.int64)
-                    runs.append(dict(zip(FIELDS, (prefix, stretch, doc, start, offset, more))))
+                    name = np.full((2, len(prefix)), [[i], [tie]], np.int64)
+                    runs.append(dict(zip(FIELDS, (prefix, stretch, *name, start, offset, more))))
                     size += len(prefix)
                 if size >= BATCH:
                     yield from flush()
@@ -244,17 +249,16 @@ def find_spans(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
-    """(doc, z): the texts compressed, for the joins that move them."""
+    """(doc, tie, no_id, z): the texts compressed, for the joins that move them."""
 
     def run(batches):
         c = zstandard.ZstdCompressor(level=1)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([
-                b.column("doc_id").fill_null(NO_ID),
-                pa.array([c.compress((t or "").encode("utf-8", "replace")) for t in b.column("text").to_pylist()], pa.binary()),
-                b.column("doc_id").is_null()], names=["doc", "z", "no_id"])
+            z = [c.compress((t or "").encode("utf-8", "replace")) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc", "tie", "no_id")), pa.array(z, pa.binary())],
+                                             names=["doc", "tie", "no_id", "z"])
 
-    return docs.mapInArrow(run, "doc long, z binary, no_id boolean")
+    return docs.mapInArrow(run, "doc long, tie long, no_id boolean, z binary")
 
 
 def compare(docs: DataFrame, needs: DataFrame, parts: int) -> DataFrame:
@@ -263,8 +267,8 @@ def compare(docs: DataFrame, needs: DataFrame, parts: int) -> DataFrame:
     A stretch travels by its prefix; under a hot prefix its strings travel
     one by one, each by its own hash, and a task sends equal ones once.
     """
-    per = needs.groupBy("doc").agg(F.collect_list(F.struct("start", "more", "prefix", "hot")).alias("need"))
-    asked = packed_texts(docs).join(per, "doc")
+    per = needs.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "more", "prefix", "hot")).alias("need"))
+    asked = packed_texts(docs).join(per, ["doc", "tie"])
 
     def cut(batches):
         d, c, hasher = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1), SubstringHash()
@@ -272,15 +276,15 @@ def compare(docs: DataFrame, needs: DataFrame, parts: int) -> DataFrame:
 
         def flush():
             groups = [(p, c.compress(b"".join(x))) for p, x in held.items()]
-            for (h, s), (doc, start) in strings.items():
-                held_by.setdefault(h % parts, []).append(_stretch(doc, start, 0, s))
+            for (h, s), place in strings.items():
+                held_by.setdefault(h % parts, []).append(_stretch(*place, 0, s))
             groups += [(p, c.compress(b"".join(x))) for p, x in held_by.items()]
             yield _blobs(BLOB, groups)
 
         held_by: dict[int, list] = {}
         covered = []
         for b in batches:
-            for doc, z, need in zip(*(b.column(x).to_pylist() for x in ("doc", "z", "need"))):
+            for doc, tie, z, need in zip(*(b.column(x).to_pylist() for x in ("doc", "tie", "z", "need"))):
                 text = d.decompress(z)
                 a = np.frombuffer(text, np.uint8)
                 sums = None
@@ -288,13 +292,13 @@ def compare(docs: DataFrame, needs: DataFrame, parts: int) -> DataFrame:
                     s, more = x["start"], x["more"]
                     if not x["hot"]:
                         held.setdefault(int(x["prefix"]) % parts, []).append(
-                            _stretch(doc, s, more, text[s:s + more + LENGTH]))
+                            _stretch(doc, tie, s, more, text[s:s + more + LENGTH]))
                         size += more + LENGTH
                         continue
                     sums = hasher.sums(a) if sums is None else sums
                     at = np.arange(s, s + more + 1)
                     for h, t in zip(hasher.ranges(sums, at, at + LENGTH).tolist(), at.tolist()):
-                        k, mine = (h, text[t:t + LENGTH]), (doc, t)
+                        k, mine = (h, text[t:t + LENGTH]), (doc, tie, t)
                         old = strings.get(k)
                         if old is None:
                             strings[k] = mine
@@ -312,48 +316,48 @@ def compare(docs: DataFrame, needs: DataFrame, parts: int) -> DataFrame:
 
     def judge(batches):
         z, hasher = zstandard.ZstdDecompressor(), SubstringHash(1)
-        hashes, docs_, starts = [], [], []
+        hashes, places = [], []
         for b in batches:
             for kind, data in zip(b.column("kind").to_pylist(), b.column("data").to_pylist()):
                 if kind == COVER:
-                    v = np.frombuffer(data, np.int64).reshape(-1, 2)
-                    yield _strings(v[:, 0], v[:, 1])
+                    yield _strings(np.frombuffer(data, np.int64).reshape(-1, 3))
                     continue
                 raw, at = z.decompress(data), 0
                 while at < len(raw):
-                    doc, start, more = np.frombuffer(raw, np.int64, 3, at).tolist()
-                    a = np.frombuffer(raw, np.uint8, more + LENGTH, at + 24)
-                    at += 24 + more + LENGTH
+                    doc, tie, start, more = np.frombuffer(raw, np.int64, 4, at).tolist()
+                    a = np.frombuffer(raw, np.uint8, more + LENGTH, at + 32)
+                    at += 32 + more + LENGTH
                     i = np.arange(more + 1)
                     hashes.append(hasher.ranges(hasher.sums(a), i, i + LENGTH))
-                    docs_.append(np.full(more + 1, doc, np.int64))
-                    starts.append(start + i)
+                    place = np.empty((more + 1, 3), np.int64)
+                    place[:, 0], place[:, 1], place[:, 2] = doc, tie, start + i
+                    places.append(place)
         if hashes:
-            h, doc, start = np.concatenate(hashes), np.concatenate(docs_), np.concatenate(starts)
-            order = np.lexsort((start, doc, h))
-            h, doc, start = h[order], doc[order], start[order]
+            h, place = np.concatenate(hashes), np.concatenate(places)
+            order = np.lexsort((place[:, 2], place[:, 1], place[:, 0], h))
+            h, place = h[order], place[order]
             same = np.concatenate(([False], h[1:] == h[:-1]))
-            same[1:] &= ~((doc[1:] == doc[:-1]) & (start[1:] == start[:-1]))
-            yield _strings(doc[same], start[same])
+            same[1:] &= (place[1:] != place[:-1]).any(axis=1)
+            yield _strings(place[same])
 
     return written(asked.mapInArrow(cut, ROWS).repartitionById(parts, F.col("p"))
-                   .mapInArrow(judge, "doc long, start long, more int"), "suffix-strings")
+                   .mapInArrow(judge, "doc long, tie long, start long, more int"), "suffix-strings")
 
 
-def _stretch(doc: int, start: int, more: int, text: bytes) -> bytes:
-    return np.array([doc, start, more], np.int64).tobytes() + text
+def _stretch(doc: int, tie: int, start: int, more: int, text: bytes) -> bytes:
+    return np.array([doc, tie, start, more], np.int64).tobytes() + text
 
 
-def _strings(doc: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
-    """Covered strings, neighbours in one document as one row."""
-    order = np.lexsort((start, doc))
-    doc, start = doc[order], start[order]
-    new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1))) if len(doc) else np.zeros(0, bool)
+def _strings(place: np.ndarray) -> pa.RecordBatch:
+    """Covered strings (doc, tie, start), neighbours in one document as one row."""
+    place = place[np.lexsort((place[:, 2], place[:, 1], place[:, 0]))]
+    new = np.ones(len(place), bool)
+    new[1:] = (place[1:, :2] != place[:-1, :2]).any(axis=1) | (place[1:, 2] > place[:-1, 2] + 1)
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(doc)) - 1
-    return pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(start[first]),
-                                       pa.array((start[last] - start[first]).astype(np.int32))],
-                                      names=["doc", "start", "more"])
+    last = np.append(first[1:], len(place)) - 1
+    more = place[last, 2] - place[first, 2] if len(first) else np.zeros(0, np.int64)
+    return pa.RecordBatch.from_arrays([*(pa.array(place[first, k]) for k in range(3)), pa.array(more.astype(np.int32))],
+                                      names=["doc", "tie", "start", "more"])
 
 
 def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -361,16 +365,20 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     A byte goes if a string of ``LENGTH`` bytes that covers it also starts
     earlier, in a smaller doc_id or before in the same document.  Null texts
-    are empty.  A null id comes before all others; rows that share an id are
-    one document, and its runs hold for each of them.
+    are empty.  A null id comes before all others.  Rows that share an id come
+    in order of a hash of their texts; equal rows are one document.
     """
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    ids = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"))
+    single = not ids.groupBy("doc").count().where("count > 1").head(1)
+    docs = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
+                       (F.lit(0).cast("long") if single else F.xxhash64(text)).alias("tie"),
+                       F.col(doc_id).isNull().alias("no_id"), F.col(text).alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spans = find_spans(docs, parts)
     strings = compare(docs, spans.where(F.col("kind") == NEED), parts)
-    covers = spans.where(F.col("kind") == COVER).select("doc", "start", "more").unionByName(strings)
-    per = covers.groupBy("doc").agg(F.collect_set(F.struct("start", "more")).alias("cover"))
-    rows = packed_texts(docs).join(per, "doc", "left")
+    covers = spans.where(F.col("kind") == COVER).select("doc", "tie", "start", "more").unionByName(strings)
+    per = covers.groupBy("doc", "tie").agg(F.collect_set(F.struct("start", "more")).alias("cover"))
+    rows = packed_texts(docs).join(per, ["doc", "tie"], "left")
 
     def run(batches):
         z = zstandard.ZstdDecompressor()

@@ -1,58 +1,22 @@
-"""Join helpers: size-checked broadcast, lookup joins, orphan detection."""
+"""Size-checked broadcast."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side, in rows, that a join may broadcast.  Label lists hold at most
-# a few hundred entries and a date dimension a few thousand days per decade;
-# anything larger is joined by a shuffle (and AQE may still broadcast it at
-# run time when its measured size is small).
-BROADCAST_ROW_LIMIT = 100_000
+# Largest side, in bytes by Spark's own estimate, that a join may broadcast.
+# A scan's estimate is the size of its files; label lists take kilobytes and
+# a date dimension some 100 KB a century.  A larger side is joined by a
+# shuffle, with AQE's skew handling.
+BROADCAST_BYTES = 16 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df``: file sizes carried through the plan; runs no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early), so it is cheap for the small sides it is meant for and bounded
-    for a large one.  Beyond the limit the join falls back to a sort-merge
-    join with AQE skew handling.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
-
-def bounded_broadcast_all(dfs: dict[str, DataFrame],
-                          max_rows: int = BROADCAST_ROW_LIMIT) -> dict[str, DataFrame]:
-    """:func:`bounded_broadcast` for several sides with **one** counting job.
-
-    Each side contributes at most ``max_rows + 1`` probe rows to one union;
-    one small aggregate gives every side's (capped) row count.
-    """
-    if not dfs:
-        return {}
-    probes = [df.select(F.lit(name).alias("__side")).limit(max_rows + 1) for name, df in dfs.items()]
-    union = probes[0]
-    for p in probes[1:]:
-        union = union.unionByName(p)
-    counts = {r["__side"]: r["n"] for r in
-              union.groupBy("__side").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {name: (F.broadcast(df) if counts.get(name, 0) <= max_rows else df) for name, df in dfs.items()}
-
-
-def lookup_join(df: DataFrame, lookup: DataFrame, on: Column | str | list, how: str = "left",
-                checked: bool = True, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Join a (small) lookup onto ``df``; the lookup side is broadcast when its size allows."""
-    side = bounded_broadcast(lookup, max_rows) if checked else lookup
-    return df.join(side, on, how)
-
-
-def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
-            max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Rows of ``child`` whose non-null ``child_col`` has no match in ``parent``."""
-    keys = parent.select(F.col(parent_col).alias("__key")).distinct()
-    keys = bounded_broadcast(keys, max_rows)
-    return (child.where(F.col(child_col).isNotNull())
-            .join(keys, F.col(child_col) == F.col("__key"), "left_anti"))
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its estimated size is at most ``max_bytes``, else ``df``."""
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions.labels import int_code, port_code, state_code
-from landfall.operators.joins import bounded_broadcast_all
+from landfall.operators.joins import bounded_broadcast
 
 # Label (file stem) names and which code rule each follows.
 CITIZENSHIP = "I94CIT_I94RES"
@@ -17,7 +17,6 @@ STATE = "i94addr"
 MODE = "I94Mode"
 VISA = "I94Visa"
 TEXT_CODE_LABELS = {PORT: port_code, STATE: state_code}
-INT_CODE_LABELS = (CITIZENSHIP, MODE, VISA)
 
 
 def lookup_table(parsed: DataFrame, label: str) -> DataFrame:
@@ -37,8 +36,8 @@ def label_addr(parsed: DataFrame) -> DataFrame:
 
 
 def label_int(parsed: DataFrame) -> DataFrame:
-    """``(label, code int, value)`` for every int-coded label."""
-    return (parsed.where(F.col("label").isin(*INT_CODE_LABELS))
+    """``(label, code int, value)`` for every label that is not text-coded, listed here or not."""
+    return (parsed.where(~F.col("label").isin(*TEXT_CODE_LABELS))
             .select("label", int_code("code").alias("code"), "value"))
 
 
@@ -77,7 +76,7 @@ class Lookups:
         both = parts[0]
         for p in parts[1:]:
             both = both.unionByName(p)
-        both.coalesce(1).write.mode("overwrite").partitionBy("lookup").parquet(path)
+        both.hint("rebalance", "lookup").write.mode("overwrite").partitionBy("lookup").parquet(path)
         return Lookups.read(spark, path)
 
     @classmethod
@@ -89,13 +88,8 @@ class Lookups:
             out[n] = table.where(F.col("lookup") == n).select(code.alias("code"), "value")
         return cls(**out)
 
-    def sized_for_broadcast(self, max_rows: int) -> "Lookups":
-        """Mark each lookup for broadcast if it has at most ``max_rows`` rows.
-
-        One job counts all five (each count stops after ``max_rows + 1``
-        rows); a lookup over the limit is left for a shuffle join.
-        """
+    def sized_for_broadcast(self, max_bytes: int) -> "Lookups":
+        """Mark each lookup for broadcast if it takes at most ``max_bytes``; a larger one is left for a shuffle join."""
         if self.sized:
             return self
-        out = bounded_broadcast_all({n: getattr(self, n) for n in NAMES}, max_rows)
-        return Lookups(sized=True, **out)
+        return Lookups(sized=True, **{n: bounded_broadcast(getattr(self, n), max_bytes) for n in NAMES})

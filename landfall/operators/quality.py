@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.operators.joins import bounded_broadcast, bounded_broadcast_all
+from landfall.operators.joins import bounded_broadcast
+from landfall.operators.lookups import NAMES, Lookups
 from landfall.schemas import CONTRACTS, PERIOD_COLUMN
 
 RESULT = T.StructType([
@@ -108,8 +109,7 @@ def foreign_keys(tables: dict[str, DataFrame], contracts=CONTRACTS) -> DataFrame
     """Child rows whose non-null key has no parent row.
 
     All foreign keys of one child table are checked in **one** pass: each
-    parent's distinct keys join (broadcast, after one size-check job for all
-    parents) as a left join carrying a match marker, and one aggregate counts
+    parent's distinct keys join (broadcast where small) as a left join carrying a match marker, and one aggregate counts
     the unmatched non-null keys per column.
     """
     parts = []
@@ -120,7 +120,7 @@ def foreign_keys(tables: dict[str, DataFrame], contracts=CONTRACTS) -> DataFrame
             continue
         sides = {f"{i}": tables[p].select(F.col(pc).alias(f"__k{i}")).distinct()
                  .withColumn(f"__m{i}", F.lit(True)) for i, (_, p, pc) in enumerate(fks)}
-        sides = bounded_broadcast_all(sides)
+        sides = {k: bounded_broadcast(s) for k, s in sides.items()}
         joined = df.select(*[col for col, _, _ in fks])
         for i, (col, _, _) in enumerate(fks):
             joined = joined.join(sides[f"{i}"], F.col(col) == F.col(f"__k{i}"), "left")
@@ -151,12 +151,42 @@ def reconcile(source: DataFrame, target: DataFrame, by: str = PERIOD_COLUMN) ->
     """
     s = source.groupBy(by).agg(F.count(F.lit(1)).alias("source_rows"))
     t = target.groupBy(by).agg(F.count(F.lit(1)).alias("target_rows"))
-    j = s.join(t, by, "full_outer")
+    # null-safe: rows without a value are one group, on both sides
+    t = t.withColumnRenamed(by, "__by")
+    j = s.join(t, F.col(by).eqNullSafe(F.col("__by")), "full_outer").withColumn(by, F.coalesce(by, "__by"))
     src = F.coalesce(F.col("source_rows"), F.lit(0))
     tgt = F.coalesce(F.col("target_rows"), F.lit(0))
     return j.select(by, src.alias("source_rows"), tgt.alias("target_rows"), (src == tgt).alias("passed"))
 
 
+def reconcile_totals(profiled: DataFrame, staging: DataFrame, mode_lookup: DataFrame,
+                     by: str = PERIOD_COLUMN) -> DataFrame:
+    """``sum(count)`` per period before staging equals staging's sum plus what the mode join lost.
+
+    ``(by, source_total, lost_total, staged_total, passed)``.
+    """
+    codes = bounded_broadcast(mode_lookup.select(F.col("code").alias("__mode")).distinct().withColumn("__known", F.lit(1)))
+    n = F.coalesce(F.col("count"), F.lit(0))
+    s = (profiled.select(by, "i94mode", "count").join(codes, F.col("i94mode") == F.col("__mode"), "left").groupBy(by)
+         .agg(F.sum(n).cast("bigint").alias("source_total"),
+              F.sum(F.when(F.col("__known").isNull(), n).otherwise(0)).cast("bigint").alias("lost_total")))
+    t = staging.groupBy(F.col(by).alias("__by")).agg(F.sum(n).cast("bigint").alias("staged_total"))
+    j = s.join(t, F.col(by).eqNullSafe(F.col("__by")), "full_outer")
+    total, lost, staged = (F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in ("source_total", "lost_total", "staged_total"))
+    return j.select(F.coalesce(by, "__by").alias(by), total.alias("source_total"), lost.alias("lost_total"),
+                    staged.alias("staged_total"), (total == lost + staged).alias("passed"))
+
+
+def lookup_keys(lookups: Lookups) -> DataFrame:
+    """D06 for the lookups: entries whose code occurs more than once, which would count matching rows twice."""
+    parts = []
+    for name in NAMES:
+        dup = (getattr(lookups, name).where(F.col("code").isNotNull()).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+               .where(F.col("n") > 1).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("bad")))
+        parts.append(_row(dup, "unique_key", f"lookup_{name}", "code", F.col("bad")))
+    return _union(parts)
+
+
 def star_suite(tables: dict[str, DataFrame], contracts=CONTRACTS) -> DataFrame:
     """Every declared check over the given tables: per table one aggregate
     (rows, nulls, widths), one key aggregate per dimension, one pass per

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.operators.joins import BROADCAST_ROW_LIMIT, bounded_broadcast
+from landfall.operators.joins import BROADCAST_BYTES, bounded_broadcast
 from landfall.operators.lookups import Lookups
 from landfall.schemas import MISSING, PERIOD_COLUMN, STAGING, STAGING_COLUMNS, STAGING_KEYS
 
@@ -29,7 +29,7 @@ def staging_aggregate(profiled: DataFrame, period_col: str | None = PERIOD_COLUM
 
 
 def join_label(df: DataFrame, lookup: DataFrame, key: str, label: str, how: str = "left",
-               max_rows: int = BROADCAST_ROW_LIMIT, sized: bool = False) -> DataFrame:
+               max_bytes: int = BROADCAST_BYTES, sized: bool = False) -> DataFrame:
     """Attach one lookup's value as column ``label`` by ``key = code``.
 
     ``sized=True`` means the lookup already carries its broadcast decision
@@ -38,18 +38,18 @@ def join_label(df: DataFrame, lookup: DataFrame, key: str, label: str, how: str
     code = f"__{label}_code"
     side = lookup.select(F.col("code").alias(code), F.col("value").alias(label))
     if not sized:
-        side = bounded_broadcast(side, max_rows)
+        side = bounded_broadcast(side, max_bytes)
     return df.join(side, F.col(key) == F.col(code), how).drop(code)
 
 
-def enrich(agg: DataFrame, lookups: Lookups, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def enrich(agg: DataFrame, lookups: Lookups, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Attach the five labels.
 
     Visa, country, state and port are left outer joins; mode is an **inner**
     join, so rows with a null or unlisted mode leave the staging table
     (``operators.quality.mode_dropped`` reports them).
     """
-    lk = lookups.sized_for_broadcast(max_rows)
+    lk = lookups.sized_for_broadcast(max_bytes)
     df = join_label(agg, lk.visa, "i94visa", "visa_category", "left", sized=True)
     df = join_label(df, lk.citizenship, "i94cit", "country_of_citizenship", "left", sized=True)
     df = join_label(df, lk.state, "i94addr", "destination_state", "left", sized=True)
@@ -65,10 +65,10 @@ def fill_missing(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def build_staging(profiled: DataFrame, lookups: Lookups, period_col: str | None = PERIOD_COLUMN,
-                  max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+                  max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Profiled batch -> staging table (schema ``STAGING`` plus the period column)."""
     agg = staging_aggregate(profiled, period_col)
-    joined = enrich(agg, lookups, max_rows)
+    joined = enrich(agg, lookups, max_bytes)
     extra = [period_col] if period_col and period_col in agg.columns else []
     cols = []
     for f in STAGING.fields:

@@ -16,38 +16,11 @@ from landfall.functions.dates import date_parts
 from landfall.schemas import CONTRACTS, FACT_KEYS, UNKNOWN_MEMBERS
 
 
-def dim_visa(staging: DataFrame) -> DataFrame:
-    return staging.select("visatype", F.col("i94visa").alias("visa_category_code"),
-                          "visa_category").distinct()
-
-
-def dim_citizenship_country(staging: DataFrame) -> DataFrame:
-    return staging.select(F.col("i94cit").alias("id"), "country_of_citizenship").distinct()
-
-
-def dim_entry_port(staging: DataFrame) -> DataFrame:
-    return staging.select(F.col("i94port").alias("id"), "port_of_entry").distinct()
-
-
-def dim_entry_mode(staging: DataFrame) -> DataFrame:
-    return staging.select(F.col("i94mode").alias("id"), "mode_of_entry").distinct()
-
-
-def dim_destination_state(staging: DataFrame) -> DataFrame:
-    return staging.select(F.col("i94addr").alias("id"), "destination_state").distinct()
-
-
 def fact_immigration(staging: DataFrame) -> DataFrame:
     """``sum(count)`` at the fact grain: the staging keys without ``i94visa``."""
     return staging.groupBy(*FACT_KEYS).agg(F.sum("count").alias("count"))
 
 
-def dim_date(dates: DataFrame, column: str = "arrdate") -> DataFrame:
-    """Distinct non-null arrival dates with day, ISO week, month, year, weekday."""
-    d = dates.select(F.col(column).alias("date")).where(F.col("date").isNotNull()).distinct()
-    return d.select("date", *date_parts("date"))
-
-
 def with_unknown_member(spark: SparkSession, dim: DataFrame, table: str) -> DataFrame:
     """Add the table's unknown member unless its key is already present."""
     if table not in UNKNOWN_MEMBERS:

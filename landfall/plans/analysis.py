@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from landfall.functions.dates import year_range
 from landfall.operators.joins import bounded_broadcast
 from landfall.operators.star import Star
+from landfall.schemas import EXCLUDED_COUNTRIES
 
 YEAR_PARTITION = "arrival_year"
 
@@ -108,7 +109,7 @@ def top_state_per_visa(star: Star, year: int) -> DataFrame:
 
 
 def top_countries(star: Star, year: int, gender: str = "F",
-                  exclude: Iterable[str] = ("INDIA", "CHINA"), k: int = 5) -> DataFrame:
+                  exclude: Iterable[str] = EXCLUDED_COUNTRIES, k: int = 5) -> DataFrame:
     """Q4: top ``k`` countries of citizenship for one gender, excluding some
     countries by full name -> ``(country_of_citizenship, totalcount)``.
 

@@ -11,10 +11,12 @@ top-k has the label as tie-break.
 
 from __future__ import annotations
 
+from landfall.schemas import EXCLUDED_COUNTRIES
 
-def _year(alias: str, year: int, partitioned: bool = True) -> str:
-    cond = f"{alias}.arrdate >= DATE'{year}-01-01' AND {alias}.arrdate < DATE'{year + 1}-01-01'"
-    return f"{alias}.arrival_year = {year} AND {cond}" if partitioned else cond
+
+def _year(alias: str, year: int) -> str:
+    return (f"{alias}.arrival_year = {year} AND {alias}.arrdate >= DATE'{year}-01-01' "
+            f"AND {alias}.arrdate < DATE'{year + 1}-01-01'")
 
 
 def _names(names) -> str:
@@ -36,7 +38,7 @@ def q2(year: int, gender: str = "F", k: int = 5) -> str:
 SELECT v.visa_category, s.gender, sum(s.count) AS totalcount
 FROM immigration_stage s
 JOIN visa v ON v.visatype = s.visatype AND v.visa_category_code = s.i94visa
-WHERE {_year('s', year, partitioned=False)} AND s.gender = '{gender}'
+WHERE {_year('s', year)} AND s.gender = '{gender}'
 GROUP BY v.visa_category, s.gender
 ORDER BY totalcount DESC, visa_category, gender
 LIMIT {k}"""
@@ -64,7 +66,7 @@ SELECT visatype, destination_state, totalcount FROM (
 WHERE rn = 1"""
 
 
-def q4(year: int, gender: str = "F", exclude=("INDIA", "CHINA"), k: int = 5) -> str:
+def q4(year: int, gender: str = "F", exclude=EXCLUDED_COUNTRIES, k: int = 5) -> str:
     return f"""
 SELECT cc.country_of_citizenship, sum(f.count) AS totalcount
 FROM immigration f JOIN citizenship_country cc ON f.i94cit = cc.id

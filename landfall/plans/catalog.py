@@ -24,28 +24,62 @@ from landfall.operators.profile import null_counts, null_ratio, profile_extract,
 from landfall.operators.staging import fill_missing, join_label, staging_aggregate
 from landfall.operators.star import Star, with_unknown_member
 from landfall.plans import analysis
-from landfall.plans.flows import build_warehouse, with_period
+from landfall.plans.flows import build_warehouse, files_compared, run_all, with_period
 from landfall.schemas import INT_COLUMNS, LONG_COLUMNS, PERIOD_COLUMN, STAR_TABLES, TEXT_COLUMNS
 from landfall.session import scratch_path
 from landfall.sources import fixtures
-from landfall.sources.labels import parse_label_lines, scan_labels_csv, write_label_csv
-from landfall.sources.landing import land_airports, land_extracts, write_lake
+from landfall.sources.labels import parse_label_lines, read_label_lines, scan_labels_csv, write_label_csv
+from landfall.sources.landing import land_airports, land_extracts, read_airports_csv, write_lake
 from landfall.sources.warehouse import YEAR_PARTITION, Warehouse
 
 # The star year of the test tables (the reference asks about 2016; the
 # test tables' ship dates centre on the mid-1990s).
 YEAR = 1996
+# Of the second drop: the month delivered without a name, and the one dated long ago.
+UNNAMED, OLD = "feb97", "mar97"
 # Countries excluded by Q4 on the test tables (label names are upper case).
 Q4_EXCLUDE = ("NATION_1", "NATION_2")
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _BUILT: dict[tuple[str, str], tuple[Warehouse, object]] = {}
+_MADE: dict[tuple[str, str, str], str] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
 
 
+def _once(spark: SparkSession, sf_dir: str, name: str, make):
+    """``make(path)`` once per session and input folder; the path, a fresh one under the shared folder."""
+    k = (*_key(spark, sf_dir), name)
+    with _LOCK:
+        if k not in _MADE:
+            path = scratch_path(spark, name)
+            make(path)
+            _MADE[k] = path
+        return _MADE[k]
+
+
+def inbox(spark: SparkSession, sf_dir: str) -> str:
+    """Monthly extract folders of the test tables."""
+    return _once(spark, sf_dir, "inbox", lambda p: write_lake(with_period(fixtures.i94_raw(spark, sf_dir)), p))
+
+
+def lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inbox, landed."""
+    source = inbox(spark, sf_dir)
+    return spark.read.parquet(_once(spark, sf_dir, "lake", lambda p: land_extracts(spark, source, p)))
+
+
+def label_files(spark: SparkSession, sf_dir: str) -> str:
+    """Label files by name: ``I94Port.txt`` and so on."""
+    def make(path):
+        lines = fixtures.label_lines(spark, sf_dir)
+        for r in lines.select("label").distinct().collect():  # six labels
+            lines.where(F.col("label") == r["label"]).select("line").write.text(f"{path}/{r['label']}.txt")
+    return _once(spark, sf_dir, "label-files", make)
+
+
 def fixture_warehouse(spark: SparkSession, sf_dir: str):
     """Build (once per session and folder) lookups, staging and star for ``sf_dir``."""
     k = _key(spark, sf_dir)
@@ -89,11 +123,33 @@ def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_i94(spark, sf_dir):
     """Monthly folders -> lake partitioned by period; rows and sum(count) per period."""
-    inbox = scratch_path(spark, "inbox")
-    write_lake(with_period(fixtures.i94_raw(spark, sf_dir)), inbox)
-    lake = land_extracts(spark, inbox, scratch_path(spark, "lake"))
-    return lake.groupBy(PERIOD_COLUMN).agg(F.count(F.lit(1)).alias("row_count"),
-                                           F.sum("count").cast("bigint").alias("total_count"))
+    return lake(spark, sf_dir).groupBy(PERIOD_COLUMN).agg(F.count(F.lit(1)).alias("row_count"),
+                                                          F.sum("count").cast("bigint").alias("total_count"))
+
+
+def land_i94_csv(spark, sf_dir):
+    """CSV extracts whose headers differ in order and columns, landed by name."""
+    def make(path):
+        raw = with_period(fixtures.i94_raw(spark, sf_dir))
+        text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+        for part, cond in (("a", F.expr("double(i94yr)") <= YEAR), ("b", F.expr("double(i94yr)") > YEAR)):
+            own = [c for c in text.columns if c != PERIOD_COLUMN]
+            cols = own if part == "a" else ["row_no", *reversed(own)]
+            (text.where(cond).withColumn("row_no", F.lit("7")).select(*cols, PERIOD_COLUMN)
+             .repartition(PERIOD_COLUMN).write.partitionBy(PERIOD_COLUMN).option("header", True).csv(f"{path}/{part}"))
+    landed = land_extracts(spark, _once(spark, sf_dir, "csv-extracts", make), scratch_path(spark, "csv-lake"), "csv")
+    n = {c: F.sum(c).cast("bigint").alias(f"total_{c}") for c in ("count", "i94cit", "i94res", "arrdate", "admnum")}
+    return landed.groupBy(PERIOD_COLUMN).agg(F.count(F.lit(1)).alias("row_count"), *n.values(),
+                                             F.count("gender").alias("n_gender"), F.min("visatype").alias("first_visatype"))
+
+
+def land_airports_csv(spark, sf_dir):
+    """An airport CSV with other columns and another order, landed by name with all columns."""
+    path = scratch_path(spark, "airports-csv")
+    df = fixtures.airports(spark, sf_dir)
+    df = df.withColumn("name", F.concat(F.lit("airport "), "ident")).withColumn("coordinates", F.lit("1.5, -2.5"))
+    df.select("coordinates", *reversed(df.columns[:-1])).write.option("header", True).csv(path)
+    return land_airports(spark, read_airports_csv(spark, path), scratch_path(spark, "airports"))
 
 
 def label_lines_parsed(spark, sf_dir):
@@ -137,24 +193,73 @@ def source_period(spark, sf_dir):
 
 
 def incremental_new_files(spark, sf_dir):
-    """Three availableNow runs (early months, the rest, nothing new) ->
-    staging totals per period, equal to one full load."""
+    """Three availableNow runs (early months; the rest, with files dated
+    long ago and one without a month in its name; nothing new) -> staging
+    totals per period, equal to one full load."""
+    return (_loaded(spark, sf_dir, False).read_staging().groupBy(PERIOD_COLUMN)
+            .agg(F.count(F.lit(1)).alias("row_count"), F.sum("count").alias("total_count")))
+
+
+def _loaded(spark, sf_dir, refresh: bool) -> Warehouse:
     from landfall.streaming.incremental import IncrementalLoader
 
-    raw = with_period(fixtures.i94_raw(spark, sf_dir))
-    inbox = scratch_path(spark, "stream-inbox")
+    raw = spark.read.parquet(inbox(spark, sf_dir))
+    drop = scratch_path(spark, "stream-inbox")
     wh = Warehouse(spark, scratch_path(spark, "stream-warehouse"))
     lk = Lookups.from_parsed(parsed_labels(spark, sf_dir)).materialize(spark, wh.path("lookups"))
-    loader = IncrementalLoader(spark, inbox, wh, lk)
-    early = F.col("i94yr") <= F.lit(float(YEAR))
-    raw.where(early).write.mode("append").partitionBy(PERIOD_COLUMN).parquet(inbox)
+    loader = IncrementalLoader(spark, drop, wh, lk, refresh_star=refresh)
+    early, unnamed = F.col("i94yr") <= F.lit(float(YEAR)), F.col(PERIOD_COLUMN) == UNNAMED
+    raw.where(early).write.mode("append").partitionBy(PERIOD_COLUMN).parquet(drop)
     loader.run()
-    raw.where(~early | F.col("i94yr").isNull()).write.mode("append").partitionBy(PERIOD_COLUMN).parquet(inbox)
+    raw.where((~early | F.col("i94yr").isNull()) & ~unnamed).write.mode("append").partitionBy(PERIOD_COLUMN).parquet(drop)
+    set_file_age(spark, f"{drop}/{PERIOD_COLUMN}={OLD}", 60)
+    raw.where(unnamed).drop(PERIOD_COLUMN).write.parquet(f"{drop}/february.parquet")
     loader.run()
     loader.run()
-    st = wh.read_staging()
-    return st.groupBy(PERIOD_COLUMN).agg(F.count(F.lit(1)).alias("row_count"),
-                                         F.sum("count").alias("total_count"))
+    return wh
+
+
+def set_file_age(spark: SparkSession, folder: str, days: int) -> None:
+    """Date the files of a folder ``days`` back, as a late copy would be."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in fs.listStatus(path):
+        fs.setTimes(f.getPath(), f.getModificationTime() - days * 86_400_000, -1)
+
+
+def star_refresh(spark, sf_dir):
+    """the star kept up to date by the loader, as rows per table and the fact's sum."""
+    s = _loaded(spark, sf_dir, True).read_star()
+    out = s.immigration.agg(F.sum("count").alias("row_count")).select(F.lit("immigration_total").alias("table_name"), "row_count")
+    for name, df in s.tables().items():
+        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        out = out.unionByName(one)
+    return out
+
+
+def run_all_checks(spark, sf_dir):
+    """F01-F06 over files on disk: every check row of one run."""
+    def make(path):
+        run_all(spark, inbox(spark, sf_dir), label_files(spark, sf_dir), path)
+    return spark.read.parquet(f"{_once(spark, sf_dir, 'run', make)}/warehouse/checks")
+
+
+def run_twice(spark, sf_dir):
+    """Two drops into one root -> staging totals, and whether every period's own run reconciled."""
+    raw = spark.read.parquet(inbox(spark, sf_dir))
+    root, seen = scratch_path(spark, "run-twice"), []
+    for name, cond in (("first", F.col("i94yr") <= YEAR), ("second", F.col("i94yr") > YEAR)):
+        write_lake(raw.where(cond), f"{root}/{name}")
+        _, checks = run_all(spark, f"{root}/{name}", label_files(spark, sf_dir), f"{root}/out")
+        part = checks.where(F.col("check_name").isin("reconcile_land", "reconcile_staged"))
+        write = part.select(F.col("column_name").alias(PERIOD_COLUMN), "passed").write
+        write.parquet(f"{root}/checks-{name}")
+        seen.append(spark.read.parquet(f"{root}/checks-{name}"))
+    ok = seen[0].unionByName(seen[1]).groupBy(PERIOD_COLUMN).agg(F.every("passed").alias("reconciled"))
+    totals = (Warehouse(spark, f"{root}/out/warehouse").read_staging().groupBy(PERIOD_COLUMN)
+              .agg(F.count(F.lit(1)).alias("row_count"), F.sum("count").alias("total_count")))
+    return totals.join(ok, PERIOD_COLUMN, "full_outer")
 
 
 def dim_with_unknown(spark, sf_dir):
@@ -244,7 +349,7 @@ def staging_agg(spark, sf_dir):
 
 
 def staging_q(spark, sf_dir):
-    return staging(spark, sf_dir)
+    return staging(spark, sf_dir).drop(YEAR_PARTITION)
 
 
 def fact_immigration(spark, sf_dir):
@@ -271,14 +376,16 @@ def row_counts(spark, sf_dir):
 
 
 def files_per_source(spark, sf_dir):
-    """Distinct input files behind each landed table (rows-only check)."""
-    s = star(spark, sf_dir)
-    out = None
-    for name, df in s.tables().items():
-        one = (df.select(F.col("_metadata.file_path").alias("f")).agg(F.countDistinct("f").alias("files"))
-               .select(F.lit(name).alias("table_name"), "files"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Delivered files against landed ones, by period and by label."""
+    def names(df, column):
+        return df.select(F.col(column).alias("name"))
+
+    def make(path):
+        read_label_lines(spark, label_files(spark, sf_dir)).write.parquet(path)
+    landed = spark.read.parquet(_once(spark, sf_dir, "labels-landed", make))
+    return files_compared({
+        "immigration": (names(spark.read.parquet(inbox(spark, sf_dir)), PERIOD_COLUMN), names(lake(spark, sf_dir), PERIOD_COLUMN)),
+        "labels": (names(read_label_lines(spark, label_files(spark, sf_dir)), "label"), names(landed, "label"))})
 
 
 def null_counts_q(spark, sf_dir):
@@ -293,7 +400,7 @@ def null_ratio_q(spark, sf_dir):
 
 def _all_tables(spark, sf_dir):
     s = star(spark, sf_dir)
-    t = {"immigration_stage": s.staging.drop(PERIOD_COLUMN)}
+    t = {"immigration_stage": s.staging.drop(PERIOD_COLUMN, YEAR_PARTITION)}
     t.update({n: df.drop(YEAR_PARTITION) if n == "immigration" else df for n, df in s.tables().items()})
     return t
 
@@ -321,18 +428,14 @@ def dq_mode_dropped(spark, sf_dir):
 
 def dq_reconcile_land(spark, sf_dir):
     """Rows per period in the source folders and in the lake."""
-    inbox = scratch_path(spark, "inbox")
-    write_lake(with_period(fixtures.i94_raw(spark, sf_dir)), inbox)
-    lake = land_extracts(spark, inbox, scratch_path(spark, "lake"))
-    return quality.reconcile(spark.read.parquet(inbox), lake)
+    return quality.reconcile(spark.read.parquet(inbox(spark, sf_dir)), lake(spark, sf_dir))
 
 
 def dq_reconcile_profile(spark, sf_dir):
     """Rows per period in the lake and in the profiled output."""
-    lake = with_period(fixtures.i94_raw(spark, sf_dir))
     target = scratch_path(spark, "profiled")
-    write_lake(profile_extract(lake).df, target)
-    return quality.reconcile(lake, spark.read.parquet(target))
+    write_lake(profile_extract(lake(spark, sf_dir)).df, target)
+    return quality.reconcile(lake(spark, sf_dir), spark.read.parquet(target))
 
 
 # -- questions --------------------------------------------------------------------------
@@ -370,6 +473,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "land_i94": land_i94,
     "label_lines_parsed": label_lines_parsed,
     "land_airports": land_airports_q,
+    "land_i94_csv": land_i94_csv,
+    "land_airports_csv": land_airports_csv,
     "scan_labels_csv": scan_labels_csv_q,
     "sink_parquet_roundtrip": sink_parquet_roundtrip,
     "source_period": source_period,
@@ -406,6 +511,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_date": _dim("date"),
     "row_counts": row_counts,
     "files_per_source": files_per_source,
+    "star_refresh": star_refresh,
+    "run_all_checks": run_all_checks,
+    "run_twice": run_twice,
     "null_counts": null_counts_q,
     "null_ratio": null_ratio_q,
     # quality

@@ -12,14 +12,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.functions.periods import period_of
+from landfall.functions.periods import in_periods, period_of
 from landfall.operators.lookups import Lookups
 from landfall.operators.profile import ProfileResult, profile_extract
 from landfall.operators.staging import build_staging
-from landfall.operators.star import Star, build_star
-from landfall.schemas import PERIOD_COLUMN
+from landfall.operators.quality import lookup_keys
+from landfall.operators.star import Star, build_star, with_unknown_member
+from landfall.schemas import PERIOD_COLUMN, UNKNOWN_MEMBERS
 from landfall.sources.labels import parse_label_lines
-from landfall.sources.warehouse import Warehouse
+from landfall.sources.warehouse import YEAR_PARTITION, Warehouse
 
 
 def with_period(raw: DataFrame) -> DataFrame:
@@ -43,31 +44,48 @@ class BuildResult:
     profile: ProfileResult
     staging: DataFrame
     star: Star
+    profiled: DataFrame
+    lookups: Lookups
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, lines: DataFrame,
-                    warehouse: Warehouse, staging_mode: str = "overwrite",
-                    counts: tuple[int, dict[str, int]] | None = None) -> BuildResult:
+                    warehouse: Warehouse, counts: tuple[int, dict[str, int]] | None = None,
+                    periods: list | None = None, seed_unknown: bool = False) -> BuildResult:
     """Profile a batch of extracts, stage it, and (re)build the star.
 
     Spark jobs: the profile aggregate (a single collected row; none when the
-    landing observed the ``counts``), the staging write, the fact write and
-    one scan of staging for all six dimensions.
+    landing observed the ``counts``), the profiled write, the staging write,
+    the fact write and one scan of staging for all six dimensions.  Labels
+    whose codes are not unique stop the build: they would count rows twice.
+
+    ``periods`` are those that ``raw`` holds; other periods staged before stay.
+    Without them the whole staging table is replaced.  ``seed_unknown`` adds
+    the unknown members to the dimensions that have one (S12).
     """
     lookups = clean_labels(spark, lines, warehouse)
+    twice = [r["table_name"] for r in lookup_keys(lookups).where("NOT passed").collect()]
+    if twice:
+        raise ValueError(f"codes occur more than once in {twice}")
     prof = profile_extract(with_period(raw), counts=counts)
-    staging = warehouse.write_staging(build_staging(prof.df, lookups), mode=staging_mode)
-    star = warehouse.write_star(build_star(staging.drop(PERIOD_COLUMN)))
-    star.staging = staging
-    return BuildResult(prof, staging, star)
-
-
-def rebuild_star(warehouse: Warehouse) -> Star:
-    """Re-derive the star from the whole staging table (e.g. after an incremental load)."""
+    warehouse.write("profiled", prof.df, partition_by=[PERIOD_COLUMN], replace_all=periods is None)
+    profiled = warehouse.read("profiled")
+    if periods is not None:
+        # months profiled earlier may have kept or dropped other columns
+        profiled = profiled.where(in_periods(PERIOD_COLUMN, periods)).select(*prof.df.columns)
+    staging = warehouse.write_staging(build_staging(profiled, lookups), periods)
+    star = rebuild_star(warehouse, seed_unknown)
+    return BuildResult(prof, staging, star, profiled, lookups)
+
+
+def rebuild_star(warehouse: Warehouse, seed_unknown: bool = False) -> Star:
+    """Re-derive the star from the whole staging table."""
     staging = warehouse.read_staging()
-    star = warehouse.write_star(build_star(staging.drop(PERIOD_COLUMN)))
-    star.staging = staging
-    return star
+    warehouse.write_star(build_star(staging.drop(PERIOD_COLUMN, YEAR_PARTITION)))
+    if seed_unknown:
+        for name in UNKNOWN_MEMBERS:
+            stored = warehouse.read(name)
+            warehouse.add_members(name, with_unknown_member(warehouse.spark, stored, name))
+    return warehouse.read_star()
 
 
 def staging_totals(staging: DataFrame) -> DataFrame:
@@ -82,8 +100,11 @@ class LandResult:
     lines: DataFrame
     airports: DataFrame | None
     reconciliation: DataFrame
+    # the periods that this landing brought; lake and reconciliation hold just these
+    periods: list
     # (total_rows, {column: nulls}) observed while the lake was written
     counts: tuple[int, dict[str, int]] | None = None
+    files: DataFrame | None = None
 
 
 def land_all(spark: SparkSession, extracts: str, labels: str, lake_root: str,
@@ -94,7 +115,8 @@ def land_all(spark: SparkSession, extracts: str, labels: str, lake_root: str,
     ``extracts`` holds monthly files (``i94_<mon><yy>_sub.*`` or
     ``source_period=`` folders); ``labels`` holds the ``*.txt`` label
     files.  Extracts are rewritten as Parquet partitioned by period; label
-    lines are kept as read (parsing happens in :func:`clean_labels`).
+    lines are kept as read (parsing happens in :func:`clean_labels`).  Periods
+    landed earlier stay in the lake and take no part in this result.
     """
     from landfall.operators.quality import reconcile
     from landfall.sources.labels import read_label_lines
@@ -103,96 +125,116 @@ def land_all(spark: SparkSession, extracts: str, labels: str, lake_root: str,
     source = read_extracts(spark, extracts, extract_format, options=extract_options)
     lake, counts = land_extracts(spark, extracts, f"{lake_root}/immigration", extract_format,
                                  options=extract_options, with_profile=True)
-    lines = read_label_lines(spark, labels)
-    lines.write.mode("overwrite").parquet(f"{lake_root}/labels")
+    periods = [r[0] for r in source.select(PERIOD_COLUMN).distinct().collect()]  # month labels
+    lake = lake.where(in_periods(PERIOD_COLUMN, periods))
+    label_source = read_label_lines(spark, labels)
+    label_source.write.mode("overwrite").parquet(f"{lake_root}/labels")
     lines = spark.read.parquet(f"{lake_root}/labels")
+    files = files_compared({"immigration": (source.select(F.col(PERIOD_COLUMN).alias("name")),
+                                            lake.select(F.col(PERIOD_COLUMN).alias("name"))),
+                            "labels": (label_source.select(F.col("label").alias("name")),
+                                       lines.select(F.col("label").alias("name")))})
     airports = None
     if airports_csv:
         airports = land_airports(spark, read_airports_csv(spark, airports_csv), f"{lake_root}/airports")
-    return LandResult(lake, lines, airports, reconcile(source, lake), counts)
+    return LandResult(lake, lines, airports, reconcile(source, lake), periods, counts, files)
+
+
+def files_compared(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """``(source, source_files, target_files, passed)`` from rows ``(name)`` of either side.
+
+    A delivered file is known by its name -- the period of an extract, the
+    stem of a label file -- and passes when the target holds rows of it.
+    """
+    out = None
+    for source, (before, after) in pairs.items():
+        s = before.distinct().select("name", F.lit(1).alias("in_source"))
+        t = after.distinct().select(F.col("name").alias("_name"), F.lit(1).alias("in_target"))
+        j = s.join(t, F.col("name").eqNullSafe(F.col("_name")), "full_outer")
+        one = j.agg(F.count("in_source").alias("source_files"), F.count("in_target").alias("target_files"),
+                    F.count_if(F.col("in_source").isNull() | F.col("in_target").isNull()).alias("bad"))
+        one = one.select(F.lit(source).alias("source"), "source_files", "target_files", (F.col("bad") == 0).alias("passed"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def run_all(spark: SparkSession, extracts: str, labels: str, root: str,
             airports_csv: str | None = None, extract_format: str = "parquet",
-            extract_options: dict | None = None) -> tuple[Star, DataFrame]:
+            extract_options: dict | None = None, seed_unknown: bool = False) -> tuple[Star, DataFrame]:
     """Every flow in order: land (F01), airports (F03), labels (F04), profile
     (F02), staging (F05), star (F06), then all checks.
 
-    Returns the written star and one DataFrame of check rows
-    ``(check_name, table_name, column_name, bad_rows, passed)`` that also
-    carries the landing reconciliation per period and the staged-period check.
+    Returns the written star and the written table of check rows
+    ``(check_name, table_name, column_name, bad_rows, passed)``.  Beside the
+    declared checks it has, for the periods of this run, the rows landed
+    (``reconcile_land``), files against targets (``files``), the sums staged
+    (``reconcile_staged``) and, as a report that always passes, the records
+    the mode join lost (``mode_loss``).  A second run over one root brings
+    other months to the same tables.
     """
     from landfall.operators import quality
     from landfall.operators.airports import clean_airports
-    from landfall.sources.warehouse import YEAR_PARTITION
 
     landed = land_all(spark, extracts, labels, f"{root}/lake", airports_csv, extract_format,
                       extract_options)
     wh = Warehouse(spark, f"{root}/warehouse")
     if landed.airports is not None:
         wh.write("airports", clean_airports(landed.airports))
-    res = build_warehouse(spark, landed.lake, landed.lines, wh, counts=landed.counts)
-    tables = {"immigration_stage": res.staging.drop(PERIOD_COLUMN)}
+    res = build_warehouse(spark, landed.lake, landed.lines, wh, landed.counts, landed.periods, seed_unknown)
+    tables = {"immigration_stage": res.staging.drop(PERIOD_COLUMN, YEAR_PARTITION)}
     tables.update({n: (d.drop(YEAR_PARTITION) if n == "immigration" else d)
                    for n, d in res.star.tables().items()})
 
-    def as_checks(rec: DataFrame, check: str) -> DataFrame:
-        bad = F.abs(F.col("source_rows") - F.col("target_rows"))
+    def as_checks(rec: DataFrame, check: str, column: str, bad) -> DataFrame:
         return rec.select(F.lit(check).alias("check_name"), F.lit("immigration").alias("table_name"),
-                          F.col(PERIOD_COLUMN).alias("column_name"), bad.cast("bigint").alias("bad_rows"),
-                          F.col("passed"))
-
-    # Every landed month reached staging (row counts differ by design:
-    # staging is aggregated), so compare the sets of periods.
-    staged = quality.reconcile(landed.lake.select(PERIOD_COLUMN).distinct(),
-                               res.staging.select(PERIOD_COLUMN).distinct())
-    checks = (quality.star_suite(tables)
-              .unionByName(as_checks(landed.reconciliation, "reconcile_land"))
-              .unionByName(as_checks(staged, "reconcile_staged")))
-    return res.star, checks
-
-
-def arrival_years(staging: DataFrame, periods: list[str]) -> set:
-    """Arrival years present in the given periods of a staging table (a few values)."""
-    rows = (staging.where(F.col(PERIOD_COLUMN).isin(periods))
-            .select(F.year("arrdate").alias("y")).distinct().collect())
-    return {r["y"] for r in rows}
-
-
-def refresh_star(warehouse: Warehouse, years: set) -> Star:
-    """Bring the star up to date after some periods were re-staged.
-
-    Only the fact partitions of the touched arrival ``years`` are recomputed
-    -- from every staging row of those years, whatever period it came in --
-    and written with dynamic partition overwrite; the other years' files are
-    left alone.  The six dimensions are re-derived with their one
-    grouping-sets scan of staging.  ``None`` in ``years`` stands for rows
+                          F.col(column).alias("column_name"), bad.cast("bigint").alias("bad_rows"), F.col("passed"))
+
+    staged = quality.reconcile_totals(res.profiled, res.staging.where(in_periods(PERIOD_COLUMN, landed.periods)),
+                                      res.lookups.mode)
+    missed = F.col("source_total") - F.col("lost_total") - F.col("staged_total")
+    checks = (quality.star_suite(tables).unionByName(quality.lookup_keys(res.lookups))
+              .unionByName(as_checks(landed.reconciliation, "reconcile_land", PERIOD_COLUMN,
+                                     F.abs(F.col("source_rows") - F.col("target_rows"))))
+              .unionByName(as_checks(landed.files, "files", "source", F.abs(F.col("source_files") - F.col("target_files"))))
+              .unionByName(as_checks(staged, "reconcile_staged", PERIOD_COLUMN, F.abs(missed)))
+              .unionByName(as_checks(staged.withColumn("passed", F.lit(True)), "mode_loss", PERIOD_COLUMN,
+                                     F.col("lost_total"))))
+    return res.star, wh.write("checks", checks)
+
+
+def arrival_years(staging: DataFrame, periods: list) -> set:
+    """Arrival years present in the given periods of a staging table (a few values); reads no column."""
+    return {r[0] for r in staging.where(in_periods(PERIOD_COLUMN, periods)).select(YEAR_PARTITION).distinct().collect()}
+
+
+def refresh_star(warehouse: Warehouse, years: set, periods: list) -> Star:
+    """Bring the star up to date after some ``periods`` were re-staged.
+
+    Only the fact partitions of the touched arrival ``years`` are recomputed,
+    from every staging row of those years, whatever period it came in; staging
+    is partitioned by year too, so nothing else is read.  A year that has no
+    row left loses its partition.  ``None`` in ``years`` stands for rows
     without an arrival date.
 
-    With the append-only lake of ``streaming.incremental`` a re-staged
-    period only gains rows, so a touched year never becomes empty.  Should a
-    year lose all its rows some other way, its old partition would stay
-    (dynamic overwrite writes no empty partition): :func:`rebuild_star`
-    replaces the whole fact.
+    Dimensions gain the members that the re-staged periods bring; members that
+    no period has any more leave with :func:`rebuild_star` only.
     """
-    from functools import reduce
-
-    from landfall.functions.dates import year_range
     from landfall.operators.star import dimension_members, fact_immigration, split_members
-    from landfall.sources.warehouse import FACT_SORT, YEAR_PARTITION
-
-    staging = warehouse.read_staging().drop(PERIOD_COLUMN)
-    conds = [year_range("arrdate", y) if y is not None else F.col("arrdate").isNull() for y in years]
-    if conds:
-        part = staging.where(reduce(lambda a, b: a | b, conds))
-        fact = fact_immigration(part).withColumn(YEAR_PARTITION, F.year("arrdate"))
-        warehouse.write("immigration", fact, partition_by=[YEAR_PARTITION], sort_by=FACT_SORT,
-                        rebalance=True)
-    members = dimension_members(staging).persist()
+    from landfall.sources.warehouse import FACT_SORT
+
+    staging = warehouse.read_staging()
+    touched = in_periods(YEAR_PARTITION, sorted(years, key=lambda y: (y is not None, y)))
+    if not warehouse.exists("immigration"):
+        return rebuild_star(warehouse)
+    if years:
+        fact = fact_immigration(staging.where(touched)).withColumn(YEAR_PARTITION, F.year("arrdate"))
+        before = set(warehouse.files("immigration", touched))
+        warehouse.write("immigration", fact, partition_by=[YEAR_PARTITION], sort_by=FACT_SORT, rebalance=True)
+        warehouse.remove(sorted(before & set(warehouse.files("immigration", touched))))
+    members = dimension_members(staging.where(in_periods(PERIOD_COLUMN, periods))).persist()
     try:
         for name, dim in split_members(members).items():
-            warehouse.write(name, dim.coalesce(1))
+            warehouse.add_members(name, dim)
     finally:
         members.unpersist()
-    star = warehouse.read_star()
-    return star
+    return warehouse.read_star()

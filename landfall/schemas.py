@@ -146,6 +146,9 @@ CONTRACTS: dict[str, Contract] = {
 STAR_TABLES = ["immigration", "visa", "citizenship_country", "destination_state", "entry_mode",
                "entry_port", "date"]
 
+# Countries that question 4 leaves out, by their full published names, upper case.
+EXCLUDED_COUNTRIES = ("INDIA", "CHINA, PRC")
+
 # Unknown members the dimensions are seeded with (code, label), by intent of the DDL.
 UNKNOWN_MEMBERS: dict[str, tuple] = {
     "visa": (MISSING, 999, MISSING),

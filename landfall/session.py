@@ -45,8 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
 
     Taken from the session (``spark.checkpoint.dir`` / the context's
     checkpoint directory), which on a cluster names storage every executor
-    can reach.  Only when nothing is configured -- local tests -- a fresh
-    temporary folder is created and registered as the checkpoint directory.
+    can reach.  Only in local mode, where driver and executors are one
+    process, may it be unset: then a fresh temporary folder is registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +54,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="landfall-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

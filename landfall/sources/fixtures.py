@@ -112,6 +112,8 @@ _LABEL_LINES = {
                 "concat(chr(9), chr(39), 'S', CAST(n_nationkey AS STRING), chr(39), '=', chr(39), "
                 "'STATE ', n_name, chr(39))",
                 "n_nationkey<8"),
+    # a label that no lookup uses
+    "I94Region": ("region", "concat('  ', CAST(r_regionkey AS STRING), ' = ', chr(39), r_name, chr(39))", "true"),
 }
 _SMALL_LABELS = {
     "I94Mode": [("1", "Air"), ("2", "Sea"), ("3", "Land"), ("9", "Not reported")],

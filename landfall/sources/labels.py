@@ -9,21 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from landfall.functions.labels import SEPARATOR, clean_value, label_code, label_value
 
-LABEL_LINES = T.StructType([
-    T.StructField("label", T.StringType(), False),
-    T.StructField("line", T.StringType(), True),
-])
-
-
 def read_label_lines(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
-    """``(label, line)`` for every line of every label file under ``path``."""
-    df = spark.read.option("pathGlobFilter", pattern).text(path)
-    stem = F.substring_index(F.col("_metadata.file_name"), ".", 1)
-    return df.select(stem.alias("label"), F.col("value").alias("line"))
+    """``(label, line)`` for every line of every label file under ``path``.
+
+    The label is the stem of the file's name, or of its folder's for files
+    that a Spark job wrote (``I94Port.txt/part-....txt``).
+    """
+    df = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(path)
+    file, folder = F.col("_metadata.file_name"), F.substring_index(F.col("_metadata.file_path"), "/", -2)
+    name = F.when(file.startswith("part-"), F.substring_index(folder, "/", 1)).otherwise(file)
+    return df.select(F.substring_index(name, ".", 1).alias("label"), F.col("value").alias("line"))
 
 
 def parse_label_lines(lines: DataFrame) -> DataFrame:
@@ -52,11 +50,11 @@ def write_label_csv(parsed: DataFrame, target: str, mode: str = "overwrite") ->
 def scan_labels_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read landed label CSV back as ``(label, code, value)`` strings.
 
-    Both columns are declared STRING (no inference pass over the data); the
-    typing rules live in ``operators.lookups``.  Leading and trailing blanks
-    are kept as written.
+    Columns are taken by the names in the header, as text; the typing rules
+    live in ``operators.lookups``.  Leading and trailing blanks are kept as
+    written.
     """
-    return (spark.read.schema("code string, value string").option("header", True)
+    return (spark.read.option("header", True)
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .csv(path)
-            .select("label", "code", "value"))
+            .select(F.col("label").cast("string").alias("label"), "code", "value"))

@@ -9,12 +9,12 @@ month instead of duplicating it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions.periods import period_from_path
-from landfall.schemas import AIRPORTS, I94_RAW, I94_RAW_TEXT, PERIOD_COLUMN
+from landfall.schemas import AIRPORTS, I94_RAW, I94_RAW_TEXT, PERIOD_COLUMN, REQUIRED_COLUMNS
 
 
 def extract_schema(base: T.StructType = I94_RAW) -> T.StructType:
@@ -22,27 +22,77 @@ def extract_schema(base: T.StructType = I94_RAW) -> T.StructType:
     return T.StructType(list(base.fields) + [T.StructField(PERIOD_COLUMN, T.StringType(), True)])
 
 
-def read_extracts(spark: SparkSession, path: str, fmt: str = "parquet",
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(file)`` for every file under ``path``; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(F.col("_metadata.file_path").alias("file"))
+
+
+def named_columns(df: DataFrame, schema: T.StructType, required: list[str], keep_others: bool = False) -> list[Column]:
+    """Text columns of a file with a header, selected by name and cast to ``schema``.
+
+    A cell that does not parse is null.  A required name that the header lacks
+    raises; any other absent column is null.  Names compare without case.
+    """
+    here = {c.strip().lower(): c for c in df.columns}
+    absent = [c for c in required if c not in here]
+    if absent:
+        raise ValueError(f"the header lacks {absent}; it has {df.columns}")
+    cols = [F.col(f"`{here[f.name]}`").try_cast(f.dataType).alias(f.name) if f.name in here
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    if keep_others:
+        known = {f.name for f in schema.fields}
+        cols += [F.col(f"`{c}`") for name, c in here.items() if name not in known]
+    return cols
+
+
+def read_csv_by_name(spark: SparkSession, path: str | list[str], schema: T.StructType, required: list[str],
+                     options: dict | None = None) -> DataFrame:
+    """CSV files read by the names in each file's own header, whatever their order.
+
+    Spark reads one header per file to group files that share it; then each
+    group is one scan.  The number of files is that of the delivered extracts.
+    """
+    def reader():
+        r = spark.read.option("header", True)
+        for k, v in (options or {}).items():
+            r = r.option(k, v)
+        return r
+
+    groups: dict[tuple, list[str]] = {}
+    for row in list_files(spark, path).toLocalIterator():
+        columns = tuple(reader().csv(row["file"]).columns)
+        if columns:
+            groups.setdefault(columns, []).append(row["file"])
+    parts = []
+    for files in groups.values():
+        text = reader().csv(files)
+        parts.append(text.select(*named_columns(text, schema, required),
+                                 period_from_path(F.col("_metadata.file_path")).alias(PERIOD_COLUMN)))
+    if not parts:
+        return spark.createDataFrame([], extract_schema(schema))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def read_extracts(spark: SparkSession, path: str | list[str], fmt: str = "parquet",
                   schema: T.StructType | None = None, options: dict | None = None) -> DataFrame:
     """Read every extract under ``path`` with a declared schema (no inference).
 
-    Parquet extracts carry text as binary (``I94_RAW``); CSV extracts carry
-    it as text (``I94_RAW_TEXT``, read with a header).  ``source_period``
-    comes from ``source_period=`` folders (partition discovery) when the
-    files sit in them, else from each file's path.
+    Parquet extracts carry text as binary (``I94_RAW``); CSV extracts carry it
+    as text (``I94_RAW_TEXT``) and are read by the names in their headers.
+    ``source_period`` comes from each file's path: its ``source_period=``
+    folder, else its name.
     """
-    if schema is None:
-        schema = I94_RAW_TEXT if fmt == "csv" else I94_RAW
-    reader = spark.read.format(fmt).schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        return read_csv_by_name(spark, path, schema or I94_RAW_TEXT, REQUIRED_COLUMNS, options)
+    reader = spark.read.format(fmt).schema(schema or I94_RAW).option("recursiveFileLookup", True)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    df = reader.load(path)
-    from_path = period_from_path(F.col("_metadata.file_path"))
-    if PERIOD_COLUMN in df.columns:
-        return df.withColumn(PERIOD_COLUMN, F.coalesce(F.col(PERIOD_COLUMN).cast("string"), from_path))
-    return df.withColumn(PERIOD_COLUMN, from_path)
+    paths = [path] if isinstance(path, str) else path
+    return reader.load(paths).withColumn(PERIOD_COLUMN, period_from_path(F.col("_metadata.file_path")))
 
 
 def write_lake(df: DataFrame, target: str, mode: str = "overwrite") -> None:
@@ -72,13 +122,13 @@ def land_extracts(spark: SparkSession, source: str, target: str, fmt: str = "par
 
 
 def read_airports_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Airport CSV with a header, read with the declared schema.
+    """Airport CSV read by header name: the declared columns typed, all others kept as text.
 
     The text ``NA`` (North America, Namibia) is kept as text: only empty
     cells are null.
     """
-    return (spark.read.schema(AIRPORTS).option("header", True)
-            .option("nullValue", "").option("enforceSchema", False).csv(path))
+    text = spark.read.option("header", True).option("nullValue", "").csv(path)
+    return text.select(*named_columns(text, AIRPORTS, AIRPORTS.names, keep_others=True))
 
 
 def land_airports(spark: SparkSession, df: DataFrame, target: str) -> DataFrame:

@@ -11,10 +11,11 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
+from landfall.functions.periods import in_periods
 from landfall.operators.star import Star
 from landfall.schemas import PERIOD_COLUMN, STAR_TABLES
 
@@ -73,15 +74,61 @@ class Warehouse:
             return False
         return True
 
+    def files(self, name: str, where: Column | None = None) -> list[str]:
+        """Paths of the table's files, of the partitions that ``where`` selects; no column is read."""
+        if not self.exists(name):
+            return []
+        df = self.read(name)
+        df = df if where is None else df.where(where)
+        return [r[0] for r in df.select(F.col("_metadata.file_path")).distinct().collect()]
+
+    def remove(self, files: list[str]) -> None:
+        """Delete files through the file system that holds them."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for f in files:
+            p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
+            p.getFileSystem(conf).delete(p, False)
+
     # -- staging and star ---------------------------------------------------
-    def write_staging(self, staging: DataFrame, mode: str = "overwrite") -> DataFrame:
-        parts = [PERIOD_COLUMN] if PERIOD_COLUMN in staging.columns else None
-        return self.write("immigration_stage", staging, partition_by=parts,
-                          sort_by=["arrdate"], mode=mode, rebalance=True)
+    def write_staging(self, staging: DataFrame, periods: list | None = None) -> DataFrame:
+        """Write staging partitioned by arrival year and period.
+
+        With ``periods`` (those that were processed) the table then holds
+        nothing else of them: dynamic overwrite leaves a partition alone that
+        got no row this time, so files of these periods that were there before
+        and still are belong to such partitions and go.
+        """
+        out = staging.drop(YEAR_PARTITION).withColumn(YEAR_PARTITION, F.year("arrdate"))
+        parts = [YEAR_PARTITION] + ([PERIOD_COLUMN] if PERIOD_COLUMN in out.columns else [])
+        mine = in_periods(PERIOD_COLUMN, periods) if periods else None
+        before = set(self.files("immigration_stage", mine)) if periods else set()
+        self.write("immigration_stage", out, partition_by=parts, sort_by=["arrdate"], rebalance=True,
+                   replace_all=periods is None)
+        if before:
+            self.remove(sorted(before & set(self.files("immigration_stage", mine))))
+        return self.read_staging()
 
     def read_staging(self) -> DataFrame:
         return self.read("immigration_stage")
 
+    def write_dimension(self, name: str, members: DataFrame) -> None:
+        """Replace a dimension; its members are dealt over as many tasks as their size needs."""
+        self.write(name, members.hint("rebalance"))
+
+    def add_members(self, name: str, members: DataFrame) -> None:
+        """Add the members that the stored dimension does not hold yet."""
+        have = self.read(name)
+        same = None
+        for c in have.columns:
+            eq = F.col(f"n.{c}").eqNullSafe(F.col(f"h.{c}"))
+            same = eq if same is None else same & eq
+        new = members.distinct().alias("n").join(have.alias("h"), same, "left_anti").persist()
+        try:
+            if new.head(1):
+                self.write(name, new.hint("rebalance"), mode="append")
+        finally:
+            new.unpersist()
+
     def write_star(self, star: Star) -> Star:
         """Write (replace) the seven tables; the fact is partitioned by arrival
         year and sorted by the warehouse sort key inside each file."""
@@ -97,7 +144,8 @@ class Warehouse:
         try:
             for name in STAR_TABLES:
                 if name != "immigration":
-                    out[name] = self.write(name, tables[name].coalesce(1))
+                    self.write_dimension(name, tables[name])
+                    out[name] = self.read(name)
         finally:
             if star.members is not None:
                 star.members.unpersist()
@@ -114,6 +162,18 @@ class Warehouse:
                 names.append(prefix + name)
         return names
 
+    def register_tables(self, database: str) -> list[str]:
+        """Define every written table in the session's catalog, as external tables of ``database``."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        names = []
+        for name in STAR_TABLES + ["immigration_stage"]:
+            if self.exists(name):
+                table = f"`{database}`.`{name}`"
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: the files stay
+                self.spark.sql(create_table_ddl(table, self.path(name)))
+                names.append(f"{database}.{name}")
+        return names
+
     def read_star(self, with_staging: bool = True) -> Star:
         tables = {name: self.read(name) for name in STAR_TABLES}
         staging = self.read_staging() if with_staging and self.exists("immigration_stage") else None
@@ -128,9 +188,11 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
     """Append (or overwrite) ``df`` into a database table over JDBC.
 
     Each task opens one connection; ``num_partitions`` caps concurrent
-    connections by coalescing first.
+    connections by repartitioning first (coalescing would also narrow the
+    work above).  ``append`` adds the rows again when a load is repeated;
+    ``overwrite`` replaces the table.
     """
-    out = df.coalesce(num_partitions) if num_partitions else df
+    out = df.repartition(num_partitions) if num_partitions else df
     w = (out.write.format("jdbc").option("url", url).option("dbtable", table)
          .option("batchsize", batch_size).mode(mode))
     for k, v in (properties or {}).items():
@@ -151,15 +213,6 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
     return r.load()
 
 
-def create_table_ddl(name: str, df: DataFrame, location: str,
-                     partition_by: list[str] | None = None) -> str:
-    """``CREATE TABLE ... USING parquet`` text for a table's current schema."""
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields
-                     if not partition_by or f.name not in partition_by)
-    parts = ""
-    if partition_by:
-        pcols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields
-                          if f.name in partition_by)
-        cols = f"{cols}, {pcols}"
-        parts = f" PARTITIONED BY ({', '.join(partition_by)})"
-    return f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{parts} LOCATION '{location}'"
+def create_table_ddl(table: str, location: str) -> str:
+    """``CREATE TABLE`` text of a written Parquet table: columns and partitions are those of its files."""
+    return f"CREATE TABLE {table} USING parquet LOCATION '{location}'"

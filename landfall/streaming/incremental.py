@@ -1,45 +1,55 @@
 """Incremental loading of new extract files.
 
-A file-source stream over the inbox, run with ``trigger(availableNow=True)``:
-each run processes exactly the files that arrived since the last run (the
+A stream over the inbox's file names, run with ``trigger(availableNow=True)``:
+each run takes exactly the files that arrived since the last run (the
 stream checkpoint remembers the rest) and then stops.  Per micro-batch:
 
-1. the batch is landed under ``batch=<id>/source_period=<p>/`` -- a retried
+1. its files are read by the same reader as a full landing (CSV by header
+   name) and landed under ``batch=<id>/source_period=<p>/`` -- a retried
    batch overwrites its own folder, so landing is idempotent;
 2. the periods the batch touched are re-staged from **all** landed rows of
-   those periods (partition pruning on ``source_period``) and written with
-   dynamic partition overwrite, so a late file for an old month rewrites
-   that month's staging partition and nothing else.
-
-Nothing is kept in streaming state and no watermark is needed: the
-aggregate is recomputed per period from the lake.  With ``refresh_star``
-the star follows each batch: only the fact partitions of the arrival years
-those periods touch are rewritten (``plans.flows.refresh_star``).
+   those periods (partition pruning on ``source_period``), so a late file for
+   an old month rewrites that month's staging partitions and nothing else;
+3. its file names go to a manifest, which ``missing_files`` compares with
+   the inbox.
+
+A file counts as new however old its time stamp is, and rows whose file name
+has no month are landed and staged as the null period.  Nothing is kept in
+streaming state and no watermark is needed: the aggregate is recomputed per
+period from the lake.  With ``refresh_star`` the star follows each batch
+(``plans.flows.refresh_star``).
 """
 
 from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.functions.periods import period_from_path
+from landfall.functions.periods import in_periods
 from landfall.operators.lookups import Lookups
 from landfall.operators.profile import profile_extract
 from landfall.operators.staging import build_staging
 from landfall.plans.flows import arrival_years, refresh_star
-from landfall.schemas import I94_RAW, PERIOD_COLUMN
-from landfall.sources.landing import extract_schema
+from landfall.schemas import PERIOD_COLUMN
+from landfall.sources.landing import land_extracts, list_files
 from landfall.sources.warehouse import Warehouse
 
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
 
 class IncrementalLoader:
-    """Inbox -> lake -> staging, one micro-batch per run of new files."""
+    """Inbox -> lake -> staging, one micro-batch per run of new files.
+
+    A micro-batch takes at most ``max_files_per_trigger`` files, whose names
+    pass through the driver; a run goes on until no new file is left.
+    """
 
     def __init__(self, spark: SparkSession, inbox: str, warehouse: Warehouse, lookups: Lookups,
-                 checkpoint: str | None = None, fmt: str = "parquet", schema=I94_RAW,
-                 max_files_per_trigger: int | None = None, refresh_star: bool = False):
+                 checkpoint: str | None = None, fmt: str = "parquet", schema=None,
+                 max_files_per_trigger: int = 1000, refresh_star: bool = False):
         self.spark = spark
         self.inbox = inbox
         self.warehouse = warehouse
@@ -50,36 +60,47 @@ class IncrementalLoader:
         self.max_files = max_files_per_trigger
         self.refresh = refresh_star
         self.lake = warehouse.path("lake_i94")
+        self.manifest = warehouse.path("manifest")
 
     def _stream(self) -> DataFrame:
-        reader = self.spark.readStream.format(self.fmt).schema(extract_schema(self.schema))
-        if self.fmt == "csv":
-            reader = reader.option("header", True)
-        if self.max_files:
-            reader = reader.option("maxFilesPerTrigger", self.max_files)
-        df = reader.load(self.inbox)
-        # files dropped straight into the inbox carry their month in the name
-        from_path = period_from_path(F.col("_metadata.file_path"))
-        return df.withColumn(PERIOD_COLUMN, F.coalesce(F.col(PERIOD_COLUMN), from_path))
+        files = (self.spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", True)
+                 # a late or copied month may be far older than the newest file seen
+                 .option("maxFileAge", "36500d").option("maxFilesPerTrigger", self.max_files).load(self.inbox))
+        return files.select(F.col("_metadata.file_path").alias("file"))
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
+        files = sorted(r["file"] for r in batch.distinct().collect())
+        if not files:
+            return
         target = os.path.join(self.lake, f"batch={batch_id}")
-        (batch.write.mode("overwrite").partitionBy(PERIOD_COLUMN).parquet(target))
-        landed = self.spark.read.parquet(target)
-        # The touched periods: one small distinct (a handful of month labels).
+        landed = land_extracts(self.spark, files, target, self.fmt, self.schema)
+        # a month label per touched period
         periods = [r[0] for r in landed.select(PERIOD_COLUMN).distinct().collect()]
-        if not periods:
-            return
-        month = self.spark.read.parquet(self.lake).where(F.col(PERIOD_COLUMN).isin(periods))
-        month = month.drop("batch")
+        if periods:
+            self._restage(periods)
+        names = F.explode(F.array(*[F.lit(f) for f in files]))
+        self.spark.range(1).select(names.alias("file")).write.mode("overwrite").parquet(
+            os.path.join(self.manifest, f"batch={batch_id}"))
+
+    def _restage(self, periods: list) -> None:
+        month = self.spark.read.parquet(self.lake).where(in_periods(PERIOD_COLUMN, periods)).drop("batch")
         prof = profile_extract(month)
         # arrival years these periods covered before and after re-staging:
         # exactly the fact partitions that can change
         before = (arrival_years(self.warehouse.read_staging(), periods)
                   if self.refresh and self.warehouse.exists("immigration_stage") else set())
-        staged = self.warehouse.write_staging(build_staging(prof.df, self.lookups), mode="overwrite")
+        staged = self.warehouse.write_staging(build_staging(prof.df, self.lookups), periods)
         if self.refresh:
-            refresh_star(self.warehouse, before | arrival_years(staged, periods))
+            refresh_star(self.warehouse, before | arrival_years(staged, periods), periods)
+
+    def missing_files(self) -> DataFrame:
+        """``(file)`` of the inbox that no batch has loaded."""
+        inbox = list_files(self.spark, self.inbox)
+        try:
+            done = self.spark.read.parquet(self.manifest).select("file")
+        except AnalysisException:  # no batch yet
+            return inbox
+        return inbox.join(done, "file", "left_anti")
 
     def run(self) -> None:
         """Process every file not seen before, then return."""

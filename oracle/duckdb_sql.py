@@ -11,7 +11,34 @@ from __future__ import annotations
 
 import re
 
-from landfall.schemas import CONTRACTS, I94_RAW_COLUMNS, INT_COLUMNS, LONG_COLUMNS, SAS_DATE_COLUMNS, TEXT_COLUMNS
+# Fixed values, stated here once more so that an error in the library's own
+# tables shows: column roles, drop and fill rules, widths, keys.
+LONG_COLUMNS = "cicid admnum".split()
+INT_COLUMNS = "i94yr i94mon i94cit i94res i94mode i94bir i94visa count biryear".split()
+SAS_DATE_COLUMNS = "arrdate depdate".split()
+TEXT_COLUMNS = ("i94port i94addr visapost occup entdepa entdepd matflag gender airline visatype fltno insnum "
+                "dtadfile dtaddto entdepu").split()
+I94_RAW_COLUMNS = ("cicid i94yr i94mon i94cit i94res i94port arrdate i94mode i94addr depdate i94bir i94visa count "
+                   "dtadfile visapost occup entdepa entdepd entdepu matflag biryear dtaddto gender insnum airline "
+                   "admnum fltno visatype").split()
+NOT_NULL = {
+    "immigration": "arrdate i94cit i94port i94mode i94addr gender visatype".split(),
+    "visa": ["visatype"], "citizenship_country": ["id", "country_of_citizenship"],
+    "destination_state": ["id", "destination_state"], "entry_mode": ["id", "mode_of_entry"],
+    "entry_port": ["id", "port_of_entry"], "date": "date day week month year weekday".split(),
+}
+WIDTHS = {
+    "immigration_stage": {"country_of_citizenship": 50, "i94port": 25, "port_of_entry": 25, "mode_of_entry": 25,
+                          "i94addr": 25, "destination_state": 25, "gender": 1, "visatype": 10, "visa_category": 25},
+    "immigration": {"i94port": 25, "i94addr": 25, "gender": 1, "visatype": 10},
+    "visa": {"visatype": 25, "visa_category": 25}, "citizenship_country": {"country_of_citizenship": 25},
+    "destination_state": {"id": 10, "destination_state": 25}, "entry_mode": {"mode_of_entry": 25},
+    "entry_port": {"id": 10, "port_of_entry": 25},
+}
+KEYS = {"visa": "visatype", "citizenship_country": "id", "destination_state": "id", "entry_mode": "id",
+        "entry_port": "id", "date": "date"}
+FOREIGN_KEYS = {"i94cit": ("citizenship_country", "id"), "i94port": ("entry_port", "id"), "i94mode": ("entry_mode", "id"),
+                "i94addr": ("destination_state", "id"), "visatype": ("visa", "visatype")}
 
 YEAR = 1996
 LO, HI = f"DATE '{YEAR}-01-01'", f"DATE '{YEAR + 1}-01-01'"
@@ -75,6 +102,8 @@ UNION ALL
 SELECT 'i94addr', concat({TAB}, chr(39), 'S', CAST(n_nationkey AS VARCHAR(2)), chr(39), '=', chr(39), 'STATE ', n_name, chr(39))
 FROM nation WHERE n_nationkey<8
 UNION ALL
+SELECT 'I94Region', concat('  ', CAST(r_regionkey AS VARCHAR), ' = ', chr(39), r_name, chr(39)) FROM region
+UNION ALL
 SELECT 'I94Mode', concat(code, ' = ', chr(39), v, chr(39)) FROM (VALUES ('1','Air'),('2','Sea'),('3','Land'),('9','Not reported')) AS t(code, v)
 UNION ALL
 SELECT 'I94Visa', concat(' ', code, ' = ', v) FROM (VALUES ('1','Business'),('2','Pleasure'),('3','Student')) AS t(code, v)
@@ -216,14 +245,13 @@ def _in_year(alias: str) -> str:
 
 def _column_checks(kind: str) -> str:
     parts = []
-    for table, c in CONTRACTS.items():
-        cte = STAR_CTE[table]
+    for table, cte in STAR_CTE.items():
         if kind == "not_null":
-            for col in c.not_null:
+            for col in NOT_NULL.get(table, []):
                 parts.append(f"SELECT 'not_null' AS check_name, '{table}' AS table_name, '{col}' AS column_name, "
                              f"count(*) FILTER (WHERE {col} IS NULL) AS bad_rows FROM {cte}")
         else:
-            for col, w in c.widths.items():
+            for col, w in WIDTHS.get(table, {}).items():
                 parts.append(f"SELECT 'width' AS check_name, '{table}' AS table_name, '{col}' AS column_name, "
                              f"count(*) FILTER (WHERE length({col}) > {w}) AS bad_rows FROM {cte}")
     body = "\nUNION ALL\n".join(parts)
@@ -232,12 +260,9 @@ def _column_checks(kind: str) -> str:
 
 def _unique_checks() -> str:
     parts = []
-    for table, c in CONTRACTS.items():
-        if not c.key:
-            continue
-        key = ", ".join(c.key)
+    for table, key in KEYS.items():
         parts.append(
-            f"SELECT 'unique_key' AS check_name, '{table}' AS table_name, '{','.join(c.key)}' AS column_name, "
+            f"SELECT 'unique_key' AS check_name, '{table}' AS table_name, '{key}' AS column_name, "
             f"CAST(coalesce(sum(n), 0) AS BIGINT) AS bad_rows FROM "
             f"(SELECT {key}, count(*) AS n FROM {STAR_CTE[table]} GROUP BY {key} HAVING count(*) > 1) t")
     body = "\nUNION ALL\n".join(parts)
@@ -246,12 +271,11 @@ def _unique_checks() -> str:
 
 def _fk_checks() -> str:
     parts = []
-    for table, c in CONTRACTS.items():
-        for col, (parent, pcol) in c.foreign_keys.items():
-            parts.append(
-                f"SELECT 'foreign_key' AS check_name, '{table}' AS table_name, '{col}' AS column_name, "
-                f"count(*) AS bad_rows FROM {STAR_CTE[table]} x WHERE x.{col} IS NOT NULL AND NOT EXISTS "
-                f"(SELECT 1 FROM {STAR_CTE[parent]} p WHERE p.{pcol} = x.{col})")
+    for col, (parent, pcol) in FOREIGN_KEYS.items():
+        parts.append(
+            f"SELECT 'foreign_key' AS check_name, 'immigration' AS table_name, '{col}' AS column_name, "
+            f"count(*) AS bad_rows FROM fact x WHERE x.{col} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {STAR_CTE[parent]} p WHERE p.{pcol} = x.{col})")
     body = "\nUNION ALL\n".join(parts)
     return f"SELECT check_name, table_name, column_name, bad_rows, bad_rows = 0 AS passed FROM ({body}) t"
 
@@ -264,6 +288,23 @@ def _nonempty() -> str:
     return f"SELECT check_name, table_name, column_name, bad_rows, bad_rows = 0 AS passed FROM ({body}) t"
 
 
+def _run_checks() -> str:
+    """Every check row of one run over all months."""
+    nonempty, not_null, width, unique, fk = (
+        _nonempty(), _column_checks("not_null"), _column_checks("width"), _unique_checks(), _fk_checks())
+    own = [f"SELECT * FROM ({x}) t" for x in (nonempty, not_null, width, unique, fk)]
+    for name, lk in (("visa", "visa_lk"), ("citizenship", "cit_lk"), ("state", "addr_lk"), ("port", "port_lk"), ("mode", "mode_lk")):
+        own.append(f"SELECT 'unique_key', 'lookup_{name}', 'code', CAST(coalesce(sum(n), 0) AS BIGINT), coalesce(sum(n), 0) = 0 "
+                   f"FROM (SELECT count(*) AS n FROM {lk} WHERE code IS NOT NULL GROUP BY code HAVING count(*) > 1) t")
+    for check in ("reconcile_land", "reconcile_staged"):
+        own.append(f"SELECT DISTINCT '{check}', 'immigration', source_period, CAST(0 AS BIGINT), true FROM typed_p")
+    own.append("SELECT 'files', 'immigration', x, CAST(0 AS BIGINT), true FROM (VALUES ('immigration'), ('labels')) AS t(x)")
+    own.append("SELECT 'mode_loss', 'immigration', source_period, "
+               "CAST(coalesce(sum(count) FILTER (WHERE i94mode IS NULL OR i94mode NOT IN (SELECT code FROM mode_lk)), 0) AS BIGINT), "
+               "true FROM profiled_p GROUP BY source_period")
+    return "\nUNION ALL\n".join(own)
+
+
 def _null_counts() -> str:
     parts = [f"SELECT source_period, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_rows, "
              f"count(*) AS total_rows FROM typed_p GROUP BY source_period" for c in I94_RAW_COLUMNS]
@@ -294,8 +335,23 @@ FINALS: dict[str, str] = {
     "sink_parquet_roundtrip": "SELECT * FROM airports_clean",
     "source_period": "SELECT source_period, count(*) AS row_count FROM "
                      "(SELECT " + PERIOD + " AS source_period FROM raw) t GROUP BY source_period",
-    "incremental_new_files": "SELECT source_period, count(*) AS row_count, CAST(sum(count) AS BIGINT) AS total_count "
-                             "FROM staging GROUP BY source_period",
+    "incremental_new_files": "SELECT nullif(source_period, 'feb97') AS source_period, count(*) AS row_count, "
+                             "CAST(sum(count) AS BIGINT) AS total_count FROM staging GROUP BY 1",
+    "land_i94_csv": "SELECT source_period, count(*) AS row_count, "
+                    + ", ".join(f"CAST(sum({c}) AS BIGINT) AS total_{c}" for c in ("count", "i94cit", "i94res", "arrdate", "admnum"))
+                    + ", count(gender) AS n_gender, min(visatype) AS first_visatype "
+                    "FROM (SELECT *, " + PERIOD + " AS source_period FROM raw) t GROUP BY source_period",
+    "land_airports_csv": "SELECT *, concat('airport ', ident) AS name, '1.5, -2.5' AS coordinates FROM airports_raw",
+    "files_per_source": """
+SELECT 'immigration' AS source, count(DISTINCT source_period) AS source_files, count(DISTINCT source_period) AS target_files,
+ true AS passed FROM typed_p
+UNION ALL SELECT 'labels', count(DISTINCT label), count(DISTINCT label), true FROM label_lines""",
+    "star_refresh": "SELECT 'immigration_total' AS table_name, CAST(sum(count) AS BIGINT) AS row_count FROM staging UNION ALL "
+                    + " UNION ALL ".join(f"SELECT '{t}', count(*) FROM {c}" for t, c in STAR_CTE.items()
+                                         if t != "immigration_stage"),
+    "run_all_checks": _run_checks(),
+    "run_twice": "SELECT source_period, count(*) AS row_count, CAST(sum(count) AS BIGINT) AS total_count, true AS reconciled "
+                 "FROM staging GROUP BY source_period",
     "dim_with_unknown": """
 SELECT 'visa' AS table_name, visatype AS id, visa_category_code AS code, visa_category AS label FROM d_visa
 UNION ALL SELECT 'visa', 'missing', 999, 'missing' WHERE NOT EXISTS (SELECT 1 FROM d_visa WHERE visatype = 'missing')
@@ -316,7 +372,7 @@ UNION ALL SELECT 'destination_state', 'missing', CAST(NULL AS INTEGER), 'missing
     "label_port": "SELECT code, value FROM port_lk",
     "label_addr": "SELECT code, value FROM addr_lk",
     "label_int": "SELECT label, " + _int_code("code") + " AS code, value FROM parsed "
-                 "WHERE label IN ('I94CIT_I94RES', 'I94Mode', 'I94Visa')",
+                 "WHERE label NOT IN ('I94Port', 'i94addr')",
     # joins
     "join_visa": _join("visa_lk", "i94visa", "visa_category"),
     "join_country": _join("cit_lk", "i94cit", "country_of_citizenship"),

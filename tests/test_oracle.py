@@ -7,9 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from landfall.plans.catalog import QUERIES
+from oracle.duckdb_sql import DROPPED
 from tests.conftest import SF001
 
-TABLES = ["nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 
 def _norm(v):
@@ -36,11 +38,16 @@ def con():
 
 def test_every_query_has_an_oracle_or_is_rows_only():
     q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == {"files_per_source"}
+    assert set(QUERIES) <= set(o) <= set(q)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_dropped_columns_follow_from_the_nulls(con):
+    rows = con.execute(E.oracle_sql()["null_ratio"])
+    at = {d[0]: i for i, d in enumerate(rows.description)}
+    assert {r[at["column_name"]] for r in rows.fetchall() if r[at["dropped"]]} == set(DROPPED)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF001)
     cols = df.columns

@@ -22,7 +22,7 @@ def test_staging_without_broadcast_equals_with(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        big = build_staging(profiled, lk, max_rows=2)
+        big = build_staging(profiled, lk, max_bytes=1)
         text = big._jdf.queryExecution().sparkPlan().toString()
         got = rows(big)
     finally:

@@ -171,6 +171,8 @@ class Warehouse:
                 table = f"`{database}`.`{name}`"
                 self.spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: the files stay
                 self.spark.sql(create_table_ddl(table, self.path(name)))
+                if YEAR_PARTITION in self.read(name).columns:
+                    self.spark.catalog.recoverPartitions(f"{database}.{name}")
                 names.append(f"{database}.{name}")
         return names
 

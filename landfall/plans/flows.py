@@ -68,10 +68,10 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, lines: DataFrame,
         raise ValueError(f"codes occur more than once in {twice}")
     prof = profile_extract(with_period(raw), counts=counts)
     warehouse.write("profiled", prof.df, partition_by=[PERIOD_COLUMN], replace_all=periods is None)
-    profiled = warehouse.read("profiled")
+    # months profiled earlier may have kept or dropped other columns
+    profiled = warehouse.spark.read.schema(prof.df.schema).parquet(warehouse.path("profiled"))
     if periods is not None:
-        # months profiled earlier may have kept or dropped other columns
-        profiled = profiled.where(in_periods(PERIOD_COLUMN, periods)).select(*prof.df.columns)
+        profiled = profiled.where(in_periods(PERIOD_COLUMN, periods))
     staging = warehouse.write_staging(build_staging(profiled, lookups), periods)
     star = rebuild_star(warehouse, seed_unknown)
     return BuildResult(prof, staging, star, profiled, lookups)

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -17,8 +16,6 @@ def spark():
     from landfall.session import build_session
 
     s = build_session("local[*]", app_name="landfall-tests", shuffle_partitions=8)
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="landfall-tests-"))
     yield s
     s.stop()
 

@@ -32,11 +32,13 @@ def quantise(vector) -> np.ndarray | None:
 
 
 def by_size(ids: list, vectors: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Usable vectors by their number of dimensions: ids and a (dimension, vector) matrix."""
+    """Usable vectors by their number of dimensions: ids, each once, and a (dimension, vector) matrix."""
     groups: dict[int, tuple[list, list]] = {}
+    seen = set()
     for i, v in zip(ids, vectors):
         q = quantise(v)
-        if q is not None and i is not None:
+        if q is not None and i is not None and i not in seen:
+            seen.add(i)
             g = groups.setdefault(len(q), ([], []))
             g[0].append(i)
             g[1].append(q)
@@ -92,8 +94,8 @@ def top_k(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
     Each pass broadcasts one block of queries and reads all vectors; a task
     hands on at most k rows per query and batch.  Null ids, null vectors and
     those with null or non-finite components take no part; vectors of another
-    number of dimensions are no candidates.  Ties go to the smaller id; rows
-    that repeat an id count once.
+    number of dimensions are no candidates.  Ties go to the smaller id; equal
+    rows that repeat an id count once.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("v")).where(

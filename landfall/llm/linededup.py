@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from landfall.llm.common import broadcast, kept, mix64, table, written
 
 MIN_CHARS, MIN_DOCS = 40, 5
-#: Keys of one shard (24 bytes each), and shards that a pass over the documents holds at a time.
-SHARD_KEYS, PASS_SHARDS = 1 << 16, 64
+#: Keys of one shard (some 40 bytes each in use), and shards of one broadcast.
+SHARD_KEYS, PASS_SHARDS = 1 << 16, 32
 #: Stands for a null doc_id: smaller than any other.
 NO_ID = -(1 << 63)
 BLANK = " \t\n\x0b\x0c\r"
@@ -54,7 +54,7 @@ class PerfectHash:
             bits = max(64, int(gamma * len(left)))
             at = self._at(left, len(self.levels), bits)
             alone = np.bincount(at, minlength=bits) == 1
-            self.levels.append((alone, base + np.cumsum(alone, dtype=np.int64) - 1))
+            self.levels.append((alone, base + np.cumsum(alone, dtype=np.int32) - 1))
             base += int(alone.sum())
             left = left[~alone[at]]
         self.size = base

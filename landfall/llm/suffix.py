@@ -91,6 +91,12 @@ def settle(run: dict) -> tuple[dict, dict]:
     return {k: v[~same] for k, v in run.items()}, {k: v[same & ~again] for k, v in run.items()}
 
 
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each of the sizes, one after the other."""
+    before = np.cumsum(size) - size
+    return np.arange(int(size.sum())) + np.repeat(start - before, size)
+
+
 class LevelIndex:
     """Levels of sorted runs, each at least twice the next: a new run is merge-scanned against all."""
 
@@ -108,14 +114,14 @@ class LevelIndex:
 
     def _scan(self, level: dict, run: dict) -> tuple[dict, dict]:
         """Take the later one of every two rows with one stretch out of its run."""
-        lo = np.searchsorted(level["prefix"], run["prefix"])
-        hi = np.searchsorted(level["prefix"], run["prefix"], "right")
+        prefix, which = np.unique(run["prefix"], return_inverse=True)
+        lo, hi = (np.searchsorted(level["prefix"], prefix, side) for side in ("left", "right"))
         drop_level, drop_run = np.zeros(len(level["doc"]), bool), np.zeros(len(run["doc"]), bool)
-        known = np.flatnonzero(hi > lo)
+        known = np.flatnonzero((hi > lo)[which])
         if not len(known):
             return level, run
         part = {k: v[known] for k, v in run.items()}
-        rows = np.unique(np.concatenate([np.arange(0)] + [np.arange(a, b) for a, b in zip(lo[known], hi[known])]))
+        rows = spread(lo, hi - lo)  # the level's rows under these prefixes
         both = joined([{k: v[rows] for k, v in level.items()}, part])
         origin = np.concatenate([rows, -1 - known])
         order = np.lexsort([both[k] for k in ORDER])

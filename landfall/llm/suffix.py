@@ -281,13 +281,17 @@ def compare(docs: DataFrame, needs: DataFrame, parts: int) -> DataFrame:
         held, size, strings = {}, 0, {}
 
         def flush():
-            groups = [(p, c.compress(b"".join(x))) for p, x in held.items()]
             for (h, s), place in strings.items():
-                held_by.setdefault(h % parts, []).append(_stretch(*place, 0, s))
-            groups += [(p, c.compress(b"".join(x))) for p, x in held_by.items()]
-            yield _blobs(BLOB, groups)
+                add(h % parts, (*place, 0), s)
+            yield _blobs(BLOB, [(p, c.compress(np.array([len(head)], np.int64).tobytes()
+                                               + np.array(head, np.int64).tobytes() + b"".join(body)))
+                                for p, (head, body) in held.items()])
+
+        def add(p, head, body):
+            x = held.setdefault(p, ([], []))
+            x[0].append(head)
+            x[1].append(body)
 
-        held_by: dict[int, list] = {}
         covered = []
         for b in batches:
             for doc, tie, z, need in zip(*(b.column(x).to_pylist() for x in ("doc", "tie", "z", "need"))):
@@ -297,8 +301,7 @@ def compare(docs: DataFrame, needs: DataFrame, parts: int) -> DataFrame:
                 for x in need:
                     s, more = x["start"], x["more"]
                     if not x["hot"]:
-                        held.setdefault(int(x["prefix"]) % parts, []).append(
-                            _stretch(doc, tie, s, more, text[s:s + more + LENGTH]))
+                        add(int(x["prefix"]) % parts, (doc, tie, s, more), text[s:s + more + LENGTH])
                         size += more + LENGTH
                         continue
                     sums = hasher.sums(a) if sums is None else sums
@@ -314,7 +317,7 @@ def compare(docs: DataFrame, needs: DataFrame, parts: int) -> DataFrame:
                             covered.append(max(old, mine))
                 if size > 32 << 20:
                     yield from flush()
-                    held, size, strings, held_by = {}, 0, {}, {}
+                    held, size, strings = {}, 0, {}
             if covered:
                 yield _blobs(COVER, [(0, np.array(covered, np.int64).tobytes())])
                 covered = []
@@ -328,16 +331,17 @@ def compare(docs: DataFrame, needs: DataFrame, parts: int) -> DataFrame:
                 if kind == COVER:
                     yield _strings(np.frombuffer(data, np.int64).reshape(-1, 3))
                     continue
-                raw, at = z.decompress(data), 0
-                while at < len(raw):
-                    doc, tie, start, more = np.frombuffer(raw, np.int64, 4, at).tolist()
-                    a = np.frombuffer(raw, np.uint8, more + LENGTH, at + 32)
-                    at += 32 + more + LENGTH
-                    i = np.arange(more + 1)
-                    hashes.append(hasher.ranges(hasher.sums(a), i, i + LENGTH))
-                    place = np.empty((more + 1, 3), np.int64)
-                    place[:, 0], place[:, 1], place[:, 2] = doc, tie, start + i
-                    places.append(place)
+                raw = z.decompress(data)
+                n = int(np.frombuffer(raw, np.int64, 1)[0])
+                head = np.frombuffer(raw, np.int64, 4 * n, 8).reshape(n, 4)
+                a, more = np.frombuffer(raw, np.uint8, offset=8 + 32 * n), head[:, 3]
+                strings = more + 1
+                begin = np.cumsum(more + LENGTH) - (more + LENGTH)  # of each stretch in the joined text
+                at = spread(begin, strings)
+                hashes.append(hasher.ranges(hasher.sums(a), at, at + LENGTH))
+                place = np.repeat(head[:, :3], strings, axis=0)
+                place[:, 2] += at - np.repeat(begin, strings)
+                places.append(place)
         if hashes:
             h, place = np.concatenate(hashes), np.concatenate(places)
             order = np.lexsort((place[:, 2], place[:, 1], place[:, 0], h))
@@ -350,10 +354,6 @@ def compare(docs: DataFrame, needs: DataFrame, parts: int) -> DataFrame:
                    .mapInArrow(judge, "doc long, tie long, start long, more int"), "suffix-strings")
 
 
-def _stretch(doc: int, tie: int, start: int, more: int, text: bytes) -> bytes:
-    return np.array([doc, tie, start, more], np.int64).tobytes() + text
-
-
 def _strings(place: np.ndarray) -> pa.RecordBatch:
     """Covered strings (doc, tie, start), neighbours in one document as one row."""
     place = place[np.lexsort((place[:, 2], place[:, 1], place[:, 0]))]

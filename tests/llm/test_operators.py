@@ -5,7 +5,7 @@ import random
 import brute
 import numpy as np
 import pytest
-from conftest import SF001
+from tests.conftest import SF001
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,6 +198,29 @@ def test_segments_share_a_signature():
                 assert len(np.intersect1d(a, b)), (len(x), len(y))
 
 
+def test_components(spark):
+    from landfall.llm.components import components
+
+    rng = random.Random(9)
+    edges = [(i, i + 1) for i in range(300)] + [(500 + rng.randrange(200), 500 + rng.randrange(200)) for _ in range(120)]
+    edges += [(2000, 1000 + i) for i in range(50)] + [(7, 7)]
+    up = {}
+    for a, b in edges:
+        up.setdefault(a, a), up.setdefault(b, b)
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        up[y] = x
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: find(i) for e in edges if e[0] != e[1] for i in e}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_line_dedup(spark, docs, odd):
     both = list((docs | {10**6 + i: t for i, t in odd}).items())
     index = linededup.LineIndex(frame(spark, both), shard_keys=4)
@@ -286,6 +309,7 @@ def test_top_k(spark):
         if i % 100 == 0:
             s = sorted((-sum(x * y for x, y in zip(a, b)), j) for j, b in q.items() if j != i and len(a) == len(b))[:10]
             want |= {(i, n, j, max(-2**63, min(2**63 - 1, -v))) for n, (v, j) in enumerate(s, 1)}
+    vectors = vectors.unionByName(vectors.where("vec_id = 7 OR vec_id = 8").crossJoin(spark.range(12)).drop("id"))
     for block in (topk.QUERY_BLOCK, 2):
         got = topk.top_k(vectors.repartition(3), query_block=block).collect()
         assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == want

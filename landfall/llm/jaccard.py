@@ -241,90 +241,103 @@ def scan(docs: DataFrame, rule: Rule, parts: int) -> DataFrame:
 # -- verification
 
 class PrefixTree:
-    """Prefix tree of ordered sets, kept as the sorted list of sequences.
+    """Prefix tree of sets in one global order, stored level by level.
 
-    A node is a run of sequences with a common beginning; its edge holds the
-    elements up to the next branching, so single sequences are one edge.
+    A level holds the next ``CHUNK`` elements of every distinct beginning.
+    Sequences are sorted, so a node's sequences are the rows lo to hi; those
+    that end in the node come first.
     """
 
+    CHUNK = 24
+
     def __init__(self, sets: list[np.ndarray]):
-        self.order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
-        self.sets = [sets[i] for i in self.order]
-        self.root = self._node(0, len(self.sets), 0)
-
-    def _node(self, lo: int, hi: int, depth: int) -> tuple:
-        """(edge elements, smallest and largest size below, sequences, children)"""
-        sizes = [len(s) for s in self.sets[lo:hi]]
-        first, last = self.sets[lo], self.sets[hi - 1]
-        m = min(min(sizes), len(last))
-        same = first[depth:m] == last[depth:m]  # sorted: what first and last share, all share
-        end = depth + (int(same.argmin()) if not same.all() else len(same))
-        edge, kids, leaves, i = first[depth:end], [], [], lo
-        while i < hi and len(self.sets[i]) == end:
-            leaves.append(self.order[i])
-            i += 1
-        while i < hi:
-            j = i + 1
-            while j < hi and self.sets[j][end] == self.sets[i][end]:
-                j += 1
-            kids.append(self._node(i, j, end))
-            i = j
-        return edge, min(sizes), max(sizes), leaves, kids
-
-    def partners(self, x: np.ndarray, rule: Rule, skip=lambda i: False):
-        """Indices of the sets that link with x, but those that ``skip`` names."""
+        sizes = np.array([len(s) for s in sets])
+        self.elements = np.unique(np.concatenate(sets))
+        local = [np.searchsorted(self.elements, s) for s in sets]
+        order = sorted(range(len(sets)), key=lambda i: local[i].astype(">u4").tobytes())
+        self.rows, self.sizes = np.array(order), sizes[order]
+        self.levels: list[dict] = []
+        alive = np.arange(len(sets))  # rows that reach this level
+        node_of = np.zeros(len(sets), np.int64)  # their node on the level above
+        for at in range(0, int(sizes.max()), self.CHUNK):
+            go = self.sizes[alive] > at
+            alive, node_of = alive[go], node_of[go]
+            chunk = np.full((len(alive), self.CHUNK), len(self.elements), np.int32)  # filled up with no element
+            for k, r in enumerate(alive):
+                part = local[order[r]][at:at + self.CHUNK]
+                chunk[k, :len(part)] = part
+            new = np.ones(len(alive), bool)
+            new[1:] = (node_of[1:] != node_of[:-1]) | (chunk[1:] != chunk[:-1]).any(axis=1)
+            first = np.flatnonzero(new)
+            size = self.sizes[alive]
+            ends = np.add.reduceat((size <= at + self.CHUNK).astype(np.int64), first)
+            # children of a node lie side by side on the next level
+            above = node_of[first]
+            n_above = len(self.levels[-1]["lo"]) if self.levels else 1
+            kids = np.searchsorted(above, np.arange(n_above + 1))
+            if self.levels:
+                self.levels[-1]["kids"] = kids
+            self.levels.append({
+                "chunk": chunk[first], "lo": alive[first], "hi": alive[np.append(first[1:], len(alive)) - 1] + 1, "ends": ends,
+                "small": np.minimum.reduceat(size, first), "large": np.maximum.reduceat(size, first),
+                "last": np.where(chunk[first] < len(self.elements), chunk[first], -1).max(axis=1), "kids": None})
+            node_of = np.cumsum(new) - 1
+
+    def partners(self, x: np.ndarray, rule: Rule, wanted: np.ndarray | None = None) -> np.ndarray:
+        """Indices of the sets that link with x, of those that ``wanted`` marks."""
         n = len(x)
-        stack = [(self.root, 0, 0)]
-        while stack:
-            (edge, small, large, leaves, kids), depth, common = stack.pop()
-            if rule.den * large < rule.num * n or rule.num * small > rule.den * n:
-                continue  # no size below this node fits
-            if not kids and all(skip(i) for i in leaves):
-                continue
-            for at in range(0, len(edge), 64):
-                piece = edge[at:at + 64]
-                common += int(is_member(piece, x).sum())
-                depth += len(piece)
-                rest = n - int(np.searchsorted(x, piece[-1], "right"))
-                size = min(max(depth + rest, small), large)  # the size below with most to spare
-                if common + min(size - depth, rest) < rule.overlap(n, size):
-                    break
-            else:
-                for i in leaves:
-                    if not skip(i) and rule.linked(n, depth, common):
-                        yield i
-                stack += [(kid, depth, common) for kid in kids]
-
-
-class Union:
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def find(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.find(i), self.find(j)
-        self.up[max(i, j)] = min(i, j)
-        return i != j
+        has = np.zeros(len(self.elements) + 1, bool)
+        here = np.searchsorted(self.elements, x)
+        here = here[here < len(self.elements)]
+        here = here[np.isin(self.elements[here], x)]
+        has[here] = True
+        upto = np.cumsum(has)  # elements of x up to and with each
+        mask = np.ones(len(self.rows), bool) if wanted is None else wanted[self.rows]
+        marked = np.concatenate(([0], np.cumsum(mask)))
+        found = []
+        nodes = np.arange(len(self.levels[0]["lo"]))
+        common = np.zeros(len(nodes), np.int64)
+        for depth, level in enumerate(self.levels, 1):
+            small, large = level["small"][nodes], level["large"][nodes]
+            keep = (marked[level["hi"][nodes]] > marked[level["lo"][nodes]]) \
+                & (rule.den * large >= rule.num * n) & (rule.num * small <= rule.den * n)
+            nodes, common, small, large = nodes[keep], common[keep], small[keep], large[keep]
+            if not len(nodes):
+                break
+            common = common + has[level["chunk"][nodes]].sum(axis=1)
+            deep = np.minimum(depth * self.CHUNK, large)
+            rest = upto[-1] - upto[level["last"][nodes]]
+            size = np.minimum(np.maximum(deep + rest, small), large)  # the size below with most to spare
+            keep = common + np.minimum(size - deep, rest) >= rule.overlap(n, size)
+            # sequences that end here, whose sizes may fall short of the level's end
+            for k in np.flatnonzero(level["ends"][nodes]):
+                lo = level["lo"][nodes[k]]
+                for r in range(lo, lo + int(level["ends"][nodes[k]])):
+                    if mask[r] and rule.linked(n, int(self.sizes[r]), int(common[k])):
+                        found.append(self.rows[r])
+            if level["kids"] is None:
+                break
+            nodes, common = nodes[keep], common[keep]
+            start, count = level["kids"][nodes], level["kids"][nodes + 1] - level["kids"][nodes]
+            common = np.repeat(common, count)
+            nodes = np.arange(int(count.sum())) + np.repeat(start - (np.cumsum(count) - count), count)
+        return np.array(found, np.int64)
 
 
 def spanning_links(left: list[np.ndarray], right: list[np.ndarray] | None, rule: Rule) -> list[tuple[int, int]]:
     """Links that connect what any links among the sets connect.
 
     With ``right``, links between the two lists only; index len(left) on are
-    those of right.
+    those of right.  A set is compared only with those it is not connected to.
     """
     out, base = [], len(left) if right is not None else 0
     tree = PrefixTree(right if right is not None else left)
-    u = Union(base + len(tree.sets))
+    label = np.arange(base + len(tree.rows))
     for i, x in enumerate(left):
-        for j in tree.partners(x, rule, lambda j, i=i: u.find(i) == u.find(base + j)):
-            if u.join(i, base + j):
-                out.append((i, base + j))
+        for j in tree.partners(x, rule, label[base:] != label[i]) + base:
+            if label[i] != label[j]:
+                out.append((i, int(j)))
+                label[label == label[j]] = label[i]
     return out
 
 

@@ -1,4 +1,4 @@
-"""Connected components of an edge table by alternating star contraction."""
+"""Connected components of an edge table by hooking and contraction."""
 
 from __future__ import annotations
 
@@ -17,33 +17,41 @@ def _edges(df: DataFrame) -> DataFrame:
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) of every node of the edge table (a, b); component is its smallest node.
 
-    Each round hangs every node's larger neighbours on its smallest one, then
-    its smaller neighbours likewise, until the table is a set of stars; the
-    number of rounds grows with the logarithm of the table.  A round's edges
-    are a written table, and a node's neighbours never meet in one task: the
-    minimum is a partial aggregate, and the join splits skewed nodes.
+    Each round hooks every node on its smallest smaller neighbour, follows the
+    hooks to the trees' roots by doubling, and replaces both ends of every
+    edge by their roots; edges within one tree vanish.  Stars take one round;
+    rounds and doublings grow with the logarithm of the table.  All tables are
+    written, so lineage stays short; minima are partial aggregates, and joins
+    of written tables let Spark split a node with very many neighbours.
     """
     now = written(_edges(edges), "edges")
-    state = _state(now)
+    labels = None
     for _ in range(max_rounds):
-        if not state[0]:
-            break
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "edges-min")
-        large = written(_edges(both.join(least, "a").where(F.col("b") > F.col("a"))
-                               .select(F.col("m").alias("a"), "b")), "edges-large")
-        least = written(large.groupBy("b").agg(F.min("a").alias("m")), "edges-min")
-        small = large.join(least, "b").select(F.col("m").alias("a"), F.col("b"), F.col("a").alias("c"))
-        now = written(_edges(small.select("a", "b").unionByName(small.select("a", F.col("c").alias("b")))), "edges")
-        before, state = state, _state(now)
-        if state == before:
+        if not now.head(1):
             break
+        ends = now.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("a").alias("to")),
+                                            F.struct(F.col("b").alias("node"), F.col("a").alias("to")))).alias("e"))
+        hook = _roots(written(ends.select("e.*").groupBy("node").agg(F.min("to").alias("to")), "hooks"))
+        a, b = (hook.select(F.col("node").alias(x), F.col("to").alias(f"{x}_to")) for x in ("a", "b"))
+        now = written(_edges(now.join(a, "a").join(b, "b").select(F.col("a_to").alias("a"), F.col("b_to").alias("b"))),
+                      "edges")
+        if labels is None:
+            labels = hook.select("node", F.col("to").alias("component"))
+        else:
+            step = hook.select(F.col("node").alias("component"), "to")
+            labels = written(labels.join(step, "component", "left")
+                             .select("node", F.coalesce("to", "component").alias("component")), "labels")
     else:
         raise RuntimeError("components did not settle")
-    return (now.groupBy("b").agg(F.min("a").alias("component")).select(F.col("b").alias("node"), "component")
-            .unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()))
-
-
-def _state(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    return r["n"], r["h"]
+    return labels if labels is not None else now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def _roots(hook: DataFrame) -> DataFrame:
+    """Follow (node, to) to the root of every tree, twice as far each time."""
+    while True:
+        up = hook.select(F.col("node").alias("to"), F.col("to").alias("next"))
+        far = written(hook.join(up, "to").select("node", "to", "next"), "hooks")
+        done = not far.where(F.col("to") != F.col("next")).head(1)
+        hook = far.select("node", F.col("next").alias("to"))
+        if done:
+            return hook

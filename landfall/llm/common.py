@@ -32,6 +32,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches in slices, so that few texts are Python objects at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def broadcast(spark: SparkSession, data):
     """Broadcast of plain data that a worker turns into its working form once; see ``kept``."""
     return spark.sparkContext.broadcast({"data": data})

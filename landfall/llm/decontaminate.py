@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import broadcast, kept, table, word_ranges
+from landfall.llm.common import broadcast, kept, slices, table, word_ranges
 
 WINDOW = 13
 #: Benchmark text held by one automaton; larger benchmarks take several.
@@ -130,7 +130,7 @@ class Decontaminator:
         scan = self.scanner()
 
         def run(batches):
-            for b in batches:
+            for b in slices(batches):
                 out = [scan(t) for t in b.column("text").to_pylist()]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": b.column("doc_id"),
@@ -152,7 +152,7 @@ class Decontaminator:
         scan = self.scanner()
 
         def run(batches):
-            for b in batches:
+            for b in slices(batches):
                 yield b.filter(pa.array([not scan(t)[4] for t in b.column(text).to_pylist()], pa.bool_()))
 
         return docs.mapInArrow(run, docs.schema)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from landfall.llm.common import broadcast, crc_mod, kept, table
+from landfall.llm.common import broadcast, crc_mod, kept, slices, table
 
 #: Labelled texts per language, bytes taken of each, and languages learned (the most frequent).
 TEXTS, TEXT_BYTES, MAX_LANGUAGES = 64, 512, 64
@@ -153,7 +153,7 @@ def predict(docs: DataFrame, training: dict[str, bytes], doc_id: str = "doc_id",
 
     def run(batches):
         parser = kept(b, lambda data: CrossParser(data) if data else None)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             known = [bool(parser and t and LETTER.search(t)) for t in texts]
             norm = [normal(t) if k else b"" for t, k in zip(texts, known)]

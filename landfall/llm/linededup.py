@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import broadcast, kept, mix64, table, written
+from landfall.llm.common import broadcast, kept, mix64, slices, table, written
 
 MIN_CHARS, MIN_DOCS = 40, 5
 #: Keys of one shard (some 40 bytes each in use), and shards of one broadcast.
@@ -119,14 +119,14 @@ def line_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                                pa.array(vals[:, 0]), pa.array(vals[:, 1])],
                                               names=["hi", "lo", "n_docs", "keeper"])
 
-        for b in batches:
+        for b in slices(batches):
             for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 i = NO_ID if i is None else i
                 for k in set(line_keys(t, min_chars)):
                     if k is not None:
                         n, top = seen.get(k, (0, NO_ID))
                         seen[k] = (n + 1, max(top, i))
-                if len(seen) > 500_000:
+                if len(seen) > 200_000:
                     yield out()
         if seen:
             yield out()
@@ -203,7 +203,7 @@ class LineIndex:
         mark = self.marker()
 
         def run(batches):
-            for b in batches:
+            for b in slices(batches):
                 texts = b.column(text).to_pylist()
                 masks = mark(b.column(doc_id).to_pylist(), texts)
                 at = b.schema.get_field_index(text)
@@ -217,7 +217,7 @@ class LineIndex:
         mark = self.marker()
 
         def run(batches):
-            for b in batches:
+            for b in slices(batches):
                 texts = b.column("text").to_pylist()
                 masks = mark(b.column("doc_id").to_pylist(), texts)
                 yield pa.RecordBatch.from_pydict({

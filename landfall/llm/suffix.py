@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm.common import SubstringHash, mix64, table, written
+from landfall.llm.common import SubstringHash, mix64, slices, table, written
 
 #: Length of a repeated string, of the sampled prefix, and prefixes in a window.
 LENGTH, PREFIX = 100, 24
@@ -223,7 +223,7 @@ def find_spans(docs: DataFrame, parts: int) -> DataFrame:
             if len(covered["doc"]):
                 yield _blobs(COVER, [(int(edge[1] % parts), pack(ordered(covered)))])
 
-        for b in batches:
+        for b in slices(batches):
             for i, tie, t in zip(*(b.column(c).to_pylist() for c in ("doc", "tie", "text"))):
                 a = np.frombuffer((t or "").encode("utf-8", "replace"), np.uint8)
                 prefix, stretch, start, offset, more = sampled(a, hasher)
@@ -259,7 +259,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         c = zstandard.ZstdCompressor(level=1)
-        for b in batches:
+        for b in slices(batches):
             z = [c.compress((t or "").encode("utf-8", "replace")) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc", "tie", "no_id")), pa.array(z, pa.binary())],
                                              names=["doc", "tie", "no_id", "z"])
@@ -293,7 +293,7 @@ def compare(docs: DataFrame, needs: DataFrame, parts: int) -> DataFrame:
             x[1].append(body)
 
         covered = []
-        for b in batches:
+        for b in slices(batches):
             for doc, tie, z, need in zip(*(b.column(x).to_pylist() for x in ("doc", "tie", "z", "need"))):
                 text = d.decompress(z)
                 a = np.frombuffer(text, np.uint8)
@@ -388,7 +388,7 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     def run(batches):
         z = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in slices(batches):
             out = []
             cover = b.column("cover")
             for data, c in zip(b.column("z").to_pylist(), cover):

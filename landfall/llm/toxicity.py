@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import broadcast, crc_mod, kept, table, written
+from landfall.llm.common import broadcast, crc_mod, kept, slices, table, written
 
 #: Labelled rows that the lexicon is learned from (those of smallest id hash).
 MAX_LABELLED = 20_000
@@ -110,12 +110,12 @@ def _per_label(sample: DataFrame, items) -> DataFrame:
 
     def run(batches):
         count: dict = {}
-        for b in batches:
+        for b in slices(batches):
             for t, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
                 for x in items(words_of(t)):
                     c = count.setdefault(x, [0, 0])
                     c[0 if y else 1] += 1
-            if len(count) > 1_000_000:
+            if len(count) > 150_000:
                 yield out(count)
                 count = {}
         yield out(count)
@@ -173,7 +173,7 @@ def _contexts(labelled: DataFrame, items: set[str]) -> tuple[dict[str, tuple[int
     known = broadcast(labelled.sparkSession, items)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             out, wanted, count = set(), known.value["data"], [0, 0]
             for t, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
                 ws = ["", *words_of(t), ""]
@@ -213,7 +213,7 @@ def _calibrate(labelled: DataFrame, lexicon: Lexicon) -> None:
     b = broadcast(labelled.sparkSession, asdict(lexicon))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             m = kept(b, _loaded)[1]
             ws = [words_of(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
@@ -279,7 +279,7 @@ def score(docs: DataFrame, lexicon: Lexicon, doc_id: str = "doc_id", text: str =
     score_of = scorer(b)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = [score_of(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"),
@@ -300,7 +300,7 @@ def clean(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
     score_of = scorer(b)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([score_of(t)[0] < 0.5 for t in batch.column(text).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -11,6 +11,7 @@ from the verified links.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from landfall.llm.common import SubstringHash, broadcast, mix64, signed, table, written
+from landfall.llm.common import SubstringHash, broadcast, mix64, signed, slices, table, written
 from landfall.llm.components import components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -28,8 +29,8 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SAMPLE, COMMON_IN, MAX_COMMON = 20_000, 5, 500_000
 #: Sizes grow by this factor from class to class of segment counts.
 CLASS_RATIO = 1.5
-#: Signatures of a task packed at a time, and sets of one verification group.
-FLUSH, GROUP = 2_000_000, 512
+#: Signatures of a task packed at a time; sets, and their elements, that are compared in one task.
+FLUSH, GROUP, ELEMENTS = 1_000_000, 512, 400_000
 
 
 @dataclass(frozen=True)
@@ -77,15 +78,16 @@ def size_classes(n: int, rule: Rule) -> list[tuple[int, int]]:
     return out
 
 
-def segment_signatures(s: np.ndarray, rare: np.ndarray, rule: Rule) -> np.ndarray:
-    """Signatures of which linked, different sets share at least one.
+def class_signatures(s: np.ndarray, rare: np.ndarray, rule: Rule):
+    """(most elements that linked sets differ in, signatures) of the set, for each of its size classes.
 
-    Linked sets, the smaller of at most ``hi`` elements, differ in at most
-    hi * (den - num) / num elements.  Of more segments than that, enough are
-    equal.  Segments without enough rare shingles are weak; they are left out
-    where the equal ones cannot all be weak, else all count.
+    Linked, different sets share a signature of one class: the smaller having
+    at most ``hi`` elements, they differ in at most hi * (den - num) / num.  Of
+    more segments than that, enough are equal.  Segments without enough rare
+    shingles are weak; they are left out where the equal ones cannot all be
+    weak, else all count.
     """
-    out, mixed = [], np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(s))))
+    mixed = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(s))))
     rares = np.concatenate(([0], np.cumsum(rare)))
     for c, hi in size_classes(len(s), rule):
         differ = hi * (rule.den - rule.num) // rule.num
@@ -97,8 +99,21 @@ def segment_signatures(s: np.ndarray, rare: np.ndarray, rule: Rule) -> np.ndarra
         edge = np.searchsorted(segment, np.arange(m + 1, dtype=np.uint64))
         sig = mix64(mixed[edge[1:]] - mixed[edge[:-1]] + mix64(np.arange(m, dtype=np.uint64) + np.uint64((c + 1) << 32)))
         strong = rares[edge[1:]] - rares[edge[:-1]] >= (2 if rule.words < 5 else 1)
-        out.append(sig[strong] if m - int(strong.sum()) <= spare else sig)
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        yield differ, sig[strong] if m - int(strong.sum()) <= spare else sig
+
+
+def segment_signatures(s: np.ndarray, rare: np.ndarray, rule: Rule) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *(sig for _, sig in class_signatures(s, rare, rule))])
+
+
+def sketch(s: np.ndarray, differ: int) -> bytes:
+    """Parities of the set's elements by their low bits, four times as many as linked sets differ in.
+
+    The sketches of two sets differ in no more bits than the sets in elements.
+    """
+    bits = 1 << max(6, (4 * differ - 1).bit_length())
+    at = (s & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
 def common_shingles(docs: DataFrame, rule: Rule) -> np.ndarray:
@@ -112,7 +127,7 @@ def common_shingles(docs: DataFrame, rule: Rule) -> np.ndarray:
 
     def run(batches):
         hasher = SubstringHash()
-        for b in batches:
+        for b in slices(batches):
             sets = [shingles(t, rule.words, hasher) for t in b.column("text").to_pylist()]
             h, c = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(c.astype(np.int64))], names=["h", "n"])
@@ -176,14 +191,12 @@ def _rows(kind: int, p: np.ndarray, **cols) -> pa.RecordBatch:
 DOC, BLOB, EDGE = 0, 1, 2
 
 
-def scan(docs: DataFrame, rule: Rule, parts: int) -> DataFrame:
+def scan(docs: DataFrame, rule: Rule, parts: int, common) -> DataFrame:
     """One pass over the texts: a row per document and the candidate edges.
 
     A task hangs its own sets that share a signature on one of them and hands
     on one set per signature, packed by partition.
     """
-    common = broadcast(docs.sparkSession, common_shingles(docs, rule))
-
     def run(batches):
         hasher, often = SubstringHash(), common.value["data"]
         sigs, nodes, size, seen = [], [], 0, set()
@@ -201,7 +214,7 @@ def scan(docs: DataFrame, rule: Rule, parts: int) -> DataFrame:
             blobs = [pack(rest[order[cut[i]:cut[i + 1]]], node[order[cut[i]:cut[i + 1]]]) for i in used]
             yield _rows(BLOB, used, data=blobs)
 
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             n, k = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.uint64)
             for i, t in enumerate(texts):
@@ -238,6 +251,90 @@ def scan(docs: DataFrame, rule: Rule, parts: int) -> DataFrame:
                    .drop("p", "data"), "jaccard-scan")
 
 
+# -- large candidate families
+
+REFINE = "p int, data binary"
+
+
+def refined(texts: DataFrame, rule: Rule, parts: int, common) -> DataFrame:
+    """Edges (a, b) between rows (node, text) that may link: they share a signature, and their sketches allow it.
+
+    Families that grew large through shared passages come apart here.  Every
+    pair that may link is compared or already connected, so no link is lost;
+    the edges of a shard are a spanning forest.
+    """
+
+    def send(batches):
+        hasher, often = SubstringHash(), common.value["data"]
+        sigs, owner, entries = [], [], []
+
+        def flush():
+            sig, own = np.concatenate(sigs), np.concatenate(owner)
+            p = (sig % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(p, kind="stable")
+            cut = np.searchsorted(p[order], np.arange(parts + 1))
+            used = np.flatnonzero(np.diff(cut))
+            blobs = []
+            for i in used:
+                rows = order[cut[i]:cut[i + 1]]
+                mine, local = np.unique(own[rows], return_inverse=True)
+                blobs.append(zstandard.ZstdCompressor(level=1).compress(
+                    pickle.dumps((sig[rows], local.astype(np.int32), [entries[k] for k in mine]))))
+            return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(blobs, pa.binary())], names=["p", "data"])
+
+        for b in slices(batches):
+            for node, text in zip(b.column("node").to_pylist(), b.column("text").to_pylist()):
+                s = shingles(text, rule.words, hasher)
+                for differ, sig in class_signatures(s, ~is_member(s, often), rule):
+                    sigs.append(sig)
+                    owner.append(np.full(len(sig), len(entries)))
+                    entries.append((node, len(s), sketch(s, differ)))
+                if len(entries) >= 4000:
+                    yield flush()
+                    sigs, owner, entries = [], [], []
+        if entries:
+            yield flush()
+
+    def compare(batches):
+        sigs, owner, entries = [], [], []
+        for b in batches:
+            for data in b.column("data").to_pylist():
+                sig, own, more = pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+                sigs.append(sig)
+                owner.append(own + len(entries))
+                entries += more
+        if not entries:
+            return
+        sig, own = np.concatenate(sigs), np.concatenate(owner)
+        order = np.lexsort((own, sig))
+        sig, own = sig[order], own[order]
+        edge = np.append(np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1]))), len(sig))
+        nodes, label = np.unique([e[0] for e in entries], return_inverse=True)
+        node_of, size = label.copy(), np.array([e[1] for e in entries])
+        out = []
+        for k in np.flatnonzero(np.diff(edge) > 1):
+            group = own[edge[k]:edge[k + 1]]
+            if (label[node_of[group]] == label[node_of[group[0]]]).all():
+                continue
+            bits = np.array([np.frombuffer(entries[e][2], np.uint64) for e in group])  # one class: equal lengths
+            for i in range(len(group) - 1):
+                mine = node_of[group[i]]
+                rest = i + 1 + np.flatnonzero(label[node_of[group[i + 1:]]] != label[mine])
+                a, b = size[group[i]], size[group[rest]]
+                most = a + b - 2 * rule.overlap(a, b)
+                near = np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1, dtype=np.int64) <= most
+                for e in group[rest[near]]:
+                    x, y = label[mine], label[node_of[e]]
+                    if x != y:
+                        out.append((nodes[mine], nodes[node_of[e]]))
+                        label[label == y] = x
+        yield pa.RecordBatch.from_pydict({"a": pa.array([int(x) for x, _ in out], pa.int64()),
+                                          "b": pa.array([int(y) for _, y in out], pa.int64())})
+
+    return written(texts.select("node", "text").mapInArrow(send, REFINE).repartitionById(parts, F.col("p"))
+                   .mapInArrow(compare, "a long, b long"), "jaccard-refined")
+
+
 # -- verification
 
 class PrefixTree:
@@ -347,10 +444,10 @@ def verified(groups: DataFrame, rule: Rule, parts: int) -> DataFrame:
     A group g is compared within itself, or, where ``two``, side 0 with side 1.
     """
 
-    def links(rows, two, hasher):
+    def links(rows, two):
         side = {0: [], 1: []}
-        for x, node, text in rows:
-            side[x].append((node, shingles(text, rule.words, hasher)))
+        for x, node, s in rows:
+            side[x].append((node, s))
         if not side[0] or two and not side[1]:
             return []
         names = [n for n, _ in side[0] + side[1]]
@@ -359,15 +456,15 @@ def verified(groups: DataFrame, rule: Rule, parts: int) -> DataFrame:
 
     def run(batches):
         hasher, current, rows, two = SubstringHash(), None, [], False
-        for b in batches:
+        for b in slices(batches):
             out = []
             for g, t, side, node, text in zip(*(b.column(c).to_pylist() for c in ("g", "two", "side", "node", "text"))):
                 if g != current:
-                    out += links(rows, two, hasher)
+                    out += links(rows, two)
                     current, rows, two = g, [], t
-                rows.append((side, node, text))
+                rows.append((side, node, shingles(text, rule.words, hasher)))
             yield edge_batch(out)
-        yield edge_batch(links(rows, two, hasher))
+        yield edge_batch(links(rows, two))
 
     def edge_batch(out):
         return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], pa.int64()),
@@ -385,23 +482,49 @@ def _halves(members: DataFrame, blocks: str) -> DataFrame:
             .withColumn("side", (F.col("block") > F.col("j")).cast("int")))
 
 
-def links(docs: DataFrame, members: DataFrame, rule: Rule, parts: int, group: int = GROUP, pivots: int = 16) -> DataFrame:
+def sized(members: DataFrame) -> DataFrame:
+    """Rows with (comp, n) and ``blocks``: how many tasks' shares their component makes; single rows leave."""
+    sizes = written(members.groupBy("comp").agg(F.count("*").alias("size"), F.sum("n").alias("elements"))
+                    .where(F.col("size") > 1)
+                    .select("comp", F.ceil(F.greatest(F.col("size") / GROUP, F.col("elements") / ELEMENTS)).cast("int")
+                            .alias("blocks")), "jaccard-sizes")
+    return members.join(sizes, "comp")
+
+
+def links(docs: DataFrame, members: DataFrame, rule: Rule, parts: int, common, pivots: int = 16) -> DataFrame:
     """Links (a, b) that connect the linked sets of each candidate component.
 
-    members: (comp, node, size).  Small components are compared whole.  A
-    large one is dealt into blocks: all blocks meet some pivots first; then
-    only the sets that no pivot connects to the largest part meet every block.
+    members: (comp, node, n).  Components of one task's share are compared
+    whole.  Larger ones are first refined by sketches.  What stays large is
+    dealt into blocks: all blocks meet some pivots, then only the sets that no
+    pivot connects to the largest part meet every block.
     """
     texts = docs.select("doc_id", "text")
-    rows = texts.join(members, texts.doc_id == members.node).select("comp", "node", "size", "text")
-    small = rows.where(F.col("size") <= group)
-    out = verified(small.select(F.col("comp").cast("string").alias("g"), F.lit(False).alias("two"),
-                                F.lit(0).alias("side"), "node", "text"), rule, parts)
-    if not members.where(F.col("size") > group).head(1):
+    rows = sized(members)
+    rows = written(texts.join(rows, texts.doc_id == rows.node).select("comp", "node", "n", "blocks", "text"), "jaccard-texts")
+    out, rows = _whole(rows, rule, parts)
+    if rows is None:
         return out
-    blocks = F.ceil(F.col("size") / group).cast("int")
-    big = written(rows.where(F.col("size") > group).withColumn("blocks", blocks)
-                  .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "jaccard-large")
+    parted = components(refined(rows, rule, parts, common)).withColumnRenamed("component", "comp")
+    rows = rows.drop("comp", "blocks").join(parted, "node")
+    sizes = sized(rows.select("comp", "n")).select("comp", "blocks").distinct()
+    rows = written(rows.join(sizes, "comp"), "jaccard-texts")
+    more, rows = _whole(rows, rule, parts)
+    out = out.unionByName(more)
+    return out if rows is None else out.unionByName(_blockwise(rows, rule, parts, pivots))
+
+
+def _whole(rows: DataFrame, rule: Rule, parts: int) -> tuple[DataFrame, DataFrame | None]:
+    """(links of the components of one block, rows of the larger ones or None)"""
+    one = rows.where(F.col("blocks") == 1)
+    out = verified(one.select(F.col("comp").cast("string").alias("g"), F.lit(False).alias("two"),
+                              F.lit(0).alias("side"), "node", "text"), rule, parts)
+    large = rows.where(F.col("blocks") > 1)
+    return out, large if large.head(1) else None
+
+
+def _blockwise(rows: DataFrame, rule: Rule, parts: int, pivots: int) -> DataFrame:
+    big = written(rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "jaccard-large")
     turn = F.row_number().over(Window.partitionBy("comp").orderBy(F.xxhash64("node", F.lit(1)), "node"))
     heads = written(big.select("comp", "node").withColumn("turn", turn).where(F.col("turn") <= pivots)
                     .select("comp", "node"), "jaccard-pivots")
@@ -410,21 +533,20 @@ def links(docs: DataFrame, members: DataFrame, rule: Rule, parts: int, group: in
              .unionByName(big.withColumn("side", F.lit(1))))
     found = verified(first.select(F.concat_ws(":", "comp", "block").alias("g"), F.lit(True).alias("two"), "side", "node",
                                   "text"), rule, parts)
-    part = components(found)
-    held = written(big.select("comp", "node").join(part, "node", "left")
+    held = written(big.select("comp", "node").join(components(found), "node", "left")
                    .withColumn("part", F.coalesce("component", "node")).select("comp", "node", "part"), "jaccard-parts")
     top = (held.groupBy("comp", "part").count()
            .groupBy("comp").agg(F.max_by("part", F.struct("count", "part")).alias("top")))
-    rest = held.join(top, "comp").where(F.col("part") != F.col("top"))
+    rest = written(held.join(top, "comp").where(F.col("part") != F.col("top")).select("comp", "node", F.lit(True).alias("left")),
+                   "jaccard-left")
+    if not rest.head(1):
+        return found
     n_rest = written(rest.groupBy("comp").agg(F.count("*").alias("n_rest")), "jaccard-rest")
-    out = out.unionByName(found)
-    if not n_rest.head(1):
-        return out
     # the sets left over, in blocks of their own, against each other and against the largest part's blocks
-    marked = (big.join(written(rest.select("comp", "node", F.lit(True).alias("left")), "jaccard-left"),
-                       ["comp", "node"], "left")
-              .join(n_rest, "comp").withColumn("left", F.coalesce("left", F.lit(False)))
-              .withColumn("rest_blocks", F.ceil(F.col("n_rest") / group).cast("int")))
+    share = F.ceil(F.col("n_rest") / F.greatest(F.lit(1), F.least(F.lit(GROUP), F.floor(F.col("n_comp") / F.col("blocks")))))
+    n_comp = written(held.groupBy("comp").agg(F.count("*").alias("n_comp")), "jaccard-rest")
+    marked = (big.join(rest, ["comp", "node"], "left").join(n_rest, "comp").join(n_comp, "comp")
+              .withColumn("left", F.coalesce("left", F.lit(False))).withColumn("rest_blocks", share.cast("int")))
     among = _halves(marked.where("left").withColumn("block", F.pmod(F.xxhash64("node"), F.col("rest_blocks")).cast("int")),
                     "rest_blocks").withColumn("g", F.concat_ws(":", F.lit("r"), "g"))
     pair = F.explode(F.sequence(F.lit(0), F.when(F.col("left"), F.col("blocks")).otherwise(F.col("rest_blocks")) - 1))
@@ -433,7 +555,7 @@ def links(docs: DataFrame, members: DataFrame, rule: Rule, parts: int, group: in
                            .otherwise(F.concat_ws(":", F.lit("s"), "comp", "other", "block")))
                .withColumn("two", F.lit(True)).withColumn("side", (~F.col("left")).cast("int")))
     cols = ["g", "two", "side", "node", "text"]
-    return out.unionByName(verified(among.select(cols).unionByName(against.select(cols)), rule, parts))
+    return found.unionByName(verified(among.select(cols).unionByName(against.select(cols)), rule, parts))
 
 
 def join(docs: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -445,17 +567,16 @@ def join(docs: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    seen = scan(docs, rule, parts)
+    common = broadcast(docs.sparkSession, common_shingles(docs, rule))
+    seen = scan(docs, rule, parts, common)
     rows = seen.where(F.col("kind") == DOC).select("doc_id", "n", "k")
     sets = written(rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-                   .groupBy("k").agg(F.min("doc_id").alias("node")), "jaccard-sets")
+                   .groupBy("k").agg(F.min("doc_id").alias("node"), F.max("n").alias("n")), "jaccard-sets")
     near = components(seen.where(F.col("kind") == EDGE).select("a", "b"))
     members = sets.withColumn("name", F.col("k").bitwiseAND(F.lit((1 << 48) - 1))).join(
-        near.withColumnRenamed("node", "name"), "name").select(F.col("component").alias("comp"), "node").distinct()
-    members = written(members, "jaccard-members")
-    sizes = written(members.groupBy("comp").agg(F.count("*").alias("size")).where(F.col("size") > 1), "jaccard-sizes")
-    members = written(members.join(sizes, "comp"), "jaccard-members")
-    final = components(links(docs, members, rule, parts))
+        near.withColumnRenamed("node", "name"), "name").groupBy("component", "node").agg(F.max("n").alias("n"))
+    members = written(members.withColumnRenamed("component", "comp"), "jaccard-members")
+    final = components(links(docs, members, rule, parts, common))
     labels = written(sets.join(final, "node", "left").select("k", F.coalesce("component", "node").alias("component_id")),
                      "jaccard-labels")
     out = rows.join(labels, "k", "left")

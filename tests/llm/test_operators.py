@@ -162,11 +162,11 @@ def test_jaccard_borderline_and_large_groups(spark, monkeypatch):
         for _ in range(25):
             texts[len(texts)] = " ".join(edited(rng, base, rng.choice([0, 0.01, 0.02, 0.03, 0.05])))
     want = brute.jaccard(texts)
-    monkeypatch.setattr(jaccard, "GROUP", 512)
     rows = frame(spark, texts.items()).repartition(6)
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(rows).collect()} == want
-    whole = jaccard.links
-    monkeypatch.setattr(jaccard, "links", lambda *a: whole(*a, group=6, pivots=2))
+    whole, monkeypatched = jaccard.links, monkeypatch.setattr
+    monkeypatched(jaccard, "GROUP", 6)
+    monkeypatched(jaccard, "links", lambda *a: whole(*a, pivots=2))
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(rows).collect()} == want
 
 

@@ -9,6 +9,7 @@ the total budget.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -19,15 +20,15 @@ from landfall.llm.common import table, written
 
 WEIGHTS, SHARE, REPEATS = (3.0, 1.0, 2.0), 1.5, 2
 #: Documents in one piece of a running total.
-PIECE = 8192
-BLANK = r" \t\n\x0B\f\r"
+PIECE = 1024
+BLANK = " \t\n\x0b\x0c\r"
 
 
 def n_words(text: Column) -> Column:
     """Number of runs of characters other than ASCII white space; 0 for null."""
-    bare = F.regexp_replace(text, f"^[{BLANK}]+", "")
+    bare = F.btrim(text, F.lit(BLANK))
     return F.when(F.coalesce(F.length(bare), F.lit(0)) == 0, 0).otherwise(
-        F.size(F.split(F.regexp_replace(bare, f"[{BLANK}]+$", ""), f"[{BLANK}]+"))).cast("long")
+        F.size(F.split(bare, r"[ \t\n\x0B\f\r]+"))).cast("long")
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
@@ -120,28 +121,43 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
                     .withColumn("finish", F.when(F.col("target") > 0, F.col("total") / F.col("target")))
                     .withColumn("lap", F.when(F.col("target") > 0, F.col("source_size") / F.col("target")))
                     .drop("total", "piece"), "mix-times")
-    return Mix(times, named, _horizon(times, budget, max(64, 4 * pieces)))
+    return Mix(times, named, _horizon(times, budget))
 
 
-def _horizon(times: DataFrame, budget: float, bins: int) -> float:
+def _horizon(times: DataFrame, budget: float, ranges: int = 1024) -> float:
     """The last finish time before the words taken pass the budget.
 
-    Copies are counted in narrow ranges of finish time; only the range where
-    the budget ends is ordered in full.
+    Copies are counted by ranges of finish time; the range where the budget
+    ends is cut into ranges again, until it holds one time or few rows, which
+    are then ordered.
     """
-    copies = times.where(F.col("size") > 0).select(
+    copies = times.where((F.col("size") > 0) & (F.col("target") > 0)).select(
         F.explode(F.array(*[F.col("finish") + e * F.col("lap") for e in range(REPEATS)])).alias("at"), "size")
-    copies = copies.where(F.col("at").isNotNull()).withColumn("bin", F.least(F.floor(F.col("at") * bins), F.lit(4 * bins)))
-    upto = Window.orderBy("bin")
-    sums = written(copies.groupBy("bin").agg(F.sum("size").alias("n")), "mix-bins")
-    over = sums.withColumn("upto", F.sum("n").over(upto)).where(F.col("upto") > budget + 1e-6)
-    last = over.orderBy("bin").first()
-    if last is None:
+    low, high, taken = 0.0, copies.agg(F.max("at")).first()[0], 0
+    if high is None:
         return float("inf")
-    inside = copies.where(F.col("bin") == last["bin"]).groupBy("at").agg(F.sum("size").alias("n"))
-    fits = (inside.withColumn("upto", F.sum("n").over(Window.orderBy("at")) + F.lit(last["upto"] - last["n"]))
+    for _ in range(6):  # beyond, a range is narrower than a double's last digits
+        width = (high - low) / ranges
+        inside = copies.where((F.col("at") >= low) & (F.col("at") <= high))
+        if width <= 0:
+            break
+        number = F.least(F.floor((F.col("at") - low) / width), F.lit(ranges - 1))
+        sums = (inside.groupBy(number.alias("k")).agg(F.sum("size").alias("n"), F.min("at").alias("low"), F.max("at").alias("high"),
+                                                      F.count("*").alias("rows")).orderBy("k").collect())  # ``ranges`` rows at most
+        for r in sums:
+            if taken + r["n"] > budget + 1e-6:
+                break
+            taken += r["n"]
+        else:
+            return float("inf")
+        low, high = r["low"], r["high"]
+        if r["rows"] <= PIECE or low == high:
+            break
+    inside = copies.where((F.col("at") >= low) & (F.col("at") <= high)).groupBy("at").agg(F.sum("size").alias("n"))
+    fits = (inside.withColumn("upto", F.sum("n").over(Window.orderBy("at")) + F.lit(taken))
             .where(F.col("upto") <= budget + 1e-6).agg(F.max("at")).first()[0])
-    return fits if fits is not None else last["bin"] / bins
+    # nothing of the range fits: the horizon is just before it
+    return fits if fits is not None else math.nextafter(low, -1.0)
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:

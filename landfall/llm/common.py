@@ -32,6 +32,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def most_frequent(df: DataFrame, count: str, limit: int) -> DataFrame:
+    """The rows of the largest counts (1 or more), at most ``limit`` of them, without a global sort.
+
+    Counts fall into narrow logarithmic ranges; a range is taken whole or not.
+    """
+    number = F.floor(F.log2(count) * 16)
+    lowest, taken = None, 0
+    for r in df.groupBy(number.alias("k")).count().orderBy(F.desc("k")).collect():  # 1,024 ranges at most
+        if taken + r["count"] > limit:
+            break
+        lowest, taken = r["k"], taken + r["count"]
+    return df.where(F.lit(False) if lowest is None else number >= lowest)
+
+
 def slices(batches, rows: int = 512):
     """Arrow batches in slices, so that few texts are Python objects at a time."""
     for b in batches:

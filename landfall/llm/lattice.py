@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm.common import SubstringHash, broadcast, crc_mod, kept, mix64, signed, slices, table, written
+from landfall.llm.common import SubstringHash, broadcast, crc_mod, kept, mix64, most_frequent, signed, slices, table, written
 from landfall.llm.jaccard import LOWER
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -322,8 +322,8 @@ class Model:
                     pa.array(lattice.log_probability(ws) / LOG10)], names=["h", "n", "seen", "by", "spelled"])
 
         self.words = written(counts.mapInArrow(spell, "h long, n long, seen long, by array<long>, spelled double"), "lm-spelled")
-        edge = self.words.orderBy(F.desc("seen"), "h").limit(head)
-        self.head = edge.select("h", "n", "by", "spelled").toArrow()  # at most ``head`` rows
+        often = most_frequent(self.words, "seen", head)
+        self.head = often.select("h", "n", "by", "spelled").toArrow()  # at most ``head`` rows
 
 
 def counts_by_group(column, n_groups: int) -> np.ndarray:

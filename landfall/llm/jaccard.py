@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from landfall.llm.common import SubstringHash, broadcast, mix64, signed, slices, table, written
+from landfall.llm.common import SubstringHash, broadcast, mix64, most_frequent, signed, slices, table, written
 from landfall.llm.components import components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -133,7 +133,8 @@ def common_shingles(docs: DataFrame, rule: Rule) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(c.astype(np.int64))], names=["h", "n"])
 
     rows = (sample.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= COMMON_IN).orderBy(F.desc("n"), "h").limit(MAX_COMMON).select("h").toArrow())
+            .where(F.col("n") >= COMMON_IN))
+    rows = most_frequent(written(rows, "jaccard-common"), "n", MAX_COMMON).select("h").toArrow()
     return np.sort(rows.column("h").to_numpy().astype(np.int64).view(np.uint64))
 
 

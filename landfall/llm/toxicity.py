@@ -244,8 +244,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
     Ids without a label, null ids and null labels teach nothing; a row labelled twice is toxic if either says so.
     """
-    ids = (labels.where(F.col("toxic").isNotNull() & (crc_mod("doc_id", 5) != 0))
-           .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    usable = labels.where(F.col("toxic").isNotNull() & (crc_mod("doc_id", 5) != 0))
+    # few more than the limit by their hash, so that the final sort is small
+    share = min(1.0, 2 * limit / max(1, usable.count()))
+    if share < 1:
+        usable = usable.where(F.xxhash64("doc_id") <= F.lit(int(-(1 << 63) + share * (1 << 64))))
+    ids = (usable.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return written(rows.join(F.broadcast(ids), "doc_id").select("text", "toxic"), "labelled")

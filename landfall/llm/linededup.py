@@ -2,8 +2,8 @@
 
 Distinct line keys are counted over all documents; the frequent ones are laid
 out in shards, each a minimal perfect hash over its keys with an array of
-fingerprints and one of keepers.  Documents probe the arrays; no line is
-joined.
+fingerprints and one of keepers.  The documents' distinct line keys travel to
+the shards and are probed there; the hits travel to the documents' pieces.
 """
 
 from __future__ import annotations
@@ -18,11 +18,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import broadcast, kept, mix64, slices, table, written
+from landfall.llm.common import mix64, signed, slices, table, written
 
 MIN_CHARS, MIN_DOCS = 40, 5
-#: Keys of one shard (some 40 bytes each in use), and shards of one broadcast.
-SHARD_KEYS, PASS_SHARDS = 1 << 16, 32
+#: Keys of one shard (some 40 bytes each in use), and frequent keys of one piece of the documents (24 bytes each).
+SHARD_KEYS, PIECE_KEYS = 1 << 16, 1 << 16
 #: Stands for a null doc_id: smaller than any other.
 NO_ID = -(1 << 63)
 BLANK = " \t\n\x0b\x0c\r"
@@ -140,39 +140,95 @@ class LineIndex:
     """Shards over the lines of at least ``min_chars`` found in at least ``min_docs`` documents.
 
     A document is a row: repeated rows count as often as they come.  Shards
-    are built in tasks and kept in a written table; the driver passes them on
-    in groups of ``PASS_SHARDS`` and never holds more than one group.
+    are built in tasks and kept in a written table; none passes the driver.
+    Documents are dealt into pieces by a hash of id and text.  A piece asks
+    for each of its distinct lines once, so a line that very many documents
+    hold is asked for once a piece; a task holds one shard or the frequent
+    lines of one piece at a time.
     """
 
     def __init__(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                 min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, shard_keys: int = SHARD_KEYS):
-        spark = docs.sparkSession
+                 min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, shard_keys: int = SHARD_KEYS,
+                 piece_keys: int = PIECE_KEYS):
         self.min_chars = min_chars
         frequent = written(line_counts(docs, doc_id, text, min_chars).where(F.col("n_docs") >= min_docs), "lines")
-        n = frequent.count()
-        self.n_shards = max(1, -(-2 * n // shard_keys))
+        size = frequent.agg(F.count("*").alias("n"), F.coalesce(F.sum("n_docs"), F.lit(0)).alias("held")).first()
+        self.parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # whole multiples of the partitions, so that shards and pieces are dealt evenly
+        self.n_shards = self.parts * max(1, -(-2 * size["n"] // (shard_keys * self.parts)))
+        self.n_pieces = self.parts * max(1, -(-size["held"] // (piece_keys * self.parts)))
 
         def build(pdf: pd.DataFrame) -> pd.DataFrame:
             s = Shard(pdf["hi"].to_numpy().view(np.uint64), pdf["lo"].to_numpy().view(np.uint64),
                       pdf["n_docs"].to_numpy(), pdf["keeper"].to_numpy())
             return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "data": [s.dump()]})
 
-        shards = written(frequent.withColumn("shard", F.pmod(F.col("hi"), F.lit(self.n_shards)))
-                         .groupBy("shard").applyInPandas(build, "shard long, data binary"), "line-shards")
-        self.passes = []
-        for k in range(0, self.n_shards, PASS_SHARDS):
-            group = shards.where((F.col("shard") >= k) & (F.col("shard") < k + PASS_SHARDS))
-            self.passes.append(broadcast(spark, {r["shard"]: bytes(r["data"]) for r in group.toLocalIterator()}))
+        self.shards = written(frequent.withColumn("shard", F.pmod(F.col("hi"), F.lit(self.n_shards)))
+                              .groupBy("shard").applyInPandas(build, "shard long, data binary"), "line-shards")
 
-    def marker(self):
-        """A function for tasks: batches' ids and texts to one list of dropped-line masks."""
-        passes, n_shards, min_chars = self.passes, self.n_shards, self.min_chars
+    def asked(self, docs: DataFrame) -> DataFrame:
+        """Distinct (piece, hi, lo) of the long lines of rows (piece, text)."""
+        min_chars = self.min_chars
 
-        def shards():
-            for b in passes:
-                yield from kept(b, lambda data: {k: Shard.load(v) for k, v in data.items()}).items()
+        def run(batches):
+            seen: set = set()
+
+            def out():
+                rows = list(seen)
+                seen.clear()
+                keys = np.array([(h, l) for _, h, l in rows], np.uint64).reshape(-1, 2)
+                return pa.RecordBatch.from_arrays([pa.array([p for p, _, _ in rows], pa.int64()),
+                                                   pa.array(signed(keys[:, 0])), pa.array(signed(keys[:, 1]))],
+                                                  names=["piece", "hi", "lo"])
+
+            for b in slices(batches):
+                for p, t in zip(b.column("piece").to_pylist(), b.column("text").to_pylist(), strict=True):
+                    seen.update((p, *k) for k in line_keys(t, min_chars) if k is not None)
+                if len(seen) > 200_000:
+                    yield out()
+            if seen:
+                yield out()
+
+        return docs.mapInArrow(run, "piece long, hi long, lo long").distinct()
+
+    def found(self, asked: DataFrame) -> DataFrame:
+        """(piece, hi, lo, keeper) of the keys that a shard holds; each shard is probed in one task beside its keys."""
 
-        def mark(ids: list, texts: list) -> list[np.ndarray]:
+        def run(batches):
+            shard, s = None, None
+            for b in batches:
+                of, data = b.column("shard").to_numpy(), b.column("data")
+                edge = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))) if len(of) else []
+                for lo, hi in zip(edge, [*edge[1:], len(of)]):
+                    if of[lo] != shard:
+                        shard, s = of[lo], None
+                    if data[lo].is_valid:  # a shard comes before its keys
+                        s = Shard.load(data[lo].as_py())
+                        lo += 1
+                    if s is None or lo == hi:
+                        continue
+                    rows = b.slice(lo, hi - lo)
+                    ok, keeper = s.probe(*(rows.column(c).to_numpy().view(np.uint64) for c in ("hi", "lo")))
+                    at = pa.array(np.flatnonzero(ok))
+                    yield pa.RecordBatch.from_arrays([*(rows.column(c).take(at) for c in ("piece", "hi", "lo")),
+                                                      pa.array(keeper[ok])], names=["piece", "hi", "lo", "keeper"])
+
+        none = F.lit(None).cast("long")
+        rows = (self.shards.select("shard", "data", none.alias("piece"), none.alias("hi"), none.alias("lo"))
+                .unionByName(asked.select(F.pmod(F.col("hi"), F.lit(self.n_shards)).alias("shard"),
+                                          F.lit(None).cast("binary").alias("data"), "piece", "hi", "lo")))
+        return (rows.repartitionById(self.parts, F.pmod("shard", F.lit(self.parts)).cast("int"))
+                .sortWithinPartitions("shard", F.col("piece").asc_nulls_first())
+                .mapInArrow(run, "piece long, hi long, lo long, keeper long"))
+
+    def _marked(self, docs: DataFrame, doc_id: str, text: str, result, schema) -> DataFrame:
+        """``result`` of each batch of ``docs`` and its lists of dropped-line masks."""
+        min_chars = self.min_chars
+        fields = docs.columns
+        rows = docs.select(F.pmod(F.xxhash64(doc_id, text), F.lit(self.n_pieces)).alias("piece"), F.struct("*").alias("row"))
+        hits = self.found(self.asked(rows.select("piece", F.col(f"row.{text}").alias("text"))))
+
+        def mark(ids: list, texts: list, hi: np.ndarray, lo: np.ndarray, keeper: np.ndarray) -> list[np.ndarray]:
             masks, keys, where = [], [], []
             for i, t in enumerate(texts):
                 row = line_keys(t, min_chars)
@@ -181,54 +237,73 @@ class LineIndex:
                     if k is not None:
                         keys.append(k)
                         where.append((i, j))
-            if not keys:
+            if not keys or not len(hi):
                 return masks
             keys, where = np.array(keys, np.uint64), np.array(where, np.int64)
             own = np.array([NO_ID if x is None else x for x in ids], np.int64)[where[:, 0]]
-            shard_of = keys[:, 0].view(np.int64) % n_shards  # numpy's % of negatives is pmod
-            for shard, s in shards():
-                at = np.flatnonzero(shard_of == shard)
-                ok, keeper = s.probe(keys[at, 0], keys[at, 1])
-                for i, j in where[at[ok & (keeper != own[at])]]:
+            # hits lie in order of (lo, hi); equal lo with another hi is next to never, so step on while any is left
+            at = np.searchsorted(lo, keys[:, 1])
+            for _ in range(int(np.unique(lo, return_counts=True)[1].max())):
+                got = np.minimum(at, len(lo) - 1)
+                same = (lo[got] == keys[:, 1]) & (hi[got] == keys[:, 0])
+                for i, j in where[same & (keeper[got] != own)]:
                     masks[i][j] = True
+                at = at + 1
             return masks
 
-        return mark
+        def run(batches):
+            piece, parts, index = None, [], None
+            for b in batches:
+                of, keys = b.column("piece").to_numpy(), b.column("row").is_null().to_numpy(zero_copy_only=False)
+                edge = (np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (keys[1:] != keys[:-1]))))
+                        if len(of) else [])
+                for start, end in zip(edge, [*edge[1:], len(of)]):
+                    if of[start] != piece:
+                        piece, parts, index = of[start], [], None
+                    here = b.slice(start, end - start)
+                    if keys[start]:  # a piece's hits come before its documents
+                        parts.append([here.column(c).to_numpy() for c in ("hi", "lo", "keeper")])
+                        continue
+                    if index is None:
+                        hi, lo, keeper = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*parts) if parts else [()] * 3))
+                        hi, lo = hi.view(np.uint64), lo.view(np.uint64)
+                        order = np.lexsort((hi, lo))
+                        index, parts = (hi[order], lo[order], keeper[order]), []
+                    for x in slices([here]):
+                        x = pa.RecordBatch.from_arrays(x.column("row").flatten(), names=fields)
+                        texts = x.column(text).to_pylist()
+                        yield result(x, texts, mark(x.column(doc_id).to_pylist(), texts, *index))
+
+        nulls = [F.lit(None).cast("long").alias(c) for c in ("hi", "lo", "keeper")]
+        both = (hits.select("piece", "hi", "lo", "keeper", F.lit(None).cast(rows.schema["row"].dataType).alias("row"))
+                .unionByName(rows.select("piece", *nulls, "row")))
+        return (both.repartitionById(self.parts, F.pmod("piece", F.lit(self.parts)).cast("int"))
+                .sortWithinPartitions("piece", F.col("row").isNotNull()).mapInArrow(run, schema))
 
     def dedup(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """``docs``, all columns, with the repeated lines taken out of the text.
 
         A text that loses nothing stays as it is (null stays null).
         """
-        mark = self.marker()
-
-        def run(batches):
-            for b in slices(batches):
-                texts = b.column(text).to_pylist()
-                masks = mark(b.column(doc_id).to_pylist(), texts)
-                at = b.schema.get_field_index(text)
-                yield b.set_column(at, b.schema.field(at), pa.array([left(t, m) for t, m in zip(texts, masks)],
-                                                                    b.schema.field(at).type))
+        def result(b, texts, masks):
+            at = b.schema.get_field_index(text)
+            return b.set_column(at, b.schema.field(at), pa.array([left(t, m) for t, m in zip(texts, masks)],
+                                                                 b.schema.field(at).type))
 
-        return docs.mapInArrow(run, docs.schema)
+        return self._marked(docs, doc_id, text, result, docs.schema)
 
     def report(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """Per document: lines, lines dropped, SHA-256 of what is left (null and empty: one empty line)."""
-        mark = self.marker()
-
-        def run(batches):
-            for b in slices(batches):
-                texts = b.column("text").to_pylist()
-                masks = mark(b.column("doc_id").to_pylist(), texts)
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": b.column("doc_id"),
-                    "n_lines": pa.array([len(m) for m in masks], pa.int64()),
-                    "n_dropped": pa.array([int(m.sum()) for m in masks], pa.int64()),
-                    "kept_sha256": pa.array([hashlib.sha256((left(t, m) or "").encode("utf-8", "replace")).hexdigest()
-                                             for t, m in zip(texts, masks)])})
+        def result(b, texts, masks):
+            return pa.RecordBatch.from_pydict({
+                "doc_id": b.column("doc_id"),
+                "n_lines": pa.array([len(m) for m in masks], pa.int64()),
+                "n_dropped": pa.array([int(m.sum()) for m in masks], pa.int64()),
+                "kept_sha256": pa.array([hashlib.sha256((left(t, m) or "").encode("utf-8", "replace")).hexdigest()
+                                         for t, m in zip(texts, masks)])})
 
         rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-        return rows.mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+        return self._marked(rows, "doc_id", "text", result, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
 def left(text: str | None, mask: np.ndarray) -> str | None:

@@ -231,6 +231,19 @@ def test_line_dedup(spark, docs, odd):
     assert all(kept[i] == (k if t is not None else None) for (i, t), (_, _, k) in zip(both, want.values()))
 
 
+def test_line_dedup_holds_no_index(spark, monkeypatch):
+    """No shard passes the driver: nothing is broadcast or collected, whatever the number of shards and pieces."""
+    lines = [f"Line {k} is repeated in many documents, and long enough to count." for k in range(300)]
+    rng = random.Random(2)
+    both = [(i, "\n".join([lines[0], *rng.sample(lines, 12), f"own {i}"])) for i in range(200)] + [(500, None), (501, "")]
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda *a: pytest.fail("broadcast"))
+    index = linededup.LineIndex(frame(spark, both), shard_keys=4, piece_keys=20)
+    assert index.n_shards > 100 and index.n_pieces > 100
+    got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in index.report(frame(spark, both)).collect()}
+    assert got == {i: (n, d, brute.sha(k)) for i, (n, d, k) in brute.line_dedup(both).items()}
+    assert index.asked(frame(spark, both).select(F.lit(1).cast("long").alias("piece"), "text")).count() == 300
+
+
 def test_perfect_hash_is_minimal():
     keys = np.unique(np.random.default_rng(0).integers(0, 2**63, 5000).astype(np.uint64))
     h = linededup.PerfectHash(keys)

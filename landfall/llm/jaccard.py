@@ -31,6 +31,8 @@ SAMPLE, COMMON_IN, MAX_COMMON = 20_000, 5, 500_000
 CLASS_RATIO = 1.5
 #: Signatures of a task packed at a time; sets, and their elements, that are compared in one task.
 FLUSH, GROUP, ELEMENTS = 1_000_000, 512, 400_000
+#: Bytes of signatures and sketches that are compared in one task at a time.
+SHARE = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -83,9 +85,9 @@ def class_signatures(s: np.ndarray, rare: np.ndarray, rule: Rule):
 
     Linked, different sets share a signature of one class: the smaller having
     at most ``hi`` elements, they differ in at most hi * (den - num) / num.  Of
-    more segments than that, enough are equal.  Segments without enough rare
-    shingles are weak; they are left out where the equal ones cannot all be
-    weak, else all count.
+    more segments than that, ``spare`` + 1 are equal.  Segments without enough
+    rare shingles are weak; up to ``spare`` of them are left out, by one order
+    for all sets: the last of the equal ones in that order always stays.
     """
     mixed = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(s))))
     rares = np.concatenate(([0], np.cumsum(rare)))
@@ -98,8 +100,10 @@ def class_signatures(s: np.ndarray, rare: np.ndarray, rule: Rule):
         segment = ((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
         edge = np.searchsorted(segment, np.arange(m + 1, dtype=np.uint64))
         sig = mix64(mixed[edge[1:]] - mixed[edge[:-1]] + mix64(np.arange(m, dtype=np.uint64) + np.uint64((c + 1) << 32)))
-        strong = rares[edge[1:]] - rares[edge[:-1]] >= (2 if rule.words < 5 else 1)
-        yield differ, sig[strong] if m - int(strong.sum()) <= spare else sig
+        rank = np.minimum(rares[edge[1:]] - rares[edge[:-1]], 2 if rule.words < 5 else 1)
+        order = np.lexsort((sig, edge[1:] - edge[:-1], rank))  # empty ones first
+        weak = int((rank < (2 if rule.words < 5 else 1)).sum())
+        yield differ, sig[np.sort(order[min(weak, spare):])]
 
 
 def segment_signatures(s: np.ndarray, rare: np.ndarray, rule: Rule) -> np.ndarray:
@@ -254,7 +258,55 @@ def scan(docs: DataFrame, rule: Rule, parts: int, common) -> DataFrame:
 
 # -- large candidate families
 
-REFINE = "p int, data binary"
+REFINE = "p long, data binary"
+
+
+def signature_sizes(texts: DataFrame, rule: Rule, common) -> DataFrame:
+    """(sig, n, bytes) of every signature of rows (node, text): sets, and bytes of their sketches; summed in the tasks first."""
+    def run(batches):
+        hasher, often = SubstringHash(), common.value["data"]
+        sigs, sizes, held = [], [], 0
+
+        def out():
+            sig, at = np.unique(np.concatenate(sigs), return_inverse=True)
+            return pa.RecordBatch.from_arrays([pa.array(signed(sig)), pa.array(np.bincount(at).astype(np.int64)),
+                                               pa.array(np.bincount(at, np.concatenate(sizes)).astype(np.int64))],
+                                              names=["sig", "n", "bytes"])
+
+        for b in slices(batches):
+            for text in b.column("text").to_pylist():
+                s = shingles(text, rule.words, hasher)
+                for differ, sig in class_signatures(s, ~is_member(s, often), rule):
+                    sigs.append(sig)
+                    sizes.append(np.full(len(sig), 32 + len(sketch(s[:0], differ))))
+                    held += len(sig)
+            if held > FLUSH:
+                yield out()
+                sigs, sizes, held = [], [], 0
+        if held:
+            yield out()
+
+    rows = texts.select("text").mapInArrow(run, "sig long, n long, bytes long")
+    return written(rows.groupBy("sig").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")), "jaccard-signatures")
+
+
+def dealt(sig: np.ndarray, node: int, hot: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(groups, sides) of a set's signatures: a hot one stands for the pairs of the set's block with every block.
+
+    Side 0 meets all of its group, sides 1 and 2 meet each other.
+    """
+    if not len(hot):
+        return sig, np.zeros(len(sig), np.int8)
+    at = np.minimum(np.searchsorted(hot, sig), len(hot) - 1)
+    is_hot = hot[at] == sig
+    groups, sides = [sig[~is_hot]], [np.zeros(int((~is_hot).sum()), np.int8)]
+    name = mix64(np.array([node], np.int64).view(np.uint64))[0]
+    for x, n in zip(sig[is_hot], blocks[at[is_hot]]):
+        other = np.arange(n, dtype=np.uint64)
+        mine = mix64(np.array([name ^ x]))[0] % np.uint64(n)
+        groups.append(mix64(mix64(x + mix64(np.minimum(mine, other) + np.uint64(1))) + np.maximum(mine, other)))
+        sides.append(np.where(other == mine, 0, np.where(other > mine, 1, 2)).astype(np.int8))
+    return np.concatenate(groups), np.concatenate(sides)
 
 
 def refined(texts: DataFrame, rule: Rule, parts: int, common) -> DataFrame:
@@ -262,80 +314,109 @@ def refined(texts: DataFrame, rule: Rule, parts: int, common) -> DataFrame:
 
     Families that grew large through shared passages come apart here.  Every
     pair that may link is compared or already connected, so no link is lost;
-    the edges of a shard are a spanning forest.
+    the edges of a share are a spanning forest.  The sets of a signature that
+    more than ``GROUP`` sets have are dealt into blocks of half that, and each
+    pair of blocks is a group of its own.  Groups are dealt into shares of
+    some ``SHARE`` bytes, and a task holds one share at a time.
     """
+    sizes = signature_sizes(texts, rule, common)
+    # a hot signature has more than GROUP rows: the list is that much shorter than the table
+    half = max(1, GROUP // 2)
+    most = sizes.where(F.col("n") > GROUP).select("sig", F.ceil(F.col("n") / half).cast("long").alias("blocks")).toArrow()
+    hot = most.column("sig").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(hot)
+    several = broadcast(texts.sparkSession, (hot[order], most.column("blocks").to_numpy().astype(np.int64)[order]))
+    volume = sizes.agg(F.sum(F.col("bytes") * F.when(F.col("n") > GROUP, F.ceil(F.col("n") / half)).otherwise(1))).first()[0] or 0
+    shares = parts * max(1, -(-int(volume) // (SHARE * parts)))
 
     def send(batches):
         hasher, often = SubstringHash(), common.value["data"]
-        sigs, owner, entries = [], [], []
+        hot, blocks = several.value["data"]
+        sigs, sides, owner, entries, held = [], [], [], [], 0
 
         def flush():
-            sig, own = np.concatenate(sigs), np.concatenate(owner)
-            p = (sig % np.uint64(parts)).astype(np.int64)
+            sig, side, own = np.concatenate(sigs), np.concatenate(sides), np.concatenate(owner)
+            p = (sig % np.uint64(shares)).astype(np.int64)
             order = np.argsort(p, kind="stable")
-            cut = np.searchsorted(p[order], np.arange(parts + 1))
-            used = np.flatnonzero(np.diff(cut))
-            blobs = []
-            for i in used:
-                rows = order[cut[i]:cut[i + 1]]
+            edge = np.append(np.flatnonzero(np.concatenate(([True], np.diff(p[order]) != 0))), len(p))
+            names, blobs = [], []
+            for lo, hi in zip(edge[:-1], edge[1:]):
+                rows = order[lo:hi]
                 mine, local = np.unique(own[rows], return_inverse=True)
+                names.append(int(p[rows[0]]))
                 blobs.append(zstandard.ZstdCompressor(level=1).compress(
-                    pickle.dumps((sig[rows], local.astype(np.int32), [entries[k] for k in mine]))))
-            return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(blobs, pa.binary())], names=["p", "data"])
+                    pickle.dumps((sig[rows], side[rows], local.astype(np.int32), [entries[k] for k in mine]))))
+                if len(blobs) >= 1000:
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], names=["p", "data"])
+                    names, blobs = [], []
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], names=["p", "data"])
 
         for b in slices(batches):
             for node, text in zip(b.column("node").to_pylist(), b.column("text").to_pylist()):
                 s = shingles(text, rule.words, hasher)
                 for differ, sig in class_signatures(s, ~is_member(s, often), rule):
+                    sig, side = dealt(sig, node, hot, blocks)
                     sigs.append(sig)
+                    sides.append(side)
                     owner.append(np.full(len(sig), len(entries)))
                     entries.append((node, len(s), sketch(s, differ)))
-                if len(entries) >= 4000:
-                    yield flush()
-                    sigs, owner, entries = [], [], []
+                    held += len(sig)
+                if len(entries) >= 4000 or held > FLUSH:
+                    yield from flush()
+                    sigs, sides, owner, entries, held = [], [], [], [], 0
         if entries:
-            yield flush()
+            yield from flush()
 
     def compare(batches):
-        sigs, owner, entries = [], [], []
+        share, sigs, sides, owner, entries = None, [], [], [], []
         for b in batches:
-            for data in b.column("data").to_pylist():
-                sig, own, more = pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+            for p, data in zip(b.column("p").to_pylist(), b.column("data")):
+                if p != share and entries:
+                    yield compared(np.concatenate(sigs), np.concatenate(sides), np.concatenate(owner), entries, rule)
+                    sigs, sides, owner, entries = [], [], [], []
+                share = p
+                sig, side, own, more = pickle.loads(zstandard.ZstdDecompressor().decompress(data.as_py()))
                 sigs.append(sig)
+                sides.append(side)
                 owner.append(own + len(entries))
                 entries += more
-        if not entries:
-            return
-        sig, own = np.concatenate(sigs), np.concatenate(owner)
-        order = np.lexsort((own, sig))
-        sig, own = sig[order], own[order]
-        edge = np.append(np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1]))), len(sig))
-        nodes, label = np.unique([e[0] for e in entries], return_inverse=True)
-        node_of, size = label.copy(), np.array([e[1] for e in entries])
-        out = []
-        for k in np.flatnonzero(np.diff(edge) > 1):
-            group = own[edge[k]:edge[k + 1]]
-            if (label[node_of[group]] == label[node_of[group[0]]]).all():
-                continue
-            bits = np.array([np.frombuffer(entries[e][2], np.uint64) for e in group])  # one class: equal lengths
-            for i in range(len(group) - 1):
-                mine = node_of[group[i]]
-                rest = i + 1 + np.flatnonzero(label[node_of[group[i + 1:]]] != label[mine])
-                a, b = size[group[i]], size[group[rest]]
-                most = a + b - 2 * rule.overlap(a, b)
-                near = np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1, dtype=np.int64) <= most
-                for e in group[rest[near]]:
-                    x, y = label[mine], label[node_of[e]]
-                    if x != y:
-                        out.append((nodes[mine], nodes[node_of[e]]))
-                        label[label == y] = x
-        yield pa.RecordBatch.from_pydict({"a": pa.array([int(x) for x, _ in out], pa.int64()),
-                                          "b": pa.array([int(y) for _, y in out], pa.int64())})
-
-    return written(texts.select("node", "text").mapInArrow(send, REFINE).repartitionById(parts, F.col("p"))
+        if entries:
+            yield compared(np.concatenate(sigs), np.concatenate(sides), np.concatenate(owner), entries, rule)
+
+    return written(texts.select("node", "text").mapInArrow(send, REFINE)
+                   .repartitionById(parts, F.pmod("p", F.lit(parts)).cast("int")).sortWithinPartitions("p")
                    .mapInArrow(compare, "a long, b long"), "jaccard-refined")
 
 
+def compared(sig: np.ndarray, side: np.ndarray, own: np.ndarray, entries: list, rule: Rule) -> pa.RecordBatch:
+    """Spanning edges of a share: rows (sig, side, own) and entries (node, size, sketch)."""
+    order = np.lexsort((own, sig))
+    sig, side, own = sig[order], side[order], own[order]
+    edge = np.append(np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1]))), len(sig))
+    nodes, node_of = np.unique([e[0] for e in entries], return_inverse=True)
+    label, size = np.arange(len(nodes)), np.array([e[1] for e in entries])
+    out = []
+    for k in np.flatnonzero(np.diff(edge) > 1):
+        group, sides = own[edge[k]:edge[k + 1]], side[edge[k]:edge[k + 1]]
+        if (label[node_of[group]] == label[node_of[group[0]]]).all():
+            continue
+        bits = np.array([np.frombuffer(entries[e][2], np.uint64) for e in group])  # one class: equal lengths
+        for i in range(len(group) - 1):
+            mine = node_of[group[i]]
+            meet = (label[node_of[group[i + 1:]]] != label[mine]) & ((sides[i] == 0) | (sides[i + 1:] != sides[i]))
+            rest = i + 1 + np.flatnonzero(meet)
+            a, b = size[group[i]], size[group[rest]]
+            most = a + b - 2 * rule.overlap(a, b)
+            near = np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1, dtype=np.int64) <= most
+            for e in group[rest[near]]:
+                x, y = label[mine], label[node_of[e]]
+                if x != y:
+                    out.append((nodes[mine], nodes[node_of[e]]))
+                    label[label == y] = x
+    return pa.RecordBatch.from_pydict({"a": pa.array([int(x) for x, _ in out], pa.int64()),
+                                       "b": pa.array([int(y) for _, y in out], pa.int64())})
+
+
 # -- verification
 
 class PrefixTree:

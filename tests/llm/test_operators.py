@@ -170,6 +170,48 @@ def test_jaccard_borderline_and_large_groups(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(rows).collect()} == want
 
 
+def test_jaccard_signature_groups_are_dealt(spark, monkeypatch):
+    """A signature of very many sets comes apart into pairs of blocks, in shares of their own; all pairs still meet."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(60)]
+    texts = {}
+    for _ in range(40):
+        base = passage + [f"b{rng.randrange(10**9)}" for _ in range(40)]
+        for _ in range(3):
+            texts[len(texts)] = " ".join(edited(rng, base, rng.choice([0, 0.01, 0.02])))
+    nodes = np.arange(120)
+    hot, blocks = np.array([5], np.uint64), np.array([10])
+    groups = {}
+    for x in nodes:
+        for g, side in zip(*jaccard.dealt(np.array([5, 6], np.uint64), int(x), hot, blocks)):
+            groups.setdefault(int(g), []).append((int(x), int(side)))
+    del groups[6]
+    assert max(map(len, groups.values())) <= 60
+    met = [{x, y} for g in groups.values() for x, a in g for y, b in g if x < y and (a == 0 or a != b)]
+    assert len(met) == 120 * 119 // 2 and all(met.count(p) == 1 for p in met[::97])
+    seen, whole = [], jaccard.refined
+    monkeypatch.setattr(jaccard, "refined", lambda *a: seen.append(1) or whole(*a))
+    monkeypatch.setattr(jaccard, "GROUP", 6)
+    monkeypatch.setattr(jaccard, "SHARE", 1 << 10)
+    rows = frame(spark, texts.items()).repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(rows).collect()}
+    assert got == brute.jaccard(texts) and seen
+
+
+def test_segments_leave_out_the_weakest():
+    """With more weak segments than can be left out, the empty ones go first."""
+    rng, rule = np.random.default_rng(6), jaccard.Rule(5, 80, 100)
+    empty = []
+    for _ in range(40):
+        s = np.unique(rng.integers(0, 2**63, 200).astype(np.uint64) * np.uint64(2))
+        for c, (differ, sig) in zip((c for c, _ in jaccard.size_classes(len(s), rule)), jaccard.class_signatures(s, np.zeros(len(s), bool), rule)):
+            m = differ + 1 + -(-differ // 8)
+            none = jaccard.mix64(jaccard.mix64(np.arange(m, dtype=np.uint64) + np.uint64((c + 1) << 32)))
+            empty.append(len(np.intersect1d(sig, none)))
+            assert len(sig) == differ + 1
+    assert sum(empty) <= 0.2 * len(empty)
+
+
 def test_prefix_tree_finds_all_partners():
     rng = np.random.default_rng(2)
     rule = jaccard.Rule(5, 80, 100)

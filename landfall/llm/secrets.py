@@ -1,8 +1,9 @@
 """Secret scan with corpus-wide ownership (operator 2), in DataFrame functions only.
 
 Patterns give candidates with their places.  Their hashes are counted over the
-whole corpus by distinct repository and owner: a value that many owners hold
-is a copied example, one that a single owner holds is live-looking.
+whole corpus by distinct owner, and by distinct repository where the table
+names one: a value that many owners hold is a copied example, one that a
+single owner holds is live-looking, however many documents repeat it.
 Strong-looking tokens of no named kind become spans only where they are
 live-looking.
 """
@@ -20,7 +21,7 @@ KINDS = [("assign", ASSIGN, 0), ("access", r"AKIA[A-Z0-9]+", 20), ("hex", r"[0-9
 #: Tokens of no named kind: long, with small and capital letters and digits.
 TOKEN = r"[A-Za-z0-9+/_-]{24,}"
 MIN_VALUE = 6
-#: A value of at most so many owners and repositories looks live.
+#: A value of at most so many owners, and of so many repositories where a column names them, looks live.
 MAX_OWNERS, MAX_REPOS = 1, 3
 FOUND = "array<struct<start:int,kind:int,end:int,hash:string>>"
 
@@ -62,29 +63,38 @@ def candidates(text: Column) -> Column:
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source",
          repo: str | None = None) -> DataFrame:
-    """A written row per document: rid, doc_id, owner, repo, found.
+    """A written row per document: rid, doc_id, owner, repo, copy, found.
 
-    Without a repository column every document is one.  A null text is empty;
-    null owners and repositories count as one each.
+    Without a repository column ``repo`` is null.  ``copy`` names the text.
+    A null text is empty; null owners and repositories count as one each.
     """
     both = candidates(F.coalesce(F.col(text), F.lit("")))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
-                       F.coalesce(F.col(repo or doc_id).cast("string"), F.lit("")).alias("repo"), both.alias("c"))
+                       (F.coalesce(F.col(repo).cast("string"), F.lit("")) if repo else F.lit(None).cast("string")).alias("repo"),
+                       F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("copy"), both.alias("c"))
     free = F.filter("c.tokens", lambda t: ~F.exists("c.base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return written(rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "owner", "repo",
+    return written(rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "owner", "repo", "copy",
                                F.concat("c.base", free).alias("found")), "secrets")
 
 
 def ownership(rows: DataFrame) -> DataFrame:
     """(hash, n_owners, n_repos, live) of every candidate value.
 
-    Distinct (hash, owner) and (hash, repository) pairs are made first, so a
-    value that a third of all documents hold is spread by its holders.
+    Owners are counted as they are.  Copies of one text stand in one
+    repository, the first by name; without a repository column n_repos is the
+    number of different texts and does not decide.  Distinct pairs are made
+    first, so a value that a third of all documents hold is spread by its
+    holders.
     """
-    each = rows.select("owner", "repo", F.explode("found.hash").alias("hash"))
-    count = each.groupBy("hash").agg(F.countDistinct("owner").alias("n_owners"), F.countDistinct("repo").alias("n_repos"))
-    return written(count.withColumn("live", (F.col("n_owners") <= MAX_OWNERS) & (F.col("n_repos") <= MAX_REPOS)),
-                   "secret-owners")
+    each = rows.select("owner", "repo", "copy", F.explode("found.hash").alias("hash"))
+    owners = each.groupBy("hash").agg(F.countDistinct("owner").alias("n_owners"))
+    places = (each.groupBy("hash", "copy").agg(F.min("repo").alias("repo"))
+              .groupBy("hash", F.coalesce("repo", F.col("copy").cast("string")).alias("place"))
+              .agg(F.max(F.col("repo").isNotNull()).alias("named"))
+              .groupBy("hash").agg(F.count("*").alias("n_repos"), F.max("named").alias("named")))
+    few = ~F.col("named") | (F.col("n_repos") <= MAX_REPOS)
+    return written(owners.join(places, "hash").select("hash", "n_owners", "n_repos",
+                                                      ((F.col("n_owners") <= MAX_OWNERS) & few).alias("live")), "secret-owners")
 
 
 def judged(rows: DataFrame) -> DataFrame:

@@ -65,6 +65,20 @@ def test_secret_ownership(spark):
     assert got[3]["spans"] == "" and got[3]["n_copied"] == 1 and got[10]["n_live"] == 1
 
 
+def test_secret_of_one_owner_in_many_copies(spark):
+    """Copies and further files of its one owner leave a token live; several owners, or named repositories, do not."""
+    rare, copied, files = "Zq9" * 9 + "x", "Ab1" * 9 + "y", "Cd2" * 9 + "z"
+    rows = [(i, f"my {rare}", "own") for i in range(9)] + [(20 + i, f"{i} {files}", "own") for i in range(7)]
+    rows += [(40 + i, copied, f"s{i % 2}") for i in range(9)]
+    got = {r["doc_id"]: r for r in secrets.report(secrets.scan(frame(spark, rows))).collect()}
+    assert all(got[i]["spans"] == f"token:3:{3 + len(rare)}" and got[i]["n_live"] == 1 for i in range(9))
+    assert all(got[20 + i]["spans"] == f"token:2:{2 + len(files)}" for i in range(7))
+    assert all(got[40 + i]["spans"] == "" and got[40 + i]["n_copied"] == 1 for i in range(9))
+    named = frame(spark, rows).withColumn("repo", F.concat(F.lit("r"), F.col("doc_id")))
+    got = {r["doc_id"]: r for r in secrets.report(secrets.scan(named, repo="repo")).collect()}
+    assert got[0]["n_live"] == 1 and got[20]["n_live"] == 0 and got[40]["n_live"] == 0
+
+
 def check_repeated(got, docs):
     want = brute.repeated(docs)
     assert sorted(r["doc_id"] for r in got) == sorted(docs)

@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from landfall.llm.common import broadcast, crc_mod, kept, slices, table
+from landfall.llm.common import broadcast, crc_mod, kept, slices, table, written
 
-#: Labelled texts per language, bytes taken of each, and languages learned (the most frequent).
-TEXTS, TEXT_BYTES, MAX_LANGUAGES = 64, 512, 64
+#: Labelled texts per language, bytes taken of each, and languages of one table of transitions.
+TEXTS, TEXT_BYTES, TABLE_LANGUAGES = 64, 512, 64
 #: Lanes: bytes of text each, and lanes in step.
 LANE, LANES = 512, 4096
 LETTER = re.compile(r"[^\W\d_]")
@@ -121,33 +121,31 @@ class CrossParser:
 
 
 def samples(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, bytes]:
-    """Training text per language, at most ``TEXTS`` rows of ``TEXT_BYTES`` bytes each.
+    """Training text of every language, at most ``TEXTS`` rows of ``TEXT_BYTES`` bytes each.
 
     Taken from rows outside the held-out third with a language and a letter,
     by smallest id hash.  Null ids and null languages teach nothing.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     usable = rows.where(F.col("lang").isNotNull() & (crc_mod("doc_id", 3) != 1) & (F.length("text") > 0))
-    frequent = (usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang"))
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (usable.select("lang", "doc_id").join(F.broadcast(frequent), "lang")
+    chosen = (usable.select("lang", "doc_id")
               .withColumn("k", F.row_number().over(first)).where(F.col("k") <= TEXTS)
               .select("doc_id", "lang").distinct())
     out: dict[str, list[bytes]] = {}
     got = (usable.join(F.broadcast(chosen), ["doc_id", "lang"])
            .select("lang", "doc_id", F.substring("text", 1, 4 * TEXT_BYTES).alias("text"))
-           .dropDuplicates(["lang", "doc_id"]).collect())  # MAX_LANGUAGES * TEXTS rows at most
+           .dropDuplicates(["lang", "doc_id"]).collect())  # TEXTS rows a language at most
     for r in sorted(got, key=lambda r: (r["lang"], r["doc_id"])):
         if LETTER.search(r["text"]):
             out.setdefault(r["lang"], []).append(normal(r["text"])[:TEXT_BYTES])
     return {k: b"\n".join(v) for k, v in out.items()}  # no phrase spans two texts: \n is not in a normal text
 
 
-def predict(docs: DataFrame, training: dict[str, bytes], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per document: lang_pred, score, phrases per normalised byte.
+def parsed(docs: DataFrame, training: dict[str, bytes], kind: str) -> DataFrame:
+    """Rows (doc_id, text) against the languages of one table: doc_id, known, size, pred, best, second phrase counts.
 
-    ``und`` for a null text, one without a letter, or when nothing was
-    learned.  Ties go to the language first in code-point order.
+    ``second`` is null with one language; ``size`` is that of the normalised text.
     """
     b = broadcast(docs.sparkSession, training)
 
@@ -159,18 +157,48 @@ def predict(docs: DataFrame, training: dict[str, bytes], doc_id: str = "doc_id",
             norm = [normal(t) if k else b"" for t, k in zip(texts, known)]
             need = parser.phrases(norm) if parser else np.zeros((len(texts), 1), np.int64)
             order = np.sort(need, axis=1)
-            best = order[:, 0]
-            second = order[:, 1] if need.shape[1] > 1 else best * 2
-            pred = need.argmin(axis=1)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"),
-                "lang_pred": pa.array([parser.languages[p] if k else "und" for p, k in zip(pred, known)], pa.string()),
-                "score": pa.array(np.where(known, second / np.maximum(1, best + second), 0.0)),
-                "entropy": pa.array(np.array([n / max(1, len(x)) for n, x in zip(best, norm)], np.float64))})
+                "doc_id": batch.column("doc_id"), "known": pa.array(known, pa.bool_()),
+                "size": pa.array([len(x) for x in norm], pa.int64()),
+                "pred": pa.array([parser.languages[p] if k else "und" for p, k in zip(need.argmin(axis=1), known)], pa.string()),
+                "best": pa.array(order[:, 0]),
+                "second": pa.array(order[:, 1]) if need.shape[1] > 1 else pa.nulls(len(texts), pa.int64())})
+
+    return docs.mapInArrow(run, f"doc_id {kind}, known boolean, size long, pred string, best long, second long")
+
 
+def predict(docs: DataFrame, training: dict[str, bytes], doc_id: str = "doc_id", text: str = "text",
+            table_languages: int = TABLE_LANGUAGES) -> DataFrame:
+    """A row per document: lang_pred, score, phrases per normalised byte.
+
+    ``und`` for a null text, one without a letter, or when nothing was
+    learned.  Ties go to the language first in code-point order.  More
+    languages than ``table_languages`` make several tables of transitions;
+    each reads the texts, and a document's counts are brought together.
+    """
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, lang_pred string, score double, entropy double")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    names = sorted(training)
+    groups = [{x: training[x] for x in names[k:k + table_languages]} for k in range(0, len(names), table_languages)]
+    if len(groups) <= 1:
+        found = parsed(rows, training, kind)
+    else:
+        # the texts get a number each; a worker holds one table at a time
+        rows = written(rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text"), "languages")
+        each = None
+        for g in groups:
+            one = written(parsed(rows.select(F.col("rid").alias("doc_id"), "text"), g, "bigint"), "language-counts")
+            each = one if each is None else each.unionByName(one)
+        counts = F.array_sort(F.filter(F.flatten(F.collect_list(F.array("best", "second"))), lambda x: x.isNotNull()))
+        merged = each.groupBy(F.col("doc_id").alias("rid")).agg(
+            F.first("known").alias("known"), F.first("size").alias("size"),
+            F.min_by("pred", F.struct("best", "pred")).alias("pred"), counts.alias("counts"))
+        found = rows.select("rid", "doc_id").join(merged, "rid").select(
+            "doc_id", "known", "size", "pred", F.element_at("counts", 1).alias("best"), F.element_at("counts", 2).alias("second"))
+    best, second = F.col("best"), F.coalesce("second", F.col("best") * 2)
+    return found.select("doc_id", F.col("pred").alias("lang_pred"),
+                        F.when(F.col("known"), second / F.greatest(F.lit(1), best + second)).otherwise(F.lit(0.0)).alias("score"),
+                        (best / F.greatest(F.lit(1), "size")).alias("entropy"))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

@@ -413,6 +413,27 @@ def test_language_id_odd_rows(spark, odd):
     assert {r["lang_pred"] for r in empty} == {"und"}
 
 
+def test_language_id_learns_every_language(spark):
+    """70 languages, each of its own letters: none is left out; several tables give what one gives."""
+    rng = random.Random(11)
+    made = {f"l{k:02d}": "".join(chr(0x4E00 + 40 * k + j) for j in range(30)) for k in range(70)}
+    rows = []
+    for n, (lang, letters) in enumerate(made.items()):
+        for _ in range(4 if n < 66 else 3):
+            rows.append((len(rows), " ".join("".join(rng.choices(letters, k=5)) for _ in range(30)), "s", lang))
+    rows += [(len(rows), None, "s", "l00"), (len(rows) + 1, "12", "s", "l00"), (0, rows[0][1], "s", "l00"), (None, rows[1][1], "s", None)]
+    docs = frame(spark, rows)
+    training = langid.samples(docs)
+    taught = {r[3] for r in rows if brute.crc(r[0], 3) in (0, 2) and r[1] and r[1] != "12"}
+    assert set(training) == taught and len(taught) > 64
+    pick = lambda df: sorted(((str(r["doc_id"]), r["lang_pred"], r["score"], r["entropy"]) for r in df.collect()))
+    got = pick(langid.predict(docs, training))
+    assert len(got) == len(rows)
+    lang = {str(r[0]): r[3] for r in rows}
+    assert all(p == lang[i] for i, p, _, _ in got if lang[i] in taught and int(i) < len(rows) - 4)
+    assert got == pick(langid.predict(docs, training, table_languages=1000)) == pick(langid.predict(docs, training, table_languages=3))
+
+
 def test_cross_parser_counts_longest_phrases():
     text, sample = b"the cat sat on the mat", b"on the cat mat"
     n, at = 0, 0

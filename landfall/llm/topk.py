@@ -31,18 +31,25 @@ def quantise(vector) -> np.ndarray | None:
     return np.floor(SCALE * v) if np.isfinite(v).all() else None
 
 
-def by_size(ids: list, vectors: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Usable vectors by their number of dimensions: ids, each once, and a (dimension, vector) matrix."""
-    groups: dict[int, tuple[list, list]] = {}
-    seen = set()
+def by_size(ids: list, vectors: list) -> dict[int, list[tuple[np.ndarray, np.ndarray]]]:
+    """Usable vectors by their number of dimensions, in layers: ids, each once in a layer, and a (dimension, vector) matrix.
+
+    Equal (id, vector) rows count once; further vectors of an id go to further layers.
+    """
+    groups: dict[int, list[tuple[list, list]]] = {}
+    seen, layer = set(), {}
     for i, v in zip(ids, vectors):
         q = quantise(v)
-        if q is not None and i is not None and i not in seen:
-            seen.add(i)
-            g = groups.setdefault(len(q), ([], []))
-            g[0].append(i)
-            g[1].append(q)
-    return {d: (np.array(i, np.int64), np.array(m).reshape(len(i), d).T.copy()) for d, (i, m) in groups.items()}
+        if q is not None and i is not None and (i, q.tobytes()) not in seen:
+            seen.add((i, q.tobytes()))
+            at = layer[i, len(q)] = layer.get((i, len(q)), -1) + 1
+            layers = groups.setdefault(len(q), [])
+            if at == len(layers):
+                layers.append(([], []))
+            layers[at][0].append(i)
+            layers[at][1].append(q)
+    return {d: [(np.array(i, np.int64), np.array(m).reshape(len(i), d).T.copy()) for i, m in layers]
+            for d, layers in groups.items()}
 
 
 def exact_product(a: np.ndarray, b: np.ndarray) -> int:
@@ -95,12 +102,15 @@ def top_k(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
     hands on at most k rows per query and batch.  Null ids, null vectors and
     those with null or non-finite components take no part; vectors of another
     number of dimensions are no candidates.  Ties go to the smaller id; equal
-    rows that repeat an id count once.
+    rows that repeat an id count once.  An id with several vectors stands in a
+    ranking once, with the best score that any of its vectors has with any of
+    the other id's.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("v")).where(
         F.col("id").isNotNull() & F.col("v").isNotNull())
-    queries = rows.where(F.col("id") % every == 0).dropDuplicates(["id"])
+    usable = F.forall("v", lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
+    queries = rows.where((F.col("id") % every == 0) & usable).dropDuplicates(["id", "v"])
 
     def part(block: list):
         b = broadcast(spark, block)
@@ -111,9 +121,8 @@ def top_k(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
                 for s in range(0, batch.num_rows, VECTOR_BLOCK):
                     piece = batch.slice(s, VECTOR_BLOCK)
                     found = []
-                    for d, (ids, c) in by_size(piece.column("id").to_pylist(), piece.column("v").to_pylist()).items():
-                        if d in mine:
-                            found += search(*mine[d], ids, c, k)
+                    for d, layers in by_size(piece.column("id").to_pylist(), piece.column("v").to_pylist()).items():
+                        found += [f for q_ids, q in mine.get(d, []) for ids, c in layers for f in search(q_ids, q, ids, c, k)]
                     yield pa.RecordBatch.from_pydict({
                         n: pa.array([f[j] for f in found], pa.int64())
                         for j, n in enumerate(("query_id", "vec_id", "score"))})
@@ -123,7 +132,7 @@ def top_k(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
     def ranked(df: DataFrame) -> DataFrame:
-        return (df.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        return (df.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
                 .select("query_id", "rank", "vec_id", "score"))
 
     block, out = [], None
@@ -135,7 +144,8 @@ def top_k(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
     if block or out is None:
         last = ranked(part(block))
         out = last if out is None else out.unionByName(last)
-    return out
+    # vectors of one query id may fall into several blocks
+    return ranked(out)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

@@ -384,6 +384,26 @@ def test_top_k(spark):
         assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == want
 
 
+def test_top_k_ids_with_several_vectors(spark):
+    """Every usable vector of an id counts, wherever it lies; an unusable one hides none."""
+    rng = np.random.default_rng(3)
+    rows = [(i % 130, [float(x) for x in rng.normal(0, 0.3, 20)]) for i in range(400)]
+    rows += [(200, [float("nan")] * 20), (200, rows[5][1]), (200, [None] * 20), (0, None)]
+    q = [(i, np.floor(1024 * np.array(v))) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = set()
+    for i in (0, 100, 200):
+        best = {}
+        for a in (v for j, v in q if j == i):
+            for j, b in q:
+                if j != i:
+                    best[j] = max(best.get(j, -2**63), int(a @ b))
+        want |= {(i, n, j, s) for n, (j, s) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:10], 1)}
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for parts, block in ((1, topk.QUERY_BLOCK), (5, 1)):
+        got = topk.top_k(vectors.repartition(parts), query_block=block).collect()
+        assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == want and len(got) == len(want)
+
+
 def test_top_k_prunes():
     rng = np.random.default_rng(1)
     c = np.floor(rng.normal(0, 200, (64, 2000)))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from landfall.llm import decontaminate, jaccard, langid, lattice, linededup, mixing, secrets, suffix, topk, toxicity
+from landfall.llm import (bpe, decontaminate, jaccard, langid, lattice, linededup, mixing, secrets, suffix, topk, toxicity,
+                          whitening)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1,
@@ -15,6 +16,8 @@ QUERIES = {
     "op8_line_dedup": linededup.op8,
     "op9_lattice_lm": lattice.op9,
     "op10_exact_top_k": topk.op10,
+    "op11_byte_bpe": bpe.op11,
+    "op13_embedding_whitening": whitening.op13,
 }
 
 ORACLE_SQL = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from landfall.llm import (bpe, decontaminate, jaccard, langid, lattice, linededup, mixing, secrets, suffix, topk, toxicity,
+from landfall.llm import (bpe, conversations, decontaminate, jaccard, langid, lattice, linededup, mixing, secrets, suffix, topk, toxicity,
                           whitening)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_lattice_lm": lattice.op9,
     "op10_exact_top_k": topk.op10,
     "op11_byte_bpe": bpe.op11,
+    "op12_conversation_repair": conversations.op12,
     "op13_embedding_whitening": whitening.op13,
 }
 

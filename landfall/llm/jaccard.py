@@ -111,19 +111,19 @@ def segment_signatures(s: np.ndarray, rare: np.ndarray, rule: Rule) -> np.ndarra
 
 
 def sketch(s: np.ndarray, differ: int) -> bytes:
-    """Parities of the set's elements by their low bits, four times as many as linked sets differ in.
+    """Parities of the set's elements by their low bits, eight times as many as linked sets differ in.
 
     The sketches of two sets differ in no more bits than the sets in elements.
     """
-    bits = 1 << max(6, (4 * differ - 1).bit_length())
+    bits = 1 << max(6, (8 * differ - 1).bit_length())
     at = (s & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
-def common_shingles(docs: DataFrame, rule: Rule) -> np.ndarray:
-    """Shingles that ``COMMON_IN`` or more of ``SAMPLE`` documents hold, at most ``MAX_COMMON``.
+def common_shingles(docs: DataFrame, rule: Rule, with_count: bool = False) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    """Shingles that ``COMMON_IN`` or more of ``SAMPLE`` documents hold, at most ``MAX_COMMON``; their counts too where asked.
 
-    They only decide which segments are weak; the result does not depend on them.
+    They only decide which segments are weak and which shingles are rare; the result does not depend on them.
     """
     n = docs.count()
     share = min(1.0, SAMPLE / max(1, n))
@@ -138,8 +138,9 @@ def common_shingles(docs: DataFrame, rule: Rule) -> np.ndarray:
 
     rows = (sample.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
             .where(F.col("n") >= COMMON_IN))
-    rows = most_frequent(written(rows, "jaccard-common"), "n", MAX_COMMON).select("h").toArrow()
-    return np.sort(rows.column("h").to_numpy().astype(np.int64).view(np.uint64))
+    rows = most_frequent(written(rows, "jaccard-common"), "n", MAX_COMMON).select("h", "n").toArrow()
+    h = rows.column("h").to_numpy().astype(np.int64).view(np.uint64)
+    return (h, rows.column("n").to_numpy()) if with_count else np.sort(h)
 
 
 def is_member(s: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -258,163 +259,201 @@ def scan(docs: DataFrame, rule: Rule, parts: int, common) -> DataFrame:
 
 # -- large candidate families
 
-REFINE = "p long, data binary"
+REFINE = "p long, data binary, a long, b long"
+#: Sets that are held for one shingle, in a task that sends and in one that compares; a radius without bound.
+SENT, MET, ANY = 64, 1024, 1 << 30
 
 
-def signature_sizes(texts: DataFrame, rule: Rule, common) -> DataFrame:
-    """(sig, n, bytes) of every signature of rows (node, text): sets, and bytes of their sketches; summed in the tasks first."""
-    def run(batches):
-        hasher, often = SubstringHash(), common.value["data"]
-        sigs, sizes, held = [], [], 0
-
-        def out():
-            sig, at = np.unique(np.concatenate(sigs), return_inverse=True)
-            return pa.RecordBatch.from_arrays([pa.array(signed(sig)), pa.array(np.bincount(at).astype(np.int64)),
-                                               pa.array(np.bincount(at, np.concatenate(sizes)).astype(np.int64))],
-                                              names=["sig", "n", "bytes"])
-
-        for b in slices(batches):
-            for text in b.column("text").to_pylist():
-                s = shingles(text, rule.words, hasher)
-                for differ, sig in class_signatures(s, ~is_member(s, often), rule):
-                    sigs.append(sig)
-                    sizes.append(np.full(len(sig), 32 + len(sketch(s[:0], differ))))
-                    held += len(sig)
-            if held > FLUSH:
-                yield out()
-                sigs, sizes, held = [], [], 0
-        if held:
-            yield out()
-
-    rows = texts.select("text").mapInArrow(run, "sig long, n long, bytes long")
-    return written(rows.groupBy("sig").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")), "jaccard-signatures")
-
+def prefix(s: np.ndarray, common: np.ndarray, rule: Rule) -> np.ndarray:
+    """The set's rarest shingles: linked sets, whatever their sizes, share one of them.
 
-def dealt(sig: np.ndarray, node: int, hot: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(groups, sides) of a set's signatures: a hot one stands for the pairs of the set's block with every block.
-
-    Side 0 meets all of its group, sides 1 and 2 meet each other.
+    Order: shingles that are not common by hash, then common ones in the order of
+    ``common``'s second row (their places by count).
+    """
+    at, rank = common
+    place = np.minimum(np.searchsorted(at, s), max(0, len(at) - 1))
+    known = at[place] == s if len(at) else np.zeros(len(s), bool)
+    order = np.lexsort((s, np.where(known, rank[place] + np.uint64(1), np.uint64(0)) if len(at) else np.zeros(len(s))))
+    return s[order[:len(s) - -(-rule.num * len(s) // rule.den) + 1]]
+
+
+def common_of_family(texts: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Common shingles of rows (node, text), ascending, and their places by count; see ``common_shingles``."""
+    h = common_shingles(texts.select(F.col("node").alias("doc_id"), "text"), rule, with_count=True)
+    order = np.argsort(h[0])
+    rank = np.empty(len(h[0]), np.uint64)
+    rank[np.lexsort((h[0], h[1]))] = np.arange(len(h[0]), dtype=np.uint64)
+    return h[0][order], rank[order]
+
+
+def led(bits: np.ndarray, size: np.ndarray, radius: np.ndarray, differ: int, rule: Rule, most: int):
+    """(edges, leaders, their radii) of the sets that hold one shingle.
+
+    A set within a quarter of ``differ`` of a leader is connected to it and
+    stands aside: the leader's radius grows to hold it.  Sets that may link,
+    by their sketches and radii, are connected.  Beyond ``most`` leaders all
+    others are connected to the last one, whose radius is then without bound:
+    more may be connected than can link, never less, and the number of rows
+    stays in proportion to the sets.
     """
-    if not len(hot):
-        return sig, np.zeros(len(sig), np.int8)
-    at = np.minimum(np.searchsorted(hot, sig), len(hot) - 1)
-    is_hot = hot[at] == sig
-    groups, sides = [sig[~is_hot]], [np.zeros(int((~is_hot).sum()), np.int8)]
-    name = mix64(np.array([node], np.int64).view(np.uint64))[0]
-    for x, n in zip(sig[is_hot], blocks[at[is_hot]]):
-        other = np.arange(n, dtype=np.uint64)
-        mine = mix64(np.array([name ^ x]))[0] % np.uint64(n)
-        groups.append(mix64(mix64(x + mix64(np.minimum(mine, other) + np.uint64(1))) + np.maximum(mine, other)))
-        sides.append(np.where(other == mine, 0, np.where(other > mine, 1, 2)).astype(np.int8))
-    return np.concatenate(groups), np.concatenate(sides)
-
-
-def refined(texts: DataFrame, rule: Rule, parts: int, common) -> DataFrame:
-    """Edges (a, b) between rows (node, text) that may link: they share a signature, and their sketches allow it.
-
-    Families that grew large through shared passages come apart here.  Every
-    pair that may link is compared or already connected, so no link is lost;
-    the edges of a share are a spanning forest.  The sets of a signature that
-    more than ``GROUP`` sets have are dealt into blocks of half that, and each
-    pair of blocks is a group of its own.  Groups are dealt into shares of
-    some ``SHARE`` bytes, and a task holds one share at a time.
+    rest, edges, out, radii = np.arange(len(size)), [], [], []
+    while len(rest):
+        i, others = rest[0], rest[1:]
+        far = np.bitwise_count(bits[others] ^ bits[i]).sum(axis=1, dtype=np.int64) + radius[others]
+        aside = far <= differ // 4
+        mine = max(int(radius[i]), int(far[aside].max()) if aside.any() else 0)
+        if len(out) + 1 >= most and not aside.all():
+            mine, aside = ANY, np.ones(len(others), bool)
+        reach = np.where(radius[others] + mine > 0, differ, size[i] + size[others] - 2 * rule.overlap(size[i], size[others]))
+        near = far <= reach + mine + 2 * radius[others]
+        edges.append((i, others[near | aside]))
+        out.append(i)
+        radii.append(mine)
+        rest = others[~aside]
+    return edges, out, radii
+
+
+def by_key(key: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order by key, edges between the keys' runs)."""
+    order = np.lexsort((own, key))
+    return order, np.append(np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1]))), len(key))
+
+
+class Forest:
+    """Edges that connect what was not connected before."""
+
+    def __init__(self, nodes: list):
+        self.names, self.of = np.unique(np.array(nodes, np.int64), return_inverse=True)
+        self.label = np.arange(len(self.names))
+        self.a: list[int] = []
+        self.b: list[int] = []
+
+    def add(self, edges, entries: np.ndarray) -> None:
+        """Edges (i, all of some j) of rows ``entries``."""
+        for i, to in edges:
+            x, y = self.of[entries[i]], self.of[entries[to]]
+            for k in np.flatnonzero(self.label[y] != self.label[x]):
+                if self.label[y[k]] != self.label[x]:
+                    self.a.append(int(self.names[x]))
+                    self.b.append(int(self.names[y[k]]))
+                    self.label[self.label == self.label[y[k]]] = self.label[x]
+
+    def one(self, entries: np.ndarray) -> bool:
+        label = self.label[self.of[entries]]
+        return bool((label == label[0]).all())
+
+
+def refine_rows(p=(), data=(), a=(), b=()) -> pa.RecordBatch:
+    n = max(len(p), len(a))
+    return pa.RecordBatch.from_arrays([pa.array(p, pa.int64()) if len(p) else pa.nulls(n, pa.int64()),
+                                       pa.array(data, pa.binary()) if len(data) else pa.nulls(n, pa.binary()),
+                                       pa.array(a, pa.int64()) if len(a) else pa.nulls(n, pa.int64()),
+                                       pa.array(b, pa.int64()) if len(b) else pa.nulls(n, pa.int64())],
+                                      names=["p", "data", "a", "b"])
+
+
+def refined(texts: DataFrame, rule: Rule, parts: int) -> DataFrame:
+    """Edges (a, b) between rows (node, text, n) that connect all that may link, and little else.
+
+    Families that grew large through shared passages come apart here.  Sets
+    that link share one of their rarest shingles, rarity being counted in the
+    families themselves.  The sets of a task that hold a shingle are led by a
+    few of them, and only leaders are sent, so a shingle that very many similar
+    sets hold costs some rows a task.  Shingles are dealt into shares of about
+    ``SHARE`` bytes; a task holds one share at a time.
     """
-    sizes = signature_sizes(texts, rule, common)
-    # a hot signature has more than GROUP rows: the list is that much shorter than the table
-    half = max(1, GROUP // 2)
-    most = sizes.where(F.col("n") > GROUP).select("sig", F.ceil(F.col("n") / half).cast("long").alias("blocks")).toArrow()
-    hot = most.column("sig").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(hot)
-    several = broadcast(texts.sparkSession, (hot[order], most.column("blocks").to_numpy().astype(np.int64)[order]))
-    volume = sizes.agg(F.sum(F.col("bytes") * F.when(F.col("n") > GROUP, F.ceil(F.col("n") / half)).otherwise(1))).first()[0] or 0
+    spark = texts.sparkSession
+    common = broadcast(spark, common_of_family(texts, rule))
+    # a set of n shingles is held under n * (den - num) / den of them, with a sketch of some n / 2 bytes or less
+    volume = texts.agg(F.sum((F.col("n") * (rule.den - rule.num) / rule.den + 1) * (F.col("n") / 2 + 48))).first()[0] or 0
     shares = parts * max(1, -(-int(volume) // (SHARE * parts)))
 
     def send(batches):
         hasher, often = SubstringHash(), common.value["data"]
-        hot, blocks = several.value["data"]
-        sigs, sides, owner, entries, held = [], [], [], [], 0
+        keys, owner, entries, held = [], [], [], 0
 
         def flush():
-            sig, side, own = np.concatenate(sigs), np.concatenate(sides), np.concatenate(owner)
-            p = (sig % np.uint64(shares)).astype(np.int64)
+            key, own = np.concatenate(keys), np.concatenate(owner)
+            forest = Forest([e[0] for e in entries])
+            order, edge = by_key(key, own)
+            size, count = np.array([e[1] for e in entries]), np.diff(edge)
+            sent, radius = [order[edge[:-1][count == 1]]], [np.zeros(int((count == 1).sum()), np.int64)]
+            for k in np.flatnonzero(count > 1):
+                rows = order[edge[k]:edge[k + 1]]
+                mine = own[rows]
+                edges, lead, radii = led(np.stack([entries[e][2] for e in mine]), size[mine], np.zeros(len(mine), np.int64),
+                                         entries[mine[0]][3], rule, SENT)
+                forest.add(edges, mine)
+                sent.append(rows[lead])
+                radius.append(np.array(radii, np.int64))
+            rows, radius = np.concatenate(sent), np.concatenate(radius)
+            p = (key[rows] % np.uint64(shares)).astype(np.int64)
             order = np.argsort(p, kind="stable")
             edge = np.append(np.flatnonzero(np.concatenate(([True], np.diff(p[order]) != 0))), len(p))
             names, blobs = [], []
             for lo, hi in zip(edge[:-1], edge[1:]):
-                rows = order[lo:hi]
-                mine, local = np.unique(own[rows], return_inverse=True)
-                names.append(int(p[rows[0]]))
+                at = order[lo:hi]
+                mine, local = np.unique(own[rows[at]], return_inverse=True)
+                names.append(int(p[at[0]]))
                 blobs.append(zstandard.ZstdCompressor(level=1).compress(
-                    pickle.dumps((sig[rows], side[rows], local.astype(np.int32), [entries[k] for k in mine]))))
+                    pickle.dumps((key[rows[at]], local.astype(np.int32), radius[at].astype(np.int32), [entries[k] for k in mine]))))
                 if len(blobs) >= 1000:
-                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], names=["p", "data"])
+                    yield refine_rows(p=names, data=blobs)
                     names, blobs = [], []
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], names=["p", "data"])
+            yield refine_rows(p=names, data=blobs)
+            if forest.a:
+                yield refine_rows(a=forest.a, b=forest.b)
 
-        for b in slices(batches):
-            for node, text in zip(b.column("node").to_pylist(), b.column("text").to_pylist()):
+        for batch in slices(batches):
+            for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()):
                 s = shingles(text, rule.words, hasher)
-                for differ, sig in class_signatures(s, ~is_member(s, often), rule):
-                    sig, side = dealt(sig, node, hot, blocks)
-                    sigs.append(sig)
-                    sides.append(side)
-                    owner.append(np.full(len(sig), len(entries)))
-                    entries.append((node, len(s), sketch(s, differ)))
-                    held += len(sig)
+                rarest = prefix(s, often, rule)
+                for c, hi in size_classes(len(s), rule):
+                    differ = hi * (rule.den - rule.num) // rule.num
+                    if differ:  # else only equal sets link
+                        keys.append(mix64(rarest + mix64(np.array([c + 1], np.uint64))))
+                        owner.append(np.full(len(rarest), len(entries)))
+                        entries.append((node, len(s), np.frombuffer(sketch(s, differ), np.uint64), differ))
+                        held += len(rarest)
                 if len(entries) >= 4000 or held > FLUSH:
                     yield from flush()
-                    sigs, sides, owner, entries, held = [], [], [], [], 0
+                    keys, owner, entries, held = [], [], [], 0
         if entries:
             yield from flush()
 
+    def share_edges(keys, owner, radii, entries):
+        key, own, radius = np.concatenate(keys), np.concatenate(owner), np.concatenate(radii).astype(np.int64)
+        forest, size = Forest([e[0] for e in entries]), np.array([e[1] for e in entries])
+        order, edge = by_key(key, own)
+        for k in np.flatnonzero(np.diff(edge) > 1):
+            rows = order[edge[k]:edge[k + 1]]
+            mine = own[rows]
+            if not forest.one(mine):
+                edges, _, _ = led(np.stack([entries[e][2] for e in mine]), size[mine], radius[rows], entries[mine[0]][3], rule, MET)
+                forest.add(edges, mine)
+        return refine_rows(a=forest.a, b=forest.b)
+
     def compare(batches):
-        share, sigs, sides, owner, entries = None, [], [], [], []
-        for b in batches:
-            for p, data in zip(b.column("p").to_pylist(), b.column("data")):
+        share, keys, owner, radii, entries = None, [], [], [], []
+        for batch in batches:
+            yield batch.filter(batch.column("a").is_valid())
+            met = batch.filter(batch.column("a").is_null())
+            for p, data in zip(met.column("p").to_pylist(), met.column("data")):
                 if p != share and entries:
-                    yield compared(np.concatenate(sigs), np.concatenate(sides), np.concatenate(owner), entries, rule)
-                    sigs, sides, owner, entries = [], [], [], []
+                    yield share_edges(keys, owner, radii, entries)
+                    keys, owner, radii, entries = [], [], [], []
                 share = p
-                sig, side, own, more = pickle.loads(zstandard.ZstdDecompressor().decompress(data.as_py()))
-                sigs.append(sig)
-                sides.append(side)
+                key, own, radius, more = pickle.loads(zstandard.ZstdDecompressor().decompress(data.as_py()))
+                keys.append(key)
                 owner.append(own + len(entries))
+                radii.append(radius)
                 entries += more
         if entries:
-            yield compared(np.concatenate(sigs), np.concatenate(sides), np.concatenate(owner), entries, rule)
-
-    return written(texts.select("node", "text").mapInArrow(send, REFINE)
-                   .repartitionById(parts, F.pmod("p", F.lit(parts)).cast("int")).sortWithinPartitions("p")
-                   .mapInArrow(compare, "a long, b long"), "jaccard-refined")
-
-
-def compared(sig: np.ndarray, side: np.ndarray, own: np.ndarray, entries: list, rule: Rule) -> pa.RecordBatch:
-    """Spanning edges of a share: rows (sig, side, own) and entries (node, size, sketch)."""
-    order = np.lexsort((own, sig))
-    sig, side, own = sig[order], side[order], own[order]
-    edge = np.append(np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1]))), len(sig))
-    nodes, node_of = np.unique([e[0] for e in entries], return_inverse=True)
-    label, size = np.arange(len(nodes)), np.array([e[1] for e in entries])
-    out = []
-    for k in np.flatnonzero(np.diff(edge) > 1):
-        group, sides = own[edge[k]:edge[k + 1]], side[edge[k]:edge[k + 1]]
-        if (label[node_of[group]] == label[node_of[group[0]]]).all():
-            continue
-        bits = np.array([np.frombuffer(entries[e][2], np.uint64) for e in group])  # one class: equal lengths
-        for i in range(len(group) - 1):
-            mine = node_of[group[i]]
-            meet = (label[node_of[group[i + 1:]]] != label[mine]) & ((sides[i] == 0) | (sides[i + 1:] != sides[i]))
-            rest = i + 1 + np.flatnonzero(meet)
-            a, b = size[group[i]], size[group[rest]]
-            most = a + b - 2 * rule.overlap(a, b)
-            near = np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1, dtype=np.int64) <= most
-            for e in group[rest[near]]:
-                x, y = label[mine], label[node_of[e]]
-                if x != y:
-                    out.append((nodes[mine], nodes[node_of[e]]))
-                    label[label == y] = x
-    return pa.RecordBatch.from_pydict({"a": pa.array([int(x) for x, _ in out], pa.int64()),
-                                       "b": pa.array([int(y) for _, y in out], pa.int64())})
+            yield share_edges(keys, owner, radii, entries)
+
+    to = F.coalesce(F.pmod("p", F.lit(parts)), F.pmod("a", F.lit(parts))).cast("int")
+    return written(texts.select("node", "text").mapInArrow(send, REFINE).repartitionById(parts, to).sortWithinPartitions("p")
+                   .mapInArrow(compare, REFINE).select("a", "b"), "jaccard-refined")
 
 
 # -- verification
@@ -573,11 +612,11 @@ def sized(members: DataFrame) -> DataFrame:
     return members.join(sizes, "comp")
 
 
-def links(docs: DataFrame, members: DataFrame, rule: Rule, parts: int, common, pivots: int = 16) -> DataFrame:
+def links(docs: DataFrame, members: DataFrame, rule: Rule, parts: int, pivots: int = 16) -> DataFrame:
     """Links (a, b) that connect the linked sets of each candidate component.
 
     members: (comp, node, n).  Components of one task's share are compared
-    whole.  Larger ones are first refined by sketches.  What stays large is
+    whole.  Larger ones are first refined by their rarest shingles.  What stays large is
     dealt into blocks: all blocks meet some pivots, then only the sets that no
     pivot connects to the largest part meet every block.
     """
@@ -587,7 +626,7 @@ def links(docs: DataFrame, members: DataFrame, rule: Rule, parts: int, common, p
     out, rows = _whole(rows, rule, parts)
     if rows is None:
         return out
-    parted = components(refined(rows, rule, parts, common)).withColumnRenamed("component", "comp")
+    parted = components(refined(rows, rule, parts)).withColumnRenamed("component", "comp")
     rows = rows.drop("comp", "blocks").join(parted, "node")
     sizes = sized(rows.select("comp", "n")).select("comp", "blocks").distinct()
     rows = written(rows.join(sizes, "comp"), "jaccard-texts")
@@ -658,7 +697,7 @@ def join(docs: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str
     members = sets.withColumn("name", F.col("k").bitwiseAND(F.lit((1 << 48) - 1))).join(
         near.withColumnRenamed("node", "name"), "name").groupBy("component", "node").agg(F.max("n").alias("n"))
     members = written(members.withColumnRenamed("component", "comp"), "jaccard-members")
-    final = components(links(docs, members, rule, parts, common))
+    final = components(links(docs, members, rule, parts))
     labels = written(sets.join(final, "node", "left").select("k", F.coalesce("component", "node").alias("component_id")),
                      "jaccard-labels")
     out = rows.join(labels, "k", "left")
@@ -670,13 +709,17 @@ def join(docs: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str
 def keep_one(docs: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their component: its smallest id, once.
 
-    Rows without an id stay.
+    Rows that share this id but not its text all stay, and so do rows without an id.
     """
     found = join(docs, rule, doc_id, text)
     keep = written(found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct(),
                    "jaccard-keep")
     named = docs.where(F.col(doc_id).isNotNull())
-    once = named.join(keep, named[doc_id] == keep["_keep"], "left_semi").dropDuplicates([doc_id])
+    stay = named.join(keep, named[doc_id] == keep["_keep"], "left_semi")
+    others = [c for c in docs.columns if c not in (doc_id, text)]
+    # of equal rows by id and text the least in its other columns, so that reruns agree
+    once = stay.groupBy(doc_id, text).agg(F.min(F.struct(*others)).alias("_rest")) if others else stay.distinct()
+    once = once.select(*[F.col(f"_rest.{c}") if c in others else F.col(c) for c in docs.columns])
     return once.unionByName(docs.where(F.col(doc_id).isNull()))
 
 

@@ -184,8 +184,8 @@ def test_jaccard_borderline_and_large_groups(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(rows).collect()} == want
 
 
-def test_jaccard_signature_groups_are_dealt(spark, monkeypatch):
-    """A signature of very many sets comes apart into pairs of blocks, in shares of their own; all pairs still meet."""
+def test_jaccard_large_families_come_apart(spark, monkeypatch):
+    """Families joined by a passage, in shares and with few leaders a task: all links are found."""
     rng = random.Random(8)
     passage = [f"p{i}" for i in range(60)]
     texts = {}
@@ -193,23 +193,59 @@ def test_jaccard_signature_groups_are_dealt(spark, monkeypatch):
         base = passage + [f"b{rng.randrange(10**9)}" for _ in range(40)]
         for _ in range(3):
             texts[len(texts)] = " ".join(edited(rng, base, rng.choice([0, 0.01, 0.02])))
-    nodes = np.arange(120)
-    hot, blocks = np.array([5], np.uint64), np.array([10])
-    groups = {}
-    for x in nodes:
-        for g, side in zip(*jaccard.dealt(np.array([5, 6], np.uint64), int(x), hot, blocks)):
-            groups.setdefault(int(g), []).append((int(x), int(side)))
-    del groups[6]
-    assert max(map(len, groups.values())) <= 60
-    met = [{x, y} for g in groups.values() for x, a in g for y, b in g if x < y and (a == 0 or a != b)]
-    assert len(met) == 120 * 119 // 2 and all(met.count(p) == 1 for p in met[::97])
     seen, whole = [], jaccard.refined
     monkeypatch.setattr(jaccard, "refined", lambda *a: seen.append(1) or whole(*a))
     monkeypatch.setattr(jaccard, "GROUP", 6)
     monkeypatch.setattr(jaccard, "SHARE", 1 << 10)
     rows = frame(spark, texts.items()).repartition(4)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(rows).collect()}
-    assert got == brute.jaccard(texts) and seen
+    for sent, met in ((64, 1024), (2, 3)):
+        monkeypatch.setattr(jaccard, "SENT", sent)
+        monkeypatch.setattr(jaccard, "MET", met)
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(rows).collect()}
+        assert got == brute.jaccard(texts) and seen
+
+
+def test_rarest_shingles_are_shared():
+    """Linked sets share one of their rarest shingles, whatever the order."""
+    rng, rule = np.random.default_rng(3), jaccard.Rule(5, 80, 100)
+    for _ in range(300):
+        n = int(rng.integers(1, 60))
+        x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.95], rng.integers(0, 2**63, int(rng.integers(0, 6))).astype(np.uint64)]))
+        at = np.unique(rng.choice(x, len(x) // 2)) if len(x) > 1 else x[:0]
+        common = at, rng.permutation(len(at)).astype(np.uint64)
+        if len(y) and rule.linked(len(x), len(y), len(np.intersect1d(x, y))):
+            assert np.isin(jaccard.prefix(x, common, rule), jaccard.prefix(y, common, rule)).any()
+
+
+def test_rows_of_one_hot_shingle_grow_with_the_sets():
+    """Similar sets of one shingle: few leaders, connected as any links connect them; far ones lose none either."""
+    rng, rule = random.Random(4), jaccard.Rule()
+    for n in (250, 500, 1000):
+        base = [rng.randrange(2**63) for _ in range(300)]
+        sets = []
+        for i in range(n):
+            words = list(base if i % 10 else [rng.randrange(2**63) for _ in range(300)])
+            for _ in range(rng.randrange(3)):
+                words[rng.randrange(300)] = rng.randrange(2**63)
+            sets.append(np.unique(np.array(words, np.uint64)))
+        bits = np.stack([np.frombuffer(jaccard.sketch(s, 33), np.uint64) for s in sets])
+        size = np.array([len(s) for s in sets])
+        edges, leaders, radii = jaccard.led(bits, size, np.zeros(n, np.int64), 33, rule, 10**6)
+        assert len(leaders) <= n // 10 + 8
+        forest = jaccard.Forest(list(range(n)))
+        forest.add(edges, np.arange(n))
+        assert len({int(forest.label[i]) for i in range(n) if i % 10}) == 1
+        edges, leaders, radii = jaccard.led(bits, size, np.zeros(n, np.int64), 33, rule, 5)
+        assert len(leaders) == 5 and max(radii) == jaccard.ANY
+
+
+def test_kept_rows_that_share_an_id(spark):
+    """Rows of one id and different texts both stay; equal rows stay once."""
+    a, b = "one text of a few words that stands alone", "and quite another one with nothing in common at all"
+    rows = [(1, a, "s"), (1, b, "t"), (1, a, "r"), (2, a, "s")]
+    kept = jaccard.keep_one(frame(spark, rows), jaccard.Rule(5, 80, 100)).collect()
+    assert sorted((r["doc_id"], r["text"], r["source"]) for r in kept) == sorted([(1, a, "r"), (1, b, "t")])
 
 
 def test_segments_leave_out_the_weakest():

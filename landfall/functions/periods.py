@@ -10,8 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Fixed value: three letters of the month and two digits of the year.
-PERIOD_LABEL = "^[A-Za-z]{3}[0-9]{2}$"
+# Fixed value: a month's three letters and two digits of the year.
+PERIOD_LABEL = "^(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[0-9]{2}$"
 
 
 def period_of(year: str | Column, month: str | Column) -> Column:
@@ -34,13 +34,13 @@ def in_periods(column: str | Column, periods: list) -> Column:
 def period_from_file_name(path: str | Column) -> Column:
     """Period label from a file name or path: ``.../i94_apr16_sub.parquet`` -> ``apr16``.
 
-    The stem is the last path segment up to its first dot.  A name without a
-    month label there has no period (null).
+    The stem is the last path segment up to its first dot.  The label is lower
+    case whatever the name's; a name without a month there has no period (null).
     """
     p = F.col(path) if isinstance(path, str) else path
     name = F.substring_index(p, "/", -1)
     stem = F.substring_index(name, ".", 1)
-    label = F.split_part(stem, F.lit("_"), F.lit(2))
+    label = F.lower(F.split_part(stem, F.lit("_"), F.lit(2)))
     return F.when(label.rlike(PERIOD_LABEL), label)
 
 
@@ -56,4 +56,5 @@ def period_from_path(path: str | Column) -> Column:
     folder = F.substring_index(F.substring_index(p, "/", -2), "/", 1)
     from_name = period_from_file_name(F.when(name.startswith("part-"), folder).otherwise(name))
     return (F.when(folder_period == "__HIVE_DEFAULT_PARTITION__", F.lit(None).cast("string"))
+            .when(F.lower(folder_period).rlike(PERIOD_LABEL), F.lower(folder_period))
             .when(folder_period != "", folder_period).otherwise(from_name))

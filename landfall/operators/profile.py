@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions.casts import typed_extract_columns
-from landfall.schemas import MISSING, NULL_RATIO_LIMIT, PERIOD_COLUMN, REQUIRED_COLUMNS
+from landfall.schemas import I94_RAW_COLUMNS, MISSING, NULL_RATIO_LIMIT, PERIOD_COLUMN, REQUIRED_COLUMNS
 
 
 def type_extract(raw: DataFrame) -> DataFrame:
@@ -110,6 +110,55 @@ def observed_counts(obs: Observation) -> tuple[int, dict[str, int]]:
     return total, {c: int(n) for c, n in got.items()}
 
 
+def ratio_over(nulls: int, total: int, limit: float = NULL_RATIO_LIMIT) -> bool:
+    """The strict drop rule for one column; false for no rows."""
+    return total > 0 and nulls / total > limit
+
+
+NULL_PREFIX = "null_"
+
+
+def profile_counts(raw: DataFrame, by: list[str], more: list[Column] = ()) -> DataFrame:
+    """``(*by, row_count, null_<column>...)`` of the *typed* columns, in one pass over raw rows.
+
+    ``more`` aggregates, a ``row_count`` among them, take the place of the bare row count.
+
+    The counts of disjoint parts add up, so a stored table of them answers for
+    any set of parts (:func:`merged_profile`).
+    """
+    typed = dict(zip(raw.columns, typed_extract_columns(raw.columns)))
+    counts = [F.count_if(typed[c].isNull()).alias(f"{NULL_PREFIX}{c}") for c in I94_RAW_COLUMNS if c in typed]
+    return raw.groupBy(*by).agg(*(more or [F.count(F.lit(1)).alias("row_count")]), *counts)
+
+
+def merged_profile(counts: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Stored counts of many parts -> ``(*by, column_name, null_rows, total_rows)``, as one profile over all their rows."""
+    names = [c for c in counts.columns if c.startswith(NULL_PREFIX)]
+    wide = counts.groupBy(*by).agg(F.sum("row_count").alias("__total"), *[F.sum(c).alias(c[len(NULL_PREFIX):]) for c in names])
+    long = wide.unpivot(ids=[*by, "__total"], values=[c[len(NULL_PREFIX):] for c in names],
+                        variableColumnName="column_name", valueColumnName="null_rows")
+    return long.where(F.col("__total").isNotNull()).select(*by, "column_name", "null_rows", F.col("__total").alias("total_rows"))
+
+
+def totals_of(counts: DataFrame) -> tuple[int, dict[str, int]]:
+    """(rows, {column: nulls}) of all parts of a stored profile: 28 rows reach the driver."""
+    rows = merged_profile(counts).collect()
+    return (rows[0]["total_rows"] if rows else 0), {r["column_name"]: r["null_rows"] for r in rows}
+
+
+def sparse_columns(counts: DataFrame) -> list[str]:
+    """Columns over the null limit in all parts together (28 rows reach the driver); needed ones are never among them."""
+    total, nulls = totals_of(counts)
+    return [c for c in decide_drops(nulls, total) if c not in REQUIRED_COLUMNS]
+
+
+def fill_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Null text -> ``'missing'`` in ``columns`` (all text columns by default)."""
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)
+            and (f.name in columns if columns else f.name != PERIOD_COLUMN)]
+    return df.na.fill(MISSING, subset=text) if text else df
+
+
 def profile_extract(raw: DataFrame, limit: float = NULL_RATIO_LIMIT,
                     required: list[str] | None = None, typed: bool = False,
                     counts: tuple[int, dict[str, int]] | None = None) -> ProfileResult:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landfall.functions.fingerprint import FINGERPRINT
 from landfall.operators.joins import bounded_broadcast
 from landfall.operators.lookups import NAMES, Lookups
 from landfall.schemas import CONTRACTS, PERIOD_COLUMN
@@ -159,6 +160,20 @@ def reconcile(source: DataFrame, target: DataFrame, by: str = PERIOD_COLUMN) ->
     return j.select(by, src.alias("source_rows"), tgt.alias("target_rows"), (src == tgt).alias("passed"))
 
 
+def reconcile_content(source: DataFrame, target: DataFrame, by: str = PERIOD_COLUMN) -> DataFrame:
+    """Whether both sides hold the same rows per ``by`` value, cell by cell.
+
+    Either side is a table of fingerprints (``functions.fingerprint``), one
+    aggregate over its rows.  ``(by, source_rows, target_rows, passed)``; equal
+    counts with different contents fail, and a value absent on one side does.
+    """
+    t = target.select(F.col(by).alias("__by"), *[F.col(c).alias(f"__{c}") for c in FINGERPRINT])
+    j = source.select(by, *FINGERPRINT).join(t, F.col(by).eqNullSafe(F.col("__by")), "full_outer")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in FINGERPRINT])
+    return j.select(F.coalesce(by, "__by").alias(by), F.coalesce("row_count", F.lit(0)).alias("source_rows"),
+                    F.coalesce("__row_count", F.lit(0)).alias("target_rows"), same.alias("passed"))
+
+
 def reconcile_totals(profiled: DataFrame, staging: DataFrame, mode_lookup: DataFrame,
                      by: str = PERIOD_COLUMN) -> DataFrame:
     """``sum(count)`` per period before staging equals staging's sum plus what the mode join lost.

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.functions.dates import date_parts
-from landfall.schemas import CONTRACTS, FACT_KEYS, UNKNOWN_MEMBERS
+from landfall.schemas import CONTRACTS, FACT_KEYS, PERIOD_COLUMN, UNKNOWN_MEMBERS
 
 
 def fact_immigration(staging: DataFrame) -> DataFrame:
@@ -61,6 +61,29 @@ def dimension_members(staging: DataFrame) -> DataFrame:
     return staging.groupingSets(sets, *_MEMBER_COLS).agg(F.grouping_id().alias("gid"))
 
 
+def member_counts(staging: DataFrame) -> DataFrame:
+    """``(source_period, gid, member columns, n)``: in how many staging rows of a period each member occurs.
+
+    The counts of one period depend on that period alone, so a period that is
+    staged again replaces its own; a member that no period counts has left.
+    """
+    sets = [[PERIOD_COLUMN, *[c for c, _ in cols]] for cols in DIMENSION_SETS.values()]
+    # the period is in every set, so it adds no bit to the grouping id
+    return staging.groupingSets(sets, PERIOD_COLUMN, *_MEMBER_COLS).agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n"))
+
+
+def counted_members(counts: DataFrame) -> DataFrame:
+    """The members that any period counts, as :func:`dimension_members` gives them."""
+    return counts.groupBy("gid", *_MEMBER_COLS).agg(F.sum("n").alias("n")).where(F.col("n") > 0).drop("n")
+
+
+def changed_dimensions(before: DataFrame, after: DataFrame) -> list[str]:
+    """Dimensions whose members differ between two tables of member counts."""
+    a, b = (x.select("gid", *_MEMBER_COLS).distinct() for x in (before, after))
+    gids = {r[0] for r in a.exceptAll(b).unionByName(b.exceptAll(a)).select("gid").distinct().collect()}  # six at most
+    return [name for name, cols in DIMENSION_SETS.items() if _gid([c for c, _ in cols]) in gids]
+
+
 def split_members(members: DataFrame) -> dict[str, DataFrame]:
     """The six dimension tables out of :func:`dimension_members`."""
     out = {}
@@ -91,10 +114,12 @@ class Star:
     date: DataFrame
     staging: DataFrame | None = None
     members: DataFrame | None = None
+    # the fact's year rollup (``operators.rollup``), where the warehouse keeps one
+    rollup: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)
-                if f.name not in ("staging", "members") and getattr(self, f.name) is not None}
+                if f.name not in ("staging", "members", "rollup") and getattr(self, f.name) is not None}
 
 
 def build_star(staging: DataFrame) -> Star:

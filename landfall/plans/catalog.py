@@ -16,16 +16,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall.functions.fingerprint import fingerprint
 from landfall.functions.periods import period_from_file_name, period_of
-from landfall.operators import quality
+from landfall.operators import quality, rollup
 from landfall.operators.airports import clean_airports, distinct_values
 from landfall.operators.lookups import Lookups, label_addr, label_int, label_port
-from landfall.operators.profile import null_counts, null_ratio, profile_extract, type_extract
+from landfall.operators.profile import merged_profile, null_counts, null_ratio, profile_extract, type_extract
 from landfall.operators.staging import fill_missing, join_label, staging_aggregate
 from landfall.operators.star import Star, with_unknown_member
 from landfall.plans import analysis
-from landfall.plans.flows import build_warehouse, files_compared, run_all, with_period
-from landfall.schemas import INT_COLUMNS, LONG_COLUMNS, PERIOD_COLUMN, STAR_TABLES, TEXT_COLUMNS
+from landfall.plans.flows import build_warehouse, files_compared, run_all, stored_checks, with_period
+from landfall.schemas import I94_RAW_COLUMNS, INT_COLUMNS, LONG_COLUMNS, PERIOD_COLUMN, STAR_TABLES, TEXT_COLUMNS
 from landfall.session import scratch_path
 from landfall.sources import fixtures
 from landfall.sources.labels import parse_label_lines, read_label_lines, scan_labels_csv, write_label_csv
@@ -219,6 +220,118 @@ def _loaded(spark, sf_dir, refresh: bool) -> Warehouse:
     return wh
 
 
+# Of the delivered months: first faulty and then corrected, delivered twice, and completed later.
+CORRECTED, TWICE, COMPLETED = "jun96", "mar97", "apr96"
+
+
+def _delivered(spark, sf_dir):
+    """A loader after four deliveries whose newest contents are the whole input.
+
+    First every month, one with a wrong port and one incomplete; then one
+    month a second time from another folder, in other files; the corrected
+    month, from a third folder; and the rest of the incomplete one, beside its
+    first part.
+    """
+    from landfall.streaming.incremental import IncrementalLoader
+
+    def loader(path):
+        wh = Warehouse(spark, f"{path}/warehouse")
+        return IncrementalLoader(spark, f"{path}/inbox", wh, Lookups.read(spark, wh.path("lookups")), refresh_star=True)
+
+    def make(path):
+        raw = spark.read.parquet(inbox(spark, sf_dir))
+        Lookups.from_parsed(parsed_labels(spark, sf_dir)).materialize(spark, f"{path}/warehouse/lookups")
+        load, period, late = loader(path), F.col(PERIOD_COLUMN), F.col("cicid") % 5 == 0
+        wrong = F.when((period == CORRECTED) & (F.col("cicid") % 3 == 0), F.lit("QXQ").cast("binary")).otherwise(F.col("i94port"))
+        first = raw.where(~((period == COMPLETED) & late)).withColumn("i94port", wrong)
+        first.write.partitionBy(PERIOD_COLUMN).parquet(f"{path}/inbox/a")
+        load.run()
+        raw.where(period == TWICE).repartition(3).write.partitionBy(PERIOD_COLUMN).parquet(f"{path}/inbox/b")
+        load.run()
+        raw.where(period == CORRECTED).write.partitionBy(PERIOD_COLUMN).parquet(f"{path}/inbox/c")
+        load.run()
+        raw.where((period == COMPLETED) & late).write.mode("append").partitionBy(PERIOD_COLUMN).parquet(f"{path}/inbox/a")
+        load.run()
+    return loader(_once(spark, sf_dir, "delivered", make))
+
+
+def redelivered_month(spark, sf_dir):
+    """What the ledger did with every month's deliveries, and the staging totals they left."""
+    load = _delivered(spark, sf_dir)
+    steps = (load.ledger.deliveries().groupBy(PERIOD_COLUMN)
+             .agg(F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("version", "action"))), lambda x: x["action"]))
+                  .alias("actions")))
+    totals = load.warehouse.read_staging().groupBy(PERIOD_COLUMN).agg(F.count(F.lit(1)).alias("row_count"),
+                                                                     F.sum("count").alias("total_count"))
+    return steps.join(totals, PERIOD_COLUMN, "full_outer")
+
+
+def staging_merged(spark, sf_dir):
+    """Staging merged from the partial sums of every delivery."""
+    return _delivered(spark, sf_dir).warehouse.read_staging().drop(YEAR_PARTITION)
+
+
+def members_corrected(spark, sf_dir):
+    """The dimensions' members after a correction took a port away."""
+    s = _delivered(spark, sf_dir).warehouse.read_star()
+    cols = {"visa": ("visatype", "visa_category"), "citizenship_country": ("id", "country_of_citizenship"),
+            "destination_state": ("id", "destination_state"), "entry_mode": ("id", "mode_of_entry"),
+            "entry_port": ("id", "port_of_entry"), "date": ("date", "weekday")}
+    parts = [s.tables()[n].select(F.lit(n).alias("table_name"), F.col(a).cast("string").alias("id"), F.col(b).cast("string").alias("label"))
+             for n, (a, b) in cols.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def checks_stored(spark, sf_dir):
+    """Every declared check, merged from the counts kept by year and period."""
+    return stored_checks(_delivered(spark, sf_dir).warehouse)
+
+
+def year_rollup(spark, sf_dir):
+    """The fact's totals by year and question, refreshed by year."""
+    kept = _delivered(spark, sf_dir).warehouse.read("rollup")
+    parts = []
+    for s in rollup.SETS:
+        two = [F.col(c).cast("string") for c in s] + [F.lit(None).cast("string")]
+        parts.append(kept.where(F.col("gid") == F.lit(rollup.gid(s))).select(
+            F.lit(",".join(s)).alias("columns"), YEAR_PARTITION, two[0].alias("first_key"), two[1].alias("second_key"),
+            F.col("count").alias("totalcount"), "row_count"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def null_counts_stored(spark, sf_dir):
+    """Null counts by period, merged from the stored counts of every delivery."""
+    return merged_profile(_delivered(spark, sf_dir).profile_counts(), [PERIOD_COLUMN])
+
+
+def profile_stored(spark, sf_dir):
+    """The months as profiled by the counts of all deliveries together."""
+    return _delivered(spark, sf_dir).profiled().drop(PERIOD_COLUMN)
+
+
+def rejected_cells_q(spark, sf_dir):
+    """Cells that do not parse, of CSV extracts and of Parquet ones, landed by a whole run."""
+    def make(path):
+        raw = with_period(fixtures.i94_raw(spark, sf_dir))
+        n = F.col("cicid").cast("long")
+        big = raw.withColumn("biryear", F.when(n % 103 == 0, F.lit(1e12)).otherwise(F.col("biryear")))
+        write_lake(big.where(F.col("i94yr") > YEAR), f"{path}/parquet")
+        text = raw.where(F.col("i94yr") <= YEAR).select(*[F.col(c).cast("string").alias(c) for c in raw.columns], n.alias("n"))
+        text = (text.withColumn("i94cit", F.when(F.col("n") % 97 == 0, F.concat(F.lit("x"), F.col("n") % 5)).otherwise(F.col("i94cit")))
+                .withColumn("arrdate", F.when(F.col("n") % 101 == 0, "n/a").otherwise(F.col("arrdate"))))
+        text.drop("n").write.partitionBy(PERIOD_COLUMN).option("header", True).csv(f"{path}/csv")
+        for fmt in ("csv", "parquet"):
+            run_all(spark, f"{path}/{fmt}", label_files(spark, sf_dir), f"{path}/out-{fmt}", extract_format=fmt)
+    root = _once(spark, sf_dir, "rejects", make)
+    return spark.read.parquet(f"{root}/out-csv/lake/rejects").unionByName(spark.read.parquet(f"{root}/out-parquet/lake/rejects"))
+
+
 def set_file_age(spark: SparkSession, folder: str, days: int) -> None:
     """Date the files of a folder ``days`` back, as a late copy would be."""
     jvm = spark._jvm
@@ -431,6 +544,13 @@ def dq_reconcile_land(spark, sf_dir):
     return quality.reconcile(spark.read.parquet(inbox(spark, sf_dir)), lake(spark, sf_dir))
 
 
+def dq_reconcile_content(spark, sf_dir):
+    """The contents of every period, cell by cell, in the source folders and in the lake."""
+    def sides(df):
+        return df.groupBy(PERIOD_COLUMN).agg(*fingerprint(I94_RAW_COLUMNS))
+    return quality.reconcile_content(sides(spark.read.parquet(inbox(spark, sf_dir))), sides(lake(spark, sf_dir)))
+
+
 def dq_reconcile_profile(spark, sf_dir):
     """Rows per period in the lake and in the profiled output."""
     target = scratch_path(spark, "profiled")
@@ -479,6 +599,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_parquet_roundtrip": sink_parquet_roundtrip,
     "source_period": source_period,
     "incremental_new_files": incremental_new_files,
+    "redelivered_month": redelivered_month,
     "dim_with_unknown": dim_with_unknown,
     # projections and scalar functions
     "cast_i94_types": cast_i94_types,
@@ -489,6 +610,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "airports_clean": airports_clean,
     "distinct_continent": distinct_continent,
     "profile_i94": profile_i94,
+    "profile_stored": profile_stored,
+    "rejected_cells": rejected_cells_q,
     "label_port": label_port_q,
     "label_addr": label_addr_q,
     "label_int": label_int_q,
@@ -502,6 +625,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # aggregates and flows
     "staging_agg": staging_agg,
     "staging": staging_q,
+    "staging_merged": staging_merged,
+    "members_corrected": members_corrected,
     "fact_immigration": fact_immigration,
     "dim_visa": _dim("visa"),
     "dim_country": _dim("citizenship_country"),
@@ -512,17 +637,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_counts": row_counts,
     "files_per_source": files_per_source,
     "star_refresh": star_refresh,
+    "year_rollup": year_rollup,
     "run_all_checks": run_all_checks,
     "run_twice": run_twice,
     "null_counts": null_counts_q,
     "null_ratio": null_ratio_q,
+    "null_counts_stored": null_counts_stored,
     # quality
     "dq_nonempty": dq_nonempty,
     "dq_not_null": dq_not_null,
     "dq_width": dq_width,
     "dq_unique_key": dq_unique_key,
     "dq_mode_dropped": dq_mode_dropped,
+    "checks_stored": checks_stored,
     "dq_reconcile_land": dq_reconcile_land,
+    "dq_reconcile_content": dq_reconcile_content,
     "dq_reconcile_profile": dq_reconcile_profile,
     # questions
     "q1": q1,

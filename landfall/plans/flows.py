@@ -12,15 +12,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall.functions.fingerprint import fingerprint
 from landfall.functions.periods import in_periods, period_of
 from landfall.operators.lookups import Lookups
-from landfall.operators.profile import ProfileResult, profile_extract
+from landfall.operators.profile import ProfileResult, fill_text, profile_counts, profile_extract, totals_of, type_extract
 from landfall.operators.staging import build_staging
 from landfall.operators.quality import lookup_keys
-from landfall.operators.star import Star, build_star, with_unknown_member
-from landfall.schemas import PERIOD_COLUMN, UNKNOWN_MEMBERS
+from landfall.operators.star import DIMENSION_SETS, Star, with_unknown_member
+from landfall.schemas import I94_RAW_COLUMNS, PERIOD_COLUMN
 from landfall.sources.labels import parse_label_lines
-from landfall.sources.warehouse import YEAR_PARTITION, Warehouse
+from landfall.sources.warehouse import FACT_SORT, YEAR_PARTITION, Warehouse
 
 
 def with_period(raw: DataFrame) -> DataFrame:
@@ -49,14 +50,15 @@ class BuildResult:
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, lines: DataFrame,
-                    warehouse: Warehouse, counts: tuple[int, dict[str, int]] | None = None,
+                    warehouse: Warehouse, counts: DataFrame | None = None,
                     periods: list | None = None, seed_unknown: bool = False) -> BuildResult:
     """Profile a batch of extracts, stage it, and (re)build the star.
 
-    Spark jobs: the profile aggregate (a single collected row; none when the
-    landing observed the ``counts``), the profiled write, the staging write,
-    the fact write and one scan of staging for all six dimensions.  Labels
-    whose codes are not unique stop the build: they would count rows twice.
+    Spark jobs: the profile aggregate (a single collected row; with stored
+    ``counts``, as the landing leaves them, a merge of those of all periods),
+    the profiled write, the staging write, the fact write and one scan of
+    staging for all six dimensions.  Labels whose codes are not unique stop
+    the build: they would count rows twice.
 
     ``periods`` are those that ``raw`` holds; other periods staged before stay.
     Without them the whole staging table is replaced.  ``seed_unknown`` adds
@@ -66,10 +68,13 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, lines: DataFrame,
     twice = [r["table_name"] for r in lookup_keys(lookups).where("NOT passed").collect()]
     if twice:
         raise ValueError(f"codes occur more than once in {twice}")
-    prof = profile_extract(with_period(raw), counts=counts)
-    warehouse.write("profiled", prof.df, partition_by=[PERIOD_COLUMN], replace_all=periods is None)
-    # months profiled earlier may have kept or dropped other columns
-    profiled = warehouse.spark.read.schema(prof.df.schema).parquet(warehouse.path("profiled"))
+    raw = with_period(raw)
+    prof = profile_extract(raw, counts=None if counts is None else totals_of(counts))
+    # every typed column is stored and the sparse ones are left out on reading, so that months
+    # profiled at different times share the schema that all of them together decide
+    typed = fill_text(type_extract(raw))
+    warehouse.write("profiled", typed, partition_by=[PERIOD_COLUMN], replace_all=periods is None)
+    profiled = warehouse.spark.read.schema(typed.schema).parquet(warehouse.path("profiled")).select(*prof.df.columns)
     if periods is not None:
         profiled = profiled.where(in_periods(PERIOD_COLUMN, periods))
     staging = warehouse.write_staging(build_staging(profiled, lookups), periods)
@@ -78,16 +83,46 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, lines: DataFrame,
 
 
 def rebuild_star(warehouse: Warehouse, seed_unknown: bool = False) -> Star:
-    """Re-derive the star from the whole staging table."""
+    """Re-derive the star from the whole staging table: the fact and its year rollup, the member and check counts of
+    every period, and the dimensions from the member counts."""
+    from landfall.operators.rollup import staging_counts, year_rollup
+    from landfall.operators.star import counted_members, fact_immigration, member_counts
+
     staging = warehouse.read_staging()
-    warehouse.write_star(build_star(staging.drop(PERIOD_COLUMN, YEAR_PARTITION)))
-    if seed_unknown:
-        for name in UNKNOWN_MEMBERS:
-            stored = warehouse.read(name)
-            warehouse.add_members(name, with_unknown_member(warehouse.spark, stored, name))
+    fact = fact_immigration(staging).withColumn(YEAR_PARTITION, F.year("arrdate"))
+    fact = warehouse.write("immigration", fact, partition_by=[YEAR_PARTITION], sort_by=FACT_SORT, rebalance=True, replace_all=True)
+    warehouse.write("rollup", year_rollup(fact), partition_by=[YEAR_PARTITION], rebalance=True, replace_all=True)
+    warehouse.write("staging_counts", staging_counts(staging, PERIOD_COLUMN), partition_by=[PERIOD_COLUMN], rebalance=True,
+                    replace_all=True)
+    counts = warehouse.write("members", member_counts(staging), partition_by=[PERIOD_COLUMN], rebalance=True, replace_all=True)
+    _write_dimensions(warehouse, counted_members(counts), list(DIMENSION_SETS), seed_unknown)
     return warehouse.read_star()
 
 
+def _write_dimensions(warehouse: Warehouse, members: DataFrame, names: list[str], seed_unknown: bool) -> None:
+    from landfall.operators.star import split_members
+
+    for name, dim in split_members(members).items():
+        if name in names:
+            warehouse.write_dimension(name, with_unknown_member(warehouse.spark, dim, name) if seed_unknown else dim)
+
+
+def stored_checks(warehouse: Warehouse) -> DataFrame:
+    """Every declared check of ``quality.star_suite``, from the counts kept with the tables.
+
+    Neither staging nor the fact is read: their counts were made when their
+    periods and years were written.  The dimensions, which are small, are
+    checked whole.
+    """
+    from landfall.operators import quality
+    from landfall.operators.rollup import fact_checks, staging_checks
+
+    star = warehouse.read_star(with_staging=False)
+    dims = {n: d for n, d in star.tables().items() if n != "immigration"}
+    return (staging_checks(warehouse.read("staging_counts")).unionByName(fact_checks(star.rollup, dims))
+            .unionByName(quality.column_checks(dims, with_nonempty=True)).unionByName(quality.unique_key(dims)))
+
+
 def staging_totals(staging: DataFrame) -> DataFrame:
     """Rows and ``sum(count)`` per period of a staging table."""
     return staging.groupBy(PERIOD_COLUMN).agg(F.count(F.lit(1)).alias("row_count"),
@@ -102,9 +137,11 @@ class LandResult:
     reconciliation: DataFrame
     # the periods that this landing brought; lake and reconciliation hold just these
     periods: list
-    # (total_rows, {column: nulls}) observed while the lake was written
-    counts: tuple[int, dict[str, int]] | None = None
+    # stored null counts of every period in the lake, those landed earlier too
+    counts: DataFrame | None = None
     files: DataFrame | None = None
+    # rejected cells of every period in the lake; None when this landing brought none
+    rejects: DataFrame | None = None
 
 
 def land_all(spark: SparkSession, extracts: str, labels: str, lake_root: str,
@@ -116,28 +153,38 @@ def land_all(spark: SparkSession, extracts: str, labels: str, lake_root: str,
     ``source_period=`` folders); ``labels`` holds the ``*.txt`` label
     files.  Extracts are rewritten as Parquet partitioned by period; label
     lines are kept as read (parsing happens in :func:`clean_labels`).  Periods
-    landed earlier stay in the lake and take no part in this result.
+    landed earlier stay in the lake and take no part in this result.  The
+    extracts are read twice: once for all counts, once to be written.
     """
-    from landfall.operators.quality import reconcile
+    from landfall.operators.quality import reconcile_content
+    from landfall.operators.rejects import bad_counts, rejects_of
     from landfall.sources.labels import read_label_lines
-    from landfall.sources.landing import land_airports, land_extracts, read_airports_csv, read_extracts
-
-    source = read_extracts(spark, extracts, extract_format, options=extract_options)
-    lake, counts = land_extracts(spark, extracts, f"{lake_root}/immigration", extract_format,
-                                 options=extract_options, with_profile=True)
-    periods = [r[0] for r in source.select(PERIOD_COLUMN).distinct().collect()]  # month labels
-    lake = lake.where(in_periods(PERIOD_COLUMN, periods))
+    from landfall.sources.landing import CELLS, land_airports, land_rows, read_airports_csv, read_extracts
+
+    tables = Warehouse(spark, lake_root)
+    source = read_extracts(spark, extracts, extract_format, options=extract_options, cells=True)
+    # one pass over the source: fingerprints, null profile and rejected cells by period
+    counts = profile_counts(source, [PERIOD_COLUMN], [*fingerprint(I94_RAW_COLUMNS), *bad_counts(source)])
+    counts = tables.write("source_counts", counts, replace_all=True)
+    periods = [r[0] for r in counts.select(PERIOD_COLUMN).collect()]  # month labels
+    lake = land_rows(source.drop(CELLS), f"{lake_root}/immigration").where(in_periods(PERIOD_COLUMN, periods))
+    tables.write_periods("profile_counts", counts, periods)
+    rejects = rejects_of(source, counts)
+    tables.write_periods("rejects", rejects, periods)
     label_source = read_label_lines(spark, labels)
     label_source.write.mode("overwrite").parquet(f"{lake_root}/labels")
     lines = spark.read.parquet(f"{lake_root}/labels")
-    files = files_compared({"immigration": (source.select(F.col(PERIOD_COLUMN).alias("name")),
-                                            lake.select(F.col(PERIOD_COLUMN).alias("name"))),
+    landed = lake.groupBy(PERIOD_COLUMN).agg(*fingerprint(I94_RAW_COLUMNS))
+    landed = tables.write("target_counts", landed, replace_all=True)
+    files = files_compared({"immigration": (counts.select(F.col(PERIOD_COLUMN).alias("name")),
+                                            landed.select(F.col(PERIOD_COLUMN).alias("name"))),
                             "labels": (label_source.select(F.col("label").alias("name")),
                                        lines.select(F.col("label").alias("name")))})
     airports = None
     if airports_csv:
         airports = land_airports(spark, read_airports_csv(spark, airports_csv), f"{lake_root}/airports")
-    return LandResult(lake, lines, airports, reconcile(source, lake), periods, counts, files)
+    return LandResult(lake, lines, airports, reconcile_content(counts, landed), periods,
+                      tables.read("profile_counts"), files, tables.read("rejects") if rejects is not None else None)
 
 
 def files_compared(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
@@ -166,10 +213,11 @@ def run_all(spark: SparkSession, extracts: str, labels: str, root: str,
 
     Returns the written star and the written table of check rows
     ``(check_name, table_name, column_name, bad_rows, passed)``.  Beside the
-    declared checks it has, for the periods of this run, the rows landed
-    (``reconcile_land``), files against targets (``files``), the sums staged
-    (``reconcile_staged``) and, as a report that always passes, the records
-    the mode join lost (``mode_loss``).  A second run over one root brings
+    declared checks it has, for the periods of this run, the contents landed
+    (``reconcile_land``), files against targets (``files``), cells that did
+    not parse (``rejected_cells``), the sums staged (``reconcile_staged``)
+    and, as a report that always passes, the records the mode join lost
+    (``mode_loss``).  A second run over one root brings
     other months to the same tables.
     """
     from landfall.operators import quality
@@ -181,10 +229,6 @@ def run_all(spark: SparkSession, extracts: str, labels: str, root: str,
     if landed.airports is not None:
         wh.write("airports", clean_airports(landed.airports))
     res = build_warehouse(spark, landed.lake, landed.lines, wh, landed.counts, landed.periods, seed_unknown)
-    tables = {"immigration_stage": res.staging.drop(PERIOD_COLUMN, YEAR_PARTITION)}
-    tables.update({n: (d.drop(YEAR_PARTITION) if n == "immigration" else d)
-                   for n, d in res.star.tables().items()})
-
     def as_checks(rec: DataFrame, check: str, column: str, bad) -> DataFrame:
         return rec.select(F.lit(check).alias("check_name"), F.lit("immigration").alias("table_name"),
                           F.col(column).alias("column_name"), bad.cast("bigint").alias("bad_rows"), F.col("passed"))
@@ -192,13 +236,17 @@ def run_all(spark: SparkSession, extracts: str, labels: str, root: str,
     staged = quality.reconcile_totals(res.profiled, res.staging.where(in_periods(PERIOD_COLUMN, landed.periods)),
                                       res.lookups.mode)
     missed = F.col("source_total") - F.col("lost_total") - F.col("staged_total")
-    checks = (quality.star_suite(tables).unionByName(quality.lookup_keys(res.lookups))
+    checks = (stored_checks(wh).unionByName(quality.lookup_keys(res.lookups))
               .unionByName(as_checks(landed.reconciliation, "reconcile_land", PERIOD_COLUMN,
-                                     F.abs(F.col("source_rows") - F.col("target_rows"))))
+                                     F.when(F.col("passed"), 0).otherwise(F.greatest(
+                                         F.lit(1), F.abs(F.col("source_rows") - F.col("target_rows"))))))
               .unionByName(as_checks(landed.files, "files", "source", F.abs(F.col("source_files") - F.col("target_files"))))
               .unionByName(as_checks(staged, "reconcile_staged", PERIOD_COLUMN, F.abs(missed)))
               .unionByName(as_checks(staged.withColumn("passed", F.lit(True)), "mode_loss", PERIOD_COLUMN,
                                      F.col("lost_total"))))
+    if landed.rejects is not None:
+        lost = landed.rejects.where(in_periods(PERIOD_COLUMN, landed.periods)).groupBy("column_name").agg(F.sum("cells").alias("cells"))
+        checks = checks.unionByName(as_checks(lost.withColumn("passed", F.lit(False)), "rejected_cells", "column_name", F.col("cells")))
     return res.star, wh.write("checks", checks)
 
 
@@ -207,7 +255,7 @@ def arrival_years(staging: DataFrame, periods: list) -> set:
     return {r[0] for r in staging.where(in_periods(PERIOD_COLUMN, periods)).select(YEAR_PARTITION).distinct().collect()}
 
 
-def refresh_star(warehouse: Warehouse, years: set, periods: list) -> Star:
+def refresh_star(warehouse: Warehouse, years: set, periods: list, seed_unknown: bool = False) -> Star:
     """Bring the star up to date after some ``periods`` were re-staged.
 
     Only the fact partitions of the touched arrival ``years`` are recomputed,
@@ -216,25 +264,34 @@ def refresh_star(warehouse: Warehouse, years: set, periods: list) -> Star:
     row left loses its partition.  ``None`` in ``years`` stands for rows
     without an arrival date.
 
-    Dimensions gain the members that the re-staged periods bring; members that
-    no period has any more leave with :func:`rebuild_star` only.
+    The rollup of these years and the check counts of these periods are
+    replaced likewise.  The members of the re-staged periods are counted again.
+    A dimension is written again, from the stored counts alone, where these periods gained or
+    lost a member of it: a member leaves with its last row.
     """
-    from landfall.operators.star import dimension_members, fact_immigration, split_members
-    from landfall.sources.warehouse import FACT_SORT
+    from landfall.operators.rollup import staging_counts, year_rollup
+    from landfall.operators.star import changed_dimensions, counted_members, fact_immigration, member_counts
 
+    if not all(warehouse.exists(t) for t in ("immigration", "members", "rollup", "staging_counts")):
+        return rebuild_star(warehouse, seed_unknown)
     staging = warehouse.read_staging()
-    touched = in_periods(YEAR_PARTITION, sorted(years, key=lambda y: (y is not None, y)))
-    if not warehouse.exists("immigration"):
-        return rebuild_star(warehouse)
+    mine = in_periods(PERIOD_COLUMN, periods)
     if years:
+        years = sorted(years, key=lambda y: (y is not None, y))
+        touched = in_periods(YEAR_PARTITION, years)
         fact = fact_immigration(staging.where(touched)).withColumn(YEAR_PARTITION, F.year("arrdate"))
-        before = set(warehouse.files("immigration", touched))
-        warehouse.write("immigration", fact, partition_by=[YEAR_PARTITION], sort_by=FACT_SORT, rebalance=True)
-        warehouse.remove(sorted(before & set(warehouse.files("immigration", touched))))
-    members = dimension_members(staging.where(in_periods(PERIOD_COLUMN, periods))).persist()
+        warehouse.write_parts("immigration", fact, YEAR_PARTITION, years, sort_by=FACT_SORT, rebalance=True)
+        rollup = year_rollup(warehouse.read("immigration").where(touched))
+        warehouse.write_parts("rollup", rollup, YEAR_PARTITION, years, rebalance=True)
+    warehouse.write_periods("staging_counts", staging_counts(staging.where(mine), PERIOD_COLUMN), periods, rebalance=True)
+    stored = warehouse.read("members")
+    now = member_counts(staging.where(mine)).persist()
     try:
-        for name, dim in split_members(members).items():
-            warehouse.add_members(name, dim)
+        changed = changed_dimensions(stored.where(mine), now)
+        if changed:  # before the counts are stored: a refresh that breaks off here is made again
+            others = stored.where(~F.coalesce(mine, F.lit(False)))
+            _write_dimensions(warehouse, counted_members(others.unionByName(now)), changed, seed_unknown)
+        warehouse.write_periods("members", now, periods, rebalance=True)
     finally:
-        members.unpersist()
+        now.unpersist()
     return warehouse.read_star()

@@ -17,15 +17,38 @@ from landfall.functions.periods import period_from_path
 from landfall.schemas import AIRPORTS, I94_RAW, I94_RAW_TEXT, PERIOD_COLUMN, REQUIRED_COLUMNS
 
 
+#: The text of a CSV row's cells, kept until those that do not parse are known.
+CELLS = "_cells"
+
+
 def extract_schema(base: T.StructType = I94_RAW) -> T.StructType:
     """The raw schema plus the period column (filled from folder names when present)."""
     return T.StructType(list(base.fields) + [T.StructField(PERIOD_COLUMN, T.StringType(), True)])
 
 
 def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(file)`` for every file under ``path``; contents are not read."""
+    """``(file, length, modified)`` for every file under ``path``; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.col("_metadata.file_path").alias("file"))
+    return files.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("length"),
+                        F.col("_metadata.file_modification_time").alias("modified"))
+
+
+def by_header(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
+    """Delivered files by their first line, read through the file system that holds them; empty files are left out."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    out: dict[str, list[str]] = {}
+    for f in sorted(files):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
+        codec, stream = codecs.getCodec(path), path.getFileSystem(conf).open(path)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            line = reader.readLine()
+        finally:
+            reader.close()
+        if line:
+            out.setdefault(line, []).append(f)
+    return out
 
 
 def named_columns(df: DataFrame, schema: T.StructType, required: list[str], keep_others: bool = False) -> list[Column]:
@@ -47,11 +70,11 @@ def named_columns(df: DataFrame, schema: T.StructType, required: list[str], keep
 
 
 def read_csv_by_name(spark: SparkSession, path: str | list[str], schema: T.StructType, required: list[str],
-                     options: dict | None = None) -> DataFrame:
+                     options: dict | None = None, more: dict | None = None, cells: bool = False) -> DataFrame:
     """CSV files read by the names in each file's own header, whatever their order.
 
-    Spark reads one header per file to group files that share it; then each
-    group is one scan.  The number of files is that of the delivered extracts.
+    Files that share a header line are one scan.  ``cells`` adds the column
+    ``_cells`` with the text of every cell that is not text by ``schema``.
     """
     def reader():
         r = spark.read.option("header", True)
@@ -59,18 +82,18 @@ def read_csv_by_name(spark: SparkSession, path: str | list[str], schema: T.Struc
             r = r.option(k, v)
         return r
 
-    groups: dict[tuple, list[str]] = {}
-    for row in list_files(spark, path).toLocalIterator():
-        columns = tuple(reader().csv(row["file"]).columns)
-        if columns:
-            groups.setdefault(columns, []).append(row["file"])
+    other = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in other])
     parts = []
-    for files in groups.values():
+    for files in by_header(spark, [r["file"] for r in list_files(spark, path).select("file").collect()]).values():
         text = reader().csv(files)
         parts.append(text.select(*named_columns(text, schema, required),
-                                 period_from_path(F.col("_metadata.file_path")).alias(PERIOD_COLUMN)))
+                                 *([F.struct(*named_columns(text, as_text, [])).alias(CELLS)] if cells else []),
+                                 period_from_path(F.col("_metadata.file_path")).alias(PERIOD_COLUMN),
+                                 *[of(F.col("_metadata.file_path")).alias(c) for c, of in (more or {}).items()]))
     if not parts:
-        return spark.createDataFrame([], extract_schema(schema))
+        return spark.createDataFrame([], T.StructType([*schema.fields, *([T.StructField(CELLS, as_text)] if cells else []),
+                                                       *[T.StructField(c, T.StringType()) for c in [PERIOD_COLUMN, *(more or {})]]]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -78,21 +101,25 @@ def read_csv_by_name(spark: SparkSession, path: str | list[str], schema: T.Struc
 
 
 def read_extracts(spark: SparkSession, path: str | list[str], fmt: str = "parquet",
-                  schema: T.StructType | None = None, options: dict | None = None) -> DataFrame:
+                  schema: T.StructType | None = None, options: dict | None = None, more: dict | None = None,
+                  cells: bool = False) -> DataFrame:
     """Read every extract under ``path`` with a declared schema (no inference).
 
     Parquet extracts carry text as binary (``I94_RAW``); CSV extracts carry it
     as text (``I94_RAW_TEXT``) and are read by the names in their headers.
     ``source_period`` comes from each file's path: its ``source_period=``
-    folder, else its name.
+    folder, else its name.  ``more`` names further text columns made from the path;
+    ``cells`` keeps the text of CSV cells beside their values (``_cells``).
     """
     if fmt == "csv":
-        return read_csv_by_name(spark, path, schema or I94_RAW_TEXT, REQUIRED_COLUMNS, options)
+        return read_csv_by_name(spark, path, schema or I94_RAW_TEXT, REQUIRED_COLUMNS, options, more, cells)
     reader = spark.read.format(fmt).schema(schema or I94_RAW).option("recursiveFileLookup", True)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     paths = [path] if isinstance(path, str) else path
-    return reader.load(paths).withColumn(PERIOD_COLUMN, period_from_path(F.col("_metadata.file_path")))
+    file = F.col("_metadata.file_path")
+    return reader.load(paths).select("*", period_from_path(file).alias(PERIOD_COLUMN),
+                                     *[of(file).alias(c) for c, of in (more or {}).items()])
 
 
 def write_lake(df: DataFrame, target: str, mode: str = "overwrite") -> None:
@@ -111,6 +138,12 @@ def land_extracts(spark: SparkSession, source: str, target: str, fmt: str = "par
     landing write itself: the profile then needs no scan of its own.
     """
     df = read_extracts(spark, source, fmt, schema, options)
+    return land_rows(df, target, with_profile)
+
+
+def land_rows(df: DataFrame, target: str, with_profile: bool = False):
+    """Write extracts that were read already; see :func:`land_extracts`."""
+    spark = df.sparkSession
     if not with_profile:
         write_lake(df, target)
         return spark.read.parquet(target)

@@ -13,7 +13,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from landfall.functions.periods import in_periods
 from landfall.operators.star import Star
@@ -67,18 +66,17 @@ class Warehouse:
         return self.spark.read.parquet(self.path(name))
 
     def exists(self, name: str) -> bool:
-        """Whether table ``name`` has been written (resolving its schema reads footers only)."""
-        try:
-            self.read(name).schema
-        except AnalysisException:
-            return False
-        return True
+        """Whether table ``name`` has been written; asks the file system, reads nothing."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        fs = path.getFileSystem(conf)
+        return fs.exists(path) and any(not f.getPath().getName().startswith("_temporary") for f in fs.listStatus(path))
 
     def files(self, name: str, where: Column | None = None) -> list[str]:
         """Paths of the table's files, of the partitions that ``where`` selects; no column is read."""
         if not self.exists(name):
             return []
-        df = self.read(name)
+        df = self.spark.read.parquet(self.path(name))
         df = df if where is None else df.where(where)
         return [r[0] for r in df.select(F.col("_metadata.file_path")).distinct().collect()]
 
@@ -89,6 +87,26 @@ class Warehouse:
             p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
             p.getFileSystem(conf).delete(p, False)
 
+    def write_parts(self, name: str, df: DataFrame | None, part: str, values: list, partition_by: list[str] | None = None,
+                    sort_by: list[str] | None = None, rebalance: bool = False) -> None:
+        """Replace the rows whose ``part`` is one of ``values`` in a table partitioned by it; all others stay.
+
+        Dynamic overwrite leaves a partition alone that got no row this time:
+        files of these values that were there before and still are belong to
+        such partitions and go.  No ``df`` means no rows.
+        """
+        mine = in_periods(part, values)
+        before = set(self.files(name, mine))
+        if df is not None:
+            self.write(name, df, partition_by=partition_by or [part], sort_by=sort_by, rebalance=rebalance)
+        if before:
+            self.remove(sorted(before & set(self.files(name, mine))))
+
+    def write_periods(self, name: str, df: DataFrame | None, periods: list, partition_by: list[str] | None = None,
+                      sort_by: list[str] | None = None, rebalance: bool = False) -> None:
+        """:meth:`write_parts` by period."""
+        self.write_parts(name, df, PERIOD_COLUMN, periods, partition_by, sort_by, rebalance)
+
     # -- staging and star ---------------------------------------------------
     def write_staging(self, staging: DataFrame, periods: list | None = None) -> DataFrame:
         """Write staging partitioned by arrival year and period.
@@ -100,12 +118,10 @@ class Warehouse:
         """
         out = staging.drop(YEAR_PARTITION).withColumn(YEAR_PARTITION, F.year("arrdate"))
         parts = [YEAR_PARTITION] + ([PERIOD_COLUMN] if PERIOD_COLUMN in out.columns else [])
-        mine = in_periods(PERIOD_COLUMN, periods) if periods else None
-        before = set(self.files("immigration_stage", mine)) if periods else set()
-        self.write("immigration_stage", out, partition_by=parts, sort_by=["arrdate"], rebalance=True,
-                   replace_all=periods is None)
-        if before:
-            self.remove(sorted(before & set(self.files("immigration_stage", mine))))
+        if periods is None:
+            self.write("immigration_stage", out, partition_by=parts, sort_by=["arrdate"], rebalance=True, replace_all=True)
+        else:
+            self.write_periods("immigration_stage", out, periods, parts, ["arrdate"], rebalance=True)
         return self.read_staging()
 
     def read_staging(self) -> DataFrame:
@@ -179,7 +195,7 @@ class Warehouse:
     def read_star(self, with_staging: bool = True) -> Star:
         tables = {name: self.read(name) for name in STAR_TABLES}
         staging = self.read_staging() if with_staging and self.exists("immigration_stage") else None
-        return Star(staging=staging, **tables)
+        return Star(staging=staging, rollup=self.read("rollup") if self.exists("rollup") else None, **tables)
 
 
 # -- JDBC ------------------------------------------------------------------

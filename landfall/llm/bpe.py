@@ -19,6 +19,7 @@ long words a round does more where the result is the same:
 from __future__ import annotations
 
 import base64
+import re
 import sys
 from dataclasses import dataclass
 
@@ -106,20 +107,35 @@ class Splitter:
     """Matches of the pattern as the BPE library finds them.
 
     Characters that are letters or numbers only since a newer Unicode version
-    stand for other characters there; texts that hold one are matched with
-    each such character replaced by an unassigned one.
+    are neither there; in a text that holds one, an unassigned character
+    stands for each while the text is matched.  All of them lie beyond Latin-1.
     """
 
     def __init__(self, pattern: str, unknown: str):
         self.pattern = regex.compile(pattern)
-        self.unknown = regex.compile(f"[{unknown}]") if unknown else None
+        self.unknown = re.compile(f"[{unknown}]") if unknown else None
+
+    def plain(self, text: str) -> bool:
+        """Whether the text holds none of these characters."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return not self.unknown or not self.unknown.search(text)
+        return True
 
     def words(self, text: str):
-        like = text
-        if self.unknown and not text.isascii():
-            like = self.unknown.sub("\U000EFFFF", text)
+        """Lists of matches, in order; of a long text in several lists."""
+        plain = self.plain(text)
+        if plain and len(text) <= 1 << 20:
+            yield self.pattern.findall(text)
+            return
+        like, out = text if plain else self.unknown.sub("\U000EFFFF", text), []
         for m in self.pattern.finditer(like):
-            yield text[m.start():m.end()]
+            out.append(text[m.start():m.end()])
+            if len(out) >= WORDS:
+                yield out
+                out = []
+        yield out
 
 
 # -- the task's database
@@ -295,17 +311,11 @@ class Engine:
             pending, held = [], 0
 
         for i, text in enumerate(texts):
-            words: list[str] = []
-            for w in self.splitter.words(text):
-                words.append(w)
-                if len(words) >= WORDS:
-                    pending.append((i, words))
+            for words in self.splitter.words(text):
+                pending.append((i, words))
+                held += len(words)
+                if held >= WORDS:
                     settle()
-                    words = []
-            pending.append((i, words))
-            held += len(words)
-            if held >= WORDS:
-                settle()
         settle()
         return [bytes(b) for b in out]
 

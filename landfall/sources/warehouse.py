@@ -13,12 +13,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall.functions.periods import in_periods
 from landfall.operators.star import Star
-from landfall.schemas import PERIOD_COLUMN, STAR_TABLES
+from landfall.schemas import CONTRACTS, PERIOD_COLUMN, STAR_TABLES, Contract
 
 YEAR_PARTITION = "arrival_year"
+# Columns that stored tables add to their contract, as folders.
+PARTITIONS = [YEAR_PARTITION, PERIOD_COLUMN]
 # Row order inside each fact file: the warehouse sort key.  Parquet keeps
 # min/max per row group, so a range on ``arrdate`` skips most row groups.
 FACT_SORT = ["arrdate", "i94mode", "visatype", "i94cit", "i94port", "i94addr"]
@@ -93,7 +96,9 @@ class Warehouse:
 
         Dynamic overwrite leaves a partition alone that got no row this time:
         files of these values that were there before and still are belong to
-        such partitions and go.  No ``df`` means no rows.
+        such partitions and go.  No ``df`` means no rows.  Should the driver be
+        lost between the write and the removal, they stay until these values
+        are written again.
         """
         mine = in_periods(part, values)
         before = set(self.files(name, mine))
@@ -111,10 +116,8 @@ class Warehouse:
     def write_staging(self, staging: DataFrame, periods: list | None = None) -> DataFrame:
         """Write staging partitioned by arrival year and period.
 
-        With ``periods`` (those that were processed) the table then holds
-        nothing else of them: dynamic overwrite leaves a partition alone that
-        got no row this time, so files of these periods that were there before
-        and still are belong to such partitions and go.
+        With ``periods`` (those that were processed) it replaces these, see
+        :meth:`write_parts`; without, the whole table.
         """
         out = staging.drop(YEAR_PARTITION).withColumn(YEAR_PARTITION, F.year("arrdate"))
         parts = [YEAR_PARTITION] + ([PERIOD_COLUMN] if PERIOD_COLUMN in out.columns else [])
@@ -179,15 +182,16 @@ class Warehouse:
         return names
 
     def register_tables(self, database: str) -> list[str]:
-        """Define every written table in the session's catalog, as external tables of ``database``."""
+        """Define every written table in the session's catalog, as external tables of ``database`` by their contracts."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         names = []
         for name in STAR_TABLES + ["immigration_stage"]:
             if self.exists(name):
                 table = f"`{database}`.`{name}`"
                 self.spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: the files stay
-                self.spark.sql(create_table_ddl(table, self.path(name)))
-                if YEAR_PARTITION in self.read(name).columns:
+                stored = self.read(name).schema
+                self.spark.sql(create_table_ddl(table, self.path(name), CONTRACTS[name], stored))
+                if any(f.name in PARTITIONS for f in stored.fields):
                     self.spark.catalog.recoverPartitions(f"{database}.{name}")
                 names.append(f"{database}.{name}")
         return names
@@ -231,6 +235,26 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
     return r.load()
 
 
-def create_table_ddl(table: str, location: str) -> str:
-    """``CREATE TABLE`` text of a written Parquet table: columns and partitions are those of its files."""
-    return f"CREATE TABLE {table} USING parquet LOCATION '{location}'"
+def create_table_ddl(table: str, location: str, contract: Contract, stored: T.StructType) -> str:
+    """``CREATE TABLE`` text of a written table by its contract: the declared columns in their order, each with its
+    declared width, NOT NULL and references as its comment, the key as a table property, then the partition columns.
+
+    Spark neither checks nor may assume such constraints of files written
+    elsewhere; the quality checks test them.  Files that lack a declared column
+    raise.
+    """
+    types = {f.name: f.dataType.simpleString() for f in stored.fields}
+    absent = [c for c in contract.columns if c not in types]
+    if absent:
+        raise ValueError(f"{contract.name} lacks {absent}")
+    columns = []
+    for c in contract.columns:
+        said = [f"VARCHAR({contract.widths[c]})"] if c in contract.widths else []
+        said += ["NOT NULL"] if c in contract.not_null else []
+        said += ["REFERENCES {0}({1})".format(*contract.foreign_keys[c])] if c in contract.foreign_keys else []
+        columns.append(f"`{c}` {types[c]}" + (f" COMMENT '{' '.join(said)}'" if said else ""))
+    parts = [c for c in PARTITIONS if c in types]
+    columns += [f"`{c}` {types[c]}" for c in parts]
+    by = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)})" if parts else ""
+    key = f" TBLPROPERTIES ('primary.key' = '{','.join(contract.key)}')" if contract.key else ""
+    return f"CREATE TABLE {table} ({', '.join(columns)}) USING parquet{by} LOCATION '{location}'{key}"

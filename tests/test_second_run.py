@@ -11,10 +11,11 @@ from landfall.operators.lookups import Lookups
 from landfall.plans import analysis
 from landfall.plans import catalog as C
 from landfall.plans.flows import build_warehouse, rebuild_star, run_all, with_period
+from landfall.schemas import CONTRACTS
 from landfall.session import shared_dir
 from landfall.sources import fixtures
 from landfall.sources.landing import land_extracts, read_airports_csv, write_lake
-from landfall.sources.warehouse import Warehouse
+from landfall.sources.warehouse import Warehouse, create_table_ddl
 from landfall.streaming.incremental import IncrementalLoader
 from tests.conftest import SF001, rows
 
@@ -171,9 +172,18 @@ def test_tables_in_the_catalog(spark):
     try:
         assert spark.table("landfall_test.immigration").where("arrival_year = 1996").count() \
             == wh.read("immigration").where("arrival_year = 1996").count() > 0
+        told = {r["col_name"]: (r["data_type"], r["comment"]) for r in spark.sql("DESCRIBE landfall_test.immigration").collect()}
+        assert told["gender"] == ("string", "VARCHAR(1) NOT NULL")
+        assert told["i94cit"] == ("int", "NOT NULL REFERENCES citizenship_country(id)")
+        assert spark.table("landfall_test.immigration").columns == CONTRACTS["immigration"].columns + ["arrival_year"]
+        assert spark.table("landfall_test.immigration_stage").columns[:14] == CONTRACTS["immigration_stage"].columns
+        key = spark.sql("SHOW TBLPROPERTIES landfall_test.entry_port ('primary.key')").first()["value"]
+        assert key == "id" and spark.table("landfall_test.entry_port").count() == wh.read("entry_port").count()
     finally:
         spark.sql("DROP DATABASE landfall_test CASCADE")
     assert wh.read("immigration").count() > 0  # the files stay
+    with pytest.raises(ValueError, match="lacks"):
+        create_table_ddl("t", "x", CONTRACTS["entry_port"], wh.read("entry_mode").schema)
 
 
 def test_shared_folder_must_be_named_off_local():

@@ -63,7 +63,8 @@ class Warehouse:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(name))
-        return self.read(name)
+        # by the schema written: a table that got no row has no file to tell it
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))

@@ -37,7 +37,7 @@ from landfall.operators.rejects import bad_counts, rejected_cells, rejects_of
 from landfall.operators.staging import build_staging
 from landfall.plans.flows import arrival_years, refresh_star
 from landfall.schemas import (I94_RAW, I94_RAW_COLUMNS, I94_RAW_TEXT, NULL_RATIO_LIMIT, PERIOD_COLUMN, REQUIRED_COLUMNS,
-                              STAGING_KEYS)
+                              STAGING, STAGING_KEYS)
 from landfall.sources.landing import list_files, read_extracts
 from landfall.sources.ledger import DELIVERIES, FILES, LOADED, Ledger, delivery_location, delivery_stem, merged
 from landfall.sources.warehouse import Warehouse
@@ -46,6 +46,8 @@ STREAMED = "path string, modificationTime timestamp, length long, content binary
 VERSION_OF = ["stem", "version"]
 FOLDERS = T.StructType([T.StructField("stem", T.StringType()), T.StructField("version", T.LongType()),
                         T.StructField(PERIOD_COLUMN, T.StringType())])
+PARTIALS = T.StructType([*[f for f in STAGING.fields if f.name in (*STAGING_KEYS, "count")], T.StructField(PERIOD_COLUMN, T.StringType()),
+                         T.StructField("stem", T.StringType()), T.StructField("version", T.LongType())])
 REJECTS = T.StructType([T.StructField("column_name", T.StringType()), T.StructField("cell", T.StringType()),
                         T.StructField("cells", T.LongType()), T.StructField(PERIOD_COLUMN, T.StringType()),
                         T.StructField("stem", T.StringType()), T.StructField("version", T.LongType())])
@@ -138,7 +140,8 @@ class IncrementalLoader:
             r[PERIOD_COLUMN] for r in rows if r["stem"] in loaded and r["row_count"]}
         if loaded:
             self._sum_up(loaded, version)
-            self._reject([f["file"] for f in chosen if f["stem"] in loaded], loaded, version)
+        kept = [s for s, a in actions.items() if a != "duplicate"]  # a month may be held for its rejected cells
+        self._reject([f["file"] for f in chosen if f["stem"] in kept], kept, version)
         self.ledger.write("deliveries", self._table(rows, DELIVERIES), version)
         if periods:
             self._restage(sorted(periods, key=lambda p: (p is not None, p)))
@@ -220,10 +223,12 @@ class IncrementalLoader:
                                  partition_by=[PERIOD_COLUMN, "stem", "version"])
 
     def rejects(self) -> DataFrame:
-        """``(source_period, stem, column_name, cell, cells)``: cells of the versions that count which did not parse."""
+        """``(source_period, stem, column_name, cell, cells)``: cells that did not parse, of the versions that count or are held."""
         if not self.warehouse.exists("rejects"):
             return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in REJECTS.fields]).drop("version")
-        return self._counting(self.spark.read.schema(REJECTS).parquet(self.warehouse.path("rejects"))).drop("version")
+        shown = self.ledger.current().select(*VERSION_OF).unionByName(self.ledger.waiting().select(*VERSION_OF)).distinct()
+        rows = self.spark.read.schema(REJECTS).parquet(self.warehouse.path("rejects"))
+        return rows.join(bounded_broadcast(shown), VERSION_OF, "left_semi").drop("version")
 
     def _counting(self, rows: DataFrame) -> DataFrame:
         """The rows of versions that make up what their stems hold now."""
@@ -232,7 +237,8 @@ class IncrementalLoader:
 
     def partials(self, periods: list) -> DataFrame:
         """The partial sums that make up ``periods`` now."""
-        return self._counting(self.warehouse.read("stage_partials").where(in_periods(PERIOD_COLUMN, periods)))
+        rows = self.spark.read.schema(PARTIALS).parquet(self.warehouse.path("stage_partials"))
+        return self._counting(rows.where(in_periods(PERIOD_COLUMN, periods)))
 
     def _restage(self, periods: list) -> None:
         # arrival years these periods covered before and after re-staging:

@@ -263,7 +263,7 @@ def test_a_swapped_cell_fails_the_run(spark, scratch, monkeypatch):
 
 def test_rejected_cells_of_csv_and_parquet(spark, scratch, tmp_path):
     need = "arrdate,i94port,i94mode,i94addr,gender,visatype,i94visa,count,i94cit"
-    (tmp_path / "i94_jan16_sub.csv").write_text(f"{need}\n20454,NYC,1,NY,F,B2,2,1,101\nsoon,NYC,1,NY,F,B2,2,1,x1\n ,NYC,1,NY,F,B2,2,1,x1\n")
+    (tmp_path / "i94_jan16_sub.csv").write_text(f"{need}\n" + "20454,NYC,1,NY,F,B2,2,1,101\n" * 12 + "soon,NYC,1,NY,F,B2,2,1,x1\n ,NYC,1,NY,F,B2,2,1,x1\n")
     (tmp_path / "i94_feb16_sub.csv").write_text(f"{need}\n20490,NYC,1,NY,F,B2,2,1,101\n")
     want = {("jan16", "arrdate", "soon"): 1, ("jan16", "i94cit", "x1"): 2}
     lk = Lookups.from_parsed(C.parsed_labels(spark, SF001))

@@ -3,7 +3,8 @@
 For each language a suffix automaton of labelled text; a document is cut
 greedily into the longest phrases that occur in that text, and the language
 that needs the fewest phrases wins.  All documents of a batch walk through
-the automata in step, cut into lanes of equal length.
+the automata in step, cut into lanes of equal length; a lane goes on in the
+state in which the one before it ended.
 """
 
 from __future__ import annotations
@@ -18,13 +19,18 @@ from pyspark.sql import Window
 
 from landfall.llm.common import broadcast, crc_mod, kept, slices, table, written
 
-#: Labelled texts per language, bytes taken of each, and languages of one table of transitions.
-TEXTS, TEXT_BYTES, TABLE_LANGUAGES = 64, 512, 64
-#: Lanes: bytes of text each, and lanes in step.
-LANE, LANES = 512, 4096
+#: Labelled texts per language, bytes taken of each and at how many places, and languages of one table of transitions.
+TEXTS, TEXT_BYTES, PLACES, TABLE_LANGUAGES = 64, 512, 2, 16
+#: Lanes: bytes of text each, bytes before it that give the state to start from, and lanes in step.
+LANE, WARM, LANES = 512, 64, 4096
 LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a letter occurs; numbers such as fractions, which the pattern takes too, are none."""
+    return any(m[0].isalpha() for m in LETTER.finditer(text or ""))
+
+
 def normal(text: str | None) -> bytes:
     """Lower-cased; digits, punctuation and white space are one blank."""
     return re.sub(r"[\W\d_]+", " ", (text or "").lower()).encode("utf-8", "replace")
@@ -91,55 +97,108 @@ class CrossParser:
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Phrases needed: a row per text, a column per language.
 
-        A text longer than a lane is cut at lane ends, the same for every language.
+        All lanes walk at once.  A lane's first state is guessed by walking the
+        bytes before it; where that is not the state in which the lane before
+        ended, the lane is walked again from there, until all agree.  Equal
+        states go on alike, so the counts are those of one walk over the text.
         """
+        lanes = [(i, s) for i, t in enumerate(texts) for s in range(0, len(t), LANE)]
+        owner = np.array([i for i, _ in lanes], np.int64)
+        follows = np.array([s > 0 for _, s in lanes], bool)
+        began, ended, count = np.zeros((3, len(self.languages), len(lanes)), np.int32)
+        order = np.argsort([min(LANE, len(texts[i]) - s) + min(WARM, s) for i, s in lanes], kind="stable")  # like lengths together
+        for k in range(0, len(order), LANES):
+            at = order[k:k + LANES]
+            warm = np.array([min(WARM, lanes[j][1]) for j in at])
+            symbols, lengths = self._symbols([texts[i][max(0, s - WARM):s + LANE] for i, s in (lanes[j] for j in at)])
+            for lang in range(len(self.languages)):
+                began[lang, at], ended[lang, at], count[lang, at] = self._walk(lang, symbols, lengths, warm, np.zeros(len(at), np.int32))
+        for lang in range(len(self.languages)):
+            while True:
+                wrong = np.zeros(len(lanes), bool)
+                wrong[1:] = follows[1:] & (began[lang, 1:] != ended[lang, :-1])
+                todo = np.flatnonzero(wrong & ~np.concatenate(([False], wrong[:-1])))  # those behind a wrong one wait for it
+                if not len(todo):
+                    break
+                for k in range(0, len(todo), LANES):
+                    at = todo[k:k + LANES]
+                    symbols, lengths = self._symbols([texts[i][s:s + LANE] for i, s in (lanes[j] for j in at)])
+                    state = ended[lang, at - 1]
+                    began[lang, at], ended[lang, at], count[lang, at] = self._walk(lang, symbols, lengths, np.zeros(len(at), np.int64), state)
         out = np.zeros((len(texts), len(self.languages)), np.int64)
-        pieces = [(i, s) for i, t in enumerate(texts) for s in range(0, len(t), LANE)]
-        pieces.sort(key=lambda x: min(LANE, len(texts[x[0]]) - x[1]))  # lanes of like length together
-        for k in range(0, len(pieces), LANES):
-            group = pieces[k:k + LANES]
-            data = [texts[i][s:s + LANE] for i, s in group]
-            lengths = np.array([len(x) for x in data])
-            width = int(lengths.max())
-            lanes = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in data), np.uint8).reshape(-1, width)
-            symbols = np.ascontiguousarray(self.symbol[lanes].T).astype(np.int32)
-            owner = np.array([i for i, _ in group])
-            for lang, root in enumerate(self.roots):
-                state = np.zeros(len(group), np.int32)
-                count = np.zeros(len(group), np.int32)
-                first = root * self.width
-                for t in range(width):
-                    s = symbols[t]
-                    to = self.table[state * self.width + s]
-                    cut = to == 0  # the phrase ends: start anew with this symbol
-                    if t >= lengths[0]:
-                        cut &= lengths > t  # padding makes no phrase
-                    count += cut
-                    state = np.where(to == 0, self.table[first + s], to)
-                np.add.at(out[:, lang], owner, count)
+        np.add.at(out, owner, count.T)
         return out
 
+    def _symbols(self, data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols, a row per place and a column per lane, and the lanes' lengths."""
+        lengths = np.array([len(x) for x in data])
+        width = int(lengths.max())
+        lanes = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in data), np.uint8).reshape(-1, width)
+        return np.ascontiguousarray(self.symbol[lanes].T).astype(np.int32), lengths
+
+    def _walk(self, lang: int, symbols: np.ndarray, lengths: np.ndarray, warm: np.ndarray, state: np.ndarray):
+        """(state before the first counted byte, last state, phrases begun); the ``warm`` first bytes do not count."""
+        first, began, count = self.roots[lang] * self.width, state, np.zeros(len(lengths), np.int32)
+        shortest, warmest = int(lengths.min()), int(warm.max())
+        for t, s in enumerate(symbols):
+            to = self.table[state * self.width + s]
+            cut = to == 0  # the phrase ends: start anew with this symbol
+            to = np.where(cut, self.table[first + s], to)
+            if t >= shortest:  # padding makes no phrase and moves no state
+                cut &= lengths > t
+                to = np.where(lengths > t, to, state)
+            if t <= warmest:
+                began = np.where(warm == t, state, began)
+                cut &= warm <= t
+            count += cut
+            state = to
+        return began, state, count
+
+
+def pieces(norm: bytes, seed: int) -> bytes:
+    """``TEXT_BYTES`` bytes of a normalised text, from ``PLACES`` equal parts of it, each at a place given by ``seed``.
+
+    A text of at most so many bytes is taken whole.  No phrase spans two
+    pieces: \\n is not in a normal text.
+    """
+    if len(norm) <= TEXT_BYTES:
+        return norm
+    size, part, out = TEXT_BYTES // PLACES, len(norm) // PLACES, []
+    for k in range(PLACES):
+        at = k * part + seed % (part - size + 1)
+        out.append(norm[at:at + size])
+    return b"\n".join(out)
+
 
 def samples(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """Training text of every language, at most ``TEXTS`` rows of ``TEXT_BYTES`` bytes each.
 
     Taken from rows outside the held-out third with a language and a letter,
-    by smallest id hash.  Null ids and null languages teach nothing.
+    by smallest id hash; the bytes come from places all over the text, chosen
+    by a hash of the id.  Of rows that share id and language the least piece
+    counts.  Null ids and null languages teach nothing.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    usable = rows.where(F.col("lang").isNotNull() & (crc_mod("doc_id", 3) != 1) & (F.length("text") > 0))
+    usable = rows.where(F.col("lang").isNotNull() & (crc_mod("doc_id", 3) != 1) & F.col("text").rlike(r"\p{L}"))
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (usable.select("lang", "doc_id")
-              .withColumn("k", F.row_number().over(first)).where(F.col("k") <= TEXTS)
-              .select("doc_id", "lang").distinct())
-    out: dict[str, list[bytes]] = {}
+    # equal ids of a language first count as one, so a row repeated very often takes one place
+    ids = usable.select("lang", "doc_id").distinct()
+    chosen = ids.withColumn("k", F.row_number().over(first)).where(F.col("k") <= TEXTS).select("doc_id", "lang")
+
+    def run(batches):
+        for b in slices(batches):
+            taken = [pieces(normal(t), h) if has_letter(t) else None
+                     for t, h in zip(b.column("text").to_pylist(), b.column("h").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("h"), pa.array(taken, pa.binary())], names=["lang", "h", "piece"])
+
     got = (usable.join(F.broadcast(chosen), ["doc_id", "lang"])
-           .select("lang", "doc_id", F.substring("text", 1, 4 * TEXT_BYTES).alias("text"))
-           .dropDuplicates(["lang", "doc_id"]).collect())  # TEXTS rows a language at most
-    for r in sorted(got, key=lambda r: (r["lang"], r["doc_id"])):
-        if LETTER.search(r["text"]):
-            out.setdefault(r["lang"], []).append(normal(r["text"])[:TEXT_BYTES])
-    return {k: b"\n".join(v) for k, v in out.items()}  # no phrase spans two texts: \n is not in a normal text
+           .select("lang", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 40)).alias("h"), "text")
+           .mapInArrow(run, f"lang {rows.schema['lang'].dataType.simpleString()}, h long, piece binary")
+           .where(F.col("piece").isNotNull()).groupBy("lang", "h").agg(F.min("piece").alias("piece")).collect())  # TEXTS a language at most
+    out: dict[str, list[bytes]] = {}
+    for r in sorted(got, key=lambda r: (r["lang"], r["h"])):
+        out.setdefault(r["lang"], []).append(bytes(r["piece"]))
+    return {k: b"\n".join(v) for k, v in out.items()}
 
 
 def parsed(docs: DataFrame, training: dict[str, bytes], kind: str) -> DataFrame:
@@ -153,7 +212,7 @@ def parsed(docs: DataFrame, training: dict[str, bytes], kind: str) -> DataFrame:
         parser = kept(b, lambda data: CrossParser(data) if data else None)
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
-            known = [bool(parser and t and LETTER.search(t)) for t in texts]
+            known = [bool(parser) and has_letter(t) for t in texts]
             norm = [normal(t) if k else b"" for t, k in zip(texts, known)]
             need = parser.phrases(norm) if parser else np.zeros((len(texts), 1), np.int64)
             order = np.sort(need, axis=1)

@@ -23,14 +23,32 @@ TOKEN = r"[A-Za-z0-9+/_-]{24,}"
 MIN_VALUE = 6
 #: A value of at most so many owners, and of so many repositories where a column names them, looks live.
 MAX_OWNERS, MAX_REPOS = 1, 3
+#: Matches of one block.
+BLOCK = 128
 FOUND = "array<struct<start:int,kind:int,end:int,hash:string>>"
 
 
+def once(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` worked out once, though ``f`` uses it in several places or in lambdas."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def blocks(items: Column) -> Column:
+    """An array cut into arrays of ``BLOCK`` items; it is evaluated once."""
+    def cut(x):
+        return F.when(F.size(x) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / BLOCK).cast("int")),
+                                                 lambda k: F.slice(x, k * BLOCK + 1, BLOCK)))
+
+    return F.coalesce(once(items, cut), F.array())
+
+
 def places(text: Column, kind: int, pattern: str, keep, value, probe: str | None = None) -> Column:
     """Array of (start, kind, end, hash of the value) of the pattern's matches, left to right.
 
     Splitting at the pattern gives the texts between the matches; running
-    lengths of both, in code points, are the places.
+    lengths of both, in code points, are the places.  They run inside blocks of
+    matches, which then move to where they begin: the array of one block is
+    copied at a match, never that of the whole text.
     """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.filter(F.zip_with(matches, F.split(text, pattern, -1), lambda m, g: F.struct(m.alias("m"), g.alias("g"))),
@@ -44,7 +62,15 @@ def places(text: Column, kind: int, pattern: str, keep, value, probe: str | None
         return F.struct(end.alias("at"), F.when(keep(x["m"]), F.concat(acc["out"], here)).otherwise(acc["out"]).alias("out"))
 
     empty = F.array().cast(FOUND)
-    found = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+
+    def move(acc, b):
+        here = F.transform(b["out"], lambda f: F.struct((f["start"] + acc["at"]).alias("start"), f["kind"].alias("kind"),
+                                                        (f["end"] + acc["at"]).alias("end"), f["hash"].alias("hash")))
+        return F.struct((acc["at"] + b["at"]).alias("at"), F.concat(acc["out"], F.array(here)).alias("out"))
+
+    inside = F.transform(blocks(pairs), lambda b: F.aggregate(b, F.struct(F.lit(0).alias("at"), empty.alias("out")), step))
+    found = F.flatten(F.aggregate(inside, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{FOUND}>").alias("out")), move,
+                                  lambda acc: acc["out"]))
     return F.when(text.rlike(probe or pattern), found).otherwise(empty)
 
 
@@ -72,7 +98,13 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
                        (F.coalesce(F.col(repo).cast("string"), F.lit("")) if repo else F.lit(None).cast("string")).alias("repo"),
                        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("copy"), both.alias("c"))
-    free = F.filter("c.tokens", lambda t: ~F.exists("c.base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    # a token meets the bounds of a block of base spans first, and its spans only where it lies within them
+    near = F.transform(blocks(F.col("c.base")), lambda b: F.struct(
+        F.array_min(F.transform(b, lambda x: x["start"])).alias("low"), F.array_max(F.transform(b, lambda x: x["end"])).alias("high"),
+        b.alias("spans")))
+    free = once(near, lambda near: F.filter("c.tokens", lambda t: ~F.exists(near, lambda n: (
+        n["low"] < t["end"]) & (t["start"] < n["high"]) & F.exists(
+            n["spans"], lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))))
     return written(rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "owner", "repo", "copy",
                                F.concat("c.base", free).alias("found")), "secrets")
 

@@ -46,17 +46,20 @@ class PerfectHash:
 
     Each level hashes the keys left into twice as many bits and keeps those
     that fall alone; a key's index is the rank of its bit over all levels.
+    With a second half ``other`` every other level hashes that, so keys that
+    are equal in one half part by the other.
     """
 
-    def __init__(self, keys: np.ndarray, gamma: float = 2.0):
-        self.levels, base, left = [], 0, keys.astype(np.uint64)
-        while len(left) and len(self.levels) < 64:  # equal keys would never part
-            bits = max(64, int(gamma * len(left)))
-            at = self._at(left, len(self.levels), bits)
+    def __init__(self, keys: np.ndarray, other: np.ndarray | None = None, gamma: float = 2.0):
+        self.levels, base = [], 0
+        left = [x.astype(np.uint64) for x in (keys, keys if other is None else other)]
+        while len(left[0]) and len(self.levels) < 64:  # equal keys would never part
+            bits = max(64, int(gamma * len(left[0])))
+            at = self._at(left[len(self.levels) % 2], len(self.levels), bits)
             alone = np.bincount(at, minlength=bits) == 1
             self.levels.append((alone, base + np.cumsum(alone, dtype=np.int32) - 1))
             base += int(alone.sum())
-            left = left[~alone[at]]
+            left = [x[~alone[at]] for x in left]
         self.size = base
 
     @staticmethod
@@ -64,12 +67,13 @@ class PerfectHash:
         step = np.uint64((level + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
         return (mix64(keys + step) % np.uint64(bits)).astype(np.int64)
 
-    def index(self, keys: np.ndarray) -> np.ndarray:
+    def index(self, keys: np.ndarray, other: np.ndarray | None = None) -> np.ndarray:
         """Index of each key; some index or -1 for a key that is not a member."""
+        halves = keys, keys if other is None else other
         out = np.full(len(keys), -1, np.int64)
         open_ = np.arange(len(keys))
         for level, (alone, rank) in enumerate(self.levels):
-            at = self._at(keys[open_], level, len(alone))
+            at = self._at(halves[level % 2][open_], level, len(alone))
             got = alone[at]
             out[open_[got]] = rank[at[got]]
             open_ = open_[~got]
@@ -80,8 +84,8 @@ class Shard:
     """Perfect hash plus arrays: fingerprint (the key's other half), documents, keeper."""
 
     def __init__(self, hi: np.ndarray, lo: np.ndarray, n_docs: np.ndarray, keeper: np.ndarray):
-        self.hash = PerfectHash(lo)
-        at = self.hash.index(lo)
+        self.hash = PerfectHash(lo, hi)
+        at = self.hash.index(lo, hi)
         self.fingerprint = np.empty(len(lo), np.uint64)
         self.n_docs, self.keeper = np.empty(len(lo), np.int64), np.empty(len(lo), np.int64)
         self.fingerprint[at], self.n_docs[at], self.keeper[at] = hi, n_docs, keeper
@@ -98,7 +102,7 @@ class Shard:
 
     def probe(self, hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(member, keeper) of each key; a non-member fails by its fingerprint."""
-        at = self.hash.index(lo)
+        at = self.hash.index(lo, hi)
         ok = at >= 0
         ok[ok] = self.fingerprint[at[ok]] == hi[ok]
         return ok, np.where(ok, self.keeper[at], 0)
@@ -106,7 +110,7 @@ class Shard:
 
 def line_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 min_chars: int = MIN_CHARS) -> DataFrame:
-    """(hi, lo, n_docs, keeper) of every long line; a task's lines are summed before the shuffle."""
+    """(hi, lo, n_docs, keeper) of every long line, a row being a document; a task's lines are summed before the shuffle."""
 
     def run(batches):
         seen: dict = {}
@@ -136,10 +140,34 @@ def line_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             .groupBy("hi", "lo").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper")))
 
 
+def surplus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame | None:
+    """(hi, lo, surplus): by how many more rows than ids a long line is held; None where no id repeats.
+
+    Only rows of repeated ids are read for it.  Null ids are a document each.
+    """
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    again = written(rows.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n"))
+                    .where(F.col("n") > 1).select("doc_id"), "line-ids")
+    if again.isEmpty():
+        return None
+
+    def run(batches):
+        for b in slices(batches):
+            found = [(i, *k) for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True)
+                     for k in set(line_keys(t, min_chars)) if k is not None]
+            keys = np.array([(h, l) for _, h, l in found], np.uint64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _, _ in found], pa.int64()), pa.array(signed(keys[:, 0])),
+                                              pa.array(signed(keys[:, 1]))], names=["doc_id", "hi", "lo"])
+
+    held = rows.join(again, "doc_id", "left_semi").mapInArrow(run, "doc_id long, hi long, lo long")
+    return (held.groupBy("doc_id", "hi", "lo").agg((F.count("*") - 1).alias("more"))
+            .groupBy("hi", "lo").agg(F.sum("more").alias("surplus")).where(F.col("surplus") > 0))
+
+
 class LineIndex:
     """Shards over the lines of at least ``min_chars`` found in at least ``min_docs`` documents.
 
-    A document is a row: repeated rows count as often as they come.  Shards
+    Rows that share an id are one document; a null id is one by itself.  Shards
     are built in tasks and kept in a written table; none passes the driver.
     Documents are dealt into pieces by a hash of id and text.  A piece asks
     for each of its distinct lines once, so a line that very many documents
@@ -152,6 +180,11 @@ class LineIndex:
                  piece_keys: int = PIECE_KEYS):
         self.min_chars = min_chars
         frequent = written(line_counts(docs, doc_id, text, min_chars).where(F.col("n_docs") >= min_docs), "lines")
+        more = surplus(docs, doc_id, text, min_chars)
+        if more is not None:
+            n_docs = F.col("n_docs") - F.coalesce("surplus", F.lit(0))
+            frequent = written(frequent.join(more, ["hi", "lo"], "left").where(n_docs >= min_docs)
+                               .select("hi", "lo", n_docs.alias("n_docs"), "keeper"), "lines-by-id")
         size = frequent.agg(F.count("*").alias("n"), F.coalesce(F.sum("n_docs"), F.lit(0)).alias("held")).first()
         self.parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         # whole multiples of the partitions, so that shards and pieces are dealt evenly

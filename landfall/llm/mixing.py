@@ -163,6 +163,10 @@ def _horizon(times: DataFrame, budget: float, ranges: int = 1024) -> float:
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``docs``, all columns, with ``times`` (1 or more): the documents the mix takes, and how often.
 
+    Where ``docs`` has a column of that name, in whatever case, the new one is
+    ``mix_times`` (``mix_mix_times``, and so on).  A null text has no words; equal
+    rows are taken alike; a source of no words is never taken.
+
     A source's queue is taken from its front, so a document's count follows
     from the last place taken in each round: one small row per source, and no
     text is shuffled.
@@ -174,11 +178,13 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     last = last.withColumnRenamed("source", "_source")
     here = F.struct(F.xxhash64(F.col(doc_id).cast("string"), F.lit(5)),
                     F.coalesce(F.col(doc_id).cast("string"), F.lit("")), n_words(F.col(text)))
-    rows = docs.withColumn("_place", here).join(last, docs[source].eqNullSafe(last["_source"]), "left")
-    times = sum(F.coalesce((F.col("_place") <= F.col(f"_last{e}")).cast("int"), F.lit(0)) for e in range(REPEATS))
-    name = "times" if "times" not in docs.columns else "mix_times"
-    return (rows.withColumn(name, times).where(F.col(name) > 0)
-            .drop("_place", "_source", *[f"_last{e}" for e in range(REPEATS)]))
+    rows = docs.select(F.struct("*").alias("row"), here.alias("place"), F.col(source).alias("source"))
+    rows = rows.join(last, F.col("source").eqNullSafe(F.col("_source")), "left")
+    times = sum(F.coalesce((F.col("place") <= F.col(f"_last{e}")).cast("int"), F.lit(0)) for e in range(REPEATS))
+    name, names = "times", {c.lower() for c in docs.columns}
+    while name in names:
+        name = "mix_" + name
+    return rows.withColumn("times", times).where(F.col("times") > 0).select("row.*", F.col("times").alias(name))
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

@@ -243,6 +243,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     """(text, toxic) of at most ``limit`` labelled rows outside the held-out fifth, as a written table.
 
     Ids without a label, null ids and null labels teach nothing; a row labelled twice is toxic if either says so.
+    Of rows that share an id the first text in code-point order counts.
     """
     usable = labels.where(F.col("toxic").isNotNull() & (crc_mod("doc_id", 5) != 0))
     # few more than the limit by their hash, so that the final sort is small
@@ -252,7 +253,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     ids = (usable.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return written(rows.join(F.broadcast(ids), "doc_id").select("text", "toxic"), "labelled")
+    one = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
+    return written(one.select("text", "toxic"), "labelled")
 
 
 def learn(spark, sf_dir: str) -> Lexicon:

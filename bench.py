@@ -48,7 +48,9 @@ from landfall.streaming.incremental import IncrementalLoader  # noqa: E402
 def timed(fn):
     t = time.perf_counter()
     out = fn()
-    return out, time.perf_counter() - t
+    took = time.perf_counter() - t
+    print(f"bench: step took {took:.2f} s", file=sys.stderr, flush=True)
+    return out, took
 
 
 def main() -> None:

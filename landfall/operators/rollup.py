@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.operators.joins import bounded_broadcast
@@ -76,15 +76,14 @@ def fact_checks(rollup: DataFrame, parents: dict[str, DataFrame], contract: Cont
     return reduce(DataFrame.unionByName, parts)
 
 
-def staging_counts(staging: DataFrame, by: str, contract: Contract = CONTRACTS["immigration_stage"]) -> DataFrame:
-    """``(by, row_count, width_<column>...)`` of staging rows: what its declared checks need, by period."""
-    return staging.groupBy(by).agg(F.count(F.lit(1)).alias("row_count"),
-                                   *[F.count_if(F.length(c) > w).alias(f"width_{c}") for c, w in contract.widths.items()])
+def staging_counts(contract: Contract = CONTRACTS["immigration_stage"]) -> list[Column]:
+    """Aggregates ``width_<column>``: beside the rows, what staging's declared checks need."""
+    return [F.count_if(F.length(c) > w).alias(f"width_{c}") for c, w in contract.widths.items()]
 
 
 def staging_checks(counts: DataFrame, contract: Contract = CONTRACTS["immigration_stage"]) -> DataFrame:
-    """Staging's check rows (``quality.star_suite``), merged from its stored counts."""
-    sums = counts.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n"),
+    """Staging's check rows (``quality.star_suite``), merged from the rows ``(n, width_<column>...)`` stored by period."""
+    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
                       *[F.coalesce(F.sum(f"width_{c}"), F.lit(0)).cast("bigint").alias(f"w{i}") for i, c in enumerate(contract.widths)])
     each = [F.struct(F.lit("nonempty").alias("check_name"), F.lit(None).cast("string").alias("column_name"),
                      F.when(F.col("n") > 0, 0).otherwise(1).cast("bigint").alias("bad_rows"))]

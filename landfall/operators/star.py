@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.functions.dates import date_parts
@@ -49,6 +49,10 @@ def _gid(cols: list[str]) -> int:
     return sum(1 << (n - 1 - i) for i, c in enumerate(_MEMBER_COLS) if c not in cols)
 
 
+#: ``grouping_id()`` of the set that is a whole period.
+PERIOD_GID = _gid([])
+
+
 def dimension_members(staging: DataFrame) -> DataFrame:
     """Distinct members of all six dimensions from **one** scan of staging.
 
@@ -61,15 +65,17 @@ def dimension_members(staging: DataFrame) -> DataFrame:
     return staging.groupingSets(sets, *_MEMBER_COLS).agg(F.grouping_id().alias("gid"))
 
 
-def member_counts(staging: DataFrame) -> DataFrame:
-    """``(source_period, gid, member columns, n)``: in how many staging rows of a period each member occurs.
+def member_counts(staging: DataFrame, more: list[Column] = ()) -> DataFrame:
+    """``(source_period, gid, member columns, n, more...)``: in how many staging rows of a period each member occurs.
 
     The counts of one period depend on that period alone, so a period that is
     staged again replaces its own; a member that no period counts has left.
+    A further set, ``PERIOD_GID``, has one row for the whole period; the
+    aggregates ``more`` go along, so that one scan serves them too.
     """
-    sets = [[PERIOD_COLUMN, *[c for c, _ in cols]] for cols in DIMENSION_SETS.values()]
+    sets = [[PERIOD_COLUMN, *[c for c, _ in cols]] for cols in DIMENSION_SETS.values()] + [[PERIOD_COLUMN]]
     # the period is in every set, so it adds no bit to the grouping id
-    return staging.groupingSets(sets, PERIOD_COLUMN, *_MEMBER_COLS).agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n"))
+    return staging.groupingSets(sets, PERIOD_COLUMN, *_MEMBER_COLS).agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n"), *more)
 
 
 def counted_members(counts: DataFrame) -> DataFrame:

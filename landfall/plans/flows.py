@@ -92,9 +92,8 @@ def rebuild_star(warehouse: Warehouse, seed_unknown: bool = False) -> Star:
     fact = fact_immigration(staging).withColumn(YEAR_PARTITION, F.year("arrdate"))
     fact = warehouse.write("immigration", fact, partition_by=[YEAR_PARTITION], sort_by=FACT_SORT, rebalance=True, replace_all=True)
     warehouse.write("rollup", year_rollup(fact), partition_by=[YEAR_PARTITION], rebalance=True, replace_all=True)
-    warehouse.write("staging_counts", staging_counts(staging, PERIOD_COLUMN), partition_by=[PERIOD_COLUMN], rebalance=True,
-                    replace_all=True)
-    counts = warehouse.write("members", member_counts(staging), partition_by=[PERIOD_COLUMN], rebalance=True, replace_all=True)
+    counts = warehouse.write("period_counts", member_counts(staging, staging_counts()), partition_by=[PERIOD_COLUMN], spread=True,
+                             replace_all=True)
     _write_dimensions(warehouse, counted_members(counts), list(DIMENSION_SETS), seed_unknown)
     return warehouse.read_star()
 
@@ -102,9 +101,13 @@ def rebuild_star(warehouse: Warehouse, seed_unknown: bool = False) -> Star:
 def _write_dimensions(warehouse: Warehouse, members: DataFrame, names: list[str], seed_unknown: bool) -> None:
     from landfall.operators.star import split_members
 
-    for name, dim in split_members(members).items():
-        if name in names:
-            warehouse.write_dimension(name, with_unknown_member(warehouse.spark, dim, name) if seed_unknown else dim)
+    members = members.persist()  # labels and days; one read of the counts serves all dimensions
+    try:
+        for name, dim in split_members(members).items():
+            if name in names:
+                warehouse.write_dimension(name, with_unknown_member(warehouse.spark, dim, name) if seed_unknown else dim)
+    finally:
+        members.unpersist()
 
 
 def stored_checks(warehouse: Warehouse) -> DataFrame:
@@ -116,10 +119,12 @@ def stored_checks(warehouse: Warehouse) -> DataFrame:
     """
     from landfall.operators import quality
     from landfall.operators.rollup import fact_checks, staging_checks
+    from landfall.operators.star import PERIOD_GID
 
     star = warehouse.read_star(with_staging=False)
     dims = {n: d for n, d in star.tables().items() if n != "immigration"}
-    return (staging_checks(warehouse.read("staging_counts")).unionByName(fact_checks(star.rollup, dims))
+    periods = warehouse.read("period_counts").where(F.col("gid") == F.lit(PERIOD_GID))
+    return (staging_checks(periods).unionByName(fact_checks(star.rollup, dims))
             .unionByName(quality.column_checks(dims, with_nonempty=True)).unionByName(quality.unique_key(dims)))
 
 
@@ -168,7 +173,7 @@ def land_all(spark: SparkSession, extracts: str, labels: str, lake_root: str,
     counts = tables.write("source_counts", counts, replace_all=True)
     periods = [r[0] for r in counts.select(PERIOD_COLUMN).collect()]  # month labels
     lake = land_rows(source.drop(CELLS), f"{lake_root}/immigration").where(in_periods(PERIOD_COLUMN, periods))
-    tables.write_periods("profile_counts", counts, periods)
+    tables.write_periods("profile_counts", counts, periods, spread=True)
     rejects = rejects_of(source, counts)
     tables.write_periods("rejects", rejects, periods)
     label_source = read_label_lines(spark, labels)
@@ -272,7 +277,7 @@ def refresh_star(warehouse: Warehouse, years: set, periods: list, seed_unknown:
     from landfall.operators.rollup import staging_counts, year_rollup
     from landfall.operators.star import changed_dimensions, counted_members, fact_immigration, member_counts
 
-    if not all(warehouse.exists(t) for t in ("immigration", "members", "rollup", "staging_counts")):
+    if not all(warehouse.exists(t) for t in ("immigration", "period_counts", "rollup")):
         return rebuild_star(warehouse, seed_unknown)
     staging = warehouse.read_staging()
     mine = in_periods(PERIOD_COLUMN, periods)
@@ -283,15 +288,14 @@ def refresh_star(warehouse: Warehouse, years: set, periods: list, seed_unknown:
         warehouse.write_parts("immigration", fact, YEAR_PARTITION, years, sort_by=FACT_SORT, rebalance=True)
         rollup = year_rollup(warehouse.read("immigration").where(touched))
         warehouse.write_parts("rollup", rollup, YEAR_PARTITION, years, rebalance=True)
-    warehouse.write_periods("staging_counts", staging_counts(staging.where(mine), PERIOD_COLUMN), periods, rebalance=True)
-    stored = warehouse.read("members")
-    now = member_counts(staging.where(mine)).persist()
+    stored = warehouse.read("period_counts")
+    now = member_counts(staging.where(mine), staging_counts()).persist()
     try:
         changed = changed_dimensions(stored.where(mine), now)
         if changed:  # before the counts are stored: a refresh that breaks off here is made again
             others = stored.where(~F.coalesce(mine, F.lit(False)))
             _write_dimensions(warehouse, counted_members(others.unionByName(now)), changed, seed_unknown)
-        warehouse.write_periods("members", now, periods, rebalance=True)
+        warehouse.write_periods("period_counts", now, periods, spread=True)
     finally:
         now.unpersist()
     return warehouse.read_star()

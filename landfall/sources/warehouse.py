@@ -39,7 +39,7 @@ class Warehouse:
 
     def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
               sort_by: list[str] | None = None, mode: str = "overwrite",
-              rebalance: bool = False, replace_all: bool = False) -> DataFrame:
+              rebalance: bool = False, replace_all: bool = False, spread: bool = False) -> DataFrame:
         """Write ``df`` as table ``name`` and return the table read back.
 
         With ``partition_by`` and dynamic partition overwrite, an overwrite
@@ -52,9 +52,14 @@ class Warehouse:
         redistributes rows by the partition columns first: AQE then coalesces
         small partitions and splits a hot one into advisory-size pieces, so
         each output folder gets a few full files instead of one fragment per
-        upstream task.
+        upstream task.  ``spread=True`` deals the folders over all shuffle
+        partitions instead, whole: for counts that are small in every folder,
+        where the folders take the time and a rebalance would give all of them
+        to one task.
         """
         out = df
+        if spread and partition_by:
+            out = out.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), *partition_by)
         if rebalance and partition_by:
             out = out.hint("rebalance", *partition_by)
         if sort_by:
@@ -92,7 +97,7 @@ class Warehouse:
             p.getFileSystem(conf).delete(p, False)
 
     def write_parts(self, name: str, df: DataFrame | None, part: str, values: list, partition_by: list[str] | None = None,
-                    sort_by: list[str] | None = None, rebalance: bool = False) -> None:
+                    sort_by: list[str] | None = None, rebalance: bool = False, spread: bool = False) -> None:
         """Replace the rows whose ``part`` is one of ``values`` in a table partitioned by it; all others stay.
 
         Dynamic overwrite leaves a partition alone that got no row this time:
@@ -104,14 +109,14 @@ class Warehouse:
         mine = in_periods(part, values)
         before = set(self.files(name, mine))
         if df is not None:
-            self.write(name, df, partition_by=partition_by or [part], sort_by=sort_by, rebalance=rebalance)
+            self.write(name, df, partition_by=partition_by or [part], sort_by=sort_by, rebalance=rebalance, spread=spread)
         if before:
             self.remove(sorted(before & set(self.files(name, mine))))
 
     def write_periods(self, name: str, df: DataFrame | None, periods: list, partition_by: list[str] | None = None,
-                      sort_by: list[str] | None = None, rebalance: bool = False) -> None:
+                      sort_by: list[str] | None = None, rebalance: bool = False, spread: bool = False) -> None:
         """:meth:`write_parts` by period."""
-        self.write_parts(name, df, PERIOD_COLUMN, periods, partition_by, sort_by, rebalance)
+        self.write_parts(name, df, PERIOD_COLUMN, periods, partition_by, sort_by, rebalance, spread)
 
     # -- staging and star ---------------------------------------------------
     def write_staging(self, staging: DataFrame, periods: list | None = None) -> DataFrame:

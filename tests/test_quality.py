@@ -92,10 +92,10 @@ def test_stored_checks_equal_the_full_suite(spark, scratch):
     faulty = staged.withColumn("i94addr", F.lit("X" * 30)).withColumn("i94cit", F.lit(None).cast("int"))
     faulty.write.parquet(f"{scratch}-faulty")
     wh.write_staging(spark.read.parquet(f"{scratch}-faulty"), ["jan97"])
-    before = set(wh.files("rollup")), set(wh.files("staging_counts"))
+    before = set(wh.files("rollup")), set(wh.files("period_counts"))
     refresh_star(wh, {1997}, ["jan97"])
     assert stored() == full() and any("width" in r and "i94addr" in r and "passed=False" in r for r in stored())
-    changed = (set(wh.files("rollup")) ^ before[0]) | (set(wh.files("staging_counts")) ^ before[1])
+    changed = (set(wh.files("rollup")) ^ before[0]) | (set(wh.files("period_counts")) ^ before[1])
     assert changed and all("arrival_year=1997" in f or "source_period=jan97" in f for f in changed)
     # a dimension that loses a member makes orphans of years that were not touched
     ports = wh.read("entry_port")

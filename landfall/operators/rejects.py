@@ -26,8 +26,8 @@ def _cells(df: DataFrame) -> dict[str, tuple[Column, Column]]:
     for c in I94_RAW_COLUMNS:
         if c in df.columns and c not in TEXT_COLUMNS:
             text = F.col(f"{CELLS}.{c}") if CELLS in df.columns else F.col(c).cast("string")
-            # a CSV cell of blanks is an empty cell
-            out[c] = text, text.isNotNull() & (F.trim(text) != "") & typed[c].isNull()
+            # the missing value is asked for first: few cells need their text; a CSV cell of blanks is an empty cell
+            out[c] = text, typed[c].isNull() & F.coalesce(F.trim(text) != "", F.lit(False))
     return out
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +42,27 @@ def build_session(master: str | None = None, app_name: str = "landfall",
     return spark
 
 
+# Files that one task of a partitioned write may hold open: the months of seven years and more.
+OPEN_FILES = 100
+
+
+@contextmanager
+def open_files(spark: SparkSession, most: int = OPEN_FILES) -> Iterator[None]:
+    """Partitioned writes within it hold one file open per folder that a task meets, instead of sorting its rows first.
+
+    A sort by folder keeps all of a task's rows in memory, or spills them; open
+    files hold what is not written yet, encoded.  Beyond ``most`` folders a
+    task sorts the rows that remain, so any number of folders is written.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, "0")
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for materialised intermediate tables.
 

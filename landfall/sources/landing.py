@@ -9,16 +9,21 @@ month instead of duplicating it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions.periods import period_from_path
 from landfall.schemas import AIRPORTS, I94_RAW, I94_RAW_TEXT, PERIOD_COLUMN, REQUIRED_COLUMNS
+from landfall.session import open_files
 
 
 #: The text of a CSV row's cells, kept until those that do not parse are known.
 CELLS = "_cells"
+#: So many files at most have their names sent to every task; with more, each row works out its own.
+NAMED_FILES = 50_000
 
 
 def extract_schema(base: T.StructType = I94_RAW) -> T.StructType:
@@ -33,6 +38,23 @@ def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
                         F.col("_metadata.file_modification_time").alias("modified"))
 
 
+def with_path_columns(df: DataFrame, path: str | list[str], of: dict[str, Callable[[Column], Column]], keep: list[Column | str]) -> DataFrame:
+    """``keep`` of a file scan and the columns that ``of`` makes from each row's file path.
+
+    They are made once a file, from the listing, and joined by the path: pattern
+    matching on every row takes as long as writing it.  A file that the listing
+    lacks, as it came since, has them made row by row.
+    """
+    file = F.col("_metadata.file_path")
+    if len(df.inputFiles()) > NAMED_FILES:
+        return df.select(*keep, *[f(file).alias(c) for c, f in of.items()])
+    listed = list_files(df.sparkSession, path).select(F.col("file").alias("__file"),
+                                                      F.struct(*[f(F.col("file")).alias(c) for c, f in of.items()]).alias("__of"))
+    rows = df.select(*keep, file.alias("__path")).join(F.broadcast(listed), F.col("__path") == F.col("__file"), "left")
+    made = [F.when(F.col("__file").isNull(), f(F.col("__path"))).otherwise(F.col("__of")[c]).alias(c) for c, f in of.items()]
+    return rows.select(*[c for c in rows.columns if not c.startswith("__")], *made)
+
+
 def by_header(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
     """Delivered files by their first line, read through the file system that holds them; empty files are left out."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -87,10 +109,9 @@ def read_csv_by_name(spark: SparkSession, path: str | list[str], schema: T.Struc
     parts = []
     for files in by_header(spark, [r["file"] for r in list_files(spark, path).select("file").collect()]).values():
         text = reader().csv(files)
-        parts.append(text.select(*named_columns(text, schema, required),
-                                 *([F.struct(*named_columns(text, as_text, [])).alias(CELLS)] if cells else []),
-                                 period_from_path(F.col("_metadata.file_path")).alias(PERIOD_COLUMN),
-                                 *[of(F.col("_metadata.file_path")).alias(c) for c, of in (more or {}).items()]))
+        kept = [*named_columns(text, schema, required),
+                *([F.struct(*named_columns(text, as_text, [])).alias(CELLS)] if cells else [])]
+        parts.append(with_path_columns(text, files, {PERIOD_COLUMN: period_from_path, **(more or {})}, kept))
     if not parts:
         return spark.createDataFrame([], T.StructType([*schema.fields, *([T.StructField(CELLS, as_text)] if cells else []),
                                                        *[T.StructField(c, T.StringType()) for c in [PERIOD_COLUMN, *(more or {})]]]))
@@ -117,15 +138,14 @@ def read_extracts(spark: SparkSession, path: str | list[str], fmt: str = "parque
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     paths = [path] if isinstance(path, str) else path
-    file = F.col("_metadata.file_path")
-    return reader.load(paths).select("*", period_from_path(file).alias(PERIOD_COLUMN),
-                                     *[of(file).alias(c) for c, of in (more or {}).items()])
+    return with_path_columns(reader.load(paths), paths, {PERIOD_COLUMN: period_from_path, **(more or {})}, ["*"])
 
 
 def write_lake(df: DataFrame, target: str, mode: str = "overwrite") -> None:
     """Write extracts partitioned by period (dynamic overwrite: only the periods present)."""
-    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PERIOD_COLUMN).parquet(target))
+    with open_files(df.sparkSession):
+        (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+         .partitionBy(PERIOD_COLUMN).parquet(target))
 
 
 def land_extracts(spark: SparkSession, source: str, target: str, fmt: str = "parquet",

@@ -9,6 +9,7 @@ scan over a numeric column so it is not a single task.
 from __future__ import annotations
 
 import os
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 from landfall.functions.periods import in_periods
 from landfall.operators.star import Star
 from landfall.schemas import CONTRACTS, PERIOD_COLUMN, STAR_TABLES, Contract
+from landfall.session import open_files
 
 YEAR_PARTITION = "arrival_year"
 # Columns that stored tables add to their contract, as folders.
@@ -55,7 +57,8 @@ class Warehouse:
         upstream task.  ``spread=True`` deals the folders over all shuffle
         partitions instead, whole: for counts that are small in every folder,
         where the folders take the time and a rebalance would give all of them
-        to one task.
+        to one task.  Without ``sort_by`` a task's rows are not sorted by folder
+        either (``session.open_files``).
         """
         out = df
         if spread and partition_by:
@@ -67,7 +70,8 @@ class Warehouse:
         w = out.write.mode(mode).option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(self.path(name))
+        with nullcontext() if sort_by else open_files(self.spark):
+            w.parquet(self.path(name))
         # by the schema written: a table that got no row has no file to tell it
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 

@@ -38,6 +38,7 @@ from landfall.operators.staging import build_staging
 from landfall.plans.flows import arrival_years, refresh_star
 from landfall.schemas import (I94_RAW, I94_RAW_COLUMNS, I94_RAW_TEXT, NULL_RATIO_LIMIT, PERIOD_COLUMN, REQUIRED_COLUMNS,
                               STAGING, STAGING_KEYS)
+from landfall.session import open_files
 from landfall.sources.landing import list_files, read_extracts
 from landfall.sources.ledger import DELIVERIES, FILES, LOADED, Ledger, delivery_location, delivery_stem, merged
 from landfall.sources.warehouse import Warehouse
@@ -176,9 +177,10 @@ class IncrementalLoader:
 
     def _land(self, files: list[str], version: int) -> None:
         rows = read_extracts(self.spark, files, self.fmt, self.schema, more={"stem": delivery_stem})
-        (rows.withColumn("version", F.lit(version).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("stem", "version", PERIOD_COLUMN)
-         .parquet(self.warehouse.path("lake_i94")))
+        with open_files(self.spark):
+            (rows.withColumn("version", F.lit(version).cast("long")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("stem", "version", PERIOD_COLUMN)
+             .parquet(self.warehouse.path("lake_i94")))
 
     def _judge(self, entries: dict[str, dict], holds: dict[str, dict], version: int) -> list[dict]:
         """The ledger's rows of this version; fingerprints and null profile come from one aggregate over the landed rows."""

@@ -13,7 +13,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.schemas import I94_RAW, TEXT_COLUMNS
+from landfall.functions.periods import period_of
+from landfall.schemas import I94_RAW, PERIOD_COLUMN, TEXT_COLUMNS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,21 +60,30 @@ _I94_RAW_EXPRS = {
 }
 
 
-def i94_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def i94_raw(spark: SparkSession, sf_dir: str, by_period: bool = False) -> DataFrame:
     """Monthly-extract records (schema ``I94_RAW``: doubles and binary text).
 
     lineitem joins orders and customer on their keys; Catalyst picks the
     join strategies from the table statistics (no forced broadcast, the
-    customer table grows with the data).
+    customer table grows with the data).  orders and customer meet first:
+    they have fewer rows to move.
+
+    ``by_period`` adds ``source_period``, from the record's year and month, and
+    deals the rows by it, as few columns as they are before the projection: to
+    be written as monthly files, one or a few each.  A large month takes several
+    tasks.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag",
         "l_linestatus", "l_shipdate")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    joined = (li.join(od, li.l_orderkey == od.o_orderkey)
-                .join(cu, od.o_custkey == cu.c_custkey))
+    placed = od.join(cu, od.o_custkey == cu.c_custkey)
+    joined = li.join(placed, li.l_orderkey == placed.o_orderkey)
     cols: list[Column] = []
+    if by_period:
+        period = period_of(F.expr(_I94_RAW_EXPRS["i94yr"]), F.expr(_I94_RAW_EXPRS["i94mon"]))
+        joined = joined.withColumn(PERIOD_COLUMN, period).hint("rebalance", PERIOD_COLUMN)
     for field in I94_RAW.fields:
         e = F.expr(_I94_RAW_EXPRS[field.name])
         if field.name in TEXT_COLUMNS:
@@ -81,7 +91,7 @@ def i94_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         else:
             e = e.cast("double")
         cols.append(e.alias(field.name))
-    return joined.select(*cols)
+    return joined.select(*cols, *([PERIOD_COLUMN] if by_period else []))
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:

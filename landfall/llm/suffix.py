@@ -15,6 +15,7 @@ prefix but not the stretch are compared string by string in a second step.
 from __future__ import annotations
 
 import hashlib
+from itertools import starmap
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,10 @@ from landfall.llm.common import SubstringHash, mix64, slices, table, written
 LENGTH, PREFIX = 100, 24
 WINDOW = LENGTH - PREFIX + 1
 #: Sampled suffixes sorted at a time in a task, and stretches under one prefix from which it is hot.
-BATCH, HOT = 1_000_000, 500
+BATCH, HOT = 1 << 18, 500
+#: Bytes of text that a shard stands for on average at most, rows a shard gathers before it sends
+#: settled ones on, and bytes of stretches a task gathers before it sends them to be compared.
+SHARD, SEND, CUT = 32 << 20, 50_000, 16 << 20
 #: Stands for a null doc_id, which comes before all others.
 NO_ID = -(1 << 63)
 LOW48 = np.uint64((1 << 48) - 1)
@@ -98,19 +102,46 @@ def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class LevelIndex:
-    """Levels of sorted runs, each at least twice the next: a new run is merge-scanned against all."""
+    """Levels of sorted runs, each at least twice the next: a new run is merge-scanned against all.
+
+    Rows of a hot prefix are compared string by string later, whatever their
+    stretches; so none are held once a level has more than ``HOT`` of them.
+    """
 
     def __init__(self):
         self.levels: list[dict] = []
         self.covered: list[dict] = []
+        self.hot_rows: list[dict] = []
+        self.hot = np.zeros(0, np.uint64)
 
     def insert(self, run: dict) -> None:
+        run = self._without_hot(run)
         for i, level in enumerate(self.levels):
             self.levels[i], run = self._scan(level, run)
         self.levels.append(run)
         while len(self.levels) > 1 and 2 * len(self.levels[-1]["doc"]) >= len(self.levels[-2]["doc"]):
             b, a = self.levels.pop(), self.levels.pop()
             self.levels.append(ordered(joined([a, b])))
+        prefix = self.levels[-1]["prefix"]
+        hot = prefix[HOT:][prefix[HOT:] == prefix[:-HOT]]
+        if len(hot):
+            self.hot = np.union1d(self.hot, hot)
+            self.levels = [self._without_hot(level) for level in self.levels]
+
+    def _without_hot(self, run: dict) -> dict:
+        gone = np.isin(run["prefix"], self.hot)
+        if not gone.any():
+            return run
+        self.hot_rows.append({k: v[gone] for k, v in run.items()})
+        return {k: v[~gone] for k, v in run.items()}
+
+    def settled(self, least: int = 1):
+        """(kind, run) of covered rows and of hot ones, once there are ``least`` of them; then they are forgotten."""
+        for kind, runs in ((COVER, self.covered), (NEED, self.hot_rows)):
+            if sum(len(r["doc"]) for r in runs) >= least:
+                run = joined(runs)
+                runs.clear()
+                yield kind, run | {"group": np.full(len(run["doc"]), HOT + 1)}
 
     def _scan(self, level: dict, run: dict) -> tuple[dict, dict]:
         """Take the later one of every two rows with one stretch out of its run."""
@@ -133,15 +164,15 @@ class LevelIndex:
         drop_run[-1 - late[late < 0]] = True
         return {k: v[~drop_level] for k, v in level.items()}, {k: v[~drop_run] for k, v in run.items()}
 
-    def finish(self) -> tuple[list[dict], dict]:
-        """(covered runs, earliest rows whose prefix has several stretches)"""
+    def finish(self) -> dict:
+        """Earliest rows whose prefix has several stretches, but those of hot prefixes in ``settled``."""
         if not self.levels:
-            return [], {k: np.zeros(0, np.int64) for k in (*FIELDS, "group")}
+            return {k: np.zeros(0, np.int64) for k in (*FIELDS, "group")}
         run = ordered(joined(self.levels))
         new = np.concatenate(([True], run["prefix"][1:] != run["prefix"][:-1])) if len(run["doc"]) else np.zeros(0, bool)
         group = np.diff(np.append(np.flatnonzero(new), len(new)))
         size = np.repeat(group, group)
-        return self.covered, {k: v[size > 1] for k, v in (run | {"group": size}).items()}
+        return {k: v[size > 1] for k, v in (run | {"group": size}).items()}
 
 
 def pack(run: dict) -> bytes:
@@ -207,6 +238,7 @@ def find_spans(docs: DataFrame, parts: int) -> DataFrame:
 
         def flush():
             run = joined(runs)
+            runs.clear()
             p = (run["prefix"] % np.uint64(parts)).astype(np.int64)
             run = {**run, "prefix": (run["prefix"] // np.uint64(parts)) & LOW48, "stretch": run["stretch"] & LOW48, "p": p}
             order = np.lexsort([run[k] for k in (*ORDER, "p")])
@@ -244,11 +276,13 @@ def find_spans(docs: DataFrame, parts: int) -> DataFrame:
                 if kind == COVER:
                     yield _spans(COVER, unpack(data))
                 else:
-                    index.setdefault(p, LevelIndex()).insert(unpack(data))
-        for x in index.values():
-            covered, need = x.finish()
-            for c in covered:
-                yield _spans(COVER, c)
+                    x = index.setdefault(p, LevelIndex())
+                    x.insert(unpack(data))
+                    yield from starmap(_spans, x.settled(SEND))
+        while index:
+            _, x = index.popitem()
+            yield from starmap(_spans, x.settled())
+            need = x.finish()
             yield _spans(NEED, need | {"prefix": np.asarray(need["prefix"], np.uint64)})
 
     return written(docs.mapInArrow(sample, ROWS).repartitionById(parts, F.col("p")).mapInArrow(merge, SPANS), "suffix-spans")
@@ -315,11 +349,11 @@ def compare(docs: DataFrame, needs: DataFrame, parts: int) -> DataFrame:
                         elif old != mine:
                             strings[k] = min(old, mine)
                             covered.append(max(old, mine))
-                if size > 32 << 20:
+                if size > CUT:
                     yield from flush()
                     held, size, strings = {}, 0, {}
             if covered:
-                yield _blobs(COVER, [(0, np.array(covered, np.int64).tobytes())])
+                yield _blobs(COVER, [(covered[0][0] % parts, np.array(covered, np.int64).tobytes())])
                 covered = []
         yield from flush()
 
@@ -366,6 +400,11 @@ def _strings(place: np.ndarray) -> pa.RecordBatch:
                                       names=["doc", "tie", "start", "more"])
 
 
+def shards(size: int, least: int) -> int:
+    """Shards for texts of this size in all, so that a worker's share does not grow with them."""
+    return max(least, -(-size // SHARD))
+
+
 def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_bytes, runs [(start, end)] of covered bytes, kept (the other bytes, joined).
 
@@ -374,12 +413,13 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     are empty.  A null id comes before all others.  Rows that share an id come
     in order of a hash of their texts; equal rows are one document.
     """
-    ids = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"))
-    single = not ids.groupBy("doc").count().where("count > 1").head(1)
+    ids = docs.groupBy(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"))
+    most, size = ids.agg(F.count("*").alias("n"), F.sum(F.octet_length(text)).alias("size")).agg(F.max("n"), F.sum("size")).head()
+    single = (most or 0) < 2
     docs = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
                        (F.lit(0).cast("long") if single else F.xxhash64(text)).alias("tie"),
                        F.col(doc_id).isNull().alias("no_id"), F.col(text).alias("text"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = shards(size or 0, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     spans = find_spans(docs, parts)
     strings = compare(docs, spans.where(F.col("kind") == NEED), parts)
     covers = spans.where(F.col("kind") == COVER).select("doc", "tie", "start", "more").unionByName(strings)

@@ -132,6 +132,41 @@ def test_level_index_finds_the_earliest():
     assert {(p, s): (d, t) for p, s, d, t in zip(left["prefix"], left["stretch"], left["doc"], left["start"])} == want
 
 
+def test_level_index_holds_no_rows_of_a_hot_prefix(monkeypatch):
+    monkeypatch.setattr(suffix, "HOT", 20)
+    n = 4000
+    rng = np.random.default_rng(2)
+    zeros = np.zeros(n, np.int64)
+    run = {"prefix": np.where(np.arange(n) % 10, 7, 1000 + np.arange(n)).astype(np.uint64), "stretch": rng.integers(0, 1 << 40, n).astype(np.uint64),
+           "doc": rng.permutation(n), "start": zeros, "tie": zeros, "offset": zeros, "more": zeros}
+    index, sent = suffix.LevelIndex(), []
+    for k in range(0, n, 40):
+        index.insert(suffix.ordered({f: v[k:k + 40] for f, v in run.items()}))
+        sent += index.settled(300)
+        assert sum(int((x["prefix"] == 7).sum()) for x in index.levels) <= 20 * len(index.levels)
+        assert sum(len(x["doc"]) for x in (*index.covered, *index.hot_rows)) < 300
+    sent += index.settled()
+    assert not index.covered and not index.hot_rows and len(index.finish()["doc"]) == 0
+    assert {kind for kind, _ in sent} == {suffix.NEED}
+    assert sorted(d for _, x in sent for d in x["doc"]) == sorted(d for p, d in zip(run["prefix"], run["doc"]) if p == 7)
+    assert all((x["group"] > suffix.HOT).all() for _, x in sent)
+
+
+def test_suffix_shards_follow_the_texts_size():
+    assert suffix.shards(0, 200) == suffix.shards(1 << 30, 200) == 200
+    assert all(-(-size // suffix.shards(size, 200)) <= suffix.SHARD for size in (1 << 35, 3 << 35, 10**12))
+
+
+def test_suffix_dedup_common_passage(spark):
+    """More stretches under one prefix than are held, over several batches."""
+    rng = random.Random(8)
+    hot = "".join(rng.choice("abcd ") for _ in range(140))
+    texts = {i: "".join(rng.choice("efgh ") for _ in range(rng.randrange(10, 90))) + hot[rng.randrange(20):120 + rng.randrange(20)]
+             + "".join(rng.choice("efgh ") for _ in range(50)) for i in range(1300)}
+    texts |= {2000 + i: t for i, t in texts.items() if i % 9 == 0}
+    check_repeated(suffix.repeated(frame(spark, texts.items()).repartition(9)).collect(), texts)
+
+
 def test_decontamination(spark, docs, odd):
     items = [(r["item_id"], r["text"]) for r in table(spark, SF001, "benchmark").collect()]
     items += [(900, None), (901, "..."), (902, "Alpha"), (902, "a"), (None, "beta"), (903, items[0][1])]

@@ -568,7 +568,8 @@ def test_toxicity_odd_rows(spark, odd):
 def test_empty_tables(spark, tmp_path):
     for name, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"),
                          ("benchmark", "item_id long, text string"), ("labels", "doc_id long, quality int, toxic int"),
-                         ("embeddings", "vec_id long, embedding array<float>, label int")):
+                         ("embeddings", "vec_id long, embedding array<float>, label int"),
+                         ("conversations", "conv_id long, turn long, role string, text string")):
         spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
     import corpus_pipeline
 

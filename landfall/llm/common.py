@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.session import scratch_path
+from landfall.session import freed_shuffles, scratch_path
 
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -25,13 +25,26 @@ def crc_mod(doc_id: str, m: int) -> Column:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: the lineage ends there."""
+    """``df`` as a Parquet table in the shared folder: the lineage ends there, and the write's shuffles leave the disk."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    with freed_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_written(df: DataFrame) -> None:
+    """Delete a table of ``written`` that nothing will read again."""
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    scratch = jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "")).getParent().toUri().getPath()
+    for folder in {jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).getParent().toString() for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getParent().toUri().getPath() != scratch or not path.getName().startswith("llm-"):
+            raise ValueError(f"{folder} is not an intermediate table")
+        path.getFileSystem(conf).delete(path, True)
+
+
 def most_frequent(df: DataFrame, count: str, limit: int) -> DataFrame:
     """The rows of the largest counts (1 or more), at most ``limit`` of them, without a global sort.
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import pickle
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from landfall.llm.common import SubstringHash, broadcast, mix64, most_frequent, signed, slices, table, written
+from landfall.llm.common import SubstringHash, broadcast, drop_written, mix64, most_frequent, signed, slices, table, written
 from landfall.llm.components import components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -33,6 +34,8 @@ CLASS_RATIO = 1.5
 FLUSH, GROUP, ELEMENTS = 1_000_000, 512, 400_000
 #: Bytes of signatures and sketches that are compared in one task at a time.
 SHARE = 32 << 20
+#: Elements of sets that are copied to the pairs of their blocks at a time, or the component's own where they are more.
+ROUND = 50_000_000
 
 
 @dataclass(frozen=True)
@@ -623,16 +626,22 @@ def links(docs: DataFrame, members: DataFrame, rule: Rule, parts: int, pivots: i
     texts = docs.select("doc_id", "text")
     rows = sized(members)
     rows = written(texts.join(rows, texts.doc_id == rows.node).select("comp", "node", "n", "blocks", "text"), "jaccard-texts")
+    first = rows
     out, rows = _whole(rows, rule, parts)
     if rows is None:
+        drop_written(first)
         return out
     parted = components(refined(rows, rule, parts)).withColumnRenamed("component", "comp")
     rows = rows.drop("comp", "blocks").join(parted, "node")
     sizes = sized(rows.select("comp", "n")).select("comp", "blocks").distinct()
-    rows = written(rows.join(sizes, "comp"), "jaccard-texts")
+    second = rows = written(rows.join(sizes, "comp"), "jaccard-texts")
+    drop_written(first)
     more, rows = _whole(rows, rule, parts)
     out = out.unionByName(more)
-    return out if rows is None else out.unionByName(_blockwise(rows, rule, parts, pivots))
+    if rows is not None:
+        out = out.unionByName(_blockwise(rows, rule, parts, pivots))
+    drop_written(second)
+    return out
 
 
 def _whole(rows: DataFrame, rule: Rule, parts: int) -> tuple[DataFrame, DataFrame | None]:
@@ -645,7 +654,7 @@ def _whole(rows: DataFrame, rule: Rule, parts: int) -> tuple[DataFrame, DataFram
 
 
 def _blockwise(rows: DataFrame, rule: Rule, parts: int, pivots: int) -> DataFrame:
-    big = written(rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "jaccard-large")
+    big = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     turn = F.row_number().over(Window.partitionBy("comp").orderBy(F.xxhash64("node", F.lit(1)), "node"))
     heads = written(big.select("comp", "node").withColumn("turn", turn).where(F.col("turn") <= pivots)
                     .select("comp", "node"), "jaccard-pivots")
@@ -675,8 +684,17 @@ def _blockwise(rows: DataFrame, rule: Rule, parts: int, pivots: int) -> DataFram
                .withColumn("g", F.when(F.col("left"), F.concat_ws(":", F.lit("s"), "comp", "mine", "other"))
                            .otherwise(F.concat_ws(":", F.lit("s"), "comp", "other", "block")))
                .withColumn("two", F.lit(True)).withColumn("side", (~F.col("left")).cast("int")))
-    cols = ["g", "two", "side", "node", "text"]
-    return found.unionByName(verified(among.select(cols).unionByName(against.select(cols)), rule, parts))
+    cols = ["g", "two", "side", "node", "n", "text"]
+    return found.unionByName(in_rounds(among.select(cols).unionByName(against.select(cols)), big, rule, parts))
+
+
+def in_rounds(groups: DataFrame, once: DataFrame, rule: Rule, parts: int) -> DataFrame:
+    """``verified`` of whole groups, some at a time: the copies of texts that lie on disk at once stay in proportion to ``once``."""
+    copied, own = (x.agg(F.sum("n")).first()[0] or 0 for x in (groups, once))
+    rounds = max(1, -(-copied // max(own, ROUND)))
+    turn = F.pmod(F.xxhash64("g", F.lit(3)), F.lit(rounds))
+    out = [verified(groups.where(turn == i) if rounds > 1 else groups, rule, parts) for i in range(rounds)]
+    return reduce(DataFrame.unionByName, out)
 
 
 def join(docs: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
